@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barline.llm import chat_format, packing, quality
+from barline.llm import chat_format, embedding_join, ngram_join, packing, quality
 from barline.llm.shared import documents
 
 #: Folder of the public tokenizer files; a parameter of every query that needs one.
@@ -18,6 +18,33 @@ def tokenizer_file(name: str, folder: str = TOKENIZERS) -> str:
     return f"{folder}/{name}"
 
 
+def op1_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.embedding_links(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 0.93)
+
+
+OP1_SQL = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[64]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE array_cosine_similarity(a.e, b.e) >= 0.93
+), r AS (
+  SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a
+), c AS (
+  SELECT a, least(a, min(b)) AS component_id FROM r GROUP BY a
+), n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, coalesce(c.component_id, vec_id) AS component_id,
+       vec_id = coalesce(c.component_id, vec_id) AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.a = vec_id
+"""
+
+
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_links(documents(spark, sf_dir), 0.8, 5)
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = "struct<conv_id:bigint,turn:bigint,role:string,text:string>"
     extra = spark.range(1).select(F.explode(F.array(*(F.struct(F.lit(-7).alias("conv_id"), F.lit(k).alias("turn"), F.lit(role).alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text")).cast(own) for k, role in enumerate(("user", "assistant"))))).alias("r")).select("r.*")
@@ -63,9 +90,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_neardup": op1_embedding_neardup,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_chat_format": op4_chat_format,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_chat_format": OP4_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_embedding_neardup": OP1_SQL, "op4_chat_format": OP4_SQL}

@@ -42,3 +42,56 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def groups(batches, keys: list[str]):
+    """Tables of one key each from batches that are sorted by ``keys``; only one group is held at a time."""
+    import numpy as np
+    import pyarrow as pa
+
+    held: list = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k) for k in keys]
+        changed = np.zeros(batch.num_rows, bool)
+        for c in columns:
+            c = c.to_numpy(zero_copy_only=False)
+            changed[1:] |= c[1:] != c[:-1]
+        cuts = [0, *np.flatnonzero(changed).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            key = tuple(c[a].as_py() for c in columns)
+            if held and key != last:
+                yield last, pa.Table.from_batches(held)
+                held = []
+            last = key
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield last, pa.Table.from_batches(held)
+
+
+def tiles(members: DataFrame, group: list[str], size: DataFrame, per_block: int, identity: str) -> DataFrame:
+    """Deals the members of each group to tiles, so that every two of them meet in exactly one tile.
+
+    ``size`` has one row per group with ``n``, its members.  A group of up to ``per_block``
+    members is one tile; a larger one is cut into blocks by a hash of ``identity``, and a
+    tile joins two blocks.  Adds tile_a <= tile_b and block.
+    """
+    blocks = F.ceil(F.col("n") / per_block).cast("int")
+    dealt = members.join(size.select(*group, blocks.alias("_blocks")), group).withColumn("block", F.pmod(F.xxhash64(F.lit(7), identity), F.col("_blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")
+    return dealt.select("*", other).select(*members.columns, "block", F.least("block", "_other").alias("tile_a"), F.greatest("block", "_other").alias("tile_b"))
+
+
+def local_roots(n: int, left, right, ids):
+    """For links (left[i], right[i]) between 0..n-1: the smallest of ``ids`` reachable from each."""
+    import numpy as np
+
+    label = np.asarray(ids).copy()
+    while True:
+        before = label.copy()
+        np.minimum.at(label, left, label[right])
+        np.minimum.at(label, right, label[left])
+        if (label == before).all():
+            return label
