@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barline.llm import chat_format, embedding_join, ngram_join, packing, quality, suffix_dedup
+from barline.llm import chat_format, embedding_join, line_dedup, ngram_join, packing, pii, quality, suffix_dedup
 from barline.llm.shared import documents
 
 #: Folder of the public tokenizer files; a parameter of every query that needs one.
@@ -95,13 +95,50 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.text_quality(documents(spark, sf_dir))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.drop_recurring_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.length("text").cast("long").alias("kept_chars"), F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+OP8_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM d),
+m AS (SELECT doc_id, k, line, string_split(regexp_replace(trim(line, ' '), '[^ ]*[0-9][^ ]*', '<*>', 'g'), ' ') AS t FROM l),
+n AS (SELECT *, len(t) AS n, CAST(ceil((len(t) - 3) / 3.0) AS BIGINT) AS h FROM m),
+x AS (
+  SELECT doc_id, k, '0' || array_to_string(t, ' ') AS key FROM n WHERE n >= 4
+  UNION ALL SELECT doc_id, k, '1 ' || n || ' ' || array_to_string(t[1:3], ' ') || chr(10) || array_to_string(t[4+h:3+2*h], ' ') || chr(10) || array_to_string(t[4+2*h:], ' ') FROM n WHERE n >= 12
+  UNION ALL SELECT doc_id, k, '2 ' || n || ' ' || array_to_string(t[1:3], ' ') || chr(10) || array_to_string(t[4:3+h], ' ') || chr(10) || array_to_string(t[4+2*h:], ' ') FROM n WHERE n >= 12
+  UNION ALL SELECT doc_id, k, '3 ' || n || ' ' || array_to_string(t[1:3], ' ') || chr(10) || array_to_string(t[4:3+h], ' ') || chr(10) || array_to_string(t[4+h:3+2*h], ' ') FROM n WHERE n >= 12
+),
+r AS (SELECT key, min(doc_id) AS first FROM x GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+g AS (SELECT DISTINCT doc_id, k FROM x JOIN r USING (key) WHERE doc_id > first),
+o AS (
+  SELECT l.doc_id, count(*) AS n_lines, count(g.k) AS n_dropped,
+         coalesce(string_agg(CASE WHEN g.k IS NULL THEN line END, chr(10) ORDER BY l.k), '') AS kept
+  FROM l LEFT JOIN g ON g.doc_id = l.doc_id AND g.k = l.k GROUP BY l.doc_id
+)
+SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_dropped AS BIGINT) AS n_dropped, CAST(length(kept) AS BIGINT) AS kept_chars, sha256(kept) AS kept_sha256 FROM o
+"""
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(documents(spark, sf_dir).select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.KINDS))
+    return found.select("doc_id", *(count(k) for k in pii.KINDS), F.sha2(F.encode(joined(base), "UTF-8"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_neardup": op1_embedding_neardup,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_chat_format": op4_chat_format,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op8_line_dedup": op8_line_dedup,
     "op9_quality_rules": op9_quality_rules,
+    "op10_pii": op10_pii,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_embedding_neardup": OP1_SQL, "op4_chat_format": OP4_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_embedding_neardup": OP1_SQL, "op4_chat_format": OP4_SQL, "op8_line_dedup": OP8_SQL}
