@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barline.llm import chat_format, embedding_join, line_dedup, ngram_join, packing, pii, quality, suffix_dedup
+from barline.llm import chat_format, embedding_join, licenses, line_dedup, ngram_join, packing, pii, quality, sentence_pieces, suffix_dedup
 from barline.llm.shared import documents
 
 #: Folder of the public tokenizer files; a parameter of every query that needs one.
@@ -41,6 +41,12 @@ FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.a = vec_id
 """
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokenizer_file("piece_bpe_32k.model")
+    encoded = sentence_pieces.encode(documents(spark, sf_dir).select("doc_id", "text"), model)
+    return sentence_pieces.decode(encoded, model).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"), (F.col("decoded") == F.col("text")).alias("round_trip"))
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_links(documents(spark, sf_dir), 0.8, 5)
 
@@ -95,6 +101,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.text_quality(documents(spark, sf_dir))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.drop_recurring_lines(documents(spark, sf_dir).select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.length("text").cast("long").alias("kept_chars"), F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
@@ -132,10 +142,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_neardup": op1_embedding_neardup,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_chat_format": op4_chat_format,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_license_scan": op7_license_scan,
     "op8_line_dedup": op8_line_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_pii": op10_pii,
