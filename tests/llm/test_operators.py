@@ -1,0 +1,286 @@
+import hashlib
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from conftest import SF, same
+
+from barline.llm import chat_format, embedding_join, licenses, line_dedup, ngram_join, packing, pii, quality, queries, sentence_pieces, suffix_dedup
+
+DOCS = "doc_id long, text string, lang string"
+LONG = " ".join(f"word{i} the" for i in range(4000))
+EDGE = [(1, None, "en"), (2, "", "en"), (3, "one two three four five six seven", "en"), (4, "one two three four five six seven", None), (4, "one two three four five six seven", "en"), (5, LONG, "en"), (6, LONG, "de"), (7, "x" * 3000, "en"), (8, "\n\n \t", None)]
+
+
+def edge(spark, rows=EDGE):
+    return spark.createDataFrame(rows, DOCS)
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_queries_match_sql(spark, name):
+    same(spark, queries.QUERIES[name], queries.ORACLE_SQL[name])
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+
+
+def test_embedding_links_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(embedding_join, "PER_PIVOT", 20)
+    monkeypatch.setattr(embedding_join, "BLOCK", 16)
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(6, 8))
+    x = np.concatenate([c + rng.normal(size=(40, 8)) * 0.25 for c in centres]).astype(np.float32)
+    rows = [(i, v.tolist(), i % 3) for i, v in enumerate(x)] + [(1000 + i, x[5].tolist(), 2) for i in range(30)]
+    rows += [(2000, None, 1), (2001, [0.0] * 8, 1), (2002, [1.0, None, *[0.0] * 6], 1), (2003, [float("nan")] * 8, 1), (2004, x[1].tolist(), None), (2005, [float("inf")] + [0.0] * 7, 1)]
+    got = {r.vec_id: r for r in embedding_join.embedding_links(vectors(spark, rows), 0.93).collect()}
+    good = [(i, np.array(v, np.float64), l) for i, v, l in rows if i < 2000]
+    links = {i: {j for j, w, m in good if i != j and l == m and v @ w / np.sqrt((v @ v) * (w @ w)) >= 0.93} for i, v, l in good}
+    assert len(got) == len(rows)
+    for i, near in links.items():
+        seen, todo = {i}, [i]
+        while todo:
+            todo += [j for j in links[todo.pop()] if j not in seen and not seen.add(j)]
+        assert (got[i].n_links, got[i].component_id, got[i].kept) == (len(near), min(seen), i == min(seen))
+    assert all(got[i].n_links == 0 and got[i].kept for i in range(2000, 2006))
+
+
+def test_embedding_links_of_an_empty_table(spark):
+    assert embedding_join.embedding_links(vectors(spark, [])).count() == 0
+
+
+def unigram(word, score, longest, unknown):
+    best = [(0.0, [])] + [(-np.inf, [])] * len(word)
+    for j in range(1, len(word) + 1):
+        for k in range(max(0, j - longest), j):
+            s = score.get(word[k:j], unknown if j - k == 1 else None)
+            if s is not None and best[k][0] + s > best[j][0]:
+                best[j] = (best[k][0] + s, [*best[k][1], word[k:j]])
+    return best[-1][1]
+
+
+def test_pieces_match_the_library():
+    import sentencepiece
+
+    path = queries.tokenizer_file("piece_bpe_32k.model")
+    model, library, rng = sentence_pieces.pieces(path), sentencepiece.SentencePieceProcessor(model_file=path), random.Random(3)
+    texts = ["", " ", "  a", "a  b ", "a\tb\n\nc", "ﬁ ①", "𝔘\x00", "</s>", "a" * 40, " " * 37 + "z", "naïve Überraschung"]
+    texts += ["".join(rng.choice("abcdefinostrelh ing,.é") for _ in range(rng.randint(1, 50))) for _ in range(500)]
+    for text, ids in zip(texts, model.encode(texts), strict=True):
+        ids = np.frombuffer(ids, np.int32).tolist()
+        assert ids == library.encode(text)
+        assert model.decode(ids) == text
+
+
+def test_unigram_pieces_match_a_plain_viterbi():
+    model = sentence_pieces.pieces(queries.tokenizer_file("piece_bpe_32k.model"), bpe=False)
+    rng = random.Random(4)
+    score = dict(model.score)
+    for i in range(200):
+        word = "▁" + "".join(rng.choice("abcdefghinorst") for _ in range(rng.randint(1, 12)))
+        ids = model.viterbi([word])[0]
+        value = lambda pieces: sum(score.get(p, model.value[model.n]) for p in pieces)
+        assert b"".join(model.bytes_of[k] for k in ids).decode() == word.replace("▁", " ")
+        assert value(unigram(word, score, model.longest, model.value[model.n])) == pytest.approx(sum(model.value[k] for k in ids))
+
+
+def test_coding_of_edge_cases(spark):
+    path = queries.tokenizer_file("piece_bpe_32k.model")
+    out = sentence_pieces.decode(sentence_pieces.encode(edge(spark), path), path).collect()
+    assert len(out) == len(EDGE) and all(r.decoded == r.text for r in out)
+    assert sentence_pieces.encode(edge(spark, []), path).count() == 0
+
+
+def jaccard_groups(rows, threshold=0.8):
+    sets = [(d, set(ngram_join.shingles(t or "").tolist())) for d, t in rows]
+    links = {k: [j for j, (_, b) in enumerate(sets) if j != k and a and b and len(a & b) >= threshold * len(a | b) - 1e-9] for k, (_, a) in enumerate(sets)}
+    out = []
+    for k in range(len(sets)):
+        seen, todo = {k}, [k]
+        while todo:
+            todo += [j for j in links[todo.pop()] if j not in seen and not seen.add(j)]
+        out.append((sets[k][0], min(sets[j][0] for j in seen), len(links[k])))
+    return Counter(out)
+
+
+def test_ngram_links_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    monkeypatch.setattr(ngram_join, "SET_BLOCK", 8)
+    rng = random.Random(5)
+    base = [[f"w{rng.randint(0, 5000)}" for _ in range(rng.randint(60, 200))] for _ in range(12)]
+    rows = []
+    for k in range(160):
+        words = list(base[k % 12 if k % 3 else 0])
+        for _ in range(rng.randint(0, 3)):
+            words[rng.randrange(len(words))] = f"v{rng.randint(0, 99)}"
+        rows.append((k, " ".join(words)))
+    rows += [(500, None), (501, ""), (502, "a b"), (503, "A  b!"), (504, LONG), (505, LONG + " x")]
+    got = Counter((r.doc_id, r.class_id, r.n_links) for r in ngram_join.ngram_links(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == jaccard_groups(rows)
+
+
+def test_ngram_links_of_edge_cases(spark):
+    got = Counter((r.doc_id, r.class_id, r.n_links) for r in ngram_join.ngram_links(edge(spark)).collect())
+    assert got == jaccard_groups([(d, t) for d, t, _ in EDGE])
+    assert ngram_join.ngram_links(edge(spark, [])).count() == 0
+
+
+def test_recall_of_the_forest():
+    for threshold in (0.8, 0.9):
+        d = ngram_join.stop_depth(threshold, 0.9995)
+        assert 1 - (1 - threshold**d) ** ngram_join.TREES >= 0.9995
+
+
+def test_chat_round_trip_and_attachments(spark):
+    part = lambda kind, text=None, ref=None, units=None: (kind, text, ref, units)
+    rows = [
+        (1, 0, "user", [part("text", "see <|image:1|> [INST]\\<"), part("image", ref="a.png", units=2), part("text", "and"), part("audio", ref="b.wav")]),
+        (1, 1, "assistant", [part("text", "<|end|>\n\\[x"), part("document", ref="c.pdf", units=3)]),
+        (1, 2, None, None),
+        (None, None, "assistant", [part("text", None)]),
+    ]
+    frame = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts array<{chat_format.PART}>")
+    out = {r.conv_id: r for r in chat_format.read_back(chat_format.format_chats(frame)).collect()}
+    assert [(a.number, a.kind, a.ref, a.tokens) for a in out[1].attachments] == [(1, "image", "a.png", 512), (2, "audio", "b.wav", 25), (3, "document", "c.pdf", 1536)]
+    assert [t.role for t in out[1].turns] == ["user", "assistant", ""]
+    assert "<|image:1|>and<|audio:2|>" in out[1].formatted and "[INST]" not in out[1].formatted
+    assert out[1].loss_text == "<|end|>\n\\[x<|document:3|>"
+    assert out[None].formatted == "<|turn|>assistant\n<|end|>"
+    assert chat_format.format_chats(frame.limit(0)).count() == 0
+
+
+def repeats(rows, width):
+    first = {}
+    for d, t in rows:
+        b = (t or "").encode()
+        for i in range(len(b) - width + 1):
+            first.setdefault(b[i : i + width], []).append((d, i))
+    first = {k: min(v) for k, v in first.items()}
+    out = Counter()
+    for d, t in rows:
+        b = (t or "").encode()
+        gone = bytearray(len(b))
+        for i in range(len(b) - width + 1):
+            if first[b[i : i + width]] < (d, i):
+                gone[i : i + width] = b"\1" * width
+        spans = sum(1 for i in range(len(b)) if gone[i] and not (i and gone[i - 1]))
+        out[d, len(b), sum(gone), spans, hashlib.sha256(bytes(x for x, g in zip(b, gone, strict=True) if not g)).hexdigest()] += 1
+    return out
+
+
+@pytest.mark.parametrize("hot", [20_000, 0])
+def test_repeats_match_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT_RUNS", hot)
+    rng = random.Random(6)
+    passage = "".join(rng.choice("abcdé \n") for _ in range(260))
+    rows = [(k, "".join(rng.choice("xyz ") for _ in range(rng.randint(0, 150))) + passage[rng.randint(0, 80) : rng.randint(150, 260)] + "".join(rng.choice("ab") for _ in range(rng.randint(0, 80)))) for k in range(60)]
+    rows += [(100, None), (101, ""), (102, "ab" * 300), (103, "ab" * 200), (104, "q" * 100), (105, "q" * 99), (106, passage), (106, passage), (106, passage + "!")]
+    out = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = Counter((r.doc_id, r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest()) for r in out)
+    assert got == repeats(rows, 100)
+
+
+def test_repeats_of_an_empty_table(spark):
+    assert suffix_dedup.remove_repeats(edge(spark, [])).count() == 0
+
+
+def test_packing_is_gapless_and_tight(spark):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_file("word_bpe_49k.json")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").unionByName(edge(spark).selectExpr("doc_id + 10000 AS doc_id", "text"))
+    rows, texts = packing.pack_documents(docs, path).collect(), docs.collect()
+    t = Tokenizer.from_file(path)
+    want = Counter()
+    for r in texts:
+        ids = [*t.encode(r.text or "", add_special_tokens=False).ids, 0]
+        for k, at in enumerate(range(0, len(ids), 2048)):
+            part = ids[at : at + 2048]
+            want[r.doc_id, k, at, len(part), zlib.crc32(np.array(part, "<u4").tobytes())] += 1
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in sequences.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert len(sequences) <= -(-sum(r.length for r in rows) // 2048) + 2
+    assert packing.pack_documents(edge(spark, []), path).count() == 0
+
+
+def test_configurations_cover_each_length_once():
+    rng = np.random.default_rng(7)
+    for n in (0, 1, 500, 20_000):
+        lengths, counts = np.unique(np.clip(rng.lognormal(6, 1.2, n).astype(int), 1, 2047), return_counts=True)
+        out = packing.configurations(lengths, counts, 2048, rounds=60)
+        assert (sum((c * k for c, k in out), np.zeros(len(lengths), int)) == counts).all()
+        assert all((c * lengths).sum() <= 2048 for c, _ in out)
+
+
+def test_licences_are_found_and_prose_is_not(spark):
+    rows = [(k, f"Some story about the work of a public house {k}.\nIt goes on and on.") for k in range(60)]
+    rows += [(100, "Intro.\nLicensed under the Apache License, Version 2.0."), (101, "Released under the MIT License."), (102, "This work is licensed\nunder the GNU General Public License, version 3."), (103, None), (104, "")]
+    got = {(r.doc_id, r.family) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.confirmed}
+    assert got == {(100, "apache-2.0"), (101, "mit"), (102, "gpl")}
+
+
+def test_lines_that_vary_by_a_field_recur(spark):
+    rows = [(k, f"Own text number {chr(97 + k)} of this page here\nPosted by user{k} on day {k}") for k in range(12)]
+    rows += [(k + 20, f"alpha beta gamma delta epsilon {w} eta theta iota kappa lambda my") for k, w in enumerate("abcdefghijkl")]
+    rows += [(50, None), (51, ""), (52, "short line")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "doc_id AS _keys0", "'x' AS n_lines")
+    out = {r.doc_id: r for r in line_dedup.drop_recurring_lines(frame).collect()}
+    assert out[0].n_dropped == 0 and all(out[k].n_dropped == 1 and out[k].text.startswith("Own text") for k in range(1, 12))
+    assert out[20].n_dropped == 0 and all(out[k].text == "" for k in range(21, 32))
+    assert out[50].text == "" and out[52].text == "short line"
+
+
+def plain_measures(text):
+    words = quality.WORD.findall(text)
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    often = Counter(windows)
+    covered = {j for i, w in enumerate(windows) if often[w] > 1 for j in (i, i + 1, i + 2)}
+    lines = text.split("\n")
+    dup = sum(1 for k, x in enumerate(lines) if quality.WORD.search(x) and x in lines[:k])
+    return len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), dup, len(covered)
+
+
+def test_quality_measures_and_ablations(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").unionByName(edge(spark).selectExpr("doc_id + 10000 AS doc_id", "text"))
+    out, texts = quality.text_quality(docs).collect(), docs.collect()
+    got = Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in out)
+    assert got == Counter((r.doc_id, *plain_measures(r.text or "")) for r in texts)
+    assert all(r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words) and (not r.base_failed or not r.kept) for r in out)
+    book = quality.ledger(docs)
+    alone = {r.rule: r.n_failed_alone for r in quality.ablations(book).collect()}
+    names, mask = list(quality.rules()), quality.mask_of(quality.CURRENT)
+    assert alone == {n: sum(r.failed & mask == 1 << names.index(n) for r in out) for n in quality.POLICIES[quality.CURRENT]}
+
+
+def test_quality_agrees_with_labels(spark):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    joined = quality.text_quality(spark.read.parquet(f"{SF}/documents.parquet")).join(labels, "doc_id").collect()
+    assert all(r.kept == (r.quality == 1) for r in joined if not (r.base_failed and r.quality == 1))
+
+
+def test_personal_data(spark):
+    card = "4539 1488 0343 6467"
+    texts = [f"Mail Zorblatt today at zor@mail.example.com about {w} matters" for w in ("seven", "green", "other", "late", "early")]
+    rows = list(enumerate([*texts, f"card {card} ip 10.0.0.256 and 10.0.0.25, call +1 (555) 555-7713 now", None, "", "plain words only", "who is Zorblatt", *[f"Mail today at about noon matters {w}" for w in "abcdefghij" * 4]]))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.find(frame).collect()}
+    assert [k for k, _, _ in out[5]] == ["ip", "card", "phone"]
+    assert ("term", 7, 15) in out[9] and ("term", 5, 13) in [(k, a, b) for k, a, b in out[0]] and out[6] == out[7] == out[8] == []
+    clean = {r.doc_id: r.text for r in pii.sanitise(frame).collect()}
+    assert "zor@" not in clean[0] and "Zorblatt" not in clean[9] and "[CARD]" in clean[5] and clean[8] == "plain words only"
+
+
+def test_base_patterns():
+    assert pii.base_spans("a.b@c-d.e.f,@x 1.2.3.4.5 001.02.3.0255 1.2.3.04000") == [("email", 0, 11), ("ip", 15, 22), ("ip", 25, 38)]
+    assert pii.base_spans("9" * 5000 + ".1.1.1") == []
+    assert pii.base_spans("+1234567 +12345678 +1 2") == [("phone", 9, 18)]
