@@ -2,5 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from barline.plans import features, panels
+
+MODULES = (features, panels)
+QUERIES = {name: q for m in MODULES for name, q in m.QUERIES.items()}
+ORACLE_SQL = {name: q for m in MODULES for name, q in m.ORACLE_SQL.items()}
