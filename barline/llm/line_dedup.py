@@ -8,7 +8,8 @@ long enough, to the three templates that generalise one third.  A template recur
 a smaller id has that template; so the first document keeps its line.
 
 Lines of fewer than ``min_tokens`` tokens are never dropped.  Null text counts as empty.  If a
-doc_id repeats, its rows are one document for the counts, and lines go from each.
+doc_id repeats, its rows are one document for the counts, and lines go from each; rows without
+doc_id count as one document and keep their lines.
 """
 
 from __future__ import annotations
@@ -27,37 +28,34 @@ def masked(line: Column) -> Column:
     return F.when(line.rlike("[0-9]"), F.regexp_replace(line, "[^ ]*[0-9][^ ]*", "<*>")).otherwise(line)
 
 
-def template_keys(line: Column) -> Column:
-    """Hashes of the templates of a line: none, one or four."""
-    m = masked(line)
-    tokens = F.split(m, " ")
-    n = F.size(tokens)
-    third = F.ceil((n - LEAD) / 3).cast("int")
-    lead = F.slice(tokens, 1, LEAD)
-    a = F.slice(tokens, F.lit(LEAD + 1), third)
-    b = F.slice(tokens, LEAD + 1 + third, third)
-    c = F.slice(tokens, LEAD + 1 + 2 * third, n)
-    full = F.xxhash64(F.lit(0), m)
-    open_ = [F.xxhash64(F.lit(k), n, lead, x, y) for k, (x, y) in enumerate(((b, c), (a, c), (a, b)), 1)]
-    none = F.array().cast("array<bigint>")
-    return F.when(n < MIN_TOKENS, none).when(n < GENERALISED_FROM, F.array(full)).otherwise(F.array(full, *open_))
+def with_templates(lines: DataFrame) -> DataFrame:
+    """The columns of ``lines`` but line, and key: a row for each template of a line, none, one or four.
+
+    Each step is a projection of its own, so that nothing is evaluated twice.  The levels
+    of the tree are cut out of the line by counting spaces.
+    """
+    own = [c for c in lines.columns if c != "line"]
+    tokens = F.length("_m") - F.length(F.translate("_m", " ", "")) + 1
+    counted = lines.select(*own, masked(F.col("line")).alias("_m")).select("*", tokens.alias("_n")).where(F.col("_n") >= MIN_TOKENS)
+    third = F.ceil((F.col("_n") - LEAD) / 3).cast("int")
+    cut = counted.select("*", third.alias("_h"))
+    cut = cut.select(*own, "_n", "_m", F.expr(f"substring_index(_m, ' ', {LEAD})").alias("_lead"), F.expr(f"substring_index(_m, ' ', {LEAD} + _h)").alias("_a"), F.expr(f"substring_index(_m, ' ', {LEAD} + 2 * _h)").alias("_ab"), F.expr(f"substring_index(_m, ' ', {LEAD} + _h - _n)").alias("_bc"), F.expr(f"substring_index(_m, ' ', {LEAD} + 2 * _h - _n)").alias("_c"))
+    full = F.xxhash64(F.lit(0), "_m")
+    open_ = (F.xxhash64(F.lit(1), "_n", "_lead", "_bc"), F.xxhash64(F.lit(2), "_n", "_a", "_c"), F.xxhash64(F.lit(3), "_n", "_ab"))
+    return cut.select(*own, F.explode(F.when(F.col("_n") < GENERALISED_FROM, F.array(full)).otherwise(F.array(full, *open_))).alias("key"))
 
 
 def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """The columns of ``docs`` with recurring lines taken out of text, and n_lines and n_dropped."""
     own = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    rows = docs.select(*(c for c in own if c != "text"), text_or_empty().alias("text"))
-    lines = rows.select("doc_id", F.explode(F.array_distinct(F.split("text", "\n"))).alias("line"))
-    entries = lines.select("doc_id", F.explode(template_keys(F.col("line"))).alias("key")).distinct()
-    entries = materialise(entries, "line-templates")
-    recurring = entries.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")).where(F.col("n") >= min_docs)
-    dropped = entries.join(recurring.select("key", "first"), "key").where(F.col("doc_id") > F.col("first")).groupBy("doc_id").agg(F.collect_set("key").alias("_keys"))
-    joined = rows.join(dropped.withColumnRenamed("doc_id", "_doc_id"), F.col("doc_id") == F.col("_doc_id"), "left")
-    split = F.split("text", "\n")
-    kept = F.when(F.col("_keys").isNull(), split).otherwise(F.filter(split, lambda line: ~F.arrays_overlap(template_keys(line), F.col("_keys"))))
-    out = joined.withColumn("_kept", kept)
-    return out.select(
-        *(F.array_join("_kept", "\n").alias("text") if c == "text" else F.col(c) for c in own),
-        F.size(split).cast("long").alias("n_lines"),
-        (F.size(split) - F.size("_kept")).cast("long").alias("n_dropped"),
-    )
+    # Rows that repeat a doc_id are told apart by their text.
+    lines = docs.select(F.col("doc_id").alias("_doc"), F.xxhash64(text_or_empty()).alias("_text"), F.posexplode(F.split(text_or_empty(), "\n")).alias("_line", "line"))
+    entries = materialise(with_templates(lines), "line-templates")
+    recurring = entries.select("key", "_doc").distinct().groupBy("key").agg(F.count("*").alias("n"), F.min("_doc").alias("_first")).where(F.col("n") >= min_docs)
+    dropped = entries.join(recurring.select("key", "_first"), "key").where(F.col("_doc") > F.col("_first")).groupBy("_doc", "_text").agg(F.collect_set("_line").alias("_drop"))
+    rows = docs.select(F.struct(*(c for c in own if c != "text")).alias("_own"), text_or_empty().alias("_plain"), F.col("doc_id").alias("_id")).withColumn("_hash", F.xxhash64("_plain"))
+    joined = rows.join(dropped, (F.col("_id") == F.col("_doc")) & (F.col("_hash") == F.col("_text")), "left")
+    split = F.split("_plain", "\n")
+    kept = F.when(F.col("_drop").isNull(), F.col("_plain")).otherwise(F.array_join(F.filter(split, lambda line, i: ~F.array_contains("_drop", i)), "\n"))
+    n_lines = F.length("_plain") - F.length(F.translate("_plain", "\n", "")) + 1
+    return joined.select(*(kept.alias("text") if c == "text" else F.col("_own")[c].alias(c) for c in own), n_lines.cast("long").alias("n_lines"), F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")).cast("long").alias("n_dropped"))
