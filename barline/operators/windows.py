@@ -195,7 +195,7 @@ def overnight(panel: DataFrame) -> DataFrame:
     """Sums of overnight and intraday log returns, their difference and share of positive nights."""
     d = panel.select("*", F.log(F.col("open") / lag("close")).alias("_on"), F.log(F.col("close") / F.col("open")).alias("_id"))
     on, day = F.col("_on"), F.col("_id")
-    out = [e for n in (5, 20, 60) for e in (full(F.sum(on), on, n, last_n(n)).alias(f"on{n}"), full(F.sum(day), on, n, last_n(n)).alias(f"id{n}"))]
+    out = [e for n in (5, 20, 60) for e in (full(F.sum(on), on, n, last_n(n)).alias(f"on{n}"), full(F.sum(day), day, n, last_n(n)).alias(f"id{n}"))]
     return d.select(*panel.columns, *out, full(F.sum(on - day), on, 20, last_n(20)).alias("on_less_id20"), full(F.stddev_samp(on), on, 20, last_n(20)).alias("on_std20"), full(F.avg((on > 0).cast("double")), on, 20, last_n(20)).alias("on_pos20"))
 
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from barline.plans import features, panels
+from barline.plans import features, more, panels
 
-MODULES = (features, panels)
+MODULES = (features, panels, more)
 QUERIES = {name: q for m in MODULES for name, q in m.QUERIES.items()}
 ORACLE_SQL = {name: q for m in MODULES for name, q in m.ORACLE_SQL.items()}

@@ -121,7 +121,7 @@ add(
 add(
     "d01_market_days",
     lambda s, d: rounded(returns(s, d).groupBy("date").agg(F.count("*").alias("n"), F.sum("amount").alias("amount"), F.avg((F.col("r") > 0).cast("double")).alias("up"), F.sum((F.col("r") >= 0.045).cast("int")).alias("large"), F.avg("r").alias("mean"), F.percentile("r", F.lit(0.5)).alias("mid")), ["amount", "up", "mean", "mid"], ("date", "n", "large"), 4),
-    RET + rounded_sql({"amount": "SUM(amount)", "up": "AVG(CAST(r > 0 AS DOUBLE))", "mean": "AVG(r)", "mid": "QUANTILE_CONT(r, 0.5)"}, "p GROUP BY date", "date, COUNT(*) AS n, SUM(CAST(r >= 0.045 AS INT)) AS large", 4),
+    RET + rounded_sql({"amount": "SUM(amount)", "up": "AVG(CAST(r > 0 AS DOUBLE))", "mean": "AVG(r)", "mid": "QUANTILE_CONT(r, 0.5)"}, "p GROUP BY date", "date, COUNT(*) AS n, CAST(SUM(CAST(r >= 0.045 AS INT)) AS BIGINT) AS large", 4),
 )
 UP = f"CASE WHEN COUNT(high) {ahead(20)} = 20 THEN MAX(high) {ahead(20)} / close - 1 END"
 LABELS = f", u0 AS (SELECT *, {UP} AS rise FROM p), u AS (SELECT *, CAST(rise > 0.3 AS INT) AS y FROM u0)"
@@ -131,16 +131,16 @@ def labelled(s, d):
     return labels.label_up(returns(s, d))
 
 
-add("d04_clustered_rate", lambda s, d: rounded(series.clustered(labelled(s, d), "y"), ["rate", "se"], ("n", "k")), RET + LABELS + ", d AS (SELECT date, SUM(y) AS k, COUNT(y) AS n FROM u WHERE y IS NOT NULL GROUP BY date), s AS (SELECT SUM(n) AS n, SUM(k) AS k FROM d) SELECT s.n, s.k, " + r6("s.k / s.n", "rate") + ", " + r6("SQRT(SUM(POWER(d.k - d.n * CAST(s.k AS DOUBLE) / s.n, 2))) / s.n", "se") + " FROM d, s GROUP BY s.n, s.k")
+add("d04_clustered_rate", lambda s, d: rounded(series.clustered(labelled(s, d), "y"), ["rate", "se"], ("n", "k")), RET + LABELS + ", d AS (SELECT date, SUM(y) AS k, COUNT(y) AS n FROM u WHERE y IS NOT NULL GROUP BY date), s AS (SELECT SUM(n) AS n, SUM(k) AS k FROM d) SELECT CAST(s.n AS BIGINT) AS n, CAST(s.k AS BIGINT) AS k, " + r6("s.k / s.n", "rate") + ", " + r6("SQRT(SUM(POWER(d.k - d.n * CAST(s.k AS DOUBLE) / s.n, 2))) / s.n", "se") + " FROM d, s GROUP BY s.n, s.k")
 add("d05_monthly_rates", lambda s, d: rounded(labelled(s, d).where("y IS NOT NULL").groupBy(F.trunc("date", "month").alias("month")).agg(F.count("*").alias("n"), F.avg("y").alias("rate")), ["rate"], ("month", "n")), RET + LABELS + " SELECT CAST(date_trunc('month', date) AS DATE) AS month, COUNT(*) AS n, " + r6("AVG(y)", "rate") + " FROM u WHERE y IS NOT NULL GROUP BY 1")
 WILSON = ", ".join(r6(f"(k / n + 1.9208 / n {sign} 1.96 * SQRT(k / n * (1 - k / n) / n + 0.9604 / (n * n))) / (1 + 3.8416 / n)", name) for sign, name in (("-", "low"), ("+", "high")))
-add("d06_hit_table", lambda s, d: rounded(series.hit_table(labelled(s, d), F.col("board"), "y"), ["rate", "low", "high"], ("bucket", "n", "k")), RET + LABELS + ", g AS (SELECT board AS bucket, COUNT(*) AS n0, SUM(y) AS k0 FROM u WHERE y IS NOT NULL GROUP BY 1), h AS (SELECT bucket, n0, k0, CAST(n0 AS DOUBLE) AS n, CAST(k0 AS DOUBLE) AS k FROM g) SELECT bucket, n0 AS n, k0 AS k, " + r6("h.k / h.n", "rate") + ", " + WILSON.replace("k / n", "h.k / h.n").replace("/ n", "/ h.n").replace("(n * n)", "(h.n * h.n)") + " FROM h")
+add("d06_hit_table", lambda s, d: rounded(series.hit_table(labelled(s, d), F.col("board"), "y"), ["rate", "low", "high"], ("bucket", "n", "k")), RET + LABELS + ", g AS (SELECT board AS bucket, COUNT(*) AS n0, SUM(y) AS k0 FROM u WHERE y IS NOT NULL GROUP BY 1), h AS (SELECT bucket, n0, k0, CAST(n0 AS DOUBLE) AS n, CAST(k0 AS DOUBLE) AS k FROM g) SELECT bucket, n0 AS n, CAST(k0 AS BIGINT) AS k, " + r6("h.k / h.n", "rate") + ", " + WILSON.replace("k / n", "h.k / h.n").replace("/ n", "/ h.n").replace("(n * n)", "(h.n * h.n)") + " FROM h")
 add("d10_decile_cells", lambda s, d: rounded(labelled(s, d).withColumn("bin", cs.quantile_bin("r20", 10, "date")).where("y IS NOT NULL").groupBy("board", "bin").agg(F.count("*").alias("n"), F.avg("y").alias("rate")), ["rate"], ("board", "bin", "n")), RET + LABELS + ", b AS (SELECT *, CASE WHEN r20 IS NOT NULL THEN GREATEST(CAST(CEIL((ROW_NUMBER() OVER (PARTITION BY date ORDER BY r20 NULLS LAST, code) - 1) * 10 / NULLIF(CAST(COUNT(r20) OVER (PARTITION BY date) - 1 AS DOUBLE), 0)) AS BIGINT) - 1, 0) END AS bin FROM u) SELECT board, bin, COUNT(*) AS n, " + r6("AVG(y)", "rate") + " FROM b WHERE y IS NOT NULL GROUP BY board, bin")
 add("d11_grouping_sets", lambda s, d: rounded(labelled(s, d).where("y IS NOT NULL").withColumn("year", F.year("date")).cube("year", "board").agg(F.count("*").alias("n"), F.avg("y").alias("rate")), ["rate"], ("year", "board", "n")), RET + LABELS + ", b AS (SELECT *, YEAR(date) AS year FROM u WHERE y IS NOT NULL) SELECT year, board, COUNT(*) AS n, " + r6("AVG(y)", "rate") + " FROM b GROUP BY CUBE (year, board)")
 add("d13_quantiles", lambda s, d: rounded(returns(s, d).groupBy("board").agg(*(F.percentile("r", F.lit(q / 100)).alias(f"q{q}") for q in (10, 25, 50, 75, 90))), [f"q{q}" for q in (10, 25, 50, 75, 90)], ("board",)), RET + rounded_sql({f"q{q}": f"QUANTILE_CONT(r, {q / 100})" for q in (10, 25, 50, 75, 90)}, "p GROUP BY board", "board"))
 add("d14_event_days", lambda s, d: panels.notices(s, d).groupBy("code", "date").agg(F.count("*").alias("n"), F.max("size").alias("largest"), F.min("kind").alias("first_kind")), " SELECT code, date, COUNT(*) AS n, MAX(size) AS largest, MIN(kind) AS first_kind FROM notices GROUP BY code, date", NOTICES)
 add("d15_rank_correlation_by_month", lambda s, d: rounded(series.spearman(labelled(s, d).withColumn("month", F.trunc("date", "month")), "r20", "rise", "month"), ["rho"], ("month", "n")), RET + LABELS + ", m AS (SELECT CAST(date_trunc('month', date) AS DATE) AS month, r20 AS a, rise AS b FROM u WHERE r20 IS NOT NULL AND rise IS NOT NULL), k AS (SELECT month, " + ", ".join(f"(RANK() OVER (PARTITION BY month ORDER BY {c}) + (COUNT(*) OVER (PARTITION BY month, {c}) - 1) / 2.0) / COUNT(*) OVER (PARTITION BY month) AS {c}" for c in "ab") + " FROM m) SELECT month, COUNT(*) AS n, " + r6("COVAR_POP(a, b) / NULLIF(STDDEV_POP(a) * STDDEV_POP(b), 0)", "rho") + " FROM k GROUP BY month")
-add("d17_auc_by_month", lambda s, d: rounded(series.auc(labelled(s, d).withColumn("month", F.trunc("date", "month")), "r20", "y", "month"), ["auc"], ("month", "n", "pos")), RET + LABELS + ", m AS (SELECT CAST(date_trunc('month', date) AS DATE) AS month, r20 AS a, y FROM u WHERE r20 IS NOT NULL AND y IS NOT NULL), k AS (SELECT *, RANK() OVER (PARTITION BY month ORDER BY a) + (COUNT(*) OVER (PARTITION BY month, a) - 1) / 2.0 AS r FROM m), g AS (SELECT month, COUNT(*) AS n, SUM(y) AS pos, SUM(CASE WHEN y = 1 THEN r ELSE 0 END) AS s FROM k GROUP BY month) SELECT month, n, pos, " + r6("(s - pos * (pos + 1) / CAST(2 AS DOUBLE)) / NULLIF(CAST(pos * (n - pos) AS DOUBLE), 0)", "auc") + " FROM g")
+add("d17_auc_by_month", lambda s, d: rounded(series.auc(labelled(s, d).withColumn("month", F.trunc("date", "month")), "r20", "y", "month"), ["auc"], ("month", "n", "pos")), RET + LABELS + ", m AS (SELECT CAST(date_trunc('month', date) AS DATE) AS month, r20 AS a, y FROM u WHERE r20 IS NOT NULL AND y IS NOT NULL), k AS (SELECT *, RANK() OVER (PARTITION BY month ORDER BY a) + (COUNT(*) OVER (PARTITION BY month, a) - 1) / 2.0 AS r FROM m), g AS (SELECT month, COUNT(*) AS n, SUM(y) AS pos, SUM(CASE WHEN y = 1 THEN r ELSE 0 END) AS s FROM k GROUP BY month) SELECT month, n, CAST(pos AS BIGINT) AS pos, " + r6("(s - pos * (pos + 1) / CAST(2 AS DOUBLE)) / NULLIF(CAST(pos * (n - pos) AS DOUBLE), 0)", "auc") + " FROM g")
 add("d19_robust_label", lambda s, d: rounded(cs.robust_z(labelled(s, d).withColumn("month", F.trunc("date", "month")), "rise", "month", 20), ["rise_robust"]), RET + LABELS + ", m AS (SELECT *, CAST(date_trunc('month', date) AS DATE) AS month FROM u), s AS (SELECT month, QUANTILE_CONT(rise, 0.5) AS mid, QUANTILE_CONT(rise, 0.01) AS lo, QUANTILE_CONT(rise, 0.99) AS hi FROM m GROUP BY month HAVING COUNT(rise) >= 20), j AS (SELECT m.*, mid, lo, hi FROM m JOIN s ON m.month = s.month), a AS (SELECT month, QUANTILE_CONT(ABS(rise - mid), 0.5) AS mad FROM j GROUP BY month)" + rounded_sql({"rise_robust": "(LEAST(GREATEST(rise, lo), hi) - mid) / NULLIF(1.4826 * mad, 0)"}, "j JOIN a ON j.month = a.month"))
 add("d20_expanding_gate", lambda s, d: (lambda m: rounded(m.withColumn("gate", F.percentile("v", F.lit(0.5)).over(cs.Window.orderBy("month").rowsBetween(cs.Window.unboundedPreceding, -1))), ["v", "gate"], ("month",)))(returns(s, d).groupBy(F.trunc("date", "month").alias("month")).agg(F.stddev_samp("r").alias("v"))), RET + ", m AS (SELECT CAST(date_trunc('month', date) AS DATE) AS month, STDDEV_SAMP(r) AS v FROM p GROUP BY 1)" + rounded_sql({"v": "v", "gate": "QUANTILE_CONT(v, 0.5) OVER (ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"}, "m", "month"))
 # cross-section
