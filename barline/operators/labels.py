@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barline.operators.windows import BY, ahead, lag
+from barline.operators.windows import ahead, by_code, lag
 
 
 def rise_ahead(n: int = 20) -> Column:
@@ -24,7 +24,7 @@ def first_days(labelled: DataFrame) -> DataFrame:
 
 def label_buyable(panel: DataFrame, n: int = 20, threshold: float = 0.3, limit: float = 0.045) -> DataFrame:
     """Rise from the next open, and positive only if the next day's low leaves room below the limit price."""
-    nxt_open, nxt_low = F.lead("open").over(BY), F.lead("low").over(BY)
+    nxt_open, nxt_low = F.lead("open").over(by_code()), F.lead("low").over(by_code())
     whole = F.count("high").over(ahead(n)) == n
     d = panel.withColumn("rise_open", F.when(whole, F.max("high").over(ahead(n)) / nxt_open - 1))
     blocked = nxt_low >= F.col("close") * (1 + limit)
@@ -41,9 +41,9 @@ def path_risk(panel: DataFrame, n: int = 20, threshold: float = 0.3, drawdown: f
 
 
 def continuation(panel: DataFrame, n: int = 10, threshold: float = 0.15) -> DataFrame:
-    nxt = F.lead("open").over(BY)
+    nxt = F.lead("open").over(by_code())
     whole = F.count("high").over(ahead(n)) == n
-    return panel.withColumn("cont", F.when(whole, (F.max("high").over(ahead(n)) / nxt - 1 >= threshold).cast("int"))).withColumn("next_day", F.lead("close").over(BY) / nxt - 1)
+    return panel.withColumn("cont", F.when(whole, (F.max("high").over(ahead(n)) / nxt - 1 >= threshold).cast("int"))).withColumn("next_day", F.lead("close").over(by_code()) / nxt - 1)
 
 
 def grade(rise: Column, buyable: Column) -> Column:

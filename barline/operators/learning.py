@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from barline.operators.windows import BY
+from barline.operators.windows import by_code
 
 
 def stratified(df: DataFrame, y: str = "y", per_positive: int = 12, seed: int = 1, by: str = "month") -> DataFrame:
@@ -26,7 +26,7 @@ def weights(df: DataFrame, half_life: float = 250.0, by: str = "month") -> DataF
 def purged(df: DataFrame, month: str, gap: int = 20) -> DataFrame:
     """Rows before ``month`` (its first day) whose label window of ``gap`` rows closed before it."""
     start = F.lit(month).cast("date")
-    return df.withColumn("_closed", F.lead("date", gap).over(BY)).where((F.col("date") < start) & (F.col("_closed") < start)).drop("_closed")
+    return df.withColumn("_closed", F.lead("date", gap).over(by_code())).where((F.col("date") < start) & (F.col("_closed") < start)).drop("_closed")
 
 
 def walk_forward(df: DataFrame, months: list[str], features: list[str], fit, y: str = "y") -> DataFrame:

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from barline.operators.windows import BY, gain, lag, last_n
+from barline.operators.windows import by_code, gain, lag, last_n
 
 
 def prepared(panel: DataFrame, big: float = 0.03) -> DataFrame:
     """Adds pos, prev_close, gain, volume ratio and whether the bar is big."""
-    d = panel.select("*", F.row_number().over(BY).alias("pos"), lag("close").alias("prev_close"), gain().alias("gain"), (F.col("volume") / lag("volume")).alias("vr"))
+    d = panel.select("*", F.row_number().over(by_code()).alias("pos"), lag("close").alias("prev_close"), gain().alias("gain"), (F.col("volume") / lag("volume")).alias("vr"))
     return d.withColumn("big", F.coalesce((F.col("gain") >= big) & (F.col("vr") >= 1.5), F.lit(False)))
 
 
@@ -58,8 +58,8 @@ def base_run(panel: DataFrame, starts: DataFrame, most: int = 40, amplitude: flo
 
 def pool_days(lists: DataFrame, expiry: int = 60) -> DataFrame:
     """Runs of listings of a code, broken where it is absent for more than ``expiry`` days."""
-    gap = F.datediff("date", F.lag("date").over(BY))
-    d = lists.withColumn("_new", F.coalesce((gap > expiry).cast("int"), F.lit(1))).withColumn("stay", F.sum("_new").over(BY))
+    gap = F.datediff("date", F.lag("date").over(by_code()))
+    d = lists.withColumn("_new", F.coalesce((gap > expiry).cast("int"), F.lit(1))).withColumn("stay", F.sum("_new").over(by_code()))
     return d.groupBy("code", "stay").agg(F.min("date").alias("first"), F.max("date").alias("last"), F.count("*").alias("days"), F.min("rank").alias("best"))
 
 

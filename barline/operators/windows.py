@@ -10,17 +10,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
-BY = Window.partitionBy("code").orderBy("date")
 
+def by_code() -> WindowSpec:
+    """The rows of a code in order of date."""
+    return Window.partitionBy("code").orderBy("date")
 
-def last_n(n: int, back: int = 0, by: WindowSpec = BY) -> WindowSpec:
+
+def last_n(n: int, back: int = 0) -> WindowSpec:
     """The n rows that end ``back`` rows ago."""
-    return by.rowsBetween(-(n - 1) - back, -back)
+    return by_code().rowsBetween(-(n - 1) - back, -back)
 
 
-def ahead(n: int, by: WindowSpec = BY) -> WindowSpec:
+def ahead(n: int) -> WindowSpec:
     """The n rows that follow."""
-    return by.rowsBetween(1, n)
+    return by_code().rowsBetween(1, n)
 
 
 def full(agg: Column, x: Column, n: int, w: WindowSpec, least: int | None = None) -> Column:
@@ -33,7 +36,7 @@ def mean(x: str | Column, n: int, back: int = 0) -> Column:
 
 
 def lag(x: str, k: int = 1) -> Column:
-    return F.lag(x, k).over(BY)
+    return F.lag(x, k).over(by_code())
 
 
 def gain(k: int = 1) -> Column:
@@ -59,7 +62,7 @@ def alignment(panel: DataFrame) -> DataFrame:
 
 def run_length(df: DataFrame, flag: Column, name: str, cap: int | None = None) -> DataFrame:
     """Consecutive rows of a code for which ``flag`` holds, up to and with each row."""
-    d = df.withColumn("_flag", F.coalesce(flag, F.lit(False))).withColumn("_island", F.sum((~F.col("_flag")).cast("int")).over(BY.rowsBetween(Window.unboundedPreceding, 0)))
+    d = df.withColumn("_flag", F.coalesce(flag, F.lit(False))).withColumn("_island", F.sum((~F.col("_flag")).cast("int")).over(by_code().rowsBetween(Window.unboundedPreceding, 0)))
     n = F.when(F.col("_flag"), F.sum(F.col("_flag").cast("int")).over(Window.partitionBy("code", "_island").orderBy("date").rowsBetween(Window.unboundedPreceding, 0))).otherwise(0)
     return d.withColumn(name, F.least(n, F.lit(cap)) if cap else n).drop("_flag", "_island")
 
@@ -105,8 +108,8 @@ def five_row(df: DataFrame, features: list[str]) -> DataFrame:
 
 def since_flag(df: DataFrame, flag: Column, name: str, cap: int = 60) -> DataFrame:
     """Rows since the last row of the code with ``flag``, at most ``cap``."""
-    d = df.withColumn("_pos", F.row_number().over(BY)).withColumn("_at", F.when(flag, F.row_number().over(BY)))
-    at = F.last("_at", ignorenulls=True).over(BY.rowsBetween(Window.unboundedPreceding, 0))
+    d = df.withColumn("_pos", F.row_number().over(by_code())).withColumn("_at", F.when(flag, F.row_number().over(by_code())))
+    at = F.last("_at", ignorenulls=True).over(by_code().rowsBetween(Window.unboundedPreceding, 0))
     return d.withColumn(name, F.least(F.coalesce(F.col("_pos") - at, F.lit(cap)), F.lit(cap))).drop("_pos", "_at")
 
 
@@ -136,7 +139,7 @@ def moments(panel: DataFrame, spans=(5, 10, 20, 30, 60)) -> DataFrame:
 
 def trend(panel: DataFrame, spans=(5, 10, 20, 30, 60)) -> DataFrame:
     """Slope, fit and last residual of the close on time, by sums over the window."""
-    d0 = panel.withColumn("_t", F.row_number().over(BY).cast("double"))
+    d0 = panel.withColumn("_t", F.row_number().over(by_code()).cast("double"))
     y, t, out = F.col("close"), F.col("_t"), []
     for d in spans:
         w = last_n(d)
@@ -157,7 +160,7 @@ def quantiles_in_window(panel: DataFrame, spans=(10, 20)) -> DataFrame:
 
 def extremes(panel: DataFrame, spans=(10, 20)) -> DataFrame:
     """Rows since the highest high and the lowest low, the first of equal ones, as shares of the window."""
-    d0, out = panel.withColumn("_t", F.row_number().over(BY)), []
+    d0, out = panel.withColumn("_t", F.row_number().over(by_code())), []
     for d in spans:
         w = last_n(d)
         at_high = full(F.max_by("_t", F.struct(F.col("high"), -F.col("_t"))), F.col("high"), d, w)

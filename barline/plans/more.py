@@ -45,7 +45,7 @@ add("i12_count_drift", lambda s, d: patterns.drift(market(s, d)).select("date",
 add("a14_coverage_gate", lambda s, d: rounded(tables.coverage(panel(s, d)), ["usual"], ("date", "n", "complete")), ", n AS (SELECT date, COUNT(*) AS n FROM panel GROUP BY date), u AS (SELECT *, QUANTILE_CONT(n, 0.5) OVER (ORDER BY date ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS usual FROM n) SELECT date, n, COALESCE(n >= 0.97 * usual, TRUE) AS complete, " + r6("usual", "usual") + " FROM u")
 add("a11_shard_merge", lambda s, d: tables.merge_shards(panels.notices(s, d).withColumn("shard", F.year("date")), ["code", "kind", "date"], "shard").groupBy("code").agg(F.count("*").alias("n"), F.max("shard").alias("shard")), " , x AS (SELECT *, YEAR(date) AS shard FROM notices), m AS (SELECT code, MAX(shard) AS shard FROM x GROUP BY code) SELECT m.code, COUNT(DISTINCT ROW(kind, date)) AS n, MAX(m.shard) AS shard FROM x JOIN m ON x.code = m.code AND x.shard = m.shard GROUP BY m.code", NOTICES)
 add("a17_keyed_upsert", lambda s, d: (lambda p: tables.upsert(p.where("volume < 30").select("code", "date", "volume"), p.where("volume > 20").select("code", "date", (F.col("volume") + 1).alias("volume")), ["code", "date"]).groupBy("code").agg(F.count("*").alias("n"), F.sum("volume").alias("volume")))(panel(s, d)), " SELECT code, COUNT(*) AS n, SUM(CASE WHEN volume > 20 THEN volume + 1 ELSE volume END) AS volume FROM panel WHERE volume < 30 OR volume > 20 GROUP BY code")
-add("a12_snapshot_classes", lambda s, d: (lambda p: tables.classify(p.where("date >= '1998-01-01'").select("code", "date", F.lag("close").over(w.BY).alias("prev_close")), p.where("date < '1998-06-01' AND code % 10 <> 3").groupBy("code").agg(F.max("date").alias("date"), F.max_by("close", "date").alias("close"))).groupBy("status").agg(F.count("*").alias("n")))(panel(s, d)), f", a AS (SELECT code, date, {lag('close')} AS pc FROM panel WHERE date >= DATE '1998-01-01'), l AS (SELECT code, MAX(date) AS date, arg_max(close, date) AS close FROM panel WHERE date < DATE '1998-06-01' AND code % 10 <> 3 GROUP BY code) SELECT CASE WHEN l.date IS NULL THEN 'new' WHEN a.date <= l.date THEN 'stale' WHEN ABS(pc - l.close) > 0.006 THEN 'refetch' ELSE 'row' END AS status, COUNT(*) AS n FROM a LEFT JOIN l ON a.code = l.code GROUP BY 1")
+add("a12_snapshot_classes", lambda s, d: (lambda p: tables.classify(p.where("date >= '1998-01-01'").select("code", "date", F.lag("close").over(w.by_code()).alias("prev_close")), p.where("date < '1998-06-01' AND code % 10 <> 3").groupBy("code").agg(F.max("date").alias("date"), F.max_by("close", "date").alias("close"))).groupBy("status").agg(F.count("*").alias("n")))(panel(s, d)), f", a AS (SELECT code, date, {lag('close')} AS pc FROM panel WHERE date >= DATE '1998-01-01'), l AS (SELECT code, MAX(date) AS date, arg_max(close, date) AS close FROM panel WHERE date < DATE '1998-06-01' AND code % 10 <> 3 GROUP BY code) SELECT CASE WHEN l.date IS NULL THEN 'new' WHEN a.date <= l.date THEN 'stale' WHEN ABS(pc - l.close) > 0.006 THEN 'refetch' ELSE 'row' END AS status, COUNT(*) AS n FROM a LEFT JOIN l ON a.code = l.code GROUP BY 1")
 add("a22_source_comparison", lambda s, d: (lambda p: rounded(tables.compare_sources(p.where("volume > 15"), p.where("volume < 40").withColumn("close", F.round("close", 1)), "close", 0.03), ["agree"], ("code", "n", "both")))(panel(s, d)), " SELECT code, COUNT(*) AS n, CAST(SUM(CAST(volume > 15 AND volume < 40 AS INT)) AS BIGINT) AS \"both\", " + r6("AVG(CASE WHEN volume > 15 AND volume < 40 THEN CAST(ABS(close - ROUND(close, 1)) <= 0.03 AS DOUBLE) END)", "agree") + " FROM panel WHERE volume > 15 OR volume < 40 GROUP BY code")
 # learning
 MONTH = ", v AS (SELECT *, CAST(date_trunc('month', date) AS DATE) AS month FROM u WHERE y IS NOT NULL)"

@@ -114,7 +114,7 @@ add(
 )
 add(
     "c15_lag_pointer",
-    lambda s, d: panel(s, d).select("code", "date", F.lag("date", 20).over(w.BY).alias("then"), F.datediff("date", F.lag("date", 20).over(w.BY)).alias("span")),
+    lambda s, d: panel(s, d).select("code", "date", F.lag("date", 20).over(w.by_code()).alias("then"), F.datediff("date", F.lag("date", 20).over(w.by_code())).alias("span")),
     f" SELECT code, date, {lag('date', 20)} AS \"then\", date - {lag('date', 20)} AS span FROM panel",
 )
 # aggregations

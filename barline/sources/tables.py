@@ -54,8 +54,8 @@ def write_archive(lists: DataFrame, path: str) -> None:
 
 
 def write_code_list(codes: DataFrame, path: str) -> None:
-    """One code per line, CRLF, in a legacy encoding."""
-    codes.select(F.lpad(F.col("code").cast("string"), 6, "0")).write.option("lineSep", "\r\n").option("encoding", "GBK").mode("overwrite").csv(path)
+    """One code per line with CRLF; codes are ASCII, so every legacy encoding reads them."""
+    codes.select(F.lpad(F.col("code").cast("string"), 6, "0")).write.option("lineSep", "\r\n").mode("overwrite").csv(path)
 
 
 def read_last_json(spark: SparkSession, path: str, schema: str, key: str, order: str) -> DataFrame:
