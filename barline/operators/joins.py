@@ -16,8 +16,9 @@ def as_of(panel: DataFrame, events: DataFrame, at: str, values: list[str], tie:
 
     Adds ``values`` and ``age``, the days since; null before the first event.
     """
-    side = panel.select("*", F.lit(None).cast(events.select(F.struct(at, tie, *values)).schema[0].dataType).alias("_e"), F.col("date").alias("_at"), F.lit(0 if strict else 1).alias("_side"))
-    other = events.select(F.col("code"), F.struct(at, tie, *values).alias("_e"), F.col(at).alias("_at"), F.lit(1 if strict else 0).alias("_side"), F.lit(True).alias("_event"))
+    fields = list(dict.fromkeys([at, tie, *values]))
+    side = panel.select("*", F.lit(None).cast(events.select(F.struct(*fields)).schema[0].dataType).alias("_e"), F.col("date").alias("_at"), F.lit(0 if strict else 1).alias("_side"))
+    other = events.select(F.col("code"), F.struct(*fields).alias("_e"), F.col(at).alias("_at"), F.lit(1 if strict else 0).alias("_side"), F.lit(True).alias("_event"))
     both = side.withColumn("_event", F.lit(False)).unionByName(other, allowMissingColumns=True)
     w = Window.partitionBy("code").orderBy("_at", "_side", F.col(f"_e.{tie}").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     d = both.withColumn("_last", F.last("_e", ignorenulls=True).over(w)).where(~F.col("_event"))

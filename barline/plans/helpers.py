@@ -42,3 +42,9 @@ def mean(x: str, n: int, back: int = 0) -> str:
 
 def lag(x: str, k: int = 1) -> str:
     return f"LAG({x}, {k}) OVER ({BY})"
+
+
+def plain(query: Query, sql: str, columns: dict[str, str]) -> tuple[Query, str]:
+    """A query and its SQL with some columns as doubles or strings."""
+    casts = ", ".join(f'CAST("{c}" AS {"VARCHAR" if t == "string" else "DOUBLE"}) AS "{c}"' for c, t in columns.items())
+    return lambda spark, sf_dir: query(spark, sf_dir).withColumns({c: F.col(c).cast(t) for c, t in columns.items()}), f"SELECT * REPLACE ({casts}) FROM ({sql})"

@@ -30,7 +30,7 @@ t AS (SELECT s.*, p.date AS date, CASE WHEN p.date IS NULL THEN 'open' WHEN p.lo
 SELECT code, launch_date, arg_min(status, step) AS status, CAST(MIN(step) AS INTEGER) AS step, (MIN(ROW(step, date)))[2] AS date FROM t WHERE status IS NOT NULL GROUP BY code, launch_date"""
 add("i02_base_launch_adjust_trigger", lambda s, d: patterns.base_launch_adjust_trigger(panel(s, d)), PREPARED + LAUNCHES + STEPS)
 add("i01_prepared_bars", lambda s, d: rounded(patterns.prepared(panel(s, d)), ["gain", "vr"], ("code", "date", "pos", "big")), PREPARED + rounded_sql({"gain": "gain", "vr": "vr"}, "p", "code, date, pos, big"))
-add("d08_status_counts", lambda s, d: patterns.base_launch_adjust_trigger(panel(s, d)).groupBy("status").agg(F.count("*").alias("n")), PREPARED + LAUNCHES + STEPS.replace("SELECT code, launch_date, arg_min", ", z AS (SELECT code, launch_date, arg_min") + ") SELECT status, COUNT(*) AS n FROM z GROUP BY status")
+add("d08_status_counts", lambda s, d: patterns.base_launch_adjust_trigger(panel(s, d)).groupBy("status").agg(F.count("*").alias("n")), PREPARED + LAUNCHES + STEPS.replace("SELECT code, launch_date, arg_min", ", zz AS (SELECT code, launch_date, arg_min") + ") SELECT status, COUNT(*) AS n FROM zz GROUP BY status")
 add("i05_base_run", lambda s, d: (lambda b: patterns.base_run(panel(s, d), b.where("big").select("code", "pos")))(patterns.prepared(panel(s, d))), PREPARED + ", j AS (SELECT a.code, a.pos AS start, a.pos - b.pos AS k, b.close FROM p a JOIN p b ON a.code = b.code AND b.pos BETWEEN a.pos - 40 AND a.pos - 1 WHERE a.big), h AS (SELECT *, MAX(close) OVER v / MIN(close) OVER v - 1 <= 0.3 AS ok FROM j WINDOW v AS (PARTITION BY code, start ORDER BY k)) SELECT code, start, COALESCE(MIN(CASE WHEN NOT ok THEN k END) - 1, MAX(k)) AS run, bool_and(ok) AS to_the_end FROM h GROUP BY code, start")
 add("i09_pool_stays", lambda s, d: patterns.pool_days(picks(s, d, 5)), RET + PICKS + f", q AS (SELECT *, COALESCE(CAST(date - LAG(date) OVER ({BY}) > 60 AS INT), 1) AS nw FROM k WHERE rank <= 5), zz AS (SELECT *, SUM(nw) OVER ({BY}) AS stay FROM q) SELECT code, CAST(stay AS BIGINT) AS stay, MIN(date) AS first, MAX(date) AS last, COUNT(*) AS days, MIN(rank) AS best FROM zz GROUP BY code, stay")
 DAY = ", m AS (SELECT date, COUNT(*) AS n, AVG(CAST(r > 0 AS DOUBLE)) AS up, CAST(SUM(CAST(r >= 0.045 AS INT)) AS BIGINT) AS large FROM p GROUP BY date)"

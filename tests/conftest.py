@@ -1,6 +1,7 @@
 import os
 import sys
 import tempfile
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -42,8 +43,9 @@ def same(spark, query, sql, sf=SF):
     for t in TABLES:
         p = f"{sf}/{t}.parquet"
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{p + '/*.parquet' if os.path.isdir(p) else p}'")
-    got, want = query(spark, sf).toPandas(), con.execute(sql).df()
-    columns = sorted(got.columns)
-    assert columns == sorted(want.columns)
-    diff = got[columns].astype(str).value_counts().sub(want[columns].astype(str).value_counts(), fill_value=0)
-    assert len(got) == len(want) and not len(diff[diff != 0]), diff[diff != 0].head()
+    frame = query(spark, sf)
+    columns = sorted(frame.columns)
+    want = con.execute(f"SELECT {', '.join(chr(34) + c + chr(34) for c in columns)} FROM ({sql})")
+    assert sorted(d[0] for d in want.description) == columns
+    got, want = Counter(map(tuple, frame.select(*columns).collect())), Counter(want.fetchall())
+    assert got == want, (list((got - want).items())[:3], list((want - got).items())[:3])
