@@ -31,8 +31,11 @@ from barline.llm.shared import text_or_empty
 
 SPACE = "▁"
 _B = np.uint64(0x100000001B3 * 0x9E3779B1 % (1 << 64) | 1)
-CACHE_WORDS = 1_200_000
+#: Words of a generation of the cache: the younger one holds what was used since it began, the older one what was used before.
+CACHE_WORDS = 400_000
 NEVER = 1 << 40
+#: Documents whose words or ids are held as Python objects at once.
+SLICE = 250
 
 
 class Pieces:
@@ -70,12 +73,15 @@ class Pieces:
         self.keys = np.array([self._key(p) for p in usable], np.uint64)
         order = np.argsort(self.keys)
         self.keys, self.key_ids = self.keys[order], np.array([self.id[p] for p in usable], np.int64)[order]
+        self.maybe = np.zeros(1 << 20, bool)  # by a hash's first 20 bits: whether any piece begins so
+        self.maybe[self.keys >> np.uint64(44)] = True
         self.value = np.zeros(n + 1)
         for piece, i in self.id.items():
             self.value[i] = self.score[piece]
         self.value[n] = min(self.score.values()) - 10
         self.n = n
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @staticmethod
     def _key(piece: str) -> int:
@@ -154,9 +160,7 @@ class Pieces:
         prefix = np.zeros((count, length + 1), np.uint64)
         for j in range(length):
             prefix[:, j + 1] = prefix[:, j] * _B + code[:, j]
-        power = np.ones(self.longest + 1, np.uint64)
-        for k in range(self.longest):
-            power[k + 1] = power[k] * _B
+        power = np.array([pow(int(_B), k, 1 << 64) for k in range(self.longest + 1)], np.uint64)
         best = np.full((count, length + 1), -np.inf)
         best[:, 0] = 0
         last, back = np.full((count, length + 1), -1, np.int64), np.zeros((count, length + 1), np.int32)
@@ -164,8 +168,11 @@ class Pieces:
             spans = range(min(j, self.longest), 0, -1)
             starts = np.array([j - k for k in spans])
             h = prefix[:, [j]] - prefix[:, starts] * power[[j - s for s in starts]]
-            at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-            piece = np.where(self.keys[at] == h, self.key_ids[at], -1)
+            piece = np.full(h.shape, -1, np.int64)
+            row, col = np.nonzero(self.maybe[h >> np.uint64(44)])
+            some = h[row, col]
+            at = np.minimum(np.searchsorted(self.keys, some), len(self.keys) - 1)
+            piece[row, col] = np.where(self.keys[at] == some, self.key_ids[at], -1)
             piece[:, -1] = np.where(piece[:, -1] < 0, self.n, piece[:, -1])  # a letter without piece
             open_ = (piece >= 0) & (best[:, starts] > -np.inf)
             if self.bpe:
@@ -216,9 +223,11 @@ class Pieces:
         """The ids of each text, as 32-bit integers."""
         cut = [_words(t) for t in texts]
         if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        known = self.words
-        self.learn([w for w in set().union(*cut) if w not in known])
+            self.older, self.words = self.words, {}
+        known, older = self.words, self.older
+        new = [w for w in set().union(*cut) if w not in known]
+        known.update((w, older[w]) for w in new if w in older)
+        self.learn([w for w in new if w not in known])
         return [b"".join(map(known.__getitem__, words)) for words in cut]
 
     def decode(self, ids: list[int]) -> str:
@@ -266,8 +275,8 @@ def encode(docs: DataFrame, model_path: str, bpe: bool = True) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(model_path, bpe)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
                 flat = model.encode(part.column("text").to_pylist())
                 ends = np.cumsum([0, *(len(x) // 4 for x in flat)])
                 ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(flat), np.int32)))
@@ -283,8 +292,9 @@ def decode(encoded: DataFrame, model_path: str, into: str = "decoded") -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(model_path)
         for batch in batches:
-            flat, ends = batch.column("ids").flatten().to_numpy(zero_copy_only=False).tolist(), np.cumsum([0, *(len(x) if x.is_valid else 0 for x in batch.column("ids"))]).tolist()
-            texts = [model.decode(flat[i:j]) for i, j in zip(ends, ends[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), pa.array(texts, pa.string())], names=[*own, into])
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                texts = [model.decode(ids.values.to_numpy(zero_copy_only=False).tolist() if ids.is_valid else []) for ids in part.column("ids")]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in own), pa.array(texts, pa.string())], names=[*own, into])
 
     return encoded.select(*own).mapInArrow(run, f"{schema}, {into} string")
