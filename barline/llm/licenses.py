@@ -8,12 +8,15 @@ of the corpus, whose weak labels come from exact template matches.  The probabil
 which a paragraph is unknown is calibrated on the held-out half of the sample.  A predicted
 family is confirmed if one of its templates is contained in the paragraph by its 2-grams.
 
-Paragraphs without an anchor word, one of which every template holds, are unknown without evaluation.
+Paragraphs without any content word of the vocabulary, and so without any of its n-grams, are unknown
+without evaluation.  So are those that the weights prove unknown: the sum of what their words can add
+to a family's lead over unknown stays below the calibrated probability.
 Null text counts as empty; an empty table gives an empty result.  Repeated rows give repeated findings.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
@@ -67,16 +70,29 @@ class Model:
     least: float
 
 
-#: Every template holds one of these; a paragraph without any is unknown.
-ANCHOR = r"(?i)\b(?:licen[cs]e|permi(?:ssion|tted)|re(?:distribut|served|produced)|copyright|warrant|cc0? |domain|gnu )"
+#: Words whose presence a paragraph's n-grams of the vocabulary need; each n-gram has one or two.
+CONTENT_WORDS = sorted({w for g in VOCABULARY for w in g.split()} - STOP)
+
+
+def _held_words() -> str:
+    """A pattern for lower-case text that finds each content word that ``_words`` finds (and a few more: 'x' in 'x.5').
+
+    Alternatives are grouped by their first letter, so that most words of a text end at one comparison each.
+    """
+    by_first: dict[str, list[str]] = {}
+    for w in CONTENT_WORDS:
+        by_first.setdefault(w[0], []).append(re.escape(w[1:]) + ("(?![0-9])" if w[0].isdigit() else "(?![a-z0-9])"))
+    return "(?<![a-z])(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in by_first.items()) + ")"
+
+
+HELD = _held_words()
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """doc_id, paragraph (from 0) and its text for the paragraphs with an anchor; texts without any are cut no further."""
-    texts = docs.select("doc_id", text_or_empty().alias("text")).where(F.col("text").rlike(ANCHOR))
-    joined = F.regexp_replace("text", r"(?<![.!?:])\n(?=[a-z])", " ")
-    rows = texts.select("doc_id", F.posexplode(F.split(joined, "\n")).alias("paragraph", "content"))
-    return rows.where(F.col("content").rlike(ANCHOR))
+    """doc_id, paragraph (from 0) and its text for the paragraphs with a content word of the vocabulary."""
+    joined = F.regexp_replace(text_or_empty(), r"(?<![.!?:])\n(?=[a-z])", " ")
+    rows = docs.select("doc_id", F.posexplode(F.split(joined, "\n")).alias("paragraph", "content"))
+    return rows.where(F.lower("content").rlike(HELD))
 
 
 def _words(content: Column) -> Column:
@@ -112,6 +128,7 @@ def train(candidates: DataFrame, sample: int = SAMPLE) -> Model:
     """Fits on the templates and at most ``sample`` of the candidate paragraphs, the first ones by hash."""
     spark = candidates.sparkSession
     parts = candidates.orderBy(F.xxhash64("content", "doc_id", "paragraph"), "doc_id", "paragraph").limit(sample).select("content")
+    parts = materialise(parts, "licence-drawn")
     told = spark.createDataFrame([(t, i) for i, name in enumerate(FAMILIES) if name != UNKNOWN for t in TEMPLATES[name] for _ in range(20)], "content string, label int")
     best = F.greatest(*(F.struct(containment(F.col("grams"), F.lit(name)).alias("share"), F.lit(i).alias("label")) for i, name in enumerate(FAMILIES) if name != UNKNOWN))
     parts = materialise(with_features(parts), "licence-parts")
@@ -149,11 +166,40 @@ def predict(parts: DataFrame, model: Model) -> DataFrame:
     return parts.withColumn("best", judged(F.array(held)))
 
 
+def leads(model: Model) -> tuple[dict[str, float], float]:
+    """What each content word can add to the lead of a family's logit over unknown's, and what must be added.
+
+    A family is found if it is the most probable and has p >= least.  As p(unknown) <= 1 - p, its
+    lead is then log(least / (1 - least)) or more, and not negative.  The intercepts and the best
+    foreign share give the lead to start from; a 2-gram counts with its first content word.
+    """
+    unknown = model.weights[0]
+    start = max(b - model.intercepts[0] + max(0.0, w[-1] - unknown[-1]) for w, b in zip(model.weights[1:], model.intercepts[1:], strict=True))
+    adds = dict.fromkeys(CONTENT_WORDS, 0.0)
+    for i, g in enumerate(VOCABULARY):
+        adds[next(w for w in g.split() if w not in STOP)] += max(0.0, *(w[i] - unknown[i] for w in model.weights[1:]))
+    needed = max(0.0, math.log(model.least / (1 - model.least))) if model.least > 0 else 0.0
+    return adds, needed - start - 1e-6
+
+
+def possible(parts: DataFrame, model: Model) -> DataFrame:
+    """The paragraphs that may hold a family, by the sum of their content words' leads; none that does is left out."""
+    adds, needed = leads(model)
+    if needed <= 0:
+        return parts
+    words = sorted(w for w in adds if adds[w] > 0)
+    if not words:
+        return parts.where(F.lit(False))
+    lead_of = F.map_from_arrays(F.array(*map(F.lit, words)), F.array(*(F.lit(adds[w]) for w in words)))
+    held = F.array_intersect(_words(F.col("content")), F.array(*map(F.lit, words)))
+    return parts.where(F.aggregate(held, F.lit(0.0), lambda s, w: s + F.element_at(lead_of, w)) >= needed)
+
+
 def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, paragraph, family, probability, contained, confirmed for each paragraph that isn't unknown."""
     candidates = materialise(paragraphs(docs), "licence-candidates")
     model = model or train(candidates)
-    parts = materialise(with_features(candidates).select("doc_id", "paragraph", "grams", "features"), "licence-paragraphs")
+    parts = materialise(with_features(possible(candidates, model)).select("doc_id", "paragraph", "grams", "features"), "licence-paragraphs")
     found = materialise(predict(parts, model), "licence-predictions").where((F.col("best.family") > 0) & (F.col("best.p") >= model.least))
     named = found.withColumn("family", F.element_at(F.array(*map(F.lit, FAMILIES)), F.col("best.family") + 1))
     contained = containment(F.col("grams"), F.col("family"))

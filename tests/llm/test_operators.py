@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from conftest import SF, same
+from pyspark.sql import functions as F
 
 from barline.llm import chat_format, embedding_join, licenses, line_dedup, ngram_join, packing, pii, quality, queries, sentence_pieces, suffix_dedup
 
@@ -229,6 +230,46 @@ def test_licences_are_found_and_prose_is_not(spark):
     assert got == {(100, "apache-2.0"), (101, "mit"), (102, "gpl")}
 
 
+def licence_model(seed, least):
+    """Sparse random weights, in favour of unknown; the foreign share speaks for unknown."""
+    rng = np.random.default_rng(seed)
+    n = len(licenses.VOCABULARY)
+    weights = rng.normal(0, 3, (len(licenses.FAMILIES), n + 1)) * (rng.random((len(licenses.FAMILIES), n + 1)) < 0.2)
+    weights[0, -1] = 2
+    return licenses.Model(weights.tolist(), [4.0, *[0.0] * (len(licenses.FAMILIES) - 1)], least)
+
+
+def test_licences_without_a_usual_word_are_evaluated(spark):
+    weights = [[0.0] * (len(licenses.VOCABULARY) + 1) for _ in licenses.FAMILIES]
+    for family, gram in (("cc-by", "by 4.0"), ("cc-by-sa", "sa 4.0"), ("cc-by-nc", "nc 4.0")):
+        weights[licenses.FAMILIES.index(family)][licenses.VOCABULARY.index(gram)] = 9.0
+    model = licenses.Model(weights, [3.0, *[0.0] * (len(licenses.FAMILIES) - 1)], 0.85)
+    texts = ["Available under CC-BY 4.0.", "Text under CC-BY-SA 4.0", "CC-BY-NC 4.0", "Some story of the public house"]
+    found = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    assert {(r.doc_id, r.family, r.contained, r.confirmed) for r in found} == {(0, "cc-by", 0.75, True), (1, "cc-by-sa", 0.8, True), (2, "cc-by-nc", 0.6, True)}
+
+
+def test_paragraphs_left_out_are_unknown_to_the_model(spark):
+    odd = ["émit", "1.4license 2.0x", "cc0", "mozilla_bsd", "licensed by", "of the", "4.0", "x4.0 1.4.0", "GNU", "creative commons", "Licence", "forms"]
+    rows = [(k, t) for k, t in enumerate([*odd, *(t for ts in licenses.TEMPLATES.values() for t in ts)])]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").where("doc_id % 2 = 0").limit(30).selectExpr("doc_id + 1000 AS doc_id", "text").unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    whole = docs.select("doc_id", F.posexplode(F.split(F.regexp_replace(F.coalesce("text", F.lit("")), r"(?<![.!?:])\n(?=[a-z])", " "), "\n")).alias("paragraph", "content"))
+    held = {(r.doc_id, r.paragraph) for r in licenses.paragraphs(docs).collect()}
+    assert held >= {(r.doc_id, r.paragraph) for r in whole.collect() if set(licenses._grams_of(r.content)) & set(licenses.VOCABULARY)}
+    vocabulary, single = licenses.VOCABULARY, {w for g in licenses.VOCABULARY for w in g.split()} | licenses.STOP
+    candidates = licenses.paragraphs(docs).collect()
+    for model in (licence_model(1, 0.5), licence_model(2, 0.9)):
+        left = {(r.doc_id, r.paragraph) for r in licenses.possible(licenses.paragraphs(docs), model).collect()}
+        named = set()
+        for r in candidates:
+            words, grams = licenses._words_of(r.content), set(licenses._grams_of(r.content))
+            x = np.array([*(g in grams for g in vocabulary), sum(w not in single for w in words) / max(1, len(words))], float)
+            odds = np.exp(np.array(model.weights) @ x + model.intercepts)
+            if odds.argmax() > 0 and odds.max() / odds.sum() >= model.least:
+                named.add((r.doc_id, r.paragraph))
+        assert named and named <= left and len(left) < len(held)
+
+
 def test_lines_that_vary_by_a_field_recur(spark):
     rows = [(k, f"Own text number {chr(97 + k)} of this page here\nPosted by user{k} on day {k}") for k in range(12)]
     rows += [(k + 20, f"alpha beta gamma delta epsilon {w} eta theta iota kappa lambda my") for k, w in enumerate("abcdefghijkl")]
