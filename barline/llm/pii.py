@@ -6,8 +6,8 @@ term is a word near a mention.  Over the whole corpus, with p the share of docum
     IC(e) = -log2 p(e)          PMI(t, e) = log2 p(t, e) / (p(t) p(e))
 
 and t discloses e if PMI(t, e) >= ``share`` * IC(e): who reads t learns that share of e.
-Only pairs seen in at least ``support`` different contexts count, so that copies of one
-document prove nothing.  Such terms are marked wherever they occur; in ``sanitise`` they are
+All shares count rows, copies included.  Only pairs seen in at least ``support`` different
+contexts count, so that copies of one document prove nothing.  Such terms are marked wherever they occur; in ``sanitise`` they are
 generalised to their shape, or removed if they disclose (almost) everything.
 
 Null text counts as empty.  Every row is judged by its own text, repeated rows alike.
@@ -71,54 +71,78 @@ def _value(kind: str, text: str) -> str:
 
 
 def mentions(docs: DataFrame) -> DataFrame:
-    """entity, doc_id, context (hash of the words around), terms for each finding."""
+    """entity, first, context (hash of the words around), terms, fresh for each finding.
+
+    ``first`` is 1 at the first finding of the entity in a row, ``fresh`` has the terms that
+    stand near it there for the first time; so their sums count rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+            for text in batch.column("text"):
                 text = text.as_py()
+                seen: dict[str, set[str]] = {}
                 spans = base_spans(text)
                 hidden = text
                 for _, a, b in spans:
                     hidden = hidden[:a] + " " * (b - a) + hidden[b:]
                 for kind, a, b in spans:
                     near = [w.lower() for w in WORD.findall(hidden[max(0, a - 40 * REACH) : a])[-REACH:] + WORD.findall(hidden[b : b + 40 * REACH])[:REACH]]
-                    rows.append((_value(kind, text[a:b]), doc, xxhash.xxh3_64_intdigest(" ".join(near)) - (1 << 63), sorted({*near})))
+                    entity = _value(kind, text[a:b])
+                    first = int(entity not in seen)
+                    fresh = {*near} - seen.setdefault(entity, set())
+                    seen[entity] |= fresh
+                    rows.append((entity, first, xxhash.xxh3_64_intdigest(" ".join(near)) - (1 << 63), sorted({*near}), sorted(fresh)))
             if rows:
-                entity, doc, context, terms = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(entity), pa.array(doc, pa.int64()), pa.array(context, pa.int64()), pa.array(terms, pa.list_(pa.string()))], names=["entity", "doc_id", "context", "terms"])
+                entity, first, context, terms, fresh = zip(*rows, strict=True)
+                words = pa.list_(pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(entity), pa.array(first, pa.int64()), pa.array(context, pa.int64()), pa.array(terms, words), pa.array(fresh, words)], names=["entity", "first", "context", "terms", "fresh"])
 
-    return docs.mapInArrow(run, "entity string, doc_id long, context long, terms array<string>")
+    return docs.select("text").mapInArrow(run, "entity string, first long, context long, terms array<string>, fresh array<string>")
 
 
 def _terms_by_document(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """(term, n): documents that hold each of ``terms``."""
-    if terms.count() <= SENT_TERMS:
-        wanted = frozenset(r["term"] for r in terms.collect())
+    wanted = frozenset(r["term"] for r in terms.collect()) if terms.count() <= SENT_TERMS else None
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n: dict[str, int] = {}
+            for text in batch.column("text"):
+                words = WORD.findall(text.as_py().lower())
+                for t in set(words) if wanted is None else wanted.intersection(words):
+                    n[t] = n.get(t, 0) + 1
+            if n:
+                yield pa.RecordBatch.from_arrays([pa.array(list(n)), pa.array(list(n.values()), pa.int64())], names=["term", "n"])
 
-        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                n: dict[str, int] = {}
-                for text in batch.column("text"):
-                    for t in wanted.intersection(WORD.findall(text.as_py().lower())):
-                        n[t] = n.get(t, 0) + 1
-                if n:
-                    yield pa.RecordBatch.from_arrays([pa.array(list(n)), pa.array(list(n.values()), pa.int64())], names=["term", "n"])
+    counts = docs.select("text").mapInArrow(count, "term string, n long")
+    if wanted is None:
+        counts = counts.join(terms, "term", "left_semi")
+    return counts.groupBy("term").agg(F.sum("n").alias("n"))
+
+
+def _words_by_key(rows: DataFrame) -> DataFrame:
+    """(_key, term): the words of each row's text, as ``find`` compares them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, text in zip(batch.column("_key").to_pylist(), batch.column("text"), strict=True):
+                words = sorted({w.lower() for w in WORD.findall(text.as_py())})
+                if words:
+                    yield pa.RecordBatch.from_arrays([pa.array([key] * len(words), pa.int64()), pa.array(words, pa.string())], names=["_key", "term"])
 
-        return docs.select("text").mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}]{3,})"), F.lit(1)))).alias("term"))
-    return words.join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n"))
+    return rows.select("_key", "text").mapInArrow(run, "_key long, term string")
 
 
 def disclosing_terms(docs: DataFrame, support: int = SUPPORT, share: float = SHARE) -> DataFrame:
     """(term, disclosed): terms that disclose some entity, with the largest share of its information."""
     n_docs = max(1, docs.count())
     found = materialise(mentions(docs), "mentions")
-    contexts = found.dropDuplicates(["entity", "context"])
-    pairs = contexts.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= support)
+    near = found.select("entity", "context", "fresh", F.explode("terms").alias("term")).select("entity", "term", "context", F.array_contains("fresh", F.col("term")).cast("long").alias("new"))
+    pairs = near.groupBy("entity", "term", "context").agg(F.sum("new").alias("new")).groupBy("entity", "term").agg(F.count("*").alias("n_contexts"), F.sum("new").alias("n_both")).where(F.col("n_contexts") >= support)
     pairs = materialise(pairs, "term-pairs")
-    of_entity = found.groupBy("entity").agg(F.count_distinct("doc_id").alias("n_entity"))
+    of_entity = found.groupBy("entity").agg(F.sum("first").alias("n_entity"))
     of_term = _terms_by_document(docs, pairs.select("term").distinct())
     p = lambda c: F.col(c) / F.lit(float(n_docs))
     ic = -F.log2(p("n_entity"))
@@ -137,7 +161,7 @@ def find(docs: DataFrame, text_too: bool = False) -> DataFrame:
     ``text_too`` sets text to the sanitised text.
     """
     rows = docs.withColumn("text", text_or_empty())
-    own = [c for c in rows.columns if c not in ("spans", "_terms")]
+    own = [c for c in rows.columns if c not in ("spans", "_terms", "_key")]
     rows = rows.select(*own)
     terms = materialise(disclosing_terms(rows.select("doc_id", "text")), "terms")
     sent: dict[str, float] | None = None
@@ -145,9 +169,10 @@ def find(docs: DataFrame, text_too: bool = False) -> DataFrame:
         sent = {r["term"]: r["disclosed"] for r in terms.collect()}
         rows = rows.withColumn("_terms", F.lit(None).cast("map<string,double>"))
     else:
-        words = rows.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}]{3,})"), F.lit(1)))).alias("term"))
-        held = words.join(terms, "term").groupBy("doc_id").agg(F.map_from_entries(F.collect_set(F.struct("term", "disclosed"))).alias("_terms"))
-        rows = rows.join(held, "doc_id", "left")
+        # Equal keys mean equal texts, also where doc_id is null or repeats.
+        rows = rows.withColumn("_key", F.xxhash64("doc_id", "text"))
+        held = _words_by_key(rows).join(terms, "term").groupBy("_key").agg(F.map_from_entries(F.collect_set(F.struct("term", "disclosed"))).alias("_terms"))
+        rows = rows.join(held, "_key", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

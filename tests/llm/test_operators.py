@@ -321,6 +321,25 @@ def test_personal_data(spark):
     assert "zor@" not in clean[0] and "Zorblatt" not in clean[9] and "[CARD]" in clean[5] and clean[8] == "plain words only"
 
 
+def test_copies_count_alike_in_disclosure(spark):
+    """A group of copies and two other documents: whoever has the term has the entity, so it discloses all of it."""
+    rows = [(k, "Mail Zorblatt today at zor@mail.example.com about seven matters") for k in range(100)]
+    rows += [(200 + k, f"Mail Zorblatt today at zor@mail.example.com about {w} matters") for k, w in enumerate(("green", "other"))]
+    rows += [(300 + k, "Mail today at about noon matters of seven") for k in range(300)]
+    terms = {r.term: r.disclosed for r in pii.disclosing_terms(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert terms["zorblatt"] == pytest.approx(1.0) and "today" not in terms
+
+
+def test_joined_terms_equal_sent_terms(spark, monkeypatch):
+    rows = [(k if k < 3 else None, f"Mail Zorblatt today at zor@mail.example.com about {w} matters") for k, w in enumerate(("seven", "green", "other", "late"))]
+    rows += [(7, "who is Zorblatt²"), (None, "ask Zorblatt"), (None, None), *[(20 + k, f"Mail today at about noon matters {k}") for k in range(40)]]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = lambda: Counter((r.doc_id, r.text, str(r.spans)) for r in pii.find(frame).collect())
+    sent = found()
+    monkeypatch.setattr(pii, "SENT_TERMS", 0)
+    assert found() == sent and any(d is None and t == "ask Zorblatt" and "term" in s for d, t, s in sent)
+
+
 def test_base_patterns():
     assert pii.base_spans("a.b@c-d.e.f,@x 1.2.3.4.5 001.02.3.0255 1.2.3.04000") == [("email", 0, 11), ("ip", 15, 22), ("ip", 25, 38)]
     assert pii.base_spans("9" * 5000 + ".1.1.1") == []
