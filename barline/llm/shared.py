@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Where the session names none (a local test session), a temporary folder is
-    named and kept in the session for later calls.
+    Where a local session names none, as in tests, a temporary folder is named and kept in
+    the session for later calls.  On a cluster a folder of one machine would be of no use.
     """
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         at = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")

@@ -128,10 +128,63 @@ def test_ngram_links_of_edge_cases(spark):
     assert ngram_join.ngram_links(edge(spark, [])).count() == 0
 
 
-def test_recall_of_the_forest():
+def test_shortening_ends_at_the_target():
     for threshold in (0.8, 0.9):
-        d = ngram_join.stop_depth(threshold, 0.9995)
-        assert 1 - (1 - threshold**d) ** ngram_join.TREES >= 0.9995
+        d = ngram_join.stop_depth(threshold, 0.9995, {})
+        chance = lambda d: 1 - (1 - threshold**d) ** ngram_join.TREES
+        assert chance(d) >= 0.9995 and (d == ngram_join.DEPTH or chance(d + 1) < 0.9995)
+    assert ngram_join.stop_depth(0.8, 0.9995, {8: 500, 2: 1}) == 2
+
+
+def test_a_subtrie_is_climbed_to_the_components_of_its_pairs():
+    rng = np.random.default_rng(8)
+    far = 0.36
+    for _ in range(20):
+        base = rng.integers(0, 1 << 32, (4, ngram_join.TREES * ngram_join.DEPTH), np.uint32)
+        sig = np.repeat(base, 12, axis=0)
+        for row in sig:
+            row[rng.choice(128, rng.integers(0, 60), replace=False)] = rng.integers(0, 1 << 32)
+        sig[:, 24:28] = base[0, 24:28]
+        got = ngram_join.climb(sig, 3, 4, far)
+        want = np.arange(len(sig))
+        close = (sig[:, None] != sig).mean(2) <= far
+        for _ in range(len(sig)):
+            want = np.array([want[row].min() for row in close])
+        assert (np.unique(got, return_inverse=True)[1] == np.unique(want, return_inverse=True)[1]).all() or len(set(zip(got, want))) == len(set(got)) == len(set(want))
+
+
+def test_a_large_subtrie_is_joined_across_its_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    words = [f"w{k}" for k in range(400)]
+    rows = []
+    for k in range(40):  # two far ends, joined by steps
+        some = list(words)
+        some[: 2 * k] = [f"x{i}" for i in range(2 * k)]
+        rows.append((k, " ".join(some)))
+    got = Counter((r.doc_id, r.class_id, r.n_links) for r in ngram_join.ngram_links(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == jaccard_groups(rows)
+
+
+def test_recall_of_near_pairs_is_measured(spark):
+    """Pairs between 0.8 and 0.9, which shortening to the measured depth must not lose."""
+    rng = random.Random(11)
+    rows = []
+    for k in range(150):
+        words = [f"w{rng.randint(0, 10**6)}" for _ in range(300)]
+        rows.append((2 * k, " ".join(words)))
+        for at in rng.sample(range(300), 5):
+            words[at] = "changed"
+        rows.append((2 * k + 1, " ".join(words)))
+    want = jaccard_groups(rows)
+    got = Counter((r.doc_id, r.class_id, r.n_links) for r in ngram_join.ngram_links(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert sum((got & want).values()) >= 0.99 * len(rows) and sum(n for (_, _, links), n in want.items() if links) > 100
+
+
+def test_rows_without_an_id_link(spark):
+    text = " ".join(f"w{i}" for i in range(50))
+    rows = [(None, text), (7, text), (None, "a b c"), (None, "a b c"), (None, None)]
+    got = Counter((r.doc_id, r.class_id, r.n_links, r.kept) for r in ngram_join.ngram_links(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == {(None, 7, 1, False): 1, (7, 7, 1, True): 1, (None, None, 1, True): 2, (None, None, 0, True): 1}
 
 
 def test_chat_round_trip_and_attachments(spark):
