@@ -8,8 +8,8 @@
     it occurs, with as few configurations as possible) is solved by multiplicative
     weights: a length's weight falls as it is covered, and the next configuration is
     the best one under the weights, found by a knapsack dynamic program.
-3.  The fractional configurations are rounded down; the lengths left over are filled
-    by the same pricing with the counts as bounds, and the last ones by best fit.
+3.  Steps are rounded to whole sequences; the last few pieces are priced one sequence
+    at a time, with what is left as bounds.
 4.  Every piece gets its number among the pieces of its length, and the configuration
     table, whose size is bounded by the capacity too, turns length and number into
     sequence and offset by arithmetic.
@@ -38,7 +38,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end
     """One row per piece: doc_id, piece, start, length, ids_crc32.
 
     Null text counts as empty: its only token is ``end_id``.  Repeated rows give
-    repeated pieces.  Texts of any length are tokenised whole.
+    repeated pieces.  Texts of any length are tokenised whole.  Other columns are not read;
+    a null doc_id stays null.  An empty table gives an empty one.
     """
     end = end_id.to_bytes(4, "little")
 
@@ -62,93 +63,160 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(cut, PIECES)
 
 
-def _knapsack(price: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """Counts by length of the dearest multiset of total length up to capacity; items without bound."""
-    value = np.zeros(capacity + 1)
-    choice = np.full(capacity + 1, -1)
-    for c in range(int(lengths[0]), capacity + 1):
-        k = np.searchsorted(lengths, c, "right")
-        gain = value[c - lengths[:k]] + price[:k]
-        best = int(gain.argmax())
-        if gain[best] > value[c - 1]:
-            value[c], choice[c] = gain[best], best
-        else:
-            value[c], choice[c] = value[c - 1], -2
-    out, c = np.zeros(len(lengths), np.int64), capacity
-    while c >= lengths[0] and value[c] > 0:
-        if choice[c] == -2:
-            c -= 1
-        else:
-            out[choice[c]] += 1
-            c -= int(lengths[choice[c]])
+class _Pricing:
+    """The knapsack dynamic program: a dearest multiset of lengths for every room up to the capacity.
+
+    Contents take no more of a length than ``most``; the best content of a room is extended
+    from the best ones of smaller rooms, so with tight bounds it is good rather than best.
+    """
+
+    def __init__(self, price: np.ndarray, lengths: np.ndarray, most: np.ndarray, capacity: int):
+        self.lengths, self.value = lengths, np.zeros(capacity + 1)
+        self.choice = np.full(capacity + 1, -1)
+        most = np.minimum(most, 255).astype(np.uint8)
+        used = np.zeros((capacity + 1, len(lengths)), np.uint8)
+        fits = np.searchsorted(lengths, np.arange(capacity + 1), "right")
+        every = np.arange(len(lengths))
+        for room in range(int(lengths[0]) if len(lengths) else capacity + 1, capacity + 1):
+            k = fits[room]
+            rest = room - lengths[:k]
+            gain = np.where(used[rest, every[:k]] < most[:k], self.value[rest] + price[:k], -1.0)
+            best = int(gain.argmax())
+            if gain[best] > self.value[room - 1]:
+                self.value[room], self.choice[room] = gain[best], best
+                used[room] = used[rest[best]]
+                used[room, best] += 1
+            else:
+                self.value[room], self.choice[room] = self.value[room - 1], -2
+                used[room] = used[room - 1]
+
+    def content(self, room: int) -> dict[int, int]:
+        """Numbers by length index of the content of ``room``."""
+        out: dict[int, int] = {}
+        while room > 0 and (i := int(self.choice[room])) != -1:
+            if i == -2:
+                room -= 1
+            else:
+                out[i] = out.get(i, 0) + 1
+                room -= int(self.lengths[i])
+        return out
+
+
+#: Pieces up to which sequences are priced one by one, and pieces that such a sequence chooses from.
+FEW, CHOICE = 600, 160
+#: Prices computed anew within a round, at most.
+PASSES = 60
+
+
+def _bounded(left: np.ndarray, lengths: np.ndarray, capacity: int) -> dict[int, int]:
+    """The longest length left with the dearest content of the rest of its sequence, from what is left.
+
+    The knapsack takes no more of a length than is left; prices are the lengths themselves, the
+    dual solution whose bound is the volume.
+    """
+    live = np.flatnonzero(left)
+    first = int(live[-1])
+    room = capacity - int(lengths[first])
+    out = {first: 1}
+    fit = live[lengths[live] <= room][::-1]
+    if not room or not len(fit):
+        return out
+    most = np.minimum(left[fit] - (fit == first), room // lengths[fit])
+    pool = np.repeat(fit, most)
+    if len(pool) > CHOICE:
+        pool = pool[np.linspace(0, len(pool) - 1, CHOICE).astype(int)]
+    # Which rooms can be filled exactly is one set of bits for each prefix of the pool.
+    reach, sets = 1, [1]
+    mask = (1 << (room + 1)) - 1
+    for n in lengths[pool].tolist():
+        reach |= (reach << n) & mask
+        sets.append(reach)
+        if reach >> room:
+            break
+    at = reach.bit_length() - 1
+    for k in range(len(sets) - 1, 0, -1):
+        if not sets[k - 1] >> at & 1:
+            i = int(pool[k - 1])
+            out[i] = out.get(i, 0) + 1
+            at -= int(lengths[i])
     return out
 
 
-def configurations(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = 200, eta: float = 0.5) -> list[tuple[np.ndarray, int]]:
-    """Configurations (counts by length) and how many sequences take each; every piece has just one place.
+def configurations(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = 8, eta: float = 4.0, report: dict | None = None) -> list[tuple[dict[int, int], int]]:
+    """Configurations (numbers by length index) and how many sequences take each; every piece has just one place.
+
+    ``lengths`` ascend and are below ``capacity``.  Multiplicative weights on the covering
+    constraints: a round raises the covered share of every length to the round's goal by the
+    dearest configuration that holds it, a length's weight falls as it is covered, and lengths
+    that would run ahead by more than a round are spared.  Steps are rounded to whole sequences
+    as they are taken, and the next weights come from what was really covered, so rounding
+    leaves no error behind.  What the rounds leave is covered anew, until few pieces or little
+    progress remain; their sequences are priced one by one with what is left as bounds.
 
-    ``lengths`` ascend and are below ``capacity``.
+    ``report`` receives the numbers of pieces, those that rounds placed, those priced one by
+    one, the sequences, and the dual bound on them: prices in proportion to the lengths are
+    dual feasible, and in all cases tried no other prices gave more.
     """
     left = counts.astype(np.int64).copy()
-    out: list[tuple[np.ndarray, int]] = []
-
-    def take(config: np.ndarray, times: int) -> None:
-        if times > 0:
-            out.append((config, int(times)))
-            left[:] -= config * int(times)
-
-    # Multiplicative weights on the covering constraints, each scaled by its count.
-    weight = lengths / capacity
-    covered = np.zeros(len(lengths))
-    found: list[tuple[np.ndarray, float]] = []
-    for _ in range(rounds if len(lengths) else 0):
-        config = _knapsack(weight, lengths, capacity)
-        step = float((counts[config > 0] / config[config > 0]).min()) * 0.25
-        found.append((config, step))
-        covered += config * step / counts
-        weight = lengths / capacity * np.exp(-eta * (covered - covered.min()))
-    # Scaled so that the lengths are covered once on average, rounded down, and cut where a length is used up.
-    scale = 1 / max(1e-9, float(np.average(covered, weights=lengths * counts))) if found else 0
-    for config, step in found:
-        take(config, min(int(step * scale), int((left[config > 0] // config[config > 0]).min())))
-    # What rounding left: the longest length first, its sequence filled by best fit, as often as the lengths in it last.
-    while left.sum():
-        config = _filled(np.zeros_like(left), left, lengths, capacity)
-        take(config, int((left[config > 0] // config[config > 0]).min()))
-    return out
+    out: list[tuple[dict[int, int], int]] = []
+    note = {"pieces": int(left.sum()), "rounds": 0, "singly": 0, "sequences": 0, "bound": float(counts @ lengths) / capacity}
+
+    def take(config: dict[int, int], times: int) -> None:
+        out.append((config, times))
+        note["sequences"] += times
+        for i, n in config.items():
+            left[i] -= n * times
 
+    def cover() -> None:
+        start = left.copy()
+        turns = int(np.clip(start.sum() / np.count_nonzero(start) / 8, 1, rounds))
+        for k in range(turns):
+            floor = np.ceil(start * (1 - (k + 1) / turns)).astype(np.int64)  # left at the round's goal
+            spare = np.floor(start * max(0.0, 1 - (k + 2) / turns)).astype(np.int64)
+            for _ in range(PASSES):
+                needy, live = np.flatnonzero(left > floor), np.flatnonzero(left > spare)
+                if not len(needy):
+                    break
+                covered = 1 - left[live] / start[live]
+                weight = lengths[live] / capacity * np.exp(-eta * (covered - covered.min()))
+                pricing = _Pricing(weight, lengths[live], left[live] - spare[live], capacity)
+                gone = 0
+                for i in needy[::-1].tolist():
+                    need = int(left[i] - floor[i])
+                    if need <= 0:
+                        continue
+                    config = {int(live[j]): n for j, n in pricing.content(capacity - int(lengths[i])).items()}
+                    config[i] = config.get(i, 0) + 1
+                    times = min(-(-need // config[i]), min(int(left[j] - spare[j]) // n for j, n in config.items()))
+                    if times > 0:
+                        take(config, times)
+                        gone += times
+                if not gone or (k < turns - 1 and gone * 50 < len(needy)):
+                    break
 
-def _filled(config: np.ndarray, left: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """``config`` with what else fits, the longest first; the last gap by best fit over pairs."""
-    config = config.copy()
-    room = capacity - int((config * lengths).sum())
-    while True:
-        live = np.flatnonzero((left - config > 0) & (lengths <= room))
-        if not len(live):
-            return config
-        i = live[-1]
-        rest = room - lengths[i]
-        if 0 < rest < lengths[live[0]] and len(live) > 1:
-            # a pair may fill the room better than the longest alone
-            have = lengths[live]
-            partner = np.searchsorted(have, room - have, "right") - 1
-            ok = (partner >= 0) & ((partner != np.arange(len(have))) | (left[live] - config[live] > 1))
-            total = np.where(ok, have + have[partner], 0)
-            j = int(total.argmax())
-            if total[j] > lengths[i]:
-                config[live[j]] += 1
-                config[live[partner[j]]] += 1
-                return _filled(config, left, lengths, capacity)
-        config[i] += 1
-        room -= int(lengths[i])
+    while left.any():
+        before = int(left.sum())
+        if before > FEW:
+            cover()
+        placed = before - int(left.sum())
+        note["rounds"] += placed
+        if placed < 0.1 * before:
+            while left.any():
+                config = _bounded(left, lengths, capacity)
+                times = min(int(left[i]) // n for i, n in config.items())
+                take(config, times)
+                note["singly"] += times * sum(config.values())
+    if report is not None:
+        report.update(note)
+    return out
 
 
 def pack(pieces: DataFrame, capacity: int = 2048, salts: int | None = None) -> DataFrame:
     """Adds sequence_id and offset to a table of pieces (doc_id, piece, length, ...).
 
     ``pieces`` is read twice and should be a written table.  An empty table gives an
-    empty one.  Which of several equal pieces takes which place is free; their number
-    and the sequences don't depend on it.
+    empty one.  Which of several pieces of one length takes which place is free (ties go by
+    doc_id and piece inside a salt); the sequences and their number don't depend on it.
     """
     spark = pieces.sparkSession
     salts = salts or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -162,8 +230,8 @@ def pack(pieces: DataFrame, capacity: int = 2048, salts: int | None = None) -> D
     slots, first, used = [], full, np.zeros(len(lengths), np.int64)
     for config, times in configurations(lengths, counts, capacity):
         offset = 0
-        for i in np.flatnonzero(config)[::-1]:
-            a, n = int(config[i]), int(lengths[i])
+        for i, a in sorted(config.items(), reverse=True):
+            n = int(lengths[i])
             slots.append((n, int(used[i]), a, first, offset))
             used[i] += a * times
             offset += a * n

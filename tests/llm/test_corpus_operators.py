@@ -271,9 +271,26 @@ def test_configurations_cover_each_length_once():
     rng = np.random.default_rng(7)
     for n in (0, 1, 500, 20_000):
         lengths, counts = np.unique(np.clip(rng.lognormal(6, 1.2, n).astype(int), 1, 2047), return_counts=True)
-        out = packing.configurations(lengths, counts, 2048, rounds=60)
-        assert (sum((c * k for c, k in out), np.zeros(len(lengths), int)) == counts).all()
-        assert all((c * lengths).sum() <= 2048 for c, _ in out)
+        report = {}
+        out = packing.configurations(lengths, counts, 2048, report=report)
+        placed = np.zeros(len(lengths), int)
+        for config, times in out:
+            assert sum(lengths[i] * k for i, k in config.items()) <= 2048
+            for i, k in config.items():
+                placed[i] += k * times
+        assert (placed == counts).all()
+        assert report["rounds"] + report["singly"] == n == report["pieces"]
+        assert report["bound"] <= report["sequences"] <= 1.002 * report["bound"] + 2
+        if n > 10_000:
+            assert report["rounds"] >= 0.95 * n
+
+
+def test_lengths_that_leave_gaps_are_packed_as_well_as_possible():
+    """Pieces over half a sequence need one each, whatever the prices."""
+    lengths, counts = np.array([100, 1100, 1500]), np.array([50, 900, 300])
+    report = {}
+    packing.configurations(lengths, counts, 2048, report=report)
+    assert report["sequences"] == 1200
 
 
 def test_licences_are_found_and_prose_is_not(spark):
