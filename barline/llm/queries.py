@@ -137,7 +137,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     base = F.filter("spans", lambda s: s["kind"].isin(*pii.KINDS))
-    return found.select("doc_id", *(count(k) for k in pii.KINDS), F.sha2(F.encode(joined(base), "UTF-8"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    n_spans = F.size("spans").cast("long").alias("n_spans")
+    return found.select("doc_id", *(count(k) for k in pii.KINDS), F.sha2(F.encode(joined(base), "UTF-8"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), n_spans, count("secret"), count("term"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -391,6 +391,53 @@ def test_personal_data(spark):
     assert "zor@" not in clean[0] and "Zorblatt" not in clean[9] and "[CARD]" in clean[5] and clean[8] == "plain words only"
 
 
+def plain_terms(texts):
+    """Disclosing terms by brute force over sets of document numbers."""
+    words, near, holders = {}, {}, {}
+    for d, text in enumerate(texts):
+        for w in {w.lower() for w in pii.WORD.findall(text)}:
+            words.setdefault(w, set()).add(d)
+        spans = pii.all_spans(text)
+        for kind, a, b in spans:
+            e = pii._value(kind, text[a:b])
+            holders.setdefault(e, set()).add(d)
+            keep = [(m.start(), m[0].lower()) for m in pii.WORD.finditer(text) if not any(x <= m.start() < y for _, x, y in spans)]
+            side = [w for at, w in keep if at < a][-pii.REACH :] + [w for at, w in keep if at >= b][: pii.REACH]
+            for w in side:
+                near.setdefault((w, e), set()).add(d)
+    out = {}
+    for (w, e), both in near.items():
+        n, ic = len(texts), -np.log2(len(holders[e]) / len(texts))
+        if ic > 0 and len(both) >= pii.SUPPORT and len(both) >= pii.CONFIDENCE * len(words[w]):
+            share = min(1.0, np.log2(len(both) * n / (len(words[w]) * len(holders[e]))) / ic)
+            if share >= pii.SHARE:
+                out[w] = max(share, out.get(w, 0))
+    return out
+
+
+def test_disclosing_terms_match_brute_force(spark):
+    rng = random.Random(9)
+    common = [f"{a}{b}{c}" for a in "bdgk" for b in "aeiou" for c in "lmnr"]
+    texts = []
+    for k in range(300):
+        said = [rng.choice(common) for _ in range(rng.randint(5, 40))]
+        person = rng.randint(0, 40)
+        if k % 3 == 0:
+            said.insert(rng.randint(0, len(said)), f"Zorb{chr(97 + person % 26)}{'xyz'[person // 26]} zor{person}@mail.example.com")
+        if k % 17 == 0:
+            said.append(f"zorb{chr(97 + person % 26)}{'xyz'[person // 26]}")
+        texts.append(" ".join(said))
+    texts += [texts[0]] * 30
+    got = {r.term: r.disclosed for r in pii.disclosing_terms(spark.createDataFrame([(None if k % 7 == 0 else k, t) for k, t in enumerate(texts)], "doc_id long, text string")).collect()}
+    assert got == pytest.approx(plain_terms(texts)) and len(got) >= 5
+
+
+def test_terms_of_the_given_documents_match_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    got = {r.term: r.disclosed for r in pii.disclosing_terms(docs.fillna("", ["text"])).collect()}
+    assert got == pytest.approx(plain_terms([r.text or "" for r in docs.collect()])) and got
+
+
 def test_copies_count_alike_in_disclosure(spark):
     """A group of copies and two other documents: whoever has the term has the entity, so it discloses all of it."""
     rows = [(k, "Mail Zorblatt today at zor@mail.example.com about seven matters") for k in range(100)]
@@ -400,14 +447,21 @@ def test_copies_count_alike_in_disclosure(spark):
     assert terms["zorblatt"] == pytest.approx(1.0) and "today" not in terms
 
 
-def test_joined_terms_equal_sent_terms(spark, monkeypatch):
+def test_terms_don_t_depend_on_the_bit_set(spark, monkeypatch):
     rows = [(k if k < 3 else None, f"Mail Zorblatt today at zor@mail.example.com about {w} matters") for k, w in enumerate(("seven", "green", "other", "late"))]
-    rows += [(7, "who is Zorblatt²"), (None, "ask Zorblatt"), (None, None), *[(20 + k, f"Mail today at about noon matters {k}") for k in range(40)]]
+    rows += [(7, "who is Zorblatt²"), (None, "ask Zorblatt"), (None, "ask Zorblatt"), (None, None), *[(20 + k, f"Mail today at about noon matters {k}") for k in range(40)]]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     found = lambda: Counter((r.doc_id, r.text, str(r.spans)) for r in pii.find(frame).collect())
-    sent = found()
-    monkeypatch.setattr(pii, "SENT_TERMS", 0)
-    assert found() == sent and any(d is None and t == "ask Zorblatt" and "term" in s for d, t, s in sent)
+    wide = found()
+    monkeypatch.setattr(pii, "BITS", 32)
+    assert found() == wide and sum(wide.values()) == len(rows)
+    assert wide[None, "ask Zorblatt", "[Row(kind='term', start=4, end=12)]"] == 2
+
+
+def test_secrets_and_empty_tables(spark):
+    frame = spark.createDataFrame([(1, 'x token = "24be64439e3e49cf46b2d7c9" y'), (2, "token: short")], "doc_id long, text string")
+    assert {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.find(frame).collect()} == {1: [("secret", 11, 35)], 2: []}
+    assert pii.find(edge(spark, [])).count() == 0
 
 
 def test_base_patterns():
