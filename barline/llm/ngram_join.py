@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barline.llm.components import components
-from barline.llm.shared import groups, local_roots, materialise, text_or_empty, tiles
+from barline.llm.shared import BITS, bit_set, groups, in_bit_set, local_roots, materialise, text_or_empty, tiles
 
 WORD = re.compile(r"\w+")
 TREES, DEPTH = 16, 8
@@ -271,16 +271,25 @@ def ngram_links(docs: DataFrame, threshold: float = 0.8, n: int = 5, target: flo
     members = materialise(own.select("id", "text_key", "copies", "n_grams").join(cluster, "id"), "clusters")
     blocks = F.greatest(F.ceil(F.count("*") / SET_BLOCK), F.ceil(F.sum("n_grams") / SET_GRAMS))
     several = members.groupBy("cluster").agg(blocks.alias("n"))
-    texts = rows.join(members.select("text_key", "id", "copies", "cluster"), "text_key").select("cluster", "id", "copies", "text").dropDuplicates(["id"])
+    # Only the first document of a class is read again.  While the members are few for a bit set of fixed
+    # size, it picks their rows where they are; beyond that they are joined. Either way the join below decides.
+    wanted = members.join(own.select("id", "rep"), "id").select(F.xxhash64("text_key", "rep").alias("h"))
+    bits = bit_set(wanted, "h") if wanted.count() <= BITS // 8 else None
+    again = rows.withColumn("h", F.xxhash64("text_key", "doc_id"))
+    if bits is None:
+        again = again.join(wanted.distinct(), "h", "left_semi")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            pick = np.arange(batch.num_rows) if bits is None else np.flatnonzero(in_bit_set(batch.column("h").to_numpy(), bits))
+            for at in range(0, len(pick), 500):
+                part = batch.take(pa.array(pick[at : at + 500]))
                 grams = [shingles(t.as_py(), n).astype("<u8").tobytes() for t in part.column("text")]
-                yield pa.RecordBatch.from_arrays([part.column("cluster"), part.column("id"), part.column("copies"), pa.array(grams, pa.binary())], names=["cluster", "id", "copies", "grams"])
+                yield pa.RecordBatch.from_arrays([part.column("text_key"), pa.array(grams, pa.binary())], names=["text_key", "grams"])
 
-    read = materialise(texts.mapInArrow(sets, "cluster long, id long, copies long, grams binary"), "grams")
+    found = again.select("h", "text_key", "text").mapInArrow(sets, "text_key binary, grams binary")
+    read = found.join(members.select("text_key", "id", "copies", "cluster"), "text_key").dropDuplicates(["id"]).select("cluster", "id", "copies", "grams")
+    read = materialise(read, "grams")
     keys = ["cluster", "tile_a", "tile_b"]
     dealt = tiles(read, ["cluster"], several, 1, "id").repartition(*keys).sortWithinPartitions(*keys)
 

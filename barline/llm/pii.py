@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barline.llm.shared import materialise, text_or_empty
+from barline.llm.shared import BITS, bit_set, in_bit_set, materialise, text_or_empty
 
 #: The kinds whose patterns are fixed; ``secret`` is a kind of this method.
 KINDS = ("email", "ip", "card", "phone")
@@ -48,9 +48,6 @@ WORD = re.compile(r"[^\W\d_]{3,}")
 SECRET = re.compile(r"(?i)\b(?:token|secret|passw(?:or)?d|(?:api|access|private)[_-]?key)\b[\"']?\s{0,4}[=:]\s{0,4}[\"']?([A-Za-z0-9+/_=-]{16,})")
 #: Words on each side of a mention, documents at least, share of the information, share of the term's documents, and where a term goes altogether.
 REACH, SUPPORT, SHARE, CONFIDENCE, REMOVE = 10, 2, 0.8, 0.5, 0.97
-#: Bits of the set that narrows words down.
-BITS = 1 << 23
-
 Span = tuple[str, int, int]
 
 
@@ -127,29 +124,20 @@ def mentions(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "entity string, terms array<string>")
 
 
-def _bit_set(terms: DataFrame) -> np.ndarray:
-    """A bit for each term's hash; at most BITS / 32 rows go to the driver, however many terms there are."""
-    place = F.pmod(F.xxhash64("term"), F.lit(BITS))
-    words = terms.select(F.shiftright(place, 5).alias("at"), F.expr("shiftleft(1L, CAST(pmod(xxhash64(term), 32) AS INT))").alias("bit"))
-    out = np.zeros(BITS // 32, np.uint32)
-    for r in words.groupBy("at").agg(F.bit_or("bit").alias("bits")).collect():
-        out[r["at"]] = r["bits"]
-    return out
+def _bits_of(terms: DataFrame) -> np.ndarray:
+    return bit_set(terms.select(F.xxhash64("term").alias("h")), "h", BITS)
 
 
 def _held(words: set[str], bits: np.ndarray) -> list[str]:
     """The words whose bit is set."""
     words = sorted(words)
-    place = np.fromiter((xxhash.xxh64_intdigest(w.encode(), 42) for w in words), np.uint64, len(words))
-    # Spark's pmod of a signed hash equals the remainder of the unsigned one, as the number of bits divides 2^64.
-    place %= np.uint64(32 * len(bits))
-    hit = bits[(place >> np.uint64(5)).astype(np.int64)] >> (place & np.uint64(31)).astype(np.uint32) & np.uint32(1)
-    return [words[k] for k in np.flatnonzero(hit)]
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w.encode(), 42) for w in words), np.uint64, len(words))
+    return [words[k] for k in np.flatnonzero(in_bit_set(hashes, bits))]
 
 
 def documents_with(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """(term, n): how many documents hold each of ``terms``."""
-    bits = _bit_set(terms)
+    bits = _bits_of(terms)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,7 +182,7 @@ def find(docs: DataFrame, text_too: bool = False) -> DataFrame:
     own = [c for c in rows.columns if c not in ("spans", "_terms", "_key", "_doc")]
     rows = rows.select(*own)
     terms = materialise(disclosing_terms(rows), "terms")
-    bits = _bit_set(terms)
+    bits = _bits_of(terms)
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -46,6 +46,30 @@ def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+#: Bits of a set that narrows rows down where they are.
+BITS = 1 << 23
+
+
+def bit_set(rows: DataFrame, hash_column: str, bits: int = BITS):
+    """A bit for each hash; at most bits / 32 numbers go to the driver, however many rows there are."""
+    import numpy as np
+
+    words = rows.select(F.expr(f"CAST(pmod(`{hash_column}`, {bits}) DIV 32 AS LONG)").alias("at"), F.expr(f"shiftleft(1L, CAST(pmod(`{hash_column}`, 32) AS INT))").alias("bit"))
+    out = np.zeros(bits // 32, np.uint32)
+    for r in words.groupBy("at").agg(F.bit_or("bit").alias("bits")).collect():
+        out[r["at"]] = r["bits"]
+    return out
+
+
+def in_bit_set(hashes, bits):
+    """Which hashes have their bit set; none is missed, some have it by chance."""
+    import numpy as np
+
+    # pmod of the signed hash is the remainder of the unsigned one, as the number of bits divides 2^64.
+    place = np.asarray(hashes).view(np.uint64) % np.uint64(32 * len(bits))
+    return (bits[(place >> np.uint64(5)).astype(np.int64)] >> (place & np.uint64(31)).astype(np.uint32) & np.uint32(1)).astype(bool)
+
+
 def groups(batches, keys: list[str]):
     """Tables of one key each from batches that are sorted by ``keys``; only one group is held at a time."""
     import numpy as np
