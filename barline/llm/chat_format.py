@@ -2,19 +2,27 @@
 
 A turn's content is an array of parts (kind, text, ref, units).  Text parts are kept;
 image, audio and document parts become placeholders numbered in order through the
-conversation.  ``attachments`` lists their kind, reference, place and expanded token
-count.  Control strings inside texts are escaped: every ``<`` and ``[`` gets a ``\\``
-behind it, so no marker of this template or of other common ones (``<|..|>``, ``</s>``,
-``[INST]``) can occur inside a text; taking that character away again is exact.
-
-Turns are ordered by turn, role and text.  Null roles and texts count as empty; rows
-without conversation id are one conversation.  Repeated rows are repeated turns.
+conversation.  ``attachments`` lists their kind, reference and expanded token count, the
+units times the kind's tokens.  A part without kind is text; a part of any other kind is an
+attachment of kind ``other`` with no tokens.  Control strings inside texts are escaped: every
+``<`` and ``[`` gets a ``\\`` behind it, so no marker of this template or of other common
+ones (``<|..|>``, ``</s>``, ``[INST]``) can occur inside a text; taking that character away
+again is exact.  In roles a line break, which ends the role, is escaped too.
+
+The loss covers the text parts of assistant turns and no placeholder.  Turns are ordered by
+turn, role and parts.  Null roles and texts count as empty; rows without conversation id are
+one conversation.  Repeated rows are repeated turns.  Other columns are not read; an empty
+table gives an empty result.
+
+Parts are rows until the end: a conversation's parts are numbered and placed by running sums
+in one sort, so work is in proportion to its parts.  A conversation is one row in the end.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 TURN, END = "<|turn|>", "<|end|>"
 #: Tokens that one unit (image tile, second of audio, document page) expands to.
@@ -23,6 +31,10 @@ UNIT_TOKENS = {"image": 256, "audio": 25, "document": 512}
 PART = "struct<kind:string,text:string,ref:string,units:int>"
 
 
+#: Ends of placeholders' and turns' marks are the template's own; texts can't hold them.
+OTHER = "other"
+
+
 def escape(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("<"), F.lit("<\\")), F.lit("["), F.lit("[\\"))
 
@@ -31,75 +43,63 @@ def unescape(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("<\\"), F.lit("<")), F.lit("[\\"), F.lit("["))
 
 
-def text_part(text: Column) -> Column:
-    """A content array with one text part."""
-    return F.array(F.struct(F.lit("text").alias("kind"), F.coalesce(text.cast("string"), F.lit("")).alias("text"), F.lit(None).cast("string").alias("ref"), F.lit(None).cast("int").alias("units")))
+def escape_role(role: Column) -> Column:
+    return F.replace(escape(role), F.lit("\n"), F.lit("<n"))
+
+
+def unescape_role(role: Column) -> Column:
+    return unescape(F.replace(role, F.lit("<n"), F.lit("\n")))
+
+
+def part(kind: str, text: Column | None = None, ref: Column | None = None, units: Column | None = None) -> Column:
+    """A content part."""
+    own = lambda c, t: (F.lit(None) if c is None else c).cast(t)
+    return F.struct(F.lit(kind).alias("kind"), own(text, "string").alias("text"), own(ref, "string").alias("ref"), own(units, "int").alias("units")).cast(PART)
 
 
 def format_chats(turns: DataFrame) -> DataFrame:
     """One row per conversation from rows of (conv_id, turn, role, parts).
 
-    Returns conv_id, formatted, loss_spans (start and length of each assistant
-    turn's content in ``formatted``, in code points) and attachments.
+    Returns conv_id, formatted, loss_spans (start and length of each text part of an
+    assistant in ``formatted``, in code points) and attachments (number, kind, ref, tokens).
     """
     parts = F.coalesce(F.col("parts").cast(f"array<{PART}>"), F.array().cast(f"array<{PART}>"))
-    rows = turns.select("conv_id", F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), parts.alias("parts")).alias("t"))
-    grouped = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
-
-    # Attachments in order: their place in the list is their number.
-    flat = F.flatten(F.transform("turns", lambda t: F.filter(t["parts"], lambda p: p["kind"] != "text")))
-    attachments = F.transform(
-        flat,
-        lambda p, i: F.struct(
-            (i + 1).alias("number"),
-            p["kind"].alias("kind"),
-            p["ref"].alias("ref"),
-            (F.coalesce(p["units"], F.lit(1)) * F.coalesce(F.element_at(F.create_map(*(F.lit(x) for kv in UNIT_TOKENS.items() for x in kv)), p["kind"]), F.lit(1))).alias("tokens"),
-        ),
-    )
-    # Number of attachments before each turn.
-    before = F.transform("turns", lambda t, i: F.aggregate(F.slice("turns", F.lit(1), i), F.lit(0), lambda n, u: n + F.size(F.filter(u["parts"], lambda p: p["kind"] != "text"))))
-
-    def content(t: Column, first: Column) -> Column:
-        shown = F.transform(
-            t["parts"],
-            lambda p, j: F.when(p["kind"] == "text", escape(F.coalesce(p["text"], F.lit("")))).otherwise(
-                F.concat(F.lit("<|"), p["kind"], F.lit(":"), (first + 1 + F.size(F.filter(F.slice(t["parts"], F.lit(1), j), lambda q: q["kind"] != "text"))).cast("string"), F.lit("|>"))
-            ),
-        )
-        return F.array_join(shown, "")
-
-    with_content = grouped.withColumn("attachments", attachments).withColumn("_before", F.when(F.size("attachments") == 0, F.transform("turns", lambda t: F.lit(0))).otherwise(before))
-    shown = with_content.withColumn(
-        "_shown",
-        F.zip_with("turns", "_before", lambda t, n: F.struct(F.concat(F.lit(TURN), escape(t["role"]), F.lit("\n")).alias("head"), content(t, n).alias("body"), (t["role"] == "assistant").alias("loss"))),
-    ).withColumn("_lengths", F.transform("_shown", lambda s: F.length(s["head"]) + F.length(s["body"]) + len(END)))
-    # One pass over the turns: where each content begins.
-    starts = F.aggregate(
-        F.arrays_zip("_shown", "_lengths"),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans")),
-        lambda acc, z: F.struct(
-            (acc["at"] + z["_lengths"]).alias("at"),
-            F.when(z["_shown"]["loss"], F.array_append(acc["spans"], F.struct((acc["at"] + F.length(z["_shown"]["head"])).alias("start"), F.length(z["_shown"]["body"]).alias("length")))).otherwise(acc["spans"]).alias("spans"),
-        ),
-    )
-    return shown.select(
-        "conv_id",
-        F.array_join(F.transform("_shown", lambda s: F.concat(s["head"], s["body"], F.lit(END))), "").alias("formatted"),
-        starts["spans"].alias("loss_spans"),
-        "attachments",
+    rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), parts.alias("parts"))
+    by_turn = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "parts")
+    numbered = rows.withColumn("_turn", F.row_number().over(by_turn))
+    # A turn is its head, its parts and its end, each a row.
+    of = lambda kind, text: part(kind, text)
+    pieces = F.concat(F.array(of("_head", F.concat(F.lit(TURN), escape_role(F.col("role")), F.lit("\n")))), "parts", F.array(of("_end", F.lit(END))))
+    rows = numbered.select("conv_id", "_turn", (F.col("role") == "assistant").alias("_loss"), F.posexplode(pieces).alias("_at", "p"))
+    known = F.create_map(*(F.lit(x) for kv in UNIT_TOKENS.items() for x in kv))
+    kind = F.when(F.col("p.kind").isNull(), "text").when(F.col("p.kind").isin("text", "_head", "_end", *UNIT_TOKENS), F.col("p.kind")).otherwise(OTHER)
+    rows = rows.select("conv_id", "_turn", "_at", "_loss", "p", kind.alias("kind"))
+    attached = F.col("kind").isin(OTHER, *UNIT_TOKENS)
+    in_order = Window.partitionBy("conv_id").orderBy("_turn", "_at").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("number", F.sum(attached.cast("int")).over(in_order))
+    said = F.coalesce("p.text", F.lit(""))
+    placeholder = F.concat(F.lit("<|"), "kind", F.lit(":"), F.col("number").cast("string"), F.lit("|>"))
+    rows = rows.withColumn("_shown", F.when(attached, placeholder).when(F.col("kind") == "text", escape(said)).otherwise(said))
+    rows = rows.withColumn("_end", F.sum(F.length("_shown")).over(in_order))
+    tokens = F.when(F.col("kind") == OTHER, 0).otherwise(F.coalesce("p.units", F.lit(1)) * known[F.col("kind")])
+    attachment = F.struct("number", "kind", F.col("p.ref").alias("ref"), tokens.alias("tokens"))
+    span = F.struct((F.col("_end") - F.length("_shown")).cast("int").alias("start"), F.length("_shown").alias("length"))
+    grouped = rows.groupBy("conv_id").agg(
+        F.sort_array(F.collect_list(F.struct("_turn", "_at", "_shown"))).alias("_pieces"),
+        F.sort_array(F.collect_list(F.when(F.col("_loss") & (F.col("kind") == "text"), span))).alias("loss_spans"),
+        F.sort_array(F.collect_list(F.when(attached, attachment))).alias("attachments"),
     )
+    return grouped.select("conv_id", F.array_join(F.col("_pieces._shown"), "").alias("formatted"), "loss_spans", "attachments")
 
 
 def read_back(chats: DataFrame) -> DataFrame:
-    """Adds turns (role, text) and loss_text, read from ``formatted`` and ``loss_spans`` alone."""
+    """Adds turns (role, text) and loss_text, read from ``formatted`` and ``loss_spans`` alone; placeholders are no text."""
     raw = F.filter(F.split("formatted", r"<\|turn\|>"), lambda s: s != "")
-    turns = F.transform(
-        raw,
-        lambda s: F.struct(
-            unescape(F.substring_index(s, "\n", 1)).alias("role"),
-            unescape(F.substr(s, F.length(F.substring_index(s, "\n", 1)) + 2, F.length(s) - F.length(F.substring_index(s, "\n", 1)) - 1 - len(END))).alias("text"),
-        ),
-    )
+
+    def turn(s: Column) -> Column:
+        head = F.substring_index(s, "\n", 1)
+        body = F.substr(s, F.length(head) + 2, F.length(s) - F.length(head) - 1 - len(END))
+        return F.struct(unescape_role(head).alias("role"), unescape(F.regexp_replace(body, r"<\|[a-z]+:[0-9]+\|>", "")).alias("text"))
+
     loss = F.array_join(F.transform("loss_spans", lambda x: unescape(F.substr(F.col("formatted"), x["start"] + 1, x["length"]))), "")
-    return chats.withColumn("turns", turns).withColumn("loss_text", loss)
+    return chats.withColumn("turns", F.transform(raw, turn)).withColumn("loss_text", loss)

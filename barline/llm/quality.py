@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barline.llm.shared import text_or_empty
+from barline.llm.shared import materialise, text_or_empty
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOL = re.compile(r"[#*$%&|<>]")
@@ -129,14 +129,22 @@ def ablations(book: DataFrame, version: int = CURRENT) -> DataFrame:
     counts = book.groupBy(hit.alias("hit")).agg(F.count("*").alias("n"))  # at most 2 ** rules groups
     inside = F.explode(F.array(*(F.struct(F.lit(n).alias("rule"), F.lit(1 << names.index(n)).cast("long").alias("bit")) for n in POLICIES[version]))).alias("r")
     spread = counts.select("hit", "n", inside).select("hit", "n", "r.*")
-    return spread.groupBy("rule").agg(
+    return spread.groupBy("rule", "bit").agg(
         F.sum(F.when(F.col("hit").bitwiseAND(F.col("bit")) != 0, F.col("n")).otherwise(0)).alias("n_failed"),
         F.sum(F.when(F.col("hit") == F.col("bit"), F.col("n")).otherwise(0)).alias("n_failed_alone"),
     )
 
 
 def text_quality(docs: DataFrame, version: int = CURRENT) -> DataFrame:
-    """One row per document with base measurements, the ledger's bits and the verdict."""
-    book = apply_policy(ledger(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))), version)
+    """One row per document, from one stored ledger: measurements, failure bits, each policy's share of them, and the verdict.
+
+    ``n_failed_alike_alone`` tells, for a document that the policy rejects by one rule only,
+    how many documents would return without that rule; 0 for all others.
+    """
+    book = materialise(ledger(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))).drop("text"), "quality-ledger")
+    masked = lambda v: F.col("failed").bitwiseAND(F.lit(mask_of(v)).cast("long"))
+    alone = ablations(book, version).select(F.col("bit").alias("_bit"), F.col("n_failed_alone").alias("_alone"))  # one row per rule
+    judged = apply_policy(book, version).withColumn("_hit", masked(version)).join(F.broadcast(alone), F.col("_hit") == F.col("_bit"), "left")
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return book.select("doc_id", *MEASURES, "failed", base.alias("base_failed"), (F.col("kept") & ~base).alias("kept"))
+    by_policy = [masked(v).alias(f"failed_v{v}") for v in POLICIES]
+    return judged.select("doc_id", *MEASURES, "failed", *by_policy, F.coalesce("_alone", F.lit(0)).cast("long").alias("n_failed_alike_alone"), base.alias("base_failed"), (F.col("kept") & ~base).alias("kept"))

@@ -106,8 +106,10 @@ def jaccard_groups(rows, threshold=0.8):
     return Counter(out)
 
 
-def test_ngram_links_match_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("bits", [1 << 23, 0])
+def test_ngram_links_match_brute_force(spark, monkeypatch, bits):
     monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    monkeypatch.setattr(ngram_join, "BITS", bits)
     monkeypatch.setattr(ngram_join, "SET_BLOCK", 8)
     rng = random.Random(5)
     base = [[f"w{rng.randint(0, 5000)}" for _ in range(rng.randint(60, 200))] for _ in range(12)]
@@ -200,11 +202,23 @@ def test_chat_round_trip_and_attachments(spark):
     assert [(a.number, a.kind, a.ref, a.tokens) for a in out[1].attachments] == [(1, "image", "a.png", 512), (2, "audio", "b.wav", 25), (3, "document", "c.pdf", 1536)]
     assert [t.role for t in out[1].turns] == ["user", "assistant", ""]
     assert "<|image:1|>and<|audio:2|>" in out[1].formatted and "[INST]" not in out[1].formatted
-    assert out[1].loss_text == "<|end|>\n\\[x<|document:3|>"
+    assert out[1].loss_text == "<|end|>\n\\[x" and "\\[\\x<|document:3|>" in out[1].formatted.replace("[\\x", "[\\x")
     assert out[None].formatted == "<|turn|>assistant\n<|end|>"
     assert chat_format.format_chats(frame.limit(0)).count() == 0
 
 
+def test_odd_parts_and_roles_read_back(spark):
+    rows = [(1, 0, "a\nb<n", [(None, "no kind", None, None), ("video", None, "v.mp4", 3)]), (1, 0, "a\nb<n", [(None, "no kind", None, None), ("video", None, "v.mp4", 3)])]
+    rows += [(2, k, "user" if k % 2 else "assistant", [("text", "x" * (k % 5), None, None), ("image", None, str(k), 1)]) for k in range(3000)]
+    frame = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts array<{chat_format.PART}>").selectExpr("*", "1 AS _turn", "2 AS kind", "3 AS number")
+    out = {r.conv_id: r for r in chat_format.read_back(chat_format.format_chats(frame)).collect()}
+    assert [(t.role, t.text) for t in out[1].turns] == [("a\nb<n", "no kind")] * 2
+    assert [(a.number, a.kind, a.ref, a.tokens) for a in out[1].attachments] == [(1, "other", "v.mp4", 0), (2, "other", "v.mp4", 0)]
+    assert [t.text for t in out[2].turns] == ["x" * (k % 5) for k in range(3000)]
+    assert [a.ref for a in out[2].attachments] == [str(k) for k in range(3000)]
+    assert out[2].loss_text == "".join("x" * (k % 5) for k in range(0, 3000, 2))
+
+
 def repeats(rows, width):
     first = {}
     for d, t in rows:
@@ -351,6 +365,20 @@ def test_lines_that_vary_by_a_field_recur(spark):
     assert out[50].text == "" and out[52].text == "short line"
 
 
+def test_rows_of_numbers_are_no_template(spark):
+    rows = [(k, f"{k} {k + 1} {2 * k} {k * k}\n2019-01-0{k % 9} 7.5 8.{k} 9.2\nsame 1 2 3 4 5") for k in range(20)]
+    out = {r.doc_id: r for r in line_dedup.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(out[k].text == rows[k][1].rsplit("\n", 1)[0] for k in range(1, 20))
+
+
+def test_lines_of_a_long_document_go_by_place(spark):
+    lines = [f"a line of words that is shared {chr(97 + k % 26)}{chr(97 + k // 26)} by all" for k in range(400)]
+    rows = [(k, "\n".join(lines[:300])) for k in range(9)] + [(9, "\n".join(x for pair in zip([f"own{i}" for i in range(400)], lines) for x in pair))]
+    out = {r.doc_id: r for r in line_dedup.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[9].n_dropped == 300 and out[9].text == "\n".join(x for k, pair in enumerate(zip([f"own{i}" for i in range(400)], lines)) for x in pair if x[:3] == "own" or k >= 300)
+    assert out[3].text == "" and out[0].n_dropped == 0
+
+
 def plain_measures(text):
     words = quality.WORD.findall(text)
     windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
