@@ -7,8 +7,9 @@ through that depth only:
 
 1.  The first digit is an anchor: the window's least hashed ``GRAM``-byte string.  Equal
     windows have equal anchors, and neighbouring windows mostly share one, so a *run* of
-    windows with the same anchor is one record (anchor, digest of the run's bytes, place).
-    A document keeps its first run of each digest; its later ones are repeats already.
+    windows with the same anchor is one record (anchor, 128-bit digest of the run's bytes,
+    place).  Of equal runs in a batch of documents all but the first are repeats already, so
+    a passage of every document sends one record of each batch, not of each document.
 2.  Runs are partitioned by anchor.  An anchor that occurs once leaves.  Of equal runs all
     but the first are repeats.  The first ones stay only if their anchor has other runs.
 3.  Those runs, few beside the text, are read again with their bytes.  Their windows go
@@ -16,8 +17,11 @@ through that depth only:
     What is left after the last pass is equal, and all but the first window are repeats.
 4.  Documents receive their repeats and cut them out.
 
-Null text counts as empty.  Rows that repeat a doc_id are judged alike by (doc_id, start):
-a window at the same start of another row with the same doc_id isn't earlier.
+Runs are equal if their digests are, which for unlike bytes happens once in 10^38 pairs; all
+other windows are compared byte by byte.  Null text counts as empty.  Rows that repeat a doc_id
+are judged alike by (doc_id, start): a window at the same start of another row with the same
+doc_id isn't earlier.  Rows without doc_id are such rows too, of one id before all others.
+Texts of any length are read whole; other columns are not read; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +43,8 @@ GRAM = 20
 HOT_RUNS = 20_000
 #: Windows that are sorted at once.
 SORTED_AT_ONCE = 200_000
+#: Stands for a null doc_id inside arrays.
+NO_ID = -(1 << 63)
 _P = 0x9E3779B97F4A7C15
 
 
@@ -103,7 +110,8 @@ def repeated_windows(digits: np.ndarray, place: np.ndarray, width: int) -> np.nd
 def _sort_runs(tables: list[pa.Table], width: int) -> pa.RecordBatch | None:
     """Repeats among the windows of whole anchor groups, as (doc_id, th, start, end)."""
     table = pa.concat_tables(tables)
-    doc, th, start = (table.column(c).to_numpy() for c in ("doc_id", "th", "start"))
+    doc = pc.fill_null(table.column("doc_id"), NO_ID).to_numpy()
+    th, start = (table.column(c).to_numpy() for c in ("th", "start"))
     pieces = table.column("piece").to_pylist()
     size = np.array([len(p) for p in pieces])
     buffer = np.frombuffer(b"".join(pieces) + b"\0" * 8, np.uint8).astype(np.uint64)
@@ -131,7 +139,57 @@ def _sort_runs(tables: list[pa.Table], width: int) -> pa.RecordBatch | None:
     d, s, t = d[order], s[order], t[order]
     new = np.concatenate([[True], (d[1:] != d[:-1]) | (t[1:] != t[:-1]) | (s[1:] > s[:-1] + 1)])
     last = np.concatenate([new[1:], [True]])
-    return pa.RecordBatch.from_arrays([pa.array(d[new]), pa.array(t[new], pa.int32()), pa.array(s[new], pa.int32()), pa.array(s[last] + 1, pa.int32())], names=["doc_id", "th", "start", "end"])
+    return pa.RecordBatch.from_arrays([pa.array(d[new], pa.int64(), mask=d[new] == NO_ID), pa.array(t[new], pa.int32()), pa.array(s[new], pa.int32()), pa.array(s[last] + 1, pa.int32())], names=["doc_id", "th", "start", "end"])
+
+
+def first_runs(batch: pa.RecordBatch, width: int) -> pa.RecordBatch | None:
+    """The runs of a batch of documents: the first of each digest, and the others merged, without anchor and digest."""
+    ids = pc.fill_null(batch.column("doc_id"), NO_ID).to_numpy()
+    anchors, digests, owners, starts, ends = [], [], [], [], []
+    for k, data in enumerate(batch.column("data")):
+        data = data.as_py()
+        if len(data) < width:
+            continue
+        anchor, start, end = anchor_runs(data, width)
+        view = memoryview(data)
+        digests += [xxhash.xxh3_128_digest(view[i : j + width - 1]) for i, j in zip(start.tolist(), end.tolist(), strict=True)]
+        anchors.append(anchor)
+        owners.append(np.full(len(start), k))
+        starts.append(start)
+        ends.append(end)
+    if not anchors:
+        return None
+    anchor, owner, start, end = (np.concatenate(x) for x in (anchors, owners, starts, ends))
+    digest = np.frombuffer(b"".join(digests), "<u8").reshape(-1, 2)
+    order = np.lexsort((start, ids[owner], digest[:, 0], digest[:, 1]))
+    d, o, s = digest[order], ids[owner[order]], start[order]
+    new = np.concatenate([[True], (d[1:] != d[:-1]).any(1)])
+    lead = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+    again = np.zeros(len(order), bool)
+    again[order] = (o != o[lead]) | (s != s[lead])
+    first = np.flatnonzero(~again)
+    repeat_owner, repeat_start, repeat_end = [], [], []
+    at = np.flatnonzero(again)
+    cuts = np.searchsorted(owner[at], np.arange(batch.num_rows + 1))
+    for k in np.flatnonzero(np.diff(cuts)):
+        part = at[cuts[k] : cuts[k + 1]]
+        a, b = _merged(start[part], end[part])
+        repeat_owner.append(np.full(len(a), k))
+        repeat_start.append(a)
+        repeat_end.append(b)
+    m = sum(map(len, repeat_owner))
+    rows = np.concatenate([owner[first], *repeat_owner])
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.concat_arrays([pa.array(anchor[first].view(np.int64)), pa.nulls(m, pa.int64())]),
+            pa.concat_arrays([pa.array([digests[k] for k in first], pa.binary()), pa.nulls(m, pa.binary())]),
+            batch.column("doc_id").take(pa.array(rows)),
+            batch.column("th").take(pa.array(rows)),
+            pa.array(np.concatenate([start[first], *repeat_start]), pa.int32()),
+            pa.array(np.concatenate([end[first], *repeat_end]), pa.int32()),
+        ],
+        names=["anchor", "digest", "doc_id", "th", "start", "end"],
+    )
 
 
 def remove_repeats(docs: DataFrame, width: int = 100) -> DataFrame:
@@ -140,47 +198,28 @@ def remove_repeats(docs: DataFrame, width: int = 100) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, th, data in zip(batch.column("doc_id"), batch.column("th"), batch.column("data"), strict=True):
-                data = data.as_py()
-                if len(data) < width:
-                    continue
-                anchor, start, end = anchor_runs(data, width)
-                view = memoryview(data)
-                digest = np.array([xxhash.xxh3_64_intdigest(view[i : j + width - 1]) for i, j in zip(start.tolist(), end.tolist(), strict=True)], np.uint64)
-                first = np.zeros(len(start), bool)
-                first[np.unique(digest, return_index=True)[1]] = True
-                again = _merged(start[~first], end[~first])
-                n, m = int(first.sum()), len(again[0])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.concat_arrays([pa.array(anchor[first].view(np.int64)), pa.nulls(m, pa.int64())]),
-                        pa.array(np.concatenate([digest[first].view(np.int64), np.zeros(m, np.int64)])),
-                        pa.array([doc.as_py()] * (n + m), pa.int64()),
-                        pa.array([th.as_py()] * (n + m), pa.int32()),
-                        pa.array(np.concatenate([start[first], again[0]]), pa.int32()),
-                        pa.array(np.concatenate([end[first], again[1]]), pa.int32()),
-                    ],
-                    names=["anchor", "digest", "doc_id", "th", "start", "end"],
-                )
+            for at in range(0, batch.num_rows, 2000):
+                if (out := first_runs(batch.slice(at, 2000), width)) is not None:
+                    yield out
 
     place = "doc_id long, th int, start int, end int"
-    runs = rows.mapInArrow(find, f"anchor long, digest long, {place}")
+    runs = rows.mapInArrow(find, f"anchor long, digest binary, {place}")
     equal, same_anchor = Window.partitionBy("anchor", "digest"), Window.partitionBy("anchor")
-    lead = (F.col("doc_id") == F.col("_first.doc_id")) & (F.col("start") == F.col("_first.start"))
+    lead = F.col("doc_id").eqNullSafe(F.col("_first.doc_id")) & (F.col("start") == F.col("_first.start"))
     judged = (
-        runs.withColumn("anchor", F.coalesce("anchor", F.xxhash64("doc_id", "th", "start")))  # a document's own repeats, digest 0, needn't meet
+        runs.withColumn("anchor", F.coalesce("anchor", F.xxhash64("doc_id", "th", "start")))  # repeats, without digest, needn't meet
         .withColumn("_first", F.min(F.struct("doc_id", "start")).over(equal))
         .withColumn("_lead", lead)
-        .withColumn("_several", F.min("digest").over(same_anchor) != F.max("digest").over(same_anchor))
+        .withColumn("_several", F.coalesce(F.min("digest").over(same_anchor) != F.max("digest").over(same_anchor), F.lit(False)))
         .withColumn("_leads", F.sum(F.col("_lead").cast("int")).over(same_anchor))
     )
-    repeat = (F.col("digest") == 0) | ~F.col("_lead")
+    repeat = F.col("digest").isNull() | ~F.col("_lead")
     found = materialise(
         judged.where(repeat | F.col("_several")).select(repeat.alias("repeat"), "anchor", (F.col("_leads") > HOT_RUNS).alias("hot"), "doc_id", "th", "start", "end"),
         "runs",
     )
     key = ["doc_id", "th"]
-    opened = found.where(~F.col("repeat")).groupBy(*key).agg(F.collect_list(F.struct("anchor", "hot", "start", "end")).alias("open"))
+    opened = found.where(~F.col("repeat")).groupBy(*key).agg(F.collect_set(F.struct("anchor", "hot", "start", "end")).alias("open"))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,11 +258,11 @@ def remove_repeats(docs: DataFrame, width: int = 100) -> DataFrame:
     def joined(part: DataFrame) -> DataFrame:
         """The rows with the lists of ``part`` by (doc_id, th), which may be absent."""
         ids = part.select(F.col("doc_id").alias("_doc_id"), F.col("th").alias("_th"), *(c for c in part.columns if c not in key))
-        return rows.join(ids, (F.col("doc_id") == F.col("_doc_id")) & (F.col("th") == F.col("_th")), "left")
+        return rows.join(ids, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("th") == F.col("_th")), "left")
 
     fetched = joined(opened).select("doc_id", "th", "data", "open").mapInArrow(fetch, "anchor long, part int, doc_id long, th int, start int, piece binary")
     sorted_ = fetched.repartition("anchor", "part").sortWithinPartitions("anchor", "part").mapInArrow(sort, place)
-    repeats = found.where("repeat").select("doc_id", "th", "start", "end").unionByName(sorted_).groupBy(*key).agg(F.collect_list(F.struct("start", "end")).alias("repeats"))
+    repeats = found.where("repeat").select("doc_id", "th", "start", "end").unionByName(sorted_).groupBy(*key).agg(F.collect_set(F.struct("start", "end")).alias("repeats"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
