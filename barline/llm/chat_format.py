@@ -10,7 +10,7 @@ ones (``<|..|>``, ``</s>``, ``[INST]``) can occur inside a text; taking that cha
 again is exact.  In roles a line break, which ends the role, is escaped too.
 
 The loss covers the text parts of assistant turns and no placeholder.  Turns are ordered by
-turn, role and parts.  Null roles and texts count as empty; rows without conversation id are
+turn, role, text and parts.  Null roles and texts count as empty; rows without conversation id are
 one conversation.  Repeated rows are repeated turns.  Other columns are not read; an empty
 table gives an empty result.
 
@@ -65,7 +65,8 @@ def format_chats(turns: DataFrame) -> DataFrame:
     """
     parts = F.coalesce(F.col("parts").cast(f"array<{PART}>"), F.array().cast(f"array<{PART}>"))
     rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), parts.alias("parts"))
-    by_turn = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "parts")
+    plain = F.array_join(F.transform("parts", lambda p: F.coalesce(p["text"], F.lit(""))), "")
+    by_turn = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", plain, "parts")
     numbered = rows.withColumn("_turn", F.row_number().over(by_turn))
     # A turn is its head, its parts and its end, each a row.
     of = lambda kind, text: part(kind, text)

@@ -11,7 +11,8 @@ family is confirmed if one of its templates is contained in the paragraph by its
 Paragraphs without any content word of the vocabulary, and so without any of its n-grams, are unknown
 without evaluation.  So are those that the weights prove unknown: the sum of what their words can add
 to a family's lead over unknown stays below the calibrated probability.
-Null text counts as empty; an empty table gives an empty result.  Repeated rows give repeated findings.
+Null text counts as empty; an empty table gives an empty result.  Repeated rows give repeated findings,
+rows without doc_id too.  Texts of any length are read whole; other columns are not read.
 """
 
 from __future__ import annotations
@@ -124,20 +125,24 @@ def containment(grams: Column, family: Column) -> Column:
     return out
 
 
-def train(candidates: DataFrame, sample: int = SAMPLE) -> Model:
-    """Fits on the templates and at most ``sample`` of the candidate paragraphs, the first ones by hash."""
+def train(candidates: DataFrame, thin: int = 1, sample: int = SAMPLE) -> Model:
+    """Fits on the templates and at most ``sample`` different candidate paragraphs, the first ones by a hash of their text.
+
+    A paragraph's weight grows with the logarithm of its copies, so that none fills the sample.
+    """
     spark = candidates.sparkSession
-    parts = candidates.orderBy(F.xxhash64("content", "doc_id", "paragraph"), "doc_id", "paragraph").limit(sample).select("content")
-    parts = materialise(parts, "licence-drawn")
+    h = F.xxhash64("content")
+    drawn = candidates.where(F.pmod(h, F.lit(thin)) == 0).groupBy(h.alias("h")).agg(F.first("content").alias("content"), F.count("*").alias("n"))
+    parts = materialise(drawn.orderBy("h").limit(sample).select("content", F.log1p("n").alias("weight")), "licence-drawn")
     told = spark.createDataFrame([(t, i) for i, name in enumerate(FAMILIES) if name != UNKNOWN for t in TEMPLATES[name] for _ in range(20)], "content string, label int")
     best = F.greatest(*(F.struct(containment(F.col("grams"), F.lit(name)).alias("share"), F.lit(i).alias("label")) for i, name in enumerate(FAMILIES) if name != UNKNOWN))
     parts = materialise(with_features(parts), "licence-parts")
-    weak = parts.withColumn("label", F.when(best["share"] >= 0.99, best["label"]).otherwise(0)).select("content", "features", "label")
+    weak = parts.withColumn("label", F.when(best["share"] >= 0.99, best["label"]).otherwise(0)).select("content", "features", "label", "weight")
     weak = materialise(weak, "licence-sample")
     held_out = F.pmod(F.xxhash64("content"), F.lit(2)) == 1
-    data = with_features(told).select("features", "label").unionByName(weak.where(~held_out).select("features", "label"))
-    data = data.unionByName(spark.range(50).select(F.array(*[F.lit(0.0)] * len(VOCABULARY), F.lit(1.0)).alias("features"), F.lit(0).alias("label")))
-    fit = LogisticRegression(maxIter=60, regParam=0.002, elasticNetParam=1.0, family="multinomial").fit(data.select(array_to_vector("features").alias("features"), F.col("label").cast("double").alias("label")).coalesce(1))
+    data = with_features(told).select("features", "label", F.lit(1.0).alias("weight")).unionByName(weak.where(~held_out).select("features", "label", "weight"))
+    data = data.unionByName(spark.range(50).select(F.array(*[F.lit(0.0)] * len(VOCABULARY), F.lit(1.0)).alias("features"), F.lit(0).alias("label"), F.lit(1.0).alias("weight")))
+    fit = LogisticRegression(maxIter=60, regParam=0.002, elasticNetParam=1.0, family="multinomial", weightCol="weight").fit(data.select(array_to_vector("features").alias("features"), F.col("label").cast("double").alias("label"), "weight").coalesce(1))
     matrix = fit.coefficientMatrix.toArray().tolist()
     model = Model(matrix, fit.interceptVector.toArray().tolist(), 0.0)
     # Calibration: the least probability at which held-out predictions of a family are right in 99 of 100 cases.
@@ -197,8 +202,8 @@ def possible(parts: DataFrame, model: Model) -> DataFrame:
 
 def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, paragraph, family, probability, contained, confirmed for each paragraph that isn't unknown."""
-    candidates = materialise(paragraphs(docs), "licence-candidates")
-    model = model or train(candidates)
+    candidates = paragraphs(docs)  # cut anew from the texts each time, which is less than writing them
+    model = model or train(candidates, max(1, docs.count() // (2 * SAMPLE)))
     parts = materialise(with_features(possible(candidates, model)).select("doc_id", "paragraph", "grams", "features"), "licence-paragraphs")
     found = materialise(predict(parts, model), "licence-predictions").where((F.col("best.family") > 0) & (F.col("best.p") >= model.least))
     named = found.withColumn("family", F.element_at(F.array(*map(F.lit, FAMILIES)), F.col("best.family") + 1))

@@ -29,7 +29,7 @@ def vectors(spark, rows):
 
 
 def test_embedding_links_match_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(embedding_join, "PER_PIVOT", 20)
+    monkeypatch.setattr(embedding_join, "WORTH", 20)
     monkeypatch.setattr(embedding_join, "BLOCK", 16)
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(6, 8))
@@ -48,6 +48,22 @@ def test_embedding_links_match_brute_force(spark, monkeypatch):
     assert all(got[i].n_links == 0 and got[i].kept for i in range(2000, 2006))
 
 
+def test_pivots_are_chosen_by_the_cells_of_a_vector():
+    rng = np.random.default_rng(2)
+    unit = lambda x: x / np.linalg.norm(x, axis=1)[:, None]
+    far = embedding_join.choose_pivots(unit(rng.normal(size=(400, 64))), 0.374, 400)
+    near = embedding_join.choose_pivots(unit(np.repeat(rng.normal(size=(16, 64)), 25, 0)[rng.permutation(400)] + rng.normal(size=(400, 64)) * 0.02), 0.374, 4000)
+    assert 2 <= len(far) <= 4 < 16 <= len(near)
+    assert embedding_join.choose_pivots(unit(rng.normal(size=(40, 64))), 0.374, 40) is None
+
+
+def test_embedding_links_in_double_precision_and_odd_rows(spark):
+    rows = [(1, [1e200, 0.0], "a"), (2, [2e200, 0.0], "a"), (None, [1.0, 1e-9], "a"), (None, [0.0, 1.0], "b"), (5, [3e-200, 0.0], "a"), (5, [1.0, 0.0, 0.0], "a")]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string").selectExpr("*", "1 AS id", "2 AS rep", "3 AS home", "4 AS n")
+    got = Counter((r.vec_id, r.n_links, r.component_id, r.kept) for r in embedding_join.embedding_links(frame).collect())
+    assert got == {(1, 3, 1, True): 1, (2, 3, 1, False): 1, (None, 3, 1, False): 1, (None, 0, None, True): 1, (5, 3, 1, False): 1, (5, 0, 5, True): 1}
+
+
 def test_embedding_links_of_an_empty_table(spark):
     assert embedding_join.embedding_links(vectors(spark, [])).count() == 0
 
@@ -220,18 +236,18 @@ def test_odd_parts_and_roles_read_back(spark):
 
 
 def repeats(rows, width):
-    first = {}
+    first, order = {}, lambda d: -1 if d is None else d
     for d, t in rows:
         b = (t or "").encode()
         for i in range(len(b) - width + 1):
-            first.setdefault(b[i : i + width], []).append((d, i))
+            first.setdefault(b[i : i + width], []).append((order(d), i))
     first = {k: min(v) for k, v in first.items()}
     out = Counter()
     for d, t in rows:
         b = (t or "").encode()
         gone = bytearray(len(b))
         for i in range(len(b) - width + 1):
-            if first[b[i : i + width]] < (d, i):
+            if first[b[i : i + width]] < (order(d), i):
                 gone[i : i + width] = b"\1" * width
         spans = sum(1 for i in range(len(b)) if gone[i] and not (i and gone[i - 1]))
         out[d, len(b), sum(gone), spans, hashlib.sha256(bytes(x for x, g in zip(b, gone, strict=True) if not g)).hexdigest()] += 1
@@ -244,7 +260,7 @@ def test_repeats_match_brute_force(spark, monkeypatch, hot):
     rng = random.Random(6)
     passage = "".join(rng.choice("abcdé \n") for _ in range(260))
     rows = [(k, "".join(rng.choice("xyz ") for _ in range(rng.randint(0, 150))) + passage[rng.randint(0, 80) : rng.randint(150, 260)] + "".join(rng.choice("ab") for _ in range(rng.randint(0, 80)))) for k in range(60)]
-    rows += [(100, None), (101, ""), (102, "ab" * 300), (103, "ab" * 200), (104, "q" * 100), (105, "q" * 99), (106, passage), (106, passage), (106, passage + "!")]
+    rows += [(100, None), (101, ""), (102, "ab" * 300), (103, "ab" * 200), (104, "q" * 100), (105, "q" * 99), (106, passage), (106, passage), (106, passage + "!"), (None, passage), (None, "z" + passage), (None, None)]
     out = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     got = Counter((r.doc_id, r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest()) for r in out)
     assert got == repeats(rows, 100)
@@ -314,6 +330,25 @@ def test_licences_are_found_and_prose_is_not(spark):
     assert got == {(100, "apache-2.0"), (101, "mit"), (102, "gpl")}
 
 
+def test_licences_of_odd_rows(spark):
+    rows = [(None, "Released under the MIT License"), (None, "Released under the MIT License"), (1, None), (2, "x " * 200_000 + "\nReleased under the MIT License\n" + "Y " * 1000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS words", "2 AS grams", "3 AS features", "4 AS best")
+    assert Counter((r.doc_id, r.paragraph, r.family) for r in licenses.scan(frame).collect()) == {(None, 0, "mit"): 2, (2, 1, "mit"): 1}
+    assert licenses.scan(frame.limit(0)).count() == 0
+
+
+def test_containment_matches_brute_force(spark):
+    texts = ["Licensed under CC BY 4.0 by me", "Permission is granted, free of charge, to any person", "All rights", "Released under the BSD or MIT License"]
+    names = [n for n in licenses.FAMILIES if n != licenses.UNKNOWN]
+    out = licenses.with_features(spark.createDataFrame([(t,) for t in texts], "content string"))
+    for r in out.select("content", *(licenses.containment(F.col("grams"), F.lit(n)).alias(n) for n in names)).collect():
+        w = licenses._words_of(r.content)
+        pairs = set(zip(w, w[1:]))
+        for n in names:
+            want = max(len(pairs & set(zip(t, t[1:]))) / len(set(zip(t, t[1:]))) for t in map(licenses._words_of, licenses.TEMPLATES[n]))
+            assert r[n] == pytest.approx(want)
+
+
 def licence_model(seed, least):
     """Sparse random weights, in favour of unknown; the foreign share speaks for unknown."""
     rng = np.random.default_rng(seed)
