@@ -53,7 +53,9 @@ def test_pivots_are_chosen_by_the_cells_of_a_vector():
     unit = lambda x: x / np.linalg.norm(x, axis=1)[:, None]
     far = embedding_join.choose_pivots(unit(rng.normal(size=(400, 64))), 0.374, 400)
     near = embedding_join.choose_pivots(unit(np.repeat(rng.normal(size=(16, 64)), 25, 0)[rng.permutation(400)] + rng.normal(size=(400, 64)) * 0.02), 0.374, 4000)
-    assert 2 <= len(far) <= 4 < 16 <= len(near)
+    assert 2 <= len(far) <= len(near) <= 63
+    for sample, chosen in ((unit(rng.normal(size=(400, 64))), far), (near, near)):
+        assert embedding_join._to_cells(sample, chosen, 0.374)[0].sum(1).mean() <= embedding_join.CELLS + 0.5
     assert embedding_join.choose_pivots(unit(rng.normal(size=(40, 64))), 0.374, 40) is None
 
 
