@@ -37,9 +37,12 @@ def sum_between(panel: DataFrame, events: DataFrame, at: str, value: Column, fir
 
 def next_day(dates: DataFrame, column: str, calendar: DataFrame) -> DataFrame:
     """Adds ``next_day``: the first calendar date at or after ``column``; null after the last."""
-    span = calendar.select(F.col("date").alias("_to"), F.coalesce(F.date_add(F.lag("date").over(Window.orderBy("date")), 1), F.lit("0001-01-01").cast("date")).alias("_from"))
-    days = span.select("_to", F.explode(F.sequence(F.greatest("_from", F.date_sub("_to", 30)), F.col("_to"))).alias("_day"))
-    return dates.join(days, F.col(column) == F.col("_day"), "left").withColumnRenamed("_to", "next_day").drop("_day")
+    # The calendar is a row per date, so its gaps, of any length, are a row per day of its span.
+    ends = calendar.select(F.col("date").alias("_to"), F.coalesce(F.date_add(F.lag("date").over(Window.orderBy("date")), 1), F.col("date")).alias("_from"))
+    days = ends.select("_to", F.explode(F.sequence("_from", "_to")).alias("_day"))
+    first = calendar.agg(F.min("date").alias("_first"))
+    d = dates.join(days, F.col(column) == F.col("_day"), "left").crossJoin(F.broadcast(first))
+    return d.withColumn("next_day", F.when(F.col(column) < F.col("_first"), F.col("_first")).otherwise(F.col("_to"))).drop("_day", "_to", "_first")
 
 
 def days_since(panel: DataFrame, events: DataFrame, at: str, most: int, name: str) -> DataFrame:

@@ -47,13 +47,21 @@ def base_launch_adjust_trigger(panel: DataFrame, most: int = 10, least: int = 2)
     return decided.groupBy("code", "launch_date").agg(F.min_by("status", "step").alias("status"), F.min("step").alias("step"), F.min_by("date", "step").alias("date"))
 
 
-def base_run(panel: DataFrame, starts: DataFrame, most: int = 40, amplitude: float = 0.3) -> DataFrame:
-    """For each start (code, pos): how many bars back the closes stay within an amplitude."""
-    bars = prepared(panel).select("code", "pos", "close")
-    back = starts.select("code", F.col("pos").alias("start"), F.explode(F.sequence(F.lit(1), F.lit(most))).alias("k")).withColumn("pos", F.col("start") - F.col("k")).join(bars, ["code", "pos"])
-    w = Window.partitionBy("code", "start").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    held = back.withColumn("ok", F.max("close").over(w) / F.min("close").over(w) - 1 <= amplitude)
-    return held.groupBy("code", "start").agg(F.coalesce(F.min(F.when(~F.col("ok"), F.col("k"))) - 1, F.max("k")).alias("run"), F.bool_and("ok").alias("to_the_end"))
+def open_patterns(panel: DataFrame, most: int = 10, least: int = 2, shrink: float = 0.8) -> DataFrame:
+    """Launches of each code's last bars that have neither failed nor triggered yet.
+
+    Per launch: quiet bars so far, bars left to wait, whether there are ``least`` of them with a
+    mean volume of at most ``shrink`` of the launch's, and how far the launch's high is above the last close.
+    """
+    bars = prepared(panel)
+    last = bars.groupBy("code").agg(F.max("pos").alias("last"), F.max_by("close", "pos").alias("now"))
+    start = launches(bars).select("code", F.col("pos").alias("start"), F.col("date").alias("launch_date"), F.col("high").alias("l_high"), F.col("low").alias("l_low"), F.col("volume").alias("l_volume"))
+    start = start.join(last, "code").where(F.col("last") - F.col("start") <= most)
+    steps = bars.select("code", "pos", "close", "low", "volume").join(start, "code").where(F.col("pos") > F.col("start"))
+    ended = (F.col("low") < F.col("l_low")) | (F.col("close") > F.col("l_high")) | (F.col("volume") >= F.col("l_volume"))
+    g = steps.groupBy("code", "launch_date", "l_high", "l_volume", "now").agg(F.count("*").alias("adjust_days"), F.bool_or(ended).alias("ended"), F.avg("volume").alias("v")).where(~F.col("ended"))
+    b_ok = (F.col("adjust_days") >= least) & (F.col("v") <= shrink * F.col("l_volume"))
+    return g.select("code", "launch_date", "adjust_days", (most + 1 - F.col("adjust_days")).alias("wait_left"), b_ok.alias("b_ok"), (100 * (F.col("l_high") / F.col("now") - 1)).alias("to_high_pct"))
 
 
 def pool_days(lists: DataFrame, expiry: int = 60) -> DataFrame:

@@ -31,7 +31,6 @@ SELECT code, launch_date, arg_min(status, step) AS status, CAST(MIN(step) AS INT
 add("i02_base_launch_adjust_trigger", lambda s, d: patterns.base_launch_adjust_trigger(panel(s, d)), PREPARED + LAUNCHES + STEPS)
 add("i01_prepared_bars", lambda s, d: rounded(patterns.prepared(panel(s, d)), ["gain", "vr"], ("code", "date", "pos", "big")), PREPARED + rounded_sql({"gain": "gain", "vr": "vr"}, "p", "code, date, pos, big"))
 add("d08_status_counts", lambda s, d: patterns.base_launch_adjust_trigger(panel(s, d)).groupBy("status").agg(F.count("*").alias("n")), PREPARED + LAUNCHES + STEPS.replace("SELECT code, launch_date, arg_min", ", zz AS (SELECT code, launch_date, arg_min") + ") SELECT status, COUNT(*) AS n FROM zz GROUP BY status")
-add("i05_base_run", lambda s, d: (lambda b: patterns.base_run(panel(s, d), b.where("big").select("code", "pos")))(patterns.prepared(panel(s, d))), PREPARED + ", j AS (SELECT a.code, a.pos AS start, a.pos - b.pos AS k, b.close FROM p a JOIN p b ON a.code = b.code AND b.pos BETWEEN a.pos - 40 AND a.pos - 1 WHERE a.big), h AS (SELECT *, MAX(close) OVER v / MIN(close) OVER v - 1 <= 0.3 AS ok FROM j WINDOW v AS (PARTITION BY code, start ORDER BY k)) SELECT code, start, COALESCE(MIN(CASE WHEN NOT ok THEN k END) - 1, MAX(k)) AS run, bool_and(ok) AS to_the_end FROM h GROUP BY code, start")
 add("i09_pool_stays", lambda s, d: patterns.pool_days(picks(s, d, 5)), RET + PICKS + f", q AS (SELECT *, COALESCE(CAST(date - LAG(date) OVER ({BY}) > 60 AS INT), 1) AS nw FROM k WHERE rank <= 5), zz AS (SELECT *, SUM(nw) OVER ({BY}) AS stay FROM q) SELECT code, CAST(stay AS BIGINT) AS stay, MIN(date) AS first, MAX(date) AS last, COUNT(*) AS days, MIN(rank) AS best FROM zz GROUP BY code, stay")
 DAY = ", m AS (SELECT date, COUNT(*) AS n, AVG(CAST(r > 0 AS DOUBLE)) AS up, CAST(SUM(CAST(r >= 0.045 AS INT)) AS BIGINT) AS large FROM p GROUP BY date)"
 
@@ -52,7 +51,6 @@ MONTH = ", v AS (SELECT *, CAST(date_trunc('month', date) AS DATE) AS month FROM
 add("k01_stratified_sample", lambda s, d: learning.stratified(labelled(s, d).withColumn("month", F.trunc("date", "month"))).groupBy("month", "y").agg(F.count("*").alias("n")), RET + LABELS + MONTH + ", c AS (SELECT month, y, COUNT(*) AS n, SUM(SUM(CASE WHEN y = 1 THEN 1 ELSE 0 END)) OVER (PARTITION BY month) AS pos FROM v GROUP BY month, y) SELECT month, y, CAST(CASE WHEN y = 1 THEN n ELSE LEAST(n, 12 * pos) END AS BIGINT) AS n FROM c WHERE y = 1 OR pos > 0")
 add("k02_weights", lambda s, d: rounded(learning.weights(labelled(s, d).where("y IS NOT NULL").withColumn("month", F.trunc("date", "month"))), ["w_month", "w_age"]), RET + LABELS + MONTH + rounded_sql({"w_month": "(SELECT CAST(COUNT(*) AS DOUBLE) / COUNT(DISTINCT month) FROM v) / COUNT(*) OVER (PARTITION BY month)", "w_age": "POWER(0.5, ((SELECT MAX(date) FROM v) - date) / CAST(250 AS DOUBLE))"}, "v"))
 add("k04_purged_slice", lambda s, d: learning.purged(labelled(s, d), "1998-01-01").groupBy("code").agg(F.count("*").alias("n"), F.max("date").alias("last")), RET + f", q AS (SELECT *, LEAD(date, 20) OVER ({BY}) AS closed FROM p) SELECT code, COUNT(*) AS n, MAX(date) AS last FROM q WHERE date < DATE '1998-01-01' AND closed < DATE '1998-01-01' GROUP BY code")
-add("k05_walk_forward", lambda s, d: rounded(learning.walk_forward(labelled(s, d).withColumn("y", F.col("y").cast("double")), ["1998-03-01", "1998-04-01"], ["r", "r20", "r60", "turnover"], learning.logistic).where("p IS NOT NULL").groupBy("month").agg(F.count("*").alias("n"), F.avg("p").alias("p"), F.avg("y").alias("y")), ["p", "y"], ("month", "n"), 3))
 # intraday
 add("s04_minute_bars", lambda s, d: rounded(intraday.minute_bars(panels.ticks(s, d), "15 minutes"), ["open", "high", "low", "close", "flow", "volume"], ("code", "minute", "n")), " SELECT code, time_bucket(INTERVAL 15 minutes, ts) AS minute, COUNT(*) AS n, " + r6("(MIN(ROW(ts, event_id, price)))[3]", "open") + ", " + r6("MAX(price)", "high") + ", " + r6("MIN(price)", "low") + ", " + r6("(MAX(ROW(ts, event_id, price)))[3]", "close") + ", " + r6("SUM(side * value)", "flow") + ", " + r6("SUM(value)", "volume") + " FROM ticks GROUP BY 1, 2", DUCK_TICKS)
 add("n02_day_features", lambda s, d: rounded(intraday.day_features(intraday.minute_bars(panels.ticks(s, d))), ["vwap_gap", "drawdown", "realised", "first_hour"], ("code", "date", "minutes", "high_at")), f""", m AS (SELECT code, time_bucket(INTERVAL 1 minute, ts) AS minute, CAST(ts AS DATE) AS date, MAX(price) AS high, MIN(price) AS low, (MAX(ROW(ts, event_id, price)))[3] AS close, SUM(value) AS volume FROM ticks GROUP BY 1, 2, 3),

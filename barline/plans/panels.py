@@ -94,7 +94,7 @@ add(
 add(
     "c09_next_trading_day",
     lambda s, d: joins.next_day(panels.notices(s, d), "date", panel(s, d).select("date").distinct()).select("notice_id", "date", "next_day"),
-    " SELECT notice_id, date, (SELECT MIN(c.date) FROM (SELECT DISTINCT date FROM panel) c WHERE c.date >= n.date AND c.date <= n.date + 30) AS next_day FROM notices n",
+    " SELECT notice_id, date, (SELECT MIN(c.date) FROM (SELECT DISTINCT date FROM panel) c WHERE c.date >= n.date) AS next_day FROM notices n",
     NOTICES,
 )
 add(

@@ -18,7 +18,9 @@ def merge_shards(shards: DataFrame, keys: list[str], shard: str) -> DataFrame:
     """A later shard replaces the code as a whole; then one row per key, the last shard's."""
     newest = shards.groupBy(keys[0]).agg(F.max(shard).alias("_newest"))
     kept = shards.join(newest, keys[0]).where(F.col(shard) == F.col("_newest")).drop("_newest")
-    return kept.dropDuplicates(keys)
+    others = [c for c in shards.columns if c not in keys]
+    w = Window.partitionBy(*keys).orderBy(*(F.col(c).desc_nulls_last() for c in (shard, *others)))
+    return kept.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], last_wins: bool = True) -> DataFrame:
