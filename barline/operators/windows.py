@@ -129,22 +129,49 @@ def shapes(panel: DataFrame) -> DataFrame:
     return panel.select("*", ((c - o) / o).alias("kmid"), ((h - l) / o).alias("klen"), ((c - o) / span).alias("kmid2"), ((h - top) / o).alias("kup"), ((h - top) / span).alias("kup2"), ((bottom - l) / o).alias("klow"), ((bottom - l) / span).alias("klow2"), ((2 * c - h - l) / o).alias("ksft"), ((2 * c - h - l) / span).alias("ksft2"), (o / c).alias("open0"), (h / c).alias("high0"), (l / c).alias("low0"))
 
 
+def _running(x: Column) -> Column:
+    return F.sum(x).over(by_code().rowsBetween(Window.unboundedPreceding, 0))
+
+
+def _last_sum(total: str, n: int) -> Column:
+    """The sum over the last n rows from a running total."""
+    return F.col(total) - F.coalesce(F.lag(total, n).over(by_code()), F.lit(0))
+
+
 def moments(panel: DataFrame, spans=(5, 10, 20, 30, 60)) -> DataFrame:
+    """Returns, means, deviations, extremes of close and volume over several spans.
+
+    Sums of a span are differences of running totals, so a row costs the same for every span;
+    closes enter as whole cents, so that the totals are exact.
+    """
+    cents = F.round(F.col("close") * 100).cast("long")
+    d0 = panel.withColumn("_x", cents).select("*", *(_running(x).alias(n) for n, x in (("_n", F.when(F.col("_x").isNotNull(), 1).otherwise(0)), ("_s", F.col("_x")), ("_q", F.col("_x") * F.col("_x")), ("_vn", F.when(F.col("volume").isNotNull(), 1).otherwise(0)), ("_vs", F.col("volume")), ("_vq", F.col("volume") * F.col("volume")))))
     out, c, v = [], F.col("close"), F.col("volume")
+    spread = lambda s, q, d: F.sqrt(F.greatest(d * _last_sum(q, d) - _last_sum(s, d) * _last_sum(s, d), F.lit(0)).cast("double")) / d
     for d in spans:
         w = last_n(d)
-        out += [(lag("close", d) / c).alias(f"roc{d}"), (mean("close", d) / c).alias(f"ma{d}"), (full(F.stddev_pop(c), c, d, w) / c).alias(f"std{d}"), (full(F.max("high"), c, d, w) / c).alias(f"max{d}"), (full(F.min("low"), c, d, w) / c).alias(f"min{d}"), (mean("volume", d) / v).alias(f"vma{d}"), (full(F.stddev_pop(v), v, d, w) / v).alias(f"vstd{d}")]
-    return panel.select("*", *out)
+        whole = lambda n, x, d=d: F.when(_last_sum(n, d) == d, x)
+        out += [(lag("close", d) / c).alias(f"roc{d}"), (whole("_n", _last_sum("_s", d) / (100.0 * d)) / c).alias(f"ma{d}"), (whole("_n", spread("_s", "_q", d) / 100) / c).alias(f"std{d}")]
+        out += [(whole("_n", F.max("high").over(w)) / c).alias(f"max{d}"), (whole("_n", F.min("low").over(w)) / c).alias(f"min{d}")]
+        out += [(whole("_vn", _last_sum("_vs", d) / d) / v).alias(f"vma{d}"), (whole("_vn", spread("_vs", "_vq", d)) / v).alias(f"vstd{d}")]
+    return d0.select(*panel.columns, *out)
 
 
 def trend(panel: DataFrame, spans=(5, 10, 20, 30, 60)) -> DataFrame:
-    """Slope, fit and last residual of the close on time, by sums over the window."""
-    d0 = panel.withColumn("_t", F.row_number().over(by_code()).cast("double"))
-    y, t, out = F.col("close"), F.col("_t"), []
+    """Slope, fit and last residual of the close on time, from running totals of exact cents."""
+    d0 = panel.select("*", F.round(F.col("close") * 100).cast("long").alias("_x"), F.row_number().over(by_code()).cast("long").alias("_t"))
+    d0 = d0.select("*", *(_running(x).alias(n) for n, x in (("_s", F.col("_x")), ("_q", F.col("_x") * F.col("_x")), ("_p", F.col("_x") * F.col("_t")))))
+    y, out = F.col("close"), []
     for d in spans:
-        w = last_n(d)
-        beta = full(F.regr_slope(y, t), y, d, w)
-        out += [(beta / y).alias(f"beta{d}"), full(F.regr_r2(y, t), y, d, w).alias(f"rsqr{d}"), ((y - (F.avg(y).over(w) + beta * (t - F.avg(t).over(w)))) / y).alias(f"resi{d}")]
+        whole = F.col("_t") >= d
+        s, q = _last_sum("_s", d).cast("double"), _last_sum("_q", d)
+        # Time is centred on the span: sum of (t - mean) x, doubled to stay whole.
+        cross = (2 * _last_sum("_p", d) - (2 * F.col("_t") - (d - 1)) * _last_sum("_s", d)).cast("double") / 2
+        txx = d * (d * d - 1) / 12.0
+        yy = (d * q - _last_sum("_s", d) * _last_sum("_s", d)).cast("double") / d
+        beta = cross / txx / 100
+        out += [(F.when(whole, beta) / y).alias(f"beta{d}"), F.when(whole, F.when(yy == 0, 1.0).otherwise(cross * cross / txx / yy)).alias(f"rsqr{d}")]
+        out += [(F.when(whole, y - (s / (100.0 * d) + beta * ((d - 1) / 2))) / y).alias(f"resi{d}")]
     return d0.select(*panel.columns, *out)
 
 

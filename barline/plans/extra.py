@@ -54,7 +54,7 @@ add("m01_event_shares", lambda s, d: rounded(fam.event_shares(panel(s, d), panel
 POINTS = ", x AS (SELECT code, CAST(ts AS DATE) AS date, ts, event_id, price, h, epoch_us(ts) / 1e6 - epoch(CAST(CAST(ts AS DATE) AS TIMESTAMP)) - h * 3600 AS late FROM ticks, (SELECT UNNEST([0, 6, 12, 18]) AS h)), y AS (SELECT code, date, h, (MIN(ROW(ts, event_id, price)))[3] AS price FROM x WHERE late >= 0 AND late <= 7200 GROUP BY 1, 2, 3), pt AS (SELECT code, date, " + ", ".join(f"MAX(CASE WHEN h = {h} THEN price END) AS at{h}" for h in (0, 6, 12, 18)) + " FROM y GROUP BY 1, 2)"
 GAP, SLOPE = "(at12 / prev - 1)", "((at12 - at0) / prev)"
 add("p03_snapshot_scores", lambda s, d: rounded(fam.snapshot_scores(intraday.samples(panels.ticks(s, d), [0, 6, 12, 18], 7200), panels.ticks(s, d).groupBy("code").agg(F.avg("price").alias("prev"))), ["gap", "slope"], ("code", "date", "rising")), POINTS + ", v AS (SELECT code, AVG(price) AS prev FROM ticks GROUP BY code)" + rounded_sql({"gap": GAP, "slope": SLOPE}, "pt JOIN v ON v.code = pt.code WHERE at0 IS NOT NULL AND at12 IS NOT NULL", "pt.code, date, CAST(at0 <= COALESCE(at6, at0) AND COALESCE(at6, at0) <= at12 AS INT) AS rising"), DUCK_TICKS)
-add("c01_label_left_join", lambda s, d: rounded(panel(s, d).select("code", "date").join(labelled(s, d).where("y IS NOT NULL").select("code", "date", "rise"), ["code", "date"], "left"), ["rise"]), RET + LABELS + ", v AS (SELECT code, date, rise FROM u WHERE y IS NOT NULL) SELECT p.code, p.date, " + r6("v.rise", "rise") + " FROM panel p LEFT JOIN v ON v.code = p.code AND v.date = p.date")
+add("c01_label_left_join", lambda s, d: rounded(panel(s, d).select("code", "date").join(labelled(s, d).where("y IS NOT NULL").select("code", "date", "rise"), ["code", "date"], "left"), ["rise"]), RET + LABELS + " SELECT code, date, " + r6("CASE WHEN y IS NOT NULL THEN rise END", "rise") + " FROM u")
 add("c02_join_coverage", lambda s, d: (lambda a, b: rounded(a.join(b.withColumn("_l", F.lit(1)), ["code", "date"], "left").groupBy("code").agg(F.count("*").alias("n"), F.avg(F.coalesce(F.col("_l").cast("double"), F.lit(0.0))).alias("covered")), ["covered"], ("code", "n")))(panel(s, d).select("code", "date"), panels.notices(s, d).select("code", "date").distinct()), ", b AS (SELECT DISTINCT code, date FROM notices) SELECT p.code, COUNT(*) AS n, " + r6("AVG(CASE WHEN b.code IS NULL THEN 0.0 ELSE 1.0 END)", "covered") + " FROM panel p LEFT JOIN b ON b.code = p.code AND b.date = p.date GROUP BY p.code", BARS, NOTICES)
 add("c03_outer_join_of_sides", lambda s, d: (lambda n: n.where("kind IN ('1-URGENT', '2-HIGH')").groupBy("code", "date").agg(F.count("*").alias("buys")).join(n.where("kind = '5-LOW'").groupBy("code", "date").agg(F.count("*").alias("sells")), ["code", "date"], "outer").select("code", "date", F.coalesce("buys", F.lit(0)).alias("buys"), F.coalesce("sells", F.lit(0)).alias("sells")))(panels.notices(s, d)), ", g AS (SELECT code, date, COUNT(*) FILTER (kind IN ('1-URGENT', '2-HIGH')) AS buys, COUNT(*) FILTER (kind = '5-LOW') AS sells FROM notices GROUP BY code, date) SELECT * FROM g WHERE buys + sells > 0", BARS, NOTICES)
 add("c12_events_in_a_range", lambda s, d: panels.notices(s, d).where("date BETWEEN DATE'1998-01-01' AND DATE'1998-06-30'").groupBy("code", "kind").agg(F.count("*").alias("n"), F.max("date").alias("last")), " SELECT code, kind, COUNT(*) AS n, MAX(date) AS last FROM notices WHERE date BETWEEN DATE '1998-01-01' AND DATE '1998-06-30' GROUP BY code, kind", BARS, NOTICES)
