@@ -80,20 +80,21 @@ def compression(panel: DataFrame) -> DataFrame:
     return d.select(
         *panel.columns,
         (mean("_amp", 5) / mean("_amp", 20)).alias("range_compress"),
-        (mean("volume", 5) / mean("volume", 20)).alias("vol_compress"),
+        (mean("turnover", 5) / mean("turnover", 20)).alias("vol_compress"),
         (mean("_tr", 14) / mean("_tr", 60)).alias("atr_ratio"),
         (4 * full(F.stddev_samp(c), c, 20, last_n(20)) / mean("close", 20)).alias("boll_width"),
     )
 
 
 def volume_block(panel: DataFrame) -> DataFrame:
-    d = panel.withColumn("_up", F.when(F.col("close") > lag("close"), F.col("volume")).otherwise(0.0)).withColumn("_signed", F.signum(F.col("close") - lag("close")) * F.col("volume"))
+    """Turnover against its means, today included; turnover, not volume, because share counts change."""
     t = F.col("turnover")
-    total = full(F.sum("volume"), F.col("volume"), 20, last_n(20))
+    d = panel.withColumn("_up", F.when(F.col("close") > lag("close"), t).otherwise(0.0)).withColumn("_signed", F.coalesce(F.signum(F.col("close") - lag("close")), F.lit(0.0)) * t)
+    total = F.nullif(full(F.sum(t), t, 20, last_n(20)), F.lit(0.0))
     return d.select(
         *panel.columns,
-        (F.col("volume") / mean("volume", 5, 1)).alias("vol_ratio5"),
-        (F.col("volume") / mean("volume", 20, 1)).alias("vol_ratio20"),
+        (t / F.nullif(mean("turnover", 5), F.lit(0.0))).alias("vol_ratio5"),
+        (t / F.nullif(mean("turnover", 20), F.lit(0.0))).alias("vol_ratio20"),
         (full(F.stddev_samp(t), t, 20, last_n(20)) / mean("turnover", 20)).alias("turn_cv20"),
         (full(F.sum("_up"), F.col("_up"), 20, last_n(20)) / total).alias("up_vol_share20"),
         (full(F.sum("_signed"), F.col("_signed"), 20, last_n(20)) / total).alias("obv_slope20"),

@@ -38,7 +38,7 @@ feature(
 feature(
     "e05_compression",
     w.compression,
-    {"range_compress": f"{mean('amp', 5)} / {mean('amp', 20)}", "vol_compress": f"{mean('volume', 5)} / {mean('volume', 20)}", "atr_ratio": f"{mean('tr', 14)} / {mean('tr', 60)}", "boll_width": f"4 * ({full('STDDEV_SAMP(close)', 'close', 20)}) / {mean('close', 20)}"},
+    {"range_compress": f"{mean('amp', 5)} / {mean('amp', 20)}", "vol_compress": f"{mean('turnover', 5)} / {mean('turnover', 20)}", "atr_ratio": f"{mean('tr', 14)} / {mean('tr', 60)}", "boll_width": f"4 * ({full('STDDEV_SAMP(close)', 'close', 20)}) / {mean('close', 20)}"},
     RET + ", q AS (SELECT *, (high - low) / close AS amp, GREATEST(high - low, ABS(high - prev), ABS(low - prev)) AS tr FROM p)",
     "q",
 )
@@ -46,14 +46,14 @@ feature(
     "e06_volume_block",
     w.volume_block,
     {
-        "vol_ratio5": f"volume / {mean('volume', 5, 1)}",
-        "vol_ratio20": f"volume / {mean('volume', 20, 1)}",
+        "vol_ratio5": f"turnover / {mean('turnover', 5)}",
+        "vol_ratio20": f"turnover / {mean('turnover', 20)}",
         "turn_cv20": f"({full('STDDEV_SAMP(turnover)', 'turnover', 20)}) / {mean('turnover', 20)}",
-        "up_vol_share20": f"({full('SUM(up)', 'up', 20)}) / ({full('SUM(volume)', 'volume', 20)})",
-        "obv_slope20": f"({full('SUM(signed)', 'signed', 20)}) / ({full('SUM(volume)', 'volume', 20)})",
+        "up_vol_share20": f"({full('SUM(up)', 'up', 20)}) / ({full('SUM(turnover)', 'turnover', 20)})",
+        "obv_slope20": f"({full('SUM(signed)', 'signed', 20)}) / ({full('SUM(turnover)', 'turnover', 20)})",
         "amt_ma20": f"LN(1 + {mean('amount', 20)})",
     },
-    RET + ", q AS (SELECT *, CASE WHEN close > prev THEN volume ELSE 0 END AS up, SIGN(close - prev) * volume AS signed FROM p)",
+    RET + ", q AS (SELECT *, CASE WHEN close > prev THEN turnover ELSE 0 END AS up, COALESCE(SIGN(close - prev), 0) * turnover AS signed FROM p)",
     "q",
 )
 feature("e11_five_row_aggregates", lambda d: w.five_row(w.returns(d, (1,)), ["ret1", "turnover"]), {k: v for x, e in (("ret1", "r"), ("turnover", "turnover")) for k, v in ((f"{x}__last", e), (f"{x}__mean", mean(e, 5)), (f"{x}__slope", f"({e} - {lag(e, 4)}) / 4"))}, RET, "p")
