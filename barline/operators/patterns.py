@@ -64,6 +64,18 @@ def open_patterns(panel: DataFrame, most: int = 10, least: int = 2, shrink: floa
     return g.select("code", "launch_date", "adjust_days", (most + 1 - F.col("adjust_days")).alias("wait_left"), b_ok.alias("b_ok"), (100 * (F.col("l_high") / F.col("now") - 1)).alias("to_high_pct"))
 
 
+def first_quiet_day(panel: DataFrame, most: int = 10, least: int = 2, shrink: float = 0.8) -> DataFrame:
+    """For each launch that got so far: the first day with ``least`` quiet bars behind it and a mean volume of at most ``shrink`` of the launch's."""
+    bars = prepared(panel)
+    start = launches(bars).select("code", F.col("pos").alias("start"), F.col("date").alias("launch_date"), F.col("high").alias("l_high"), F.col("low").alias("l_low"), F.col("volume").alias("l_volume"))
+    steps = start.select("*", F.explode(F.sequence(F.lit(1), F.lit(most))).alias("step")).withColumn("pos", F.col("start") + F.col("step"))
+    t = steps.join(bars.select("code", "pos", "date", "close", "low", "volume"), ["code", "pos"])
+    so_far = Window.partitionBy("code", "launch_date").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    bad = (F.col("low") < F.col("l_low")) | (F.col("close") > F.col("l_high")) | (F.col("volume") >= F.col("l_volume"))
+    t = t.withColumn("bad", F.max(bad.cast("int")).over(so_far)).withColumn("mean", F.avg("volume").over(so_far))
+    return t.where((F.col("bad") == 0) & (F.col("step") >= least) & (F.col("mean") <= shrink * F.col("l_volume"))).groupBy("code", "launch_date").agg(F.min("date").alias("b_date"))
+
+
 def pool_days(lists: DataFrame, expiry: int = 60) -> DataFrame:
     """Runs of listings of a code, broken where it is absent for more than ``expiry`` days."""
     gap = F.datediff("date", F.lag("date").over(by_code()))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,23 @@ def enriched(quotes: DataFrame, static: DataFrame, on: str = "code") -> DataFram
     return quotes.join(static, on, "left")
 
 
+def late_counts(ticks: DataFrame, key: str, seconds: int) -> DataFrame:
+    """Rows by key, and how many of them came after a newer one by more than ``seconds``; ``event_id`` is the order of arrival.
+
+    The newest stamp before each row comes from blocks of arrivals: inside a block by a
+    window, before it from the blocks' own newest stamps, a row each.
+    """
+    from pyspark.sql.window import Window
+
+    block = (F.col("event_id") / 100_000).cast("long")
+    t = ticks.withColumn("_b", block)
+    inside = F.max("at").over(Window.partitionBy("_b").orderBy("event_id").rowsBetween(Window.unboundedPreceding, -1))
+    newest = t.groupBy("_b").agg(F.max("at").alias("m"))
+    before = newest.select("_b", F.max("m").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)).alias("_m"))
+    seen = t.withColumn("_i", inside).join(before, "_b").withColumn("_seen", F.greatest("_i", "_m"))
+    return seen.groupBy(key).agg(F.count("*").alias("n"), F.count_if(F.col("at") < F.col("_seen") - seconds * 1_000_000).alias("late"))
+
+
 def upsert_into(path: str, keys: list[str], order: list[str]):
     """A foreachBatch function: the last row of each key wins over the table at ``path``.
 
@@ -43,8 +61,12 @@ def upsert_into(path: str, keys: list[str], order: list[str]):
         from pyspark.sql.window import Window
 
         spark = batch.sparkSession
-        versions = spark.read.schema("version string").json(f"{path}/_current/*.json") if batch_id else None
-        latest = versions.agg(F.max("version")).first()[0] if versions is not None else None
+        try:
+            versions = spark.read.schema("version string").json(f"{path}/_current")
+        except AnalysisException:  # nothing is written there yet, whatever the batch's number
+            versions = None
+        # A replayed batch builds on the version before its own.
+        latest = versions.where(F.col("version") < f"v{batch_id:09d}").agg(F.max("version")).first()[0] if versions is not None else None
         both = batch.withColumn("_new", F.lit(1))
         if latest:
             both = both.unionByName(spark.read.parquet(f"{path}/{latest}").withColumn("_new", F.lit(0)))
