@@ -14,7 +14,7 @@ import unicodedata
 from array import array
 
 #: Pieces kept by a worker before it starts afresh.
-CACHE_PIECES = 1_200_000
+CACHE_PIECES = 700_000
 #: Pieces longer than this aren't kept.
 CACHE_PIECE_CHARS = 64
 #: Letters, then ASCII marks.
@@ -59,11 +59,13 @@ class PieceCache(dict):
 
     def _word(self, word: str) -> bytes:
         spelt = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_CHARS)
-        self.words[word] = ids = array("I", [t.id for t in self.tokenizer.model.tokenize(spelt)]).tobytes()
+        ids = array("I", [t.id for t in self.tokenizer.model.tokenize(spelt)]).tobytes()
+        if len(word) <= CACHE_PIECE_CHARS:
+            self.words[word] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
-        if len(self) > CACHE_PIECES:
+        if len(self) + len(self.words) > CACHE_PIECES:
             self.clear()
             self.words.clear()
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
