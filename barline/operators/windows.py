@@ -147,14 +147,17 @@ def moments(panel: DataFrame, spans=(5, 10, 20, 30, 60)) -> DataFrame:
     """
     cents = F.round(F.col("close") * 100).cast("long")
     d0 = panel.withColumn("_x", cents).select("*", *(_running(x).alias(n) for n, x in (("_n", F.when(F.col("_x").isNotNull(), 1).otherwise(0)), ("_s", F.col("_x")), ("_q", F.col("_x") * F.col("_x")), ("_vn", F.when(F.col("volume").isNotNull(), 1).otherwise(0)), ("_vs", F.col("volume")), ("_vq", F.col("volume") * F.col("volume")))))
+    totals = ("_n", "_s", "_q", "_vn", "_vs", "_vq")
+    # Every sum of a span is one column, so that it is evaluated once.
+    d0 = d0.select("*", *(_last_sum(x, d).alias(f"{x}{d}") for d in spans for x in totals), *(e for d in spans for e in (lag("close", d).alias(f"_c{d}"), F.max("high").over(last_n(d)).alias(f"_hi{d}"), F.min("low").over(last_n(d)).alias(f"_lo{d}"))))
     out, c, v = [], F.col("close"), F.col("volume")
-    spread = lambda s, q, d: F.sqrt(F.greatest(d * _last_sum(q, d) - _last_sum(s, d) * _last_sum(s, d), F.lit(0)).cast("double")) / d
     for d in spans:
-        w = last_n(d)
-        whole = lambda n, x, d=d: F.when(_last_sum(n, d) == d, x)
-        out += [(lag("close", d) / c).alias(f"roc{d}"), (whole("_n", _last_sum("_s", d) / (100.0 * d)) / c).alias(f"ma{d}"), (whole("_n", spread("_s", "_q", d) / 100) / c).alias(f"std{d}")]
-        out += [(whole("_n", F.max("high").over(w)) / c).alias(f"max{d}"), (whole("_n", F.min("low").over(w)) / c).alias(f"min{d}")]
-        out += [(whole("_vn", _last_sum("_vs", d) / d) / v).alias(f"vma{d}"), (whole("_vn", spread("_vs", "_vq", d)) / v).alias(f"vstd{d}")]
+        n, s, q, vn, vs, vq = (F.col(f"{x}{d}") for x in totals)
+        spread = lambda s, q, d=d: F.sqrt(F.greatest(d * q - s * s, F.lit(0)).cast("double")) / d
+        whole = lambda x, n=n, d=d: F.when(n == d, x)
+        out += [(F.col(f"_c{d}") / c).alias(f"roc{d}"), (whole(s / (100.0 * d)) / c).alias(f"ma{d}"), (whole(spread(s, q) / 100) / c).alias(f"std{d}")]
+        out += [(whole(F.col(f"_hi{d}")) / c).alias(f"max{d}"), (whole(F.col(f"_lo{d}")) / c).alias(f"min{d}")]
+        out += [(F.when(vn == d, vs / d) / v).alias(f"vma{d}"), (F.when(vn == d, spread(vs, vq)) / v).alias(f"vstd{d}")]
     return d0.select(*panel.columns, *out)
 
 
