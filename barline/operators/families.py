@@ -139,3 +139,41 @@ def snapshot_scores(points: DataFrame, prev: DataFrame) -> DataFrame:
     d = d.withColumn("gap", gap).withColumn("slope", slope).withColumn("rising", ((F.col("at0") <= F.coalesce("at6", "at0")) & (F.coalesce("at6", "at0") <= F.col("at12"))).cast("int"))
     parts = 0.5 * tent(F.col("gap"), -0.05, 0.15, 0.03) + 0.3 * clip(F.col("slope") / 0.05, 0.0, 1.0) + 0.2 * F.col("rising")
     return d.withColumn("score", F.greatest(F.round(100 * parts + 1e-9, 1), F.lit(0.0)))
+
+
+def amplitude(panel: DataFrame) -> DataFrame:
+    """Amplitude on high against low closes (20 rows), returns of calm against wild days (120 rows), and pushes up against down.
+
+    A window's values are sorted as pairs, so equal closes or amplitudes are ordered by the value beside them.
+    """
+    df = panel.withColumns({"amp": F.col("high") / F.col("low") - 1, "r": gain(), "before": lag("close")})
+
+    def ends(key: str, value: str, n: int, k: int) -> tuple[Column, Column]:
+        pairs = F.sort_array(F.collect_list(F.struct(key, value)).over(last_n(n)))
+        total = lambda part: F.aggregate(part, F.lit(0.0), lambda a, x: a + x[value])
+        return total(F.slice(pairs, 1, k)), total(F.slice(pairs, -k, k))
+
+    low, high = ends("close", "amp", 20, 5)
+    calm, wild = ends("amp", "r", 120, 36)
+    whole = lambda x, name, n: F.when(F.count(name).over(last_n(n)) == n, x)
+    sums = lambda x: F.sum(x).over(last_n(20))
+    up, down = F.greatest(F.col("high") - F.col("before"), F.lit(0.0)), F.greatest(F.col("before") - F.col("low"), F.lit(0.0))
+    return df.select(
+        "code",
+        "date",
+        whole((high - low) / 5, "amp", 20).alias("ideal20"),
+        whole(calm - wild, "r", 120).alias("cut120"),
+        whole(sums(F.col("high") - F.col("open")) / (sums(F.col("open") - F.col("low")) + 1e-9), "amp", 20).alias("push20"),
+        whole(sums(F.when(F.col("before").isNotNull(), up)) / (sums(F.when(F.col("before").isNotNull(), down)) + 1e-9), "before", 20).alias("range20"),
+    )
+
+
+def buyer_history(rows: DataFrame, buyer: str, day: str, y: str, lag: int = 21, prior: float = 0.08, weight: int = 10) -> DataFrame:
+    """n250: the buyer's rows of the last 250 days; hit_n and hit_rate: those with an outcome known ``lag`` days ago, shrunk to the prior.
+
+    ``day`` is a day number; rows of one day see each other in n250.
+    """
+    recent = Window.partitionBy(buyer).orderBy(day).rangeBetween(-249, 0)
+    closed = Window.partitionBy(buyer).orderBy(day).rangeBetween(-250 - lag, -lag)
+    known, hits = F.count(y).over(closed), F.coalesce(F.sum(y).over(closed), F.lit(0))
+    return rows.withColumns({"n250": F.count(F.lit(1)).over(recent), "hit_n": known, "hit_rate": (hits + weight * prior) / (known + weight)})

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from barline.plans import events, extra, features, more, panels, rows, stores
+from barline.plans import events, extra, features, judged, more, panels, rows, stores
 from barline.plans.helpers import plain
 
-MODULES = (features, panels, more, extra, rows, stores, events)
+MODULES = (features, panels, more, extra, rows, stores, events, judged)
 QUERIES = {name: q for m in MODULES for name, q in m.QUERIES.items()}
 ORACLE_SQL = {name: q for m in MODULES for name, q in m.ORACLE_SQL.items()}
 
