@@ -1,12 +1,12 @@
-"""Queries of amplitude, robust days, buyers, peers, and of scores and rules judged by what followed."""
+"""Queries of amplitude, robust days, buyers, holders, peers, titles, and of scores and rules judged by what followed."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from barline.functions import titles
 from barline.operators import crosssection as cs
-from barline.operators import families, peers, selection
+from barline.operators import families, holders, peers, selection
 from barline.operators import windows as w
 from barline.plans.helpers import BY, lag, rounded, rounded_sql, win
 from barline.plans.panels import LABELS, RET, labelled, returns
@@ -149,3 +149,39 @@ def l20(s, d):
     features = lambda df: df.select("code", "date", "cut", F.round(F.col("close") / w.lag("close", 5) - 1, 9).alias("past"), F.round(F.lead("close", 5).over(w.by_code()) / F.col("close") - 1, 9).alias("ahead")).where("date <= cut").drop("cut")
     changed = F.when(F.col("date") > F.col("cut"), F.col("close") * (1 + (F.col("code") % 7 + 1) / 100)).otherwise(F.col("close"))
     return selection.future_changes(features(dated), features(dated.withColumn("close", changed)), ["past", "ahead"])
+
+
+TITLES = "t AS (SELECT p_partkey AS id, p_brand AS code, p_brand || ': about ' || p_name || ' ' || p_type || ' notice' AS title FROM part)"
+
+
+def _titles(s, d):
+    title = F.concat("p_brand", F.lit(": about "), "p_name", F.lit(" "), "p_type", F.lit(" notice"))
+    return s.read.parquet(f"{d}/part.parquet").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("code"), title.alias("title"))
+
+
+@query("b16_announced", " SELECT id, regexp_replace(regexp_replace(regexp_replace(title, '^[^:]*:', ''), '^.*?about ', ''), ' notice$', '')[1:12] AS short FROM t WHERE contains(title, 'ring') AND NOT contains(title, 'small') AND NOT regexp_matches(title, 'ECONOMY|PROMO')", TITLES)
+def b16(s, d):
+    t = F.col("title")
+    return _titles(s, d).where(titles.announces(t, "ring", ("small",), "ECONOMY|PROMO")).select("id", titles.shortened(t, 12, "^[^:]*:", "^.*?about ", " notice$").alias("short"))
+
+
+#: Name of a class: prefix of the code, pattern of the title, pattern that excludes.
+CLASSES = {"ring": ("", "ring|band", "small"), "first": ("Brand#1", "", ""), "cheap": ("Brand#2", "ECONOMY|STANDARD", "red|blue"), "large": ("", "large|big|jumbo", "")}
+
+
+@query("b17_title_classes", " SELECT id, class FROM (" + " UNION ALL ".join(f"SELECT id, '{n}' AS class FROM t WHERE ({' OR '.join([f'starts_with(code, {chr(39)}{p}{chr(39)})'] * bool(p) + [f'regexp_matches(title, {chr(39)}{q}{chr(39)})'] * bool(q))})" + f" AND NOT regexp_matches(title, '{x}')" * bool(x) for n, (p, q, x) in CLASSES.items()) + ")", TITLES)
+def b17(s, d):
+    return _titles(s, d).select("id", F.explode(titles.classes(F.col("title"), F.col("code"), CLASSES)).alias("class"))
+
+
+@query("m13_top_holders", """, h AS (SELECT code, period, holder, SUM(size) AS size FROM hr GROUP BY 1, 2, 3),
+k AS (SELECT * FROM (SELECT *, SUM(size) OVER (PARTITION BY code, period) AS whole, ROW_NUMBER() OVER (PARTITION BY code, period ORDER BY size DESC, holder) AS place FROM h) WHERE place <= 10),
+g AS (SELECT code, period, COUNT(*) AS n, SUM(size) / ANY_VALUE(whole) AS ratio, MAX(size) / ANY_VALUE(whole) AS largest FROM k GROUP BY 1, 2),
+q AS (SELECT *, LAG(period) OVER v AS before, ratio - LAG(ratio) OVER v AS change FROM g WINDOW v AS (PARTITION BY code ORDER BY period)),
+o AS (SELECT q.code, q.period, ANY_VALUE(q.n) AS n, COUNT(*) FILTER (q.before IS NOT NULL AND b.holder IS NULL) AS n_new, COUNT(*) FILTER (k.size > b.size) AS n_up, ANY_VALUE(ratio) AS ratio, ANY_VALUE(change) AS change, ANY_VALUE(largest) AS largest
+      FROM q JOIN k ON k.code = q.code AND k.period = q.period LEFT JOIN k b ON b.code = q.code AND b.period = q.before AND b.holder = k.holder GROUP BY 1, 2)""" + rounded_sql({"ratio": "ratio", "change": "change", "largest": "largest"}, "o", "code, period, n, n_new, n_up"), "hr AS (SELECT l_suppkey AS code, CAST(date_trunc('quarter', l_shipdate) AS DATE) AS period, o_custkey AS holder, l_quantity AS size FROM lineitem JOIN orders ON o_orderkey = l_orderkey)")
+def m13(s, d):
+    o = s.read.parquet(f"{d}/orders.parquet").select("o_orderkey", F.col("o_custkey").alias("holder"))
+    rows = s.read.parquet(f"{d}/lineitem.parquet").select("l_orderkey", F.col("l_suppkey").alias("code"), F.to_date(F.date_trunc("quarter", "l_shipdate")).alias("period"), F.col("l_quantity").alias("size"))
+    out = holders.top_holders(rows.join(o, F.col("o_orderkey") == F.col("l_orderkey")), "holder", "size")
+    return rounded(out, ["ratio", "change", "largest"], ("code", "period", "n", "n_new", "n_up"))

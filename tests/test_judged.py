@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from barline.operators import crosssection, families, peers, selection
+from barline.functions import titles
+from barline.operators import crosssection, families, holders, peers, selection
 
 
 def huber(x, w, c=1.345, steps=10):
@@ -92,3 +93,21 @@ def test_future_changes(spark):
     old = spark.createDataFrame([(1, 1, 1.0), (1, 2, None), (1, 3, 3.0), (2, 1, 1.0)], "code int, date int, x double")
     new = spark.createDataFrame([(1, 1, 1.0), (1, 2, 2.0), (2, 1, 1.0)], "code int, date int, x double")
     assert {tuple(r) for r in selection.future_changes(old, new, ["x"]).collect()} == {(1, 3, 1, 1), (2, 1, 0, 0)}
+
+
+def test_titles(spark):
+    df = spark.createDataFrame([("A: about a sale of stock notice", "x1"), ("sale and buyback", "y"), (None, "x2"), ("nothing", None)], "t string, c string")
+    said = titles.announces(F.col("t"), "sale", ("buyback",), "^never")
+    named = titles.classes(F.col("t"), F.col("c"), {"sale": ("", "sale", "buyback"), "x": ("x", "", "")})
+    out = df.select(said.alias("said"), named.alias("named"), titles.shortened(F.col("t"), 6, "^[^:]*:", "^.*?about ").alias("short")).collect()
+    assert [r.said for r in out] == [True, False, False, False]
+    assert [r.named for r in out] == [["sale", "x"], [], ["x"], []]
+    assert out[0].short == "a sale" and out[2].short is None
+
+
+def test_top_holders(spark):
+    rows = [(1, 1, "a", 5), (1, 1, "b", 3), (1, 1, "c", 3), (1, 2, "a", 6), (1, 2, "d", 2), (1, 2, "d", 2), (2, 2, "a", 1)]
+    out = {(r.code, r.period): r for r in holders.top_holders(spark.createDataFrame(rows, "code int, period int, h string, s int"), "h", "s", 2).collect()}
+    assert (out[1, 1].n_new, out[1, 1].ratio, out[1, 1].change) == (0, 8 / 11, None)
+    assert (out[1, 2].n, out[1, 2].n_new, out[1, 2].n_up, out[1, 2].ratio) == (2, 1, 1, 1.0) and out[1, 2].change == pytest.approx(3 / 11)
+    assert out[2, 2].n_new == 0
