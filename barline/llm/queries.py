@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barline.llm import chat_format, embedding_join, licenses, line_dedup, ngram_join, packing, pii, quality, sentence_pieces, suffix_dedup
+from barline.llm import chat_format, embedding_join, licenses, line_dedup, ngram_join, packing, pii, quality, sentence_pieces, suffix_dedup, token_alignment
 from barline.llm.shared import documents
 
 #: Folder of the public tokenizer files; a parameter of every query that needs one.
@@ -204,6 +204,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(count(k) for k in pii.KINDS), F.sha2(F.encode(joined(base), "UTF-8"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), n_spans, count("secret"), count("term"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_neardup": op1_embedding_neardup,
     "op2_sentencepiece": op2_sentencepiece,
@@ -215,6 +219,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_pii": op10_pii,
+    "op11_token_alignment": op11_token_alignment,
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_embedding_neardup": OP1_SQL, "op4_chat_format": OP4_SQL, "op8_line_dedup": OP8_SQL, "op9_quality_rules": OP9_SQL}
