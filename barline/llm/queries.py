@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barline.llm import chat_format, embedding_join, licenses, line_dedup, ngram_join, packing, pii, quality, sentence_pieces, suffix_dedup, token_alignment
+from barline.llm import chat_format, embedding_join, html_extraction, licenses, line_dedup, ngram_join, packing, pii, quality, sentence_pieces, signature_search, suffix_dedup, token_alignment
 from barline.llm.shared import documents
 
 #: Folder of the public tokenizer files; a parameter of every query that needs one.
@@ -208,6 +208,31 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"), k=20)
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+q AS (SELECT row_number() OVER () AS iid, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM benchmark),
+c AS (SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS l FROM d WHERE len(terms) > 0),
+i AS (SELECT iid, unnest(terms) AS term FROM q),
+p AS (SELECT iid, term, count(*) AS times FROM i GROUP BY iid, term),
+t AS (SELECT rid, unnest(terms) AS term FROM d),
+f AS (SELECT rid, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM p) GROUP BY rid, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM f, c GROUP BY term, n_docs),
+m AS (SELECT rid, doc_id, 100 - 25 + ((25 * len(terms) * n_docs) // l) AS m FROM d, c WHERE len(terms) > 0),
+s AS (SELECT iid, rid, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+      FROM p JOIN w USING (term) JOIN f USING (term) JOIN m USING (rid) GROUP BY iid, rid),
+r AS (SELECT iid, doc_id, score, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM s JOIN m USING (rid) WHERE score > 0)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM r JOIN q USING (iid) WHERE rank <= 20
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_neardup": op1_embedding_neardup,
     "op2_sentencepiece": op2_sentencepiece,
@@ -220,6 +245,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_pii": op10_pii,
     "op11_token_alignment": op11_token_alignment,
+    "op12_html_extraction": op12_html_extraction,
+    "op13_ranked_search": op13_ranked_search,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_embedding_neardup": OP1_SQL, "op4_chat_format": OP4_SQL, "op8_line_dedup": OP8_SQL, "op9_quality_rules": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_embedding_neardup": OP1_SQL, "op4_chat_format": OP4_SQL, "op8_line_dedup": OP8_SQL, "op9_quality_rules": OP9_SQL, "op13_ranked_search": OP13_SQL}
