@@ -102,8 +102,6 @@ class _Pricing:
         return out
 
 
-#: Pieces up to which sequences are priced one by one, and pieces that such a sequence chooses from.
-FEW, CHOICE = 600, 160
 #: Prices computed anew within a round, at most.
 PASSES = 60
 
@@ -123,8 +121,6 @@ def _bounded(left: np.ndarray, lengths: np.ndarray, capacity: int) -> dict[int,
         return out
     most = np.minimum(left[fit] - (fit == first), room // lengths[fit])
     pool = np.repeat(fit, most)
-    if len(pool) > CHOICE:
-        pool = pool[np.linspace(0, len(pool) - 1, CHOICE).astype(int)]
     # Which rooms can be filled exactly is one set of bits for each prefix of the pool.
     reach, sets = 1, [1]
     mask = (1 << (room + 1)) - 1
@@ -150,8 +146,8 @@ def configurations(lengths: np.ndarray, counts: np.ndarray, capacity: int, round
     dearest configuration that holds it, a length's weight falls as it is covered, and lengths
     that would run ahead by more than a round are spared.  Steps are rounded to whole sequences
     as they are taken, and the next weights come from what was really covered, so rounding
-    leaves no error behind.  What the rounds leave is covered anew, until few pieces or little
-    progress remain; their sequences are priced one by one with what is left as bounds.
+    leaves no error behind.  What the rounds leave is covered anew, whatever its size, until a round
+    places nothing; the sequences of what is left then are priced one by one with it as bounds.
 
     ``report`` receives the numbers of pieces, those that rounds placed, those priced one by
     one, the sequences, and the dual bound on them: prices in proportion to the lengths are
@@ -194,18 +190,16 @@ def configurations(lengths: np.ndarray, counts: np.ndarray, capacity: int, round
                 if not gone or (k < turns - 1 and gone * 50 < len(needy)):
                     break
 
-    while left.any():
+    before = -1
+    while left.any() and before != left.sum():  # until rounds place no more
         before = int(left.sum())
-        if before > FEW:
-            cover()
-        placed = before - int(left.sum())
-        note["rounds"] += placed
-        if placed < 0.1 * before:
-            while left.any():
-                config = _bounded(left, lengths, capacity)
-                times = min(int(left[i]) // n for i, n in config.items())
-                take(config, times)
-                note["singly"] += times * sum(config.values())
+        cover()
+        note["rounds"] += before - int(left.sum())
+    while left.any():
+        config = _bounded(left, lengths, capacity)
+        times = min(int(left[i]) // n for i, n in config.items())
+        take(config, times)
+        note["singly"] += times * sum(config.values())
     if report is not None:
         report.update(note)
     return out
