@@ -18,7 +18,8 @@ through that depth only:
 4.  Documents receive their repeats and cut them out.
 
 Runs are equal if their digests are, which for unlike bytes happens once in 10^38 pairs; all
-other windows are compared byte by byte.  Null text counts as empty.  Rows that repeat a doc_id
+other windows are compared byte by byte.  A row is known by its doc_id and a 128-bit digest of its text, two
+64-bit hashes.  Null text counts as empty.  Rows that repeat a doc_id
 are judged alike by (doc_id, start): a window at the same start of another row with the same
 doc_id isn't earlier.  Rows without doc_id are such rows too, of one id before all others.
 Texts of any length are read whole; other columns are not read; an empty table gives an empty one.
@@ -108,10 +109,10 @@ def repeated_windows(digits: np.ndarray, place: np.ndarray, width: int) -> np.nd
 
 
 def _sort_runs(tables: list[pa.Table], width: int) -> pa.RecordBatch | None:
-    """Repeats among the windows of whole anchor groups, as (doc_id, th, start, end)."""
+    """Repeats among the windows of whole anchor groups, as (doc_id, th, tl, start, end)."""
     table = pa.concat_tables(tables)
     doc = pc.fill_null(table.column("doc_id"), NO_ID).to_numpy()
-    th, start = (table.column(c).to_numpy() for c in ("th", "start"))
+    th, tl, start = (table.column(c).to_numpy() for c in ("th", "tl", "start"))
     pieces = table.column("piece").to_pylist()
     size = np.array([len(p) for p in pieces])
     buffer = np.frombuffer(b"".join(pieces) + b"\0" * 8, np.uint8).astype(np.uint64)
@@ -132,14 +133,17 @@ def _sort_runs(tables: list[pa.Table], width: int) -> pa.RecordBatch | None:
     lead = np.concatenate([[True], g[1:] != g[:-1]])
     first = np.maximum.accumulate(np.where(lead, np.arange(len(g)), 0))
     later = (d != d[first]) | (s != s[first])
-    d, s, t = d[later], s[later], th[owner[hit[later]]]
-    if not len(d):
-        return None
-    order = np.lexsort((s, t, d))
-    d, s, t = d[order], s[order], t[order]
-    new = np.concatenate([[True], (d[1:] != d[:-1]) | (t[1:] != t[:-1]) | (s[1:] > s[:-1] + 1)])
+    whose = owner[hit[later]]
+    return _spans(d[later], th[whose], tl[whose], s[later]) if later.any() else None
+
+
+def _spans(d: np.ndarray, t: np.ndarray, u: np.ndarray, s: np.ndarray) -> pa.RecordBatch:
+    """Windows of documents as (doc_id, th, tl, start, end), neighbours joined."""
+    order = np.lexsort((s, u, t, d))
+    d, t, u, s = d[order], t[order], u[order], s[order]
+    new = np.concatenate([[True], (d[1:] != d[:-1]) | (t[1:] != t[:-1]) | (u[1:] != u[:-1]) | (s[1:] > s[:-1] + 1)])
     last = np.concatenate([new[1:], [True]])
-    return pa.RecordBatch.from_arrays([pa.array(d[new], pa.int64(), mask=d[new] == NO_ID), pa.array(t[new], pa.int32()), pa.array(s[new], pa.int32()), pa.array(s[last] + 1, pa.int32())], names=["doc_id", "th", "start", "end"])
+    return pa.RecordBatch.from_arrays([pa.array(d[new], pa.int64(), mask=d[new] == NO_ID), pa.array(t[new]), pa.array(u[new]), pa.array(s[new], pa.int32()), pa.array(s[last] + 1, pa.int32())], names=["doc_id", "th", "tl", "start", "end"])
 
 
 def first_runs(batch: pa.RecordBatch, width: int) -> pa.RecordBatch | None:
@@ -184,17 +188,17 @@ def first_runs(batch: pa.RecordBatch, width: int) -> pa.RecordBatch | None:
             pa.concat_arrays([pa.array(anchor[first].view(np.int64)), pa.nulls(m, pa.int64())]),
             pa.concat_arrays([pa.array([digests[k] for k in first], pa.binary()), pa.nulls(m, pa.binary())]),
             batch.column("doc_id").take(pa.array(rows)),
-            batch.column("th").take(pa.array(rows)),
+            *(batch.column(c).take(pa.array(rows)) for c in ("th", "tl")),
             pa.array(np.concatenate([start[first], *repeat_start]), pa.int32()),
             pa.array(np.concatenate([end[first], *repeat_end]), pa.int32()),
         ],
-        names=["anchor", "digest", "doc_id", "th", "start", "end"],
+        names=["anchor", "digest", "doc_id", "th", "tl", "start", "end"],
     )
 
 
 def remove_repeats(docs: DataFrame, width: int = 100) -> DataFrame:
     """doc_id, n_bytes, spans (array of start and end of removed runs), kept (binary) for each row of (doc_id, text)."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("data")).select("doc_id", F.hash("data").alias("th"), "data")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("data")).select("doc_id", F.xxhash64("data").alias("th"), F.xxhash64(F.lit(1), "data").alias("tl"), "data")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,7 +206,7 @@ def remove_repeats(docs: DataFrame, width: int = 100) -> DataFrame:
                 if (out := first_runs(batch.slice(at, 2000), width)) is not None:
                     yield out
 
-    place = "doc_id long, th int, start int, end int"
+    place = "doc_id long, th long, tl long, start int, end int"
     runs = rows.mapInArrow(find, f"anchor long, digest binary, {place}")
     equal, same_anchor = Window.partitionBy("anchor", "digest"), Window.partitionBy("anchor")
     lead = F.col("doc_id").eqNullSafe(F.col("_first.doc_id")) & (F.col("start") == F.col("_first.start"))
@@ -215,36 +219,56 @@ def remove_repeats(docs: DataFrame, width: int = 100) -> DataFrame:
     )
     repeat = F.col("digest").isNull() | ~F.col("_lead")
     found = materialise(
-        judged.where(repeat | F.col("_several")).select(repeat.alias("repeat"), "anchor", (F.col("_leads") > HOT_RUNS).alias("hot"), "doc_id", "th", "start", "end"),
+        judged.where(repeat | F.col("_several")).select(repeat.alias("repeat"), "anchor", (F.col("_leads") > HOT_RUNS).alias("hot"), "doc_id", "th", "tl", "start", "end"),
         "runs",
     )
-    key = ["doc_id", "th"]
+    key = ["doc_id", "th", "tl"]
     opened = found.where(~F.col("repeat")).groupBy(*key).agg(F.collect_set(F.struct("anchor", "hot", "start", "end")).alias("open"))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for doc, th, data, open_ in zip(*(batch.column(c) for c in ("doc_id", "th", "data", "open")), strict=True):
+            out, hot = [], {}
+            for doc, th, tl, data, open_ in zip(*(batch.column(c) for c in ("doc_id", "th", "tl", "data", "open")), strict=True):
                 if not open_.is_valid:
                     continue
-                doc, th, data = doc.as_py(), th.as_py(), data.as_py()
+                doc, th, tl, data = doc.as_py(), th.as_py(), tl.as_py(), data.as_py()
                 for r in open_.as_py():
                     if r["hot"]:
                         for s in range(r["start"], r["end"]):
-                            piece = data[s : s + width]
-                            out.append((r["anchor"], xxhash.xxh3_64_intdigest(piece) % 1024, doc, th, s, piece))
+                            hot.setdefault((r["anchor"], data[s : s + width]), []).append((NO_ID if doc is None else doc, s, th, tl))
                     else:
-                        out.append((r["anchor"], 0, doc, th, r["start"], data[r["start"] : r["end"] + width - 1]))
+                        out.append((r["anchor"], 0, doc, th, tl, r["start"], data[r["start"] : r["end"] + width - 1]))
+            # Of a hot window's places in the batch all but the first are repeats already and needn't meet the others.
+            for (anchor, piece), places in hot.items():
+                first = min(places)[:2]
+                lead = [p for p in places if p[:2] == first]
+                part = xxhash.xxh3_64_intdigest(piece) % 1024
+                ids = lambda d: None if d == NO_ID else d
+                out += [(anchor, part, ids(d), th, tl, s, piece) for d, s, th, tl in lead]
+                out += [(xxhash.xxh3_64_intdigest(f"{d} {s}") - (1 << 63), -1, ids(d), th, tl, s, None) for d, s, th, tl in places if (d, s) != first]
             if out:
-                anchor, part, doc, th, start, piece = zip(*out, strict=True)
+                anchor, part, doc, th, tl, start, piece = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor, pa.int64()), pa.array(part, pa.int32()), pa.array(doc, pa.int64()), pa.array(th, pa.int32()), pa.array(start, pa.int32()), pa.array(piece, pa.binary())],
-                    names=["anchor", "part", "doc_id", "th", "start", "piece"],
+                    [pa.array(anchor, pa.int64()), pa.array(part, pa.int32()), *(pa.array(c, pa.int64()) for c in (doc, th, tl)), pa.array(start, pa.int32()), pa.array(piece, pa.binary())],
+                    names=["anchor", "part", "doc_id", "th", "tl", "start", "piece"],
                 )
 
+    def told(batches: Iterator[pa.RecordBatch], found: list) -> Iterator[pa.RecordBatch]:
+        """The batches without repeats that are known as such, which go to ``found``."""
+        for batch in batches:
+            known = pc.is_null(batch.column("piece"))
+            if pc.any(known).as_py():
+                some = batch.filter(known)
+                ids = pc.fill_null(some.column("doc_id"), NO_ID).to_numpy()
+                found.append(_spans(ids, *(some.column(c).to_numpy() for c in ("th", "tl")), some.column("start").to_numpy().astype(np.int64)))
+                batch = batch.filter(pc.invert(known))
+            yield batch
+
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, windows = [], 0
-        for _, table in groups(batches, ["anchor", "part"]):
+        held, windows, known = [], 0, []
+        for _, table in groups(told(batches, known), ["anchor", "part"]):
+            while known:
+                yield known.pop()
             if table.num_rows > 1:
                 held.append(table)
                 windows += table.num_rows * (width - GRAM + 1)
@@ -252,17 +276,18 @@ def remove_repeats(docs: DataFrame, width: int = 100) -> DataFrame:
                 if (out := _sort_runs(held, width)) is not None:
                     yield out
                 held, windows = [], 0
+        yield from known
         if held and (out := _sort_runs(held, width)) is not None:
             yield out
 
     def joined(part: DataFrame) -> DataFrame:
-        """The rows with the lists of ``part`` by (doc_id, th), which may be absent."""
-        ids = part.select(F.col("doc_id").alias("_doc_id"), F.col("th").alias("_th"), *(c for c in part.columns if c not in key))
-        return rows.join(ids, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("th") == F.col("_th")), "left")
+        """The rows with the lists of ``part`` by key, which may be absent."""
+        ids = part.select(*(F.col(c).alias(f"_{c}") for c in key), *(c for c in part.columns if c not in key))
+        return rows.join(ids, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("th") == F.col("_th")) & (F.col("tl") == F.col("_tl")), "left")
 
-    fetched = joined(opened).select("doc_id", "th", "data", "open").mapInArrow(fetch, "anchor long, part int, doc_id long, th int, start int, piece binary")
+    fetched = joined(opened).select(*key, "data", "open").mapInArrow(fetch, "anchor long, part int, doc_id long, th long, tl long, start int, piece binary")
     sorted_ = fetched.repartition("anchor", "part").sortWithinPartitions("anchor", "part").mapInArrow(sort, place)
-    repeats = found.where("repeat").select("doc_id", "th", "start", "end").unionByName(sorted_).groupBy(*key).agg(F.collect_set(F.struct("start", "end")).alias("repeats"))
+    repeats = found.where("repeat").select(*key, "start", "end").unionByName(sorted_).groupBy(*key).agg(F.collect_set(F.struct("start", "end")).alias("repeats"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
