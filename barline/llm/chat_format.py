@@ -2,9 +2,9 @@
 
 A turn's content is an array of parts (kind, text, ref, units).  Text parts are kept;
 image, audio and document parts become placeholders numbered in order through the
-conversation.  ``attachments`` lists their kind, reference and expanded token count, the
-units times the kind's tokens.  A part without kind is text; a part of any other kind is an
-attachment of kind ``other`` with no tokens.  Control strings inside texts are escaped: every
+conversation.  ``attachments`` lists their kind, reference, expanded token count (the
+units times the kind's tokens) and their own text, a caption say, which isn't formatted.  A part without
+kind is text; a part of any other kind, whatever its name, is an attachment of kind ``other`` with no tokens.  Control strings inside texts are escaped: every
 ``<`` and ``[`` gets a ``\\`` behind it, so no marker of this template or of other common
 ones (``<|..|>``, ``</s>``, ``[INST]``) can occur inside a text; taking that character away
 again is exact.  In roles a line break, which ends the role, is escaped too.
@@ -31,7 +31,6 @@ UNIT_TOKENS = {"image": 256, "audio": 25, "document": 512}
 PART = "struct<kind:string,text:string,ref:string,units:int>"
 
 
-#: Ends of placeholders' and turns' marks are the template's own; texts can't hold them.
 OTHER = "other"
 
 
@@ -61,7 +60,7 @@ def format_chats(turns: DataFrame) -> DataFrame:
     """One row per conversation from rows of (conv_id, turn, role, parts).
 
     Returns conv_id, formatted, loss_spans (start and length of each text part of an
-    assistant in ``formatted``, in code points) and attachments (number, kind, ref, tokens).
+    assistant in ``formatted``, in code points) and attachments (number, kind, ref, tokens, text).
     """
     parts = F.coalesce(F.col("parts").cast(f"array<{PART}>"), F.array().cast(f"array<{PART}>"))
     rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), parts.alias("parts"))
@@ -69,21 +68,24 @@ def format_chats(turns: DataFrame) -> DataFrame:
     by_turn = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", plain, "parts")
     numbered = rows.withColumn("_turn", F.row_number().over(by_turn))
     # A turn is its head, its parts and its end, each a row.
-    of = lambda kind, text: part(kind, text)
-    pieces = F.concat(F.array(of("_head", F.concat(F.lit(TURN), escape_role(F.col("role")), F.lit("\n")))), "parts", F.array(of("_end", F.lit(END))))
-    rows = numbered.select("conv_id", "_turn", (F.col("role") == "assistant").alias("_loss"), F.posexplode(pieces).alias("_at", "p"))
+    # Template text has a column of its own, so that no part of any kind can pass as such.
+    piece = lambda own, p: F.struct(own.cast("string").alias("own"), p.cast(PART).alias("part"))
+    head, end = F.concat(F.lit(TURN), escape_role(F.col("role")), F.lit("\n")), F.lit(END)
+    pieces = F.concat(F.array(piece(head, F.lit(None))), F.transform("parts", lambda p: piece(F.lit(None), p)), F.array(piece(end, F.lit(None))))
+    rows = numbered.select("conv_id", "_turn", (F.col("role") == "assistant").alias("_loss"), F.posexplode(pieces).alias("_at", "piece"))
+    rows = rows.select("conv_id", "_turn", "_at", "_loss", F.col("piece.own").alias("_own"), F.col("piece.part").alias("p"))
     known = F.create_map(*(F.lit(x) for kv in UNIT_TOKENS.items() for x in kv))
-    kind = F.when(F.col("p.kind").isNull(), "text").when(F.col("p.kind").isin("text", "_head", "_end", *UNIT_TOKENS), F.col("p.kind")).otherwise(OTHER)
-    rows = rows.select("conv_id", "_turn", "_at", "_loss", "p", kind.alias("kind"))
-    attached = F.col("kind").isin(OTHER, *UNIT_TOKENS)
+    kind = F.when(F.col("p.kind").isNull(), "text").when(F.col("p.kind").isin("text", *UNIT_TOKENS), F.col("p.kind")).otherwise(OTHER)
+    rows = rows.withColumn("kind", F.when(F.col("_own").isNull(), kind))
+    attached = F.coalesce(F.col("kind") != "text", F.lit(False))
     in_order = Window.partitionBy("conv_id").orderBy("_turn", "_at").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("number", F.sum(attached.cast("int")).over(in_order))
     said = F.coalesce("p.text", F.lit(""))
     placeholder = F.concat(F.lit("<|"), "kind", F.lit(":"), F.col("number").cast("string"), F.lit("|>"))
-    rows = rows.withColumn("_shown", F.when(attached, placeholder).when(F.col("kind") == "text", escape(said)).otherwise(said))
+    rows = rows.withColumn("_shown", F.when(attached, placeholder).otherwise(F.coalesce("_own", escape(said))))
     rows = rows.withColumn("_end", F.sum(F.length("_shown")).over(in_order))
     tokens = F.when(F.col("kind") == OTHER, 0).otherwise(F.coalesce("p.units", F.lit(1)) * known[F.col("kind")])
-    attachment = F.struct("number", "kind", F.col("p.ref").alias("ref"), tokens.alias("tokens"))
+    attachment = F.struct("number", "kind", F.col("p.ref").alias("ref"), tokens.alias("tokens"), F.col("p.text").alias("text"))
     span = F.struct((F.col("_end") - F.length("_shown")).cast("int").alias("start"), F.length("_shown").alias("length"))
     grouped = rows.groupBy("conv_id").agg(
         F.sort_array(F.collect_list(F.struct("_turn", "_at", "_shown"))).alias("_pieces"),
