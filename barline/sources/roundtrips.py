@@ -22,6 +22,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{at.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a written table: its lineage is cut, and lost executors cost no more than a reread."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def archive(lists: DataFrame) -> DataFrame:
     """A day's list per folder, read back by a glob over months; the date comes from the folder's name."""
     path = scratch(lists.sparkSession, "archive")
