@@ -12,38 +12,82 @@ from barline.operators.windows import lag
 COLUMNS = ("avg_cost", "winners", "width90", "deviation", "peak_gap")
 
 
-def _profile(bars: pd.DataFrame, cells: int) -> np.ndarray:
-    """The five columns of one code's bars in order of date.
+#: Bars whose distributions are held at once, and the decay (as a logarithm) beyond which a block of bars ends.
+BLOCK, DEEPEST = 64, -500.0
 
-    Cells are equal steps of the logarithm of price, ``cells`` from a tenth to ten times the first
-    close, and as many more of the same width as later prices need; empty cells change nothing,
-    so no row depends on later ones.
+
+class Holdings:
+    """What a code's holders paid: mass by cell, where cell j is at ``origin`` + j steps of the logarithm of price.
+
+    There are ``cells`` steps from a tenth to ten times the first close; the cells held are those that trades
+    have reached, so no row depends on later ones.
     """
-    high, low, close = (np.log(bars[c].to_numpy(float)) for c in ("high", "low", "close"))
-    kept = 1 - np.clip(np.nan_to_num(bars["turnover"].to_numpy(float)), 0, 1)
-    width = np.log(100) / (cells - 1)
-    origin = close[0] - np.log(10)
-    first = int(np.floor((min(low.min(), origin) - origin) / width)) - 2
-    last = int(np.ceil((max(high.max(), origin + np.log(100)) - origin) / width)) + 2
-    grid = origin + width * np.arange(first, last + 1)
-    price, mass, out = np.exp(grid), np.zeros(len(grid)), np.full((len(bars), 5), np.nan)
-    for t in range(len(bars)):
-        middle, half = (high[t] + low[t] + close[t]) / 3, max((high[t] - low[t]) / 2, width)
-        a, b = np.searchsorted(grid, [low[t] - width, high[t] + width], "left")
-        b = b + 1 if b < len(grid) and grid[b] == high[t] + width else b
-        traded = np.maximum(0, 1 - np.abs(grid[a:b] - middle) / half)
-        mass *= kept[t]
-        mass[a:b] += traded / traded.sum() * (1 - kept[t])
-        total = mass.sum()
-        if total <= 0:
-            continue
-        share = mass / total
-        below = np.cumsum(share)
-        average = float(price @ share)
-        ends = np.minimum(np.searchsorted(below, [0.05, 0.95]), len(grid) - 1)
-        now = np.exp(close[t])
-        out[t] = average, share[grid <= close[t]].sum(), (price[ends[1]] - price[ends[0]]) / average, now / average - 1, price[share.argmax()] / now - 1
-    return out
+
+    def __init__(self, cells: int, origin: float | None = None, first: int = 0, mass: np.ndarray | None = None):
+        self.step, self.origin, self.first = np.log(100) / (cells - 1), origin, first
+        self.mass = np.zeros(0) if mass is None else mass
+
+    def _reach(self, low: int, high: int) -> None:
+        """Makes room for the cells from ``low`` to ``high``."""
+        if not len(self.mass):
+            self.first = low
+        before, last = max(0, self.first - low), self.first + len(self.mass) - 1
+        self.mass = np.pad(self.mass, (before, max(0, high - last)))
+        self.first -= before
+
+    def advance(self, high: np.ndarray, low: np.ndarray, close: np.ndarray, turnover: np.ndarray) -> np.ndarray:
+        """The columns of the bars that follow, in order of date; what is held moves on with them.
+
+        A bar's mass is what it bought and, by the decay since, all that was bought before: in a block of bars a running
+        sum over the (bar, cell) matrix of purchases, each raised by the decay up to it.
+        """
+        traded = np.clip(np.nan_to_num(turnover.astype(float)), 0, 1)
+        h, l, c = (np.log(x.astype(float)) for x in (high, low, close))
+        if self.origin is None and len(c):
+            self.origin = c[0] - np.log(10)
+        with np.errstate(divide="ignore"):
+            kept = np.log1p(-traded)
+        out, at = np.full((len(c), len(COLUMNS)), np.nan), 0
+        while at < len(c):
+            fall = np.cumsum(kept[at : at + BLOCK])
+            n = max(1, int(np.searchsorted(-fall, -DEEPEST)))
+            rows = slice(at, at + n)
+            out[rows] = self._block(h[rows], l[rows], c[rows], traded[rows], fall[:n])
+            at += n
+        return out
+
+    def _block(self, h: np.ndarray, l: np.ndarray, c: np.ndarray, traded: np.ndarray, fall: np.ndarray) -> np.ndarray:
+        lowest = np.ceil((l - self.step - self.origin) / self.step).astype(int)[:, None]
+        highest = np.floor((h + self.step - self.origin) / self.step).astype(int)[:, None]
+        self._reach(int(lowest.min()), int(highest.max()))
+        j = np.arange(self.first, self.first + len(self.mass))
+        x = self.origin + j * self.step
+        shape = 1 - np.abs(x - ((h + l + c) / 3)[:, None]) / np.maximum((h - l) / 2, self.step)[:, None]
+        shape = np.where((j >= lowest) & (j <= highest), np.maximum(shape, 0), 0)
+        bought = shape / shape.sum(1, keepdims=True) * traded[:, None]
+        if np.isinf(fall[0]):  # a bar in which all changed hands begins anew
+            mass, fall = bought, np.zeros(len(fall))
+        else:
+            mass = np.exp(fall)[:, None] * (self.mass + np.cumsum(bought * np.exp(-fall)[:, None], axis=0))
+        self.mass = mass[-1]
+        total = mass.sum(1, keepdims=True)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            share = np.where(total > 0, mass / total, np.nan)
+        price, now = np.exp(x), np.exp(c)
+        average = share @ price
+        below = np.cumsum(share, axis=1)
+        low_end, high_end = (price[np.minimum((below < q).sum(1), len(x) - 1)] for q in (0.05, 0.95))
+        peak = price[(share >= share.max(1, keepdims=True) * (1 - 1e-9)).argmax(1)]  # of equal cells the lowest
+        columns = np.stack([average, np.where(x <= c[:, None], share, 0).sum(1), (high_end - low_end) / average, now / average - 1, peak / now - 1], axis=1)
+        return np.where(total > 0, columns, np.nan)
+
+    def packed(self) -> bytes:
+        return np.concatenate([[self.origin, self.first], self.mass]).astype("<f8").tobytes()
+
+    @classmethod
+    def unpacked(cls, cells: int, data: bytes) -> Holdings:
+        held = np.frombuffer(data, "<f8")
+        return cls(cells, float(held[0]), int(held[1]), held[2:].copy())
 
 
 def cost_basis(panel: DataFrame, cells: int = 360) -> DataFrame:
@@ -57,8 +101,8 @@ def cost_basis(panel: DataFrame, cells: int = 360) -> DataFrame:
     def per_code(bars: pd.DataFrame) -> pd.DataFrame:
         bars = bars.sort_values("date")
         sound = bars[(bars[["high", "low", "close"]] > 0).all(axis=1)]
-        out = pd.DataFrame(_profile(sound, cells), columns=COLUMNS) if len(sound) else pd.DataFrame(columns=COLUMNS, dtype=float)
-        return pd.concat([sound[["code", "date"]].reset_index(drop=True), out], axis=1)
+        values = Holdings(cells).advance(*(sound[c].to_numpy() for c in ("high", "low", "close", "turnover")))
+        return pd.concat([sound[["code", "date"]].reset_index(drop=True), pd.DataFrame(values, columns=COLUMNS)], axis=1)
 
     needed = panel.select(F.col("code").cast("long").alias("code"), "date", "high", "low", "close", "turnover")
     d = needed.groupBy("code").applyInPandas(per_code, schema)

@@ -76,11 +76,17 @@ def first_quiet_day(panel: DataFrame, most: int = 10, least: int = 2, shrink: fl
     return t.where((F.col("bad") == 0) & (F.col("step") >= least) & (F.col("mean") <= shrink * F.col("l_volume"))).groupBy("code", "launch_date").agg(F.min("date").alias("b_date"))
 
 
-def pool_days(lists: DataFrame, expiry: int = 60) -> DataFrame:
-    """Runs of listings of a code, broken where it is absent for more than ``expiry`` days."""
-    gap = F.datediff("date", F.lag("date").over(by_code()))
-    d = lists.withColumn("_new", F.coalesce((gap > expiry).cast("int"), F.lit(1))).withColumn("stay", F.sum("_new").over(by_code()))
-    return d.groupBy("code", "stay").agg(F.min("date").alias("first"), F.max("date").alias("last"), F.count("*").alias("days"), F.min("rank").alias("best"))
+def pool_days(lists: DataFrame, calendar: DataFrame, kept: int = 60) -> DataFrame:
+    """Stays of a code in the pool: its listings, until ``kept`` market days and the one after have passed without any.
+
+    ``calendar`` numbers the market days (date, day).  streak is the longest run of consecutive market days of a stay.
+    """
+    by_day = Window.partitionBy("code").orderBy("day")
+    gap = F.col("day") - F.lag("day").over(by_day)
+    d = lists.join(calendar, "date").withColumn("_gap", gap).withColumn("stay", F.sum(F.coalesce((F.col("_gap") > kept + 1).cast("int"), F.lit(1))).over(by_day))
+    d = d.withColumn("_island", F.sum(F.coalesce((F.col("_gap") != 1).cast("int"), F.lit(1))).over(by_day))
+    d = d.withColumn("_run", F.row_number().over(Window.partitionBy("code", "_island").orderBy("day")))
+    return d.groupBy("code", "stay").agg(F.min("date").alias("first"), F.max("date").alias("last"), F.count("*").alias("days"), F.min("rank").cast("long").alias("best"), F.max("_run").cast("long").alias("streak"))
 
 
 def phases(days: DataFrame) -> DataFrame:

@@ -7,14 +7,16 @@ from pyspark.sql.window import Window
 
 from barline import streaming
 from barline.operators import crosssection as cs
-from barline.operators import intraday, joins, patterns
+from barline.operators import intraday, joins, lists, patterns
 from barline.operators import windows as w
 from barline.plans.extra import POINTS
 from barline.plans.helpers import BY, lag, rounded, rounded_sql, win
-from barline.plans.more import LAUNCHES, PREPARED
-from barline.plans.panels import LABELS, RET, labelled, r6, returns, tied
+from barline.plans.more import LAUNCHES, PREPARED, STAYS
+from barline.plans.panels import LABELS, RET, labelled, picks, r6, returns, tied
+from barline.plans.rows import CHIPS
 from barline.sources import panels
 from barline.sources.panels import BARS, DUCK_DISCLOSURES, DUCK_TICKS, NOTICES, duck, panel
+from barline.streaming import stateful
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -223,3 +225,25 @@ def s07(s, d):
 @query("s11_enriched_quotes", " SELECT board, event_type, COUNT(*) AS n FROM ticks LEFT JOIN codes ON codes.code = ticks.code GROUP BY 1, 2", BARS, DUCK_TICKS)
 def s11(s, d):
     return streaming.enriched(panels.ticks(s, d), panels.codes(s, d)).groupBy("board", "event_type").agg(F.count("*").alias("n"))
+
+
+# --- state carried over micro-batches ---------------------------------------------------------------
+
+#: A replay hands the days in by these ranges, each a micro-batch.
+CUTS = ["1993-07-01", "1994-12-01", "1996-06-01", "1997-11-15"]
+
+
+@query("s08_stateful_pool", STAYS + " SELECT stays.*, cal.day + 62 <= (SELECT MAX(day) FROM cal) AS expired FROM stays JOIN cal ON cal.date = stays.last", BARS)
+def s08(s, d):
+    """Stays of the pool from a replay of all listings, kept as state and expired by a clock of market days."""
+    days = lists.day_numbers(panel(s, d))
+    clock = days.select(F.lit(0).cast("long").alias("code"), "date", "day", F.lit(None).cast("int").alias("rank"))
+    listed = picks(s, d, 5).select("code", "date", "rank").join(days, "date").select("code", "date", "day", "rank")
+    return stateful.newest(stateful.replay(listed.unionByName(clock), stateful.pool, CUTS))
+
+
+@query("s09_carried_state", CHIPS + f", cal AS (SELECT date, ROW_NUMBER() OVER (ORDER BY date) AS day FROM (SELECT DISTINCT date FROM panel)), rr AS (SELECT barz.code, barz.date, day - i AS g FROM barz JOIN cal ON cal.date = barz.date), r2 AS (SELECT code, date, ROW_NUMBER() OVER (PARTITION BY code, g ORDER BY date) AS run FROM rr), j AS (SELECT basis.*, run FROM basis JOIN r2 ON r2.code = basis.code AND r2.date = basis.date)" + rounded_sql({"avg_cost": "avg_cost", "winners": "winners", "deviation": "close / avg_cost - 1", "width90": "width90", "peak_gap": "peak_gap"}, "j", "code, date, run", 4), BARS)
+def s09(s, d):
+    """Cost basis and run of market days of every bar, from state that moves on with each micro-batch."""
+    bars = panel(s, d).select("code", "date", "high", "low", "close", "turnover").join(lists.day_numbers(panel(s, d)), "date")
+    return rounded(stateful.replay(bars, stateful.carried, CUTS), ["avg_cost", "winners", "deviation", "width90", "peak_gap"], ("code", "date", "run"), 4)

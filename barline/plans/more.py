@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barline.operators import intraday, labels, learning, patterns
+from barline.operators import intraday, labels, learning, lists, patterns
 from barline.operators import crosssection as cs
 from barline.operators import windows as w
 from barline.plans.helpers import BY, lag, rounded, rounded_sql, win
@@ -31,7 +31,8 @@ SELECT code, launch_date, arg_min(status, step) AS status, CAST(MIN(step) AS INT
 add("i02_base_launch_adjust_trigger", lambda s, d: patterns.base_launch_adjust_trigger(panel(s, d)), PREPARED + LAUNCHES + STEPS)
 add("i01_prepared_bars", lambda s, d: rounded(patterns.prepared(panel(s, d)), ["gain", "vr"], ("code", "date", "pos", "big")), PREPARED + rounded_sql({"gain": "gain", "vr": "vr"}, "p", "code, date, pos, big"))
 add("d08_status_counts", lambda s, d: patterns.base_launch_adjust_trigger(panel(s, d)).groupBy("status").agg(F.count("*").alias("n")), PREPARED + LAUNCHES + STEPS.replace("SELECT code, launch_date, arg_min", ", zz AS (SELECT code, launch_date, arg_min") + ") SELECT status, COUNT(*) AS n FROM zz GROUP BY status")
-add("i09_pool_stays", lambda s, d: patterns.pool_days(picks(s, d, 5)), RET + PICKS + f", q AS (SELECT *, COALESCE(CAST(date - LAG(date) OVER ({BY}) > 60 AS INT), 1) AS nw FROM k WHERE rank <= 5), zz AS (SELECT *, SUM(nw) OVER ({BY}) AS stay FROM q) SELECT code, CAST(stay AS BIGINT) AS stay, MIN(date) AS first, MAX(date) AS last, COUNT(*) AS days, MIN(rank) AS best FROM zz GROUP BY code, stay")
+STAYS = RET + PICKS + ", cal AS (SELECT date, ROW_NUMBER() OVER (ORDER BY date) AS day FROM (SELECT DISTINCT date FROM panel)), q0 AS (SELECT k.code, k.date, rank, cal.day, cal.day - LAG(cal.day) OVER (PARTITION BY k.code ORDER BY k.date) AS gap FROM k JOIN cal ON cal.date = k.date WHERE rank <= 5), q1 AS (SELECT *, SUM(COALESCE(CAST(gap > 61 AS INT), 1)) OVER (PARTITION BY code ORDER BY day) AS stay, SUM(COALESCE(CAST(gap <> 1 AS INT), 1)) OVER (PARTITION BY code ORDER BY day) AS island FROM q0), q2 AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY code, island ORDER BY day) AS run FROM q1), stays AS (SELECT code, CAST(stay AS BIGINT) AS stay, MIN(date) AS first, MAX(date) AS last, COUNT(*) AS days, MIN(rank) AS best, MAX(run) AS streak FROM q2 GROUP BY code, stay)"
+add("i09_pool_stays", lambda s, d: patterns.pool_days(picks(s, d, 5), lists.day_numbers(panel(s, d))), STAYS + " SELECT * FROM stays")
 DAY = ", m AS (SELECT date, COUNT(*) AS n, AVG(CAST(r > 0 AS DOUBLE)) AS up, CAST(SUM(CAST(r >= 0.045 AS INT)) AS BIGINT) AS large FROM p GROUP BY date)"
 
 

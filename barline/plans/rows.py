@@ -260,18 +260,23 @@ CHIPS = f""", p AS (SELECT *, ROW_NUMBER() OVER ({BY}) AS i, LEAST(GREATEST(turn
 barz AS (SELECT *, SUM(LN(1 - k)) OVER ({BY}) AS decay, GREATEST((h - l) / 2, {CELL}) AS half, (h + l + c) / 3 AS mid FROM p),
 cells AS (SELECT code, i, decay, k, o, j, GREATEST(0, 1 - ABS(o + j * {CELL} - mid) / half) AS tri FROM (SELECT *, UNNEST(range(CAST(CEIL((l - {CELL} - o) / ({CELL})) AS BIGINT), CAST(FLOOR((h + {CELL} - o) / ({CELL})) AS BIGINT) + 1)) AS j FROM barz)),
 bought AS (SELECT code, i, j, k * tri / SUM(tri) OVER (PARTITION BY code, i) AS m, decay FROM cells),
-held AS (SELECT t.code, t.i, b.j, SUM(b.m * EXP(t.decay - b.decay)) AS m FROM barz t JOIN bought b ON b.code = t.code AND b.i <= t.i WHERE b.m > 0 GROUP BY t.code, t.i, b.j),
-share AS (SELECT code, i, j, m / SUM(m) OVER (PARTITION BY code, i) AS s FROM held),
-one AS (SELECT s.code, s.i, SUM(s.s * EXP(barz.o + s.j * {CELL})) AS avg_cost, SUM(CASE WHEN barz.o + s.j * {CELL} <= barz.c THEN s.s ELSE 0 END) AS winners FROM share s JOIN barz ON barz.code = s.code AND barz.i = s.i GROUP BY s.code, s.i)
+begun AS (SELECT code, j, MIN(i) AS i0 FROM bought WHERE m > 0 GROUP BY code, j),
+held AS (SELECT t.code, t.i, n.j, t.c, t.o, EXP(t.decay) * SUM(COALESCE(b.m * EXP(-b.decay), 0)) OVER (PARTITION BY t.code, n.j ORDER BY t.i) AS m
+         FROM begun n JOIN barz t ON t.code = n.code AND t.i >= n.i0 LEFT JOIN bought b ON b.code = t.code AND b.i = t.i AND b.j = n.j),
+share AS (SELECT *, m / SUM(m) OVER (PARTITION BY code, i) AS s FROM held),
+ends AS (SELECT *, EXP(o + j * {CELL}) AS price, SUM(s) OVER (PARTITION BY code, i ORDER BY j) AS below, MAX(s) OVER (PARTITION BY code, i) AS most FROM share),
+one AS (SELECT code, i, SUM(s * price) AS avg_cost, SUM(CASE WHEN o + j * {CELL} <= c THEN s ELSE 0 END) AS winners,
+               MIN(CASE WHEN below >= 0.05 THEN price END) AS p05, COALESCE(MIN(CASE WHEN below >= 0.95 THEN price END), MAX(price)) AS p95, MIN(CASE WHEN s >= most * (1 - 1e-9) THEN price END) AS peak FROM ends GROUP BY code, i),
+basis AS (SELECT barz.code, barz.date, close, avg_cost, winners, (p95 - p05) / avg_cost AS width90, peak / close - 1 AS peak_gap FROM barz LEFT JOIN one ON one.code = barz.code AND one.i = barz.i)
 """
 
 
-@query("e09_cost_basis", CHIPS + rounded_sql({"avg_cost": "avg_cost", "winners": "winners", "deviation": "close / avg_cost - 1"}, "barz LEFT JOIN one ON one.code = barz.code AND one.i = barz.i", "barz.code, barz.date", 4))
+@query("e09_cost_basis", CHIPS + rounded_sql({"avg_cost": "avg_cost", "winners": "winners", "deviation": "close / avg_cost - 1"}, "basis", digits=4))
 def e09(s, d):
     return rounded(costbasis.cost_basis(panel(s, d)), ["avg_cost", "winners", "deviation"], digits=4)
 
 
-@query("e10_cost_basis_change", None)
+@query("e10_cost_basis_change", CHIPS + rounded_sql({"width90": "width90", "peak_gap": "peak_gap", "width_change20": f"width90 - {lag('width90', 20)}"}, "basis", digits=4))
 def e10(s, d):
     return rounded(costbasis.cost_basis(panel(s, d)), ["width90", "peak_gap", "width_change20"], digits=4)
 
