@@ -62,11 +62,12 @@ def binned(df: DataFrame, features: list[str], bins: int) -> DataFrame:
     return df.select("*", *(F.when(F.col(f).isNull(), bins).otherwise(place(f)).cast("byte").alias(f"b{k}") for k, f in enumerate(features)))
 
 
-def slices(rows: DataFrame, months: list, p: Boosting, y: str = "y") -> DataFrame:
+def slices(rows: DataFrame, months: list, p: Boosting, y: str = "y", keep: list[str] | None = None) -> DataFrame:
     """Training rows by model: label closed before the month, ``months_back`` months at most, all positives and a share of the negatives.
 
     The share of a month's negatives is the one that leaves ``per_positive`` for a positive; a row is in it by its
-    draw, so no month is sorted.  Weights give every month of a slice the same.
+    draw, so no month is sorted.  Weights give every month of a slice the same.  ``keep`` names the columns that
+    stay, the bins if it is left out.
     """
     d = rows.withColumn("_closed", F.lead("date", p.gap).over(by_code())).where(F.col(y).isNotNull() & F.col("_closed").isNotNull())
     d = d.withColumn("_month", F.trunc("date", "month")).withColumn("u", draw())
@@ -78,8 +79,8 @@ def slices(rows: DataFrame, months: list, p: Boosting, y: str = "y") -> DataFram
     size = d.groupBy("model", "_month").agg(F.count("*").alias("_n"))
     of_model = Window.partitionBy("model")
     size = size.withColumn("w", F.sum("_n").over(of_model) / F.count("*").over(of_model) / F.col("_n")).drop("_n")
-    bins = [c for c in d.columns if c[0] == "b" and c[1:].isdigit()]
-    return d.join(F.broadcast(size), ["model", "_month"]).select("model", F.col(y).cast("byte").alias("y"), "w", F.col("u").cast("int").alias("u"), *bins)  # a row per model and month
+    keep = [c for c in d.columns if c[0] == "b" and c[1:].isdigit()] if keep is None else keep
+    return d.join(F.broadcast(size), ["model", "_month"]).select("model", F.col(y).cast("byte").alias("y"), "w", F.col("u").cast("int").alias("u"), *keep)  # a row per model and month
 
 
 @dataclass
@@ -224,12 +225,17 @@ def nodes(forest: Forest, months: list, spark) -> DataFrame:
     return spark.createDataFrame(out, "month date, tree int, node int, feature int, cut int, n long, g double, h double, value double")
 
 
+def of_months(rows: DataFrame, months: list) -> DataFrame:
+    """The rows of ``months``, with month and the number of its model."""
+    number = F.create_map(*(F.lit(x) for k, m in enumerate(months) for x in (str(m), k)))
+    return rows.withColumn("month", F.trunc("date", "month")).withColumn("model", number[F.col("month").cast("string")]).where("model IS NOT NULL")
+
+
 def walk_forward(rows: DataFrame, features: list[str], months: list, p: Boosting = Boosting(), y: str = "y") -> tuple[DataFrame, Forest, DataFrame]:
     """Scored rows of ``months`` (with model and margin), the forest, and the training table, from rows of (code, date, y, features)."""
     ready = binned(rows, features, p.bins)
     bins = [f"b{k}" for k in range(len(features))]
     table = written(slices(ready, months, p, y), "training")
     forest = fit(table, len(months), p)
-    numbered = F.create_map(*(F.lit(x) for k, m in enumerate(months) for x in (str(m), k)))
-    tested = ready.withColumn("month", F.trunc("date", "month")).withColumn("model", numbered[F.col("month").cast("string")]).where("model IS NOT NULL")
+    tested = of_months(ready, months)
     return score(tested.select("code", "date", "month", y, "model", *bins), forest, p), forest, table

@@ -1,4 +1,4 @@
-"""Sampling, weights and purged training slices; models by ``pyspark.ml`` over months."""
+"""Sampling, weights, purged training slices, and learners given as functions over months."""
 
 from __future__ import annotations
 
@@ -29,27 +29,19 @@ def purged(df: DataFrame, month: str, gap: int = 20) -> DataFrame:
     return df.withColumn("_closed", F.lead("date", gap).over(by_code())).where((F.col("date") < start) & (F.col("_closed") < start)).drop("_closed")
 
 
-def walk_forward(df: DataFrame, months: list[str], features: list[str], fit, y: str = "y") -> DataFrame:
-    """For each month: fit on the purged past, score the month.  ``fit`` takes a frame with features and y and returns a transformer.
+def walk_forward(df: DataFrame, months: list, learners: list, months_back: int = 36, gap: int = 20, y: str = "y") -> DataFrame:
+    """Scored rows (code, date, y, p, arm, month) of each month by each learner, which has seen only the purged months before.
 
-    Only the months are a driver loop; every step is distributed.
+    A learner is a function of (train, test) that returns the test rows with ``p`` and its name as ``arm``; it may fit anything.
+    Only the months are a driver loop; ``df`` should be a written table, as every month reads it.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-
-    filled = df.select("*", *(F.coalesce(F.col(c), F.lit(0.0)).alias(f"_{c}") for c in features))
-    ready = VectorAssembler(inputCols=[f"_{c}" for c in features], outputCol="features").transform(filled)
+    closed = df.withColumn("_closed", F.lead("date", gap).over(by_code())).where(F.col(y).isNotNull())
     out = None
     for m in months:
-        model = fit(purged(ready, m).where(F.col(y).isNotNull()))
-        month = ready.where(F.trunc("date", "month") == F.lit(m).cast("date"))
-        scored = model.transform(month).select("code", "date", y, vector_to_array("probability")[1].alias("p"), F.lit(m).cast("date").alias("month"))
-        out = scored if out is None else out.unionByName(scored)
+        start = F.lit(m).cast("date")
+        train = closed.where((F.col("_closed") < start) & (F.col("date") >= F.add_months(start, -months_back)))
+        test = df.where((F.trunc("date", "month") == start) & F.col(y).isNotNull())
+        for learner in learners:
+            scored = learner(train.drop("_closed"), test).select("code", "date", y, "p", "arm", start.alias("month"))
+            out = scored if out is None else out.unionByName(scored)
     return out
-
-
-def logistic(train: DataFrame, y: str = "y"):
-    """Sparse logistic regression on standardised features."""
-    from pyspark.ml.classification import LogisticRegression
-
-    return LogisticRegression(labelCol=y, elasticNetParam=1.0, regParam=0.002, maxIter=30).fit(train)

@@ -71,30 +71,6 @@ def grid(df: DataFrame, parameters: list[tuple], names: str, keep: Column, y: st
     return df.crossJoin(F.broadcast(sets)).where(keep).groupBy(*keys).agg(F.count(y).alias("n"), F.avg(y).alias("rate"))
 
 
-def walk_forward_line(df: DataFrame, x: str, y: str, top: int = 10, gap: int = 20) -> DataFrame:
-    """Every month scored by a line fitted on the purged past, in one pass: sums by month are accumulated, not fitted anew.
-
-    A row trains a month if its date and the date ``gap`` rows of its code later lie before
-    the month.  Per month: training rows and positives, slope, rows, base rate, picks of the
-    ``top`` codes per day by predicted value, their rate.
-    """
-    w = by_code()
-    rows = df.withColumn("_closed", F.lead("date", gap).over(w)).withColumn("month", F.trunc("date", "month"))
-    ok = F.col(x).isNotNull() & F.col(y).isNotNull()
-    train = rows.where(ok & F.col("_closed").isNotNull()).groupBy(F.trunc("_closed", "month").alias("month"))
-    a, b = F.col(x).cast("double"), F.col(y).cast("double")
-    sums = train.agg(F.count("*").alias("n"), F.sum(b).alias("sy"), F.sum(a).alias("sx"), F.sum(a * a).alias("sxx"), F.sum(a * b).alias("sxy"))
-    months = rows.select("month").distinct()
-    before = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, -1)  # a row per month
-    fitted = months.join(sums, "month", "left").select("month", *(F.sum(c).over(before).alias(c) for c in ("n", "sy", "sx", "sxx", "sxy")))
-    slope = (F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")) / F.nullif(F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx"), F.lit(0.0))
-    fitted = fitted.where("n >= 100").withColumn("slope", slope).select("month", "n", F.col("sy").cast("long").alias("positives"), "slope", ((F.col("sy") - F.col("slope") * F.col("sx")) / F.col("n")).alias("level"))
-    scored = rows.where(ok).join(F.broadcast(fitted), "month").withColumn("p", F.round(F.col("level") + F.col("slope") * F.col(x), 9))
-    place = F.row_number().over(Window.partitionBy("date").orderBy(F.col("p").desc(), "code"))
-    picked = scored.withColumn("pick", place <= top)
-    return picked.groupBy("month", "n", "positives", "slope").agg(F.count("*").alias("rows"), F.avg(y).alias("base"), F.sum(F.col("pick").cast("int")).alias("picks"), F.avg(F.when(F.col("pick"), F.col(y))).alias("hit"))
-
-
 def shrunk_factors(rows: DataFrame, group: str, y: str, weight: float = 50.0, low: float = 0.6, high: float = 1.4) -> DataFrame:
     """Per month and group: the group's rate of the months before against the market's, shrunk by ``weight`` rows and clamped."""
     g = rows.where(F.col(y).isNotNull()).groupBy("month", group).agg(F.count("*").alias("n"), F.sum(y).alias("k"))

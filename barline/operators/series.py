@@ -36,20 +36,13 @@ def autocorrelations(series: DataFrame, most: int = 10, by: str = "series") -> D
 
 
 def block_bootstrap(series: DataFrame, replicates: int = 1000, block: int = 20, seed: int = 7, by: str = "series") -> DataFrame:
-    """Interval of the mean of each series and its two-sided p by moving blocks.
+    """Interval of the mean of each series and its two-sided p by moving blocks of registered draws."""
+    from barline.operators.resampling import numbered, resampled
 
-    A replicate's blocks begin where a hash of (seed, series, replicate, block) says, so it
-    repeats on any cluster.  Block sums come from running sums: a replicate costs n / block rows.
-    """
-    w = Window.partitionBy(by).orderBy("date")
-    run = series.select(by, "d", (F.row_number().over(w) - 1).alias("i"), F.sum("d").over(w.rowsBetween(0, block - 1)).alias("s"))
-    size = run.groupBy(by).agg(F.count("*").alias("n"), F.avg("d").alias("mean"))
-    need = F.floor(F.col("n") / block)
-    starts = size.where(F.col("n") >= 2 * block).select(by, "n", "mean", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("rep"), need.alias("blocks"))
-    starts = starts.select("*", F.explode(F.sequence(F.lit(1), F.col("blocks"))).alias("b"))
-    starts = starts.withColumn("i", F.pmod(F.xxhash64(F.lit(seed), by, "rep", "b"), F.col("n") - block + 1).cast("int"))
-    means = starts.join(run.select(by, "i", "s"), [by, "i"]).groupBy(by, "rep").agg((F.sum("s") / (F.first("blocks") * block)).alias("m"), F.first("mean").alias("mean"))
-    far = (F.abs(F.col("m") - F.col("mean")) >= F.abs(F.col("mean"))).cast("double")
+    d = numbered(series.select(by, "date", "d"), [by])
+    whole = d.groupBy(by).agg(F.count("*").alias("n"), F.avg("d").alias("mean"))
+    means = resampled(d, ["d"], replicates, block, seed, [by]).join(whole, by).select(by, "mean", (F.col("d") / F.col("n")).alias("m"))
+    far = (F.round(F.abs(F.col("m") - F.col("mean")), 12) >= F.round(F.abs("mean"), 12)).cast("double")
     return means.groupBy(by).agg(F.first("mean").alias("mean"), F.percentile("m", F.lit(0.025)).alias("low"), F.percentile("m", F.lit(0.975)).alias("high"), F.avg(far).alias("p"))
 
 

@@ -7,11 +7,12 @@ import datetime
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from barline.operators import boosting
+from barline.operators import boosting, calibration, learning, linear
 from barline.operators import windows as w
 from barline.plans.helpers import BY, lag, rounded, rounded_sql, win
 from barline.plans.panels import LABELS, RET, labelled, r6
 from barline.sources.panels import BARS, duck
+from barline.sources.roundtrips import written
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -114,3 +115,171 @@ def k07_leaves(s, d):
     """Every leaf of every tree: the rows it saw, their sums of gradient and curvature, and its value."""
     _, forest, _ = boosting.walk_forward(featured(s, d), FEATURES, MONTHS, P)
     return rounded(boosting.nodes(forest, MONTHS, s).where("feature < 0"), ["g", "h", "value"], ("month", "tree", "node", "n"), 5)
+
+
+# --- linear models --------------------------------------------------------------------------------
+
+#: Every month that has both months before it to learn from and labels of its own.
+EVERY = [datetime.date(y, m, 1) for y in range(1993, 1999) for m in range(1, 13)]
+LEAST = 10
+L1 = 20.0
+DATED = ["date", *FEATURES]
+SLICE = f""", sl AS (SELECT month, SUM(y) AS pos, SUM(1 - y) AS neg FROM feat WHERE y IS NOT NULL AND closed IS NOT NULL GROUP BY month),
+sk AS (SELECT *, (code * 7919 + CAST(date - DATE '1970-01-01' AS BIGINT) * 104729) % {boosting.DRAWS} AS u FROM feat WHERE y IS NOT NULL AND closed IS NOT NULL),
+ev(mon) AS (VALUES {", ".join(f"(DATE '{m}')" for m in EVERY)}),
+tn AS (SELECT mon, sk.* FROM sk JOIN sl ON sl.month = sk.month JOIN ev ON sk.closed < mon AND sk.date >= mon - INTERVAL {P.months_back} MONTH WHERE y = 1 OR u * neg < {P.per_positive} * pos * {boosting.DRAWS}),
+fo AS (SELECT mon, COUNT(*) AS trained, SUM(y) AS positives, MIN(date) AS first, MAX(date) AS last FROM tn GROUP BY mon HAVING SUM(y) >= {LEAST} AND SUM(1 - y) >= {LEAST})"""
+
+
+def sliced(s, d, features=tuple(FEATURES), source=None):
+    """Rows with features, the written training table of all months, and its folds."""
+    rows = featured(s, d) if source is None else source
+    table = written(boosting.slices(rows, EVERY, P, keep=["date", *features]), "slices")
+    fold = table.groupBy("model").agg(F.count("*").alias("trained"), F.sum("y").alias("positives"), F.sum(1 - F.col("y")).alias("_neg"), F.min("date").alias("first"), F.max("date").alias("last"))
+    return rows, table, fold.where((F.col("positives") >= LEAST) & (F.col("_neg") >= LEAST)).drop("_neg")
+
+
+def monthed(fold, s):
+    """Folds with the month of their model."""
+    return fold.join(F.broadcast(s.createDataFrame(list(enumerate(EVERY)), "model int, month date")), "model")
+
+
+def sound(fitted, s):
+    """Whether each model meets its optimality conditions, by model."""
+    return s.createDataFrame([(k, bool(v <= 1e-7)) for k, v in enumerate(fitted.violation.tolist())], "model int, optimal boolean")
+
+
+def evaluated(s, d):
+    """Scored rows of every month by a sparse logistic model of the months before, and the folds."""
+    rows, table, fold = sliced(s, d)
+    kept = table.join(F.broadcast(fold.select("model")), "model")  # a row a month
+    fitted = linear.fit(kept, FEATURES, len(EVERY), l1=L1)
+    tested = boosting.of_months(rows.where("y IS NOT NULL"), EVERY).join(F.broadcast(fold.select("model")), "model")
+    p = linear.scored(tested.select("code", "date", "month", "y", "model", *FEATURES), fitted.predict, FEATURES)
+    place = F.row_number().over(Window.partitionBy("date").orderBy(F.round("p", 9).desc(), "code"))
+    return p.withColumn("pick", place <= 10), fold, fitted
+
+
+@query(
+    "k05_walk_forward",
+    RET + LABELS + FEATURED + SLICE + f""", pk AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY date ORDER BY code) <= 10 AS pick FROM feat WHERE y IS NOT NULL)
+SELECT mon AS month, trained, CAST(positives AS BIGINT) AS positives, first, last, COUNT(*) AS rows, CAST(SUM(CAST(pick AS INT)) AS BIGINT) AS picks, TRUE AS optimal, {r6("AVG(y)", "base")} FROM fo JOIN pk ON pk.month = mon GROUP BY mon, trained, positives, first, last""",
+)
+def k05(s, d):
+    """Every month by a sparse logistic model on eight features: training rows, positives and their dates, rows, base and picks; and that each model is optimal."""
+    scored, fold, fitted = evaluated(s, d)
+    out = scored.groupBy("month", "model").agg(F.count("*").alias("rows"), F.sum(F.col("pick").cast("int")).alias("picks"), F.avg("y").alias("base"))
+    out = out.join(F.broadcast(fold), "model").join(F.broadcast(sound(fitted, s)), "model")
+    return rounded(out, ["base"], ("month", "trained", "positives", "first", "last", "rows", "picks", "optimal"))
+
+
+@query("k05_hits", None)
+def k05_hits(s, d):
+    """What k05's picks hit, beside the base of all codes, by month."""
+    scored, _, _ = evaluated(s, d)
+    hit, base = F.avg(F.when(F.col("pick"), F.col("y"))), F.avg("y")
+    return scored.groupBy("month").agg(hit.alias("hit"), base.alias("base"), (hit / F.nullif(base, F.lit(0.0))).alias("lift"))
+
+
+@query("k06_sparse_logistic", RET + LABELS + FEATURED + SLICE + " SELECT mon AS month, trained, CAST(positives AS BIGINT) AS positives, TRUE AS optimal, TRUE AS sparse FROM fo")
+def k06(s, d):
+    """Sparse logistic models on standardised features: optimal under an absolute penalty of 20, with no more than the eight coefficients."""
+    _, table, fold = sliced(s, d)
+    fitted = linear.fit(table.join(F.broadcast(fold.select("model")), "model"), FEATURES, len(EVERY), l1=L1)
+    left = s.createDataFrame([(k, int((b[:-1] != 0).sum()) <= len(FEATURES)) for k, b in enumerate(fitted.beta)], "model int, sparse boolean")
+    return monthed(fold.drop("first", "last"), s).join(F.broadcast(sound(fitted, s)), "model").join(F.broadcast(left), "model").drop("model")
+
+
+#: Inputs whose coefficients may not be negative, and the dummies of boards beside them.
+MONOTONE = ["r20", "r60", "busy", "turnover"]
+BOARDS = ["AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+
+
+@query("k14_monotone_logistic", RET + LABELS + FEATURED + SLICE + ", nm(name) AS (VALUES " + ", ".join(f"('{n}')" for n in MONOTONE) + ") SELECT mon AS month, trained, CAST(positives AS BIGINT) AS positives, name, TRUE AS optimal, TRUE AS not_negative FROM fo, nm")
+def k14(s, d):
+    """Logistic models with four coefficients of 0 or more, board dummies and a ridge: every month meets its optimality conditions."""
+    dummies = {f"is_{b.split()[0].lower()}": (F.col("board") == b).cast("double") for b in BOARDS}
+    names = [*MONOTONE, *dummies]
+    _, table, fold = sliced(s, d, tuple(names), featured(s, d).withColumns(dummies))
+    fitted = linear.fit(table.join(F.broadcast(fold.select("model")), "model"), names, len(EVERY), l2=1e-3, at_least_zero=tuple(MONOTONE))
+    values = linear.coefficients(fitted, EVERY, s).where(F.col("name").isin(MONOTONE)).select("month", "name", (F.col("value") >= 0).alias("not_negative"))
+    return monthed(fold.drop("first", "last"), s).join(F.broadcast(sound(fitted, s)), "model").join(values, "month").select("month", "trained", "positives", "name", "optimal", "not_negative")
+
+
+#: Any scorer will do; this one's weights are fixed.
+WEIGHTS = {"r20": 1.5, "r60": -0.5, "busy": 0.25, "turnover": 2.0}
+
+
+def fixed_scorer(model, x):
+    """A scorer of any origin: features in, probabilities out; a null counts as 0."""
+    import numpy as np
+
+    return 1 / (1 + np.exp(-(np.nan_to_num(x, nan=0.0) @ np.array(list(WEIGHTS.values())) - 2.0)))
+
+
+@query("u05_any_scorer", RET + LABELS + FEATURED + rounded_sql({"p": "1 / (1 + EXP(2.0" + "".join(f" - {w} * COALESCE({n}, 0)" for n, w in WEIGHTS.items()) + "))"}, "feat"))
+def u05(s, d):
+    rows = featured(s, d).select("code", "date", F.lit(0).alias("model"), *WEIGHTS)
+    return rounded(linear.scored(rows, fixed_scorer, list(WEIGHTS)), ["p"])
+
+
+def by_board(train, test):
+    """A learner of its own: the rate of the board, shrunk to the whole by 20 rows."""
+    return _rates(train, test, F.col("board")).withColumn("arm", F.lit("board"))
+
+
+def by_gain(train, test):
+    """Another: the rate of the fifth of the 20-row return within the day."""
+    return _rates(train, test, F.coalesce(F.floor(F.col("r20") * 10), F.lit(-99))).withColumn("arm", F.lit("gain"))
+
+
+def _rates(train, test, key):
+    whole = train.agg(F.avg("y").alias("_all"))
+    rates = train.groupBy(key.alias("_k")).agg(F.sum("y").alias("_s"), F.count("*").alias("_n"))
+    d = test.withColumn("_k", key).join(rates, "_k", "left").crossJoin(whole)
+    return d.select("code", "date", "y", ((F.coalesce("_s", F.lit(0)) + 20 * F.col("_all")) / (F.coalesce("_n", F.lit(0)) + 20)).alias("p"))
+
+
+def _callback_sql(arm: str, key: str) -> str:
+    return f"""SELECT '{arm}' AS arm, te.mon AS month, te.y, (COALESCE(ra.s, 0) + 20 * al.q) / (COALESCE(ra.n, 0) + 20) AS p FROM (SELECT month AS mon, y, {key} AS k FROM feat WHERE y IS NOT NULL AND month IN (SELECT mon FROM mo)) te
+JOIN (SELECT mon, AVG(y) AS q FROM cb GROUP BY mon) al ON al.mon = te.mon LEFT JOIN (SELECT mon, {key} AS k, SUM(y) AS s, COUNT(*) AS n FROM cb GROUP BY 1, 2) ra ON ra.mon = te.mon AND ra.k = te.k"""
+
+
+@query(
+    "u03_fit_predict_callback",
+    RET + LABELS + FEATURED + ", mo(mon) AS (VALUES " + ", ".join(f"(DATE '{m}')" for m in MONTHS) + f"), cb AS (SELECT mon, feat.* FROM feat JOIN mo ON closed < mon AND date >= mon - INTERVAL {P.months_back} MONTH WHERE y IS NOT NULL), pr AS (" + _callback_sql("board", "board") + " UNION ALL " + _callback_sql("gain", "COALESCE(FLOOR(r20 * 10), -99)") + ")"
+    + rounded_sql({"mean": "AVG(p)", "brier": "AVG((p - y) * (p - y))"}, "pr GROUP BY arm, month", "arm, month, COUNT(*) AS n"),
+)
+def u03(s, d):
+    """Two learners given as callbacks, fitted and judged month by month on purged slices."""
+    rows = written(featured(s, d), "featured")
+    out = learning.walk_forward(rows, MONTHS, [by_board, by_gain], months_back=P.months_back, gap=P.gap)
+    return rounded(out.groupBy("arm", "month").agg(F.count("*").alias("n"), F.avg("p").alias("mean"), F.avg((F.col("p") - F.col("y")) * (F.col("p") - F.col("y"))).alias("brier")), ["mean", "brier"], ("arm", "month", "n"))
+
+
+# --- calibration ----------------------------------------------------------------------------------
+
+#: Scores are the hundredth of the day that a code's 20-row return falls into.
+SCORED = ", sc AS (SELECT code, date, month, closed, y, CASE WHEN r20 IS NOT NULL THEN CAST((RANK() OVER (PARTITION BY date ORDER BY r20 NULLS LAST) - 1) * 100 // COUNT(r20) OVER (PARTITION BY date) AS DOUBLE) END AS score FROM feat)"
+ISOTONIC = (
+    SCORED + ", ca AS (SELECT CAST(UNNEST(generate_series(date_trunc('month', closed) + INTERVAL 1 MONTH, month + INTERVAL 12 MONTH, INTERVAL 1 MONTH)) AS DATE) AS mon, month, score, y FROM sc WHERE closed IS NOT NULL AND y IS NOT NULL AND score IS NOT NULL)"
+    + ", cg AS (SELECT mon FROM ca GROUP BY mon HAVING COUNT(DISTINCT month) >= 6), cs AS (SELECT ca.mon, score, SUM(y) AS s, COUNT(*) AS n FROM ca JOIN cg ON cg.mon = ca.mon GROUP BY ca.mon, score)"
+    + ", cu AS (SELECT *, SUM(s) OVER w AS cs, SUM(n) OVER w AS cn FROM cs WINDOW w AS (PARTITION BY mon ORDER BY score))"
+    + ", pa AS (SELECT a.mon, a.score AS i, b.score AS j, (b.cs - a.cs + a.s) / CAST(b.cn - a.cn + a.n AS DOUBLE) AS m FROM cu a JOIN cu b ON b.mon = a.mon AND b.score >= a.score)"
+    + ", lo AS (SELECT mon, i, j AS k, MIN(m) OVER (PARTITION BY mon, i ORDER BY j DESC) AS m FROM pa), iso AS (SELECT mon, k AS x, MAX(m) AS v FROM lo GROUP BY mon, k)"
+)
+
+
+@query(
+    "k15_isotonic_calibration",
+    RET + LABELS + FEATURED + ISOTONIC + ", asked AS (SELECT DISTINCT month AS mon, score AS x FROM sc WHERE score IS NOT NULL), nx AS (SELECT a.mon, a.x, (SELECT MAX(ROW(i.x, i.v)) FROM iso i WHERE i.mon = a.mon AND i.x <= a.x) AS lo, (SELECT MIN(ROW(i.x, i.v)) FROM iso i WHERE i.mon = a.mon AND i.x >= a.x) AS hi FROM asked a)"
+    + ", pv AS (SELECT mon, x, CASE WHEN lo IS NULL THEN hi[2] WHEN hi IS NULL THEN lo[2] WHEN hi[1] > lo[1] THEN lo[2] + (x - lo[1]) / (hi[1] - lo[1]) * (hi[2] - lo[2]) ELSE lo[2] END AS p FROM nx)"
+    + rounded_sql({"p": "p"}, "sc LEFT JOIN pv ON pv.mon = sc.month AND pv.x = sc.score GROUP BY month, score, p", "month, score, COUNT(*) AS n"),
+)
+def k15(s, d):
+    """Every month's scores turned into probabilities by the twelve months before: one row per month and score."""
+    day = Window.partitionBy("date")
+    score = F.floor((F.rank().over(day.orderBy(F.col("r20").asc_nulls_last())) - 1) * 100 / F.count("r20").over(day)).cast("double")
+    rows = featured(s, d).select("code", "date", "y", F.when(F.col("r20").isNotNull(), score).alias("score"))
+    out, _ = calibration.monthly(rows, "score", "y")
+    return rounded(out.groupBy("month", "score", "p").agg(F.count("*").alias("n")), ["p"], ("month", "score", "n"))

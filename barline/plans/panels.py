@@ -185,4 +185,3 @@ def day_series(s, d):
 add("l01_newey_west", lambda s, d: rounded(series.newey_west(day_series(s, d)), ["mean", "se", "t"], ("series", "n")), RET + DAYS + ", e AS (SELECT *, d - AVG(d) OVER (PARTITION BY series) AS e FROM s), g AS (SELECT series, d, e * e + " + " + ".join(f"{2 * (1 - k / 21)} * COALESCE(e * LAG(e, {k}) OVER (PARTITION BY series ORDER BY date), 0)" for k in range(1, 21)) + " AS g FROM e), h AS (SELECT series, COUNT(*) AS n, AVG(d) AS mean, CASE WHEN COUNT(*) >= 23 AND SUM(g) > 0 THEN SQRT(SUM(g)) / COUNT(*) END AS se FROM g GROUP BY series)" + rounded_sql({"mean": "mean", "se": "se", "t": "mean / se"}, "h", "series, n"))
 add("l02_autocorrelations", lambda s, d: rounded(series.autocorrelations(day_series(s, d), 5), ["acf"], ("series", "lag")), RET + DAYS + ", e AS (SELECT *, d - AVG(d) OVER (PARTITION BY series) AS e FROM s), g AS (" + " UNION ALL ".join(f"SELECT series, {k} AS lag, e * e AS v, e * LAG(e, {k}) OVER (PARTITION BY series ORDER BY date) AS c FROM e" for k in range(1, 6)) + ")" + rounded_sql({"acf": "SUM(c) / NULLIF(SUM(v), 0)"}, "g GROUP BY series, lag", "series, lag"))
 add("l09_multiple_tests", lambda s, d: rounded(series.adjusted(returns(s, d).where("r IS NOT NULL").groupBy("sector").agg(F.exp(-F.abs(F.avg("r")) * 2000).alias("p")), "p", "sector"), ["p", "bonferroni", "holm", "bh"], ("sector",)), RET + ", t AS (SELECT sector, EXP(-ABS(AVG(r)) * 2000) AS p FROM p WHERE r IS NOT NULL GROUP BY sector), k AS (SELECT *, ROW_NUMBER() OVER (ORDER BY p, sector) AS i, COUNT(*) OVER () AS n FROM t)" + rounded_sql({"p": "p", "bonferroni": "LEAST(p * n, 1)", "holm": "MAX(LEAST(p * (n - i + 1), 1)) OVER (ORDER BY i)", "bh": "MIN(LEAST(p * n / i, 1)) OVER (ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"}, "k", "sector"))
-QUERIES["l03_block_bootstrap"] = lambda s, d: series.block_bootstrap(day_series(s, d))

@@ -436,19 +436,6 @@ def k03(s, d):
     return rounded(v.select("month", F.when(F.col("neg") > 0, F.least(F.lit(1.0), 12 * F.col("pos") / F.col("neg"))).otherwise(1.0).alias("weight")), ["weight"], ("month",))
 
 
-@query("k05_walk_forward", RET + LABELS + f""", v AS (SELECT code, date, r20 AS x, CAST(y AS DOUBLE) AS y, CAST(date_trunc('month', date) AS DATE) AS month, CAST(date_trunc('month', LEAD(date, 20) OVER ({BY})) AS DATE) AS closed FROM u),
-m AS (SELECT DISTINCT month FROM v), t AS (SELECT closed AS month, COUNT(*) AS n, SUM(y) AS sy, SUM(x) AS sx, SUM(x * x) AS sxx, SUM(x * y) AS sxy FROM v WHERE x IS NOT NULL AND y IS NOT NULL AND closed IS NOT NULL GROUP BY 1),
-c AS (SELECT m.month, {", ".join(f"SUM({k}) OVER b AS {k}" for k in ("n", "sy", "sx", "sxx", "sxy"))} FROM m LEFT JOIN t ON t.month = m.month WINDOW b AS (ORDER BY m.month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-f AS (SELECT *, (n * sxy - sx * sy) / NULLIF(n * sxx - sx * sx, 0) AS slope FROM c WHERE n >= 100),
-s AS (SELECT v.*, f.n, f.sy, f.slope, ROUND((f.sy - f.slope * f.sx) / f.n + f.slope * v.x, 9) AS p FROM v JOIN f ON f.month = v.month WHERE v.x IS NOT NULL AND v.y IS NOT NULL),
-k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY date ORDER BY p DESC, code) <= 10 AS pick FROM s)
-SELECT month, CAST(n AS BIGINT) AS n, CAST(sy AS BIGINT) AS positives, COUNT(*) AS rows, CAST(SUM(CAST(pick AS INT)) AS BIGINT) AS picks, {r6("slope", "slope")}, {r6("AVG(y)", "base")}, {r6("AVG(CASE WHEN pick THEN y END)", "hit")}, {r6("AVG(CASE WHEN pick THEN y END) / NULLIF(AVG(y), 0)", "lift")} FROM k GROUP BY month, n, sy, slope""")
-def k05(s, d):
-    """Every month of the data: purged training rows, a line on the 20-row return, picks, hit, base and lift."""
-    out = lists.walk_forward_line(labelled(s, d), "r20", "y")
-    return rounded(out.withColumn("lift", F.col("hit") / F.nullif(F.col("base"), F.lit(0.0))), ["slope", "base", "hit", "lift"], ("month", "n", "positives", "rows", "picks"))
-
-
 @query("k17_segment_factors", RET + LABELS + ", g AS (SELECT CAST(date_trunc('month', date) AS DATE) AS month, board, COUNT(*) AS n, SUM(y) AS k FROM u WHERE y IS NOT NULL GROUP BY 1, 2), c AS (SELECT month, board, COALESCE(SUM(n) OVER v, 0) AS n, COALESCE(SUM(k) OVER v, 0) AS k FROM g WINDOW v AS (PARTITION BY board ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), p AS (SELECT *, SUM(k) OVER (PARTITION BY month) / NULLIF(SUM(n) OVER (PARTITION BY month), 0) AS p FROM c)".replace(", p AS (SELECT *, SUM(k)", ", q AS (SELECT *, SUM(k)") + rounded_sql({"factor": "COALESCE(LEAST(GREATEST((k + 50 * p) / (n + 50) / NULLIF(p, 0), 0.6), 1.4), 1)"}, "q", "month, board, CAST(n AS BIGINT) AS n, CAST(k AS BIGINT) AS k"))
 def k17(s, d):
     rows = labelled(s, d).withColumn("month", F.trunc("date", "month"))

@@ -127,7 +127,7 @@ class _Pool(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802
         s = list(self.stay.get()) if self.stay.exists() else None
-        if s and s[8] and self._due(s[3]) <= expiredTimerInfo.get_expiry_time_in_ms():
+        if s and s[8] and self._due(s[3]) <= expiredTimerInfo.getExpiryTimeInMs():
             s[8] = False
             self.stay.update(tuple(s))
             yield pd.DataFrame([self._row(key, s, True)], columns=[c.split()[0] for c in STAY.split(", ")])
