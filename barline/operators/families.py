@@ -177,3 +177,30 @@ def buyer_history(rows: DataFrame, buyer: str, day: str, y: str, lag: int = 21,
     closed = Window.partitionBy(buyer).orderBy(day).rangeBetween(-250 - lag, -lag)
     known, hits = F.count(y).over(closed), F.coalesce(F.sum(y).over(closed), F.lit(0))
     return rows.withColumns({"n250": F.count(F.lit(1)).over(recent), "hit_n": known, "hit_rate": (hits + weight * prior) / (known + weight)})
+
+
+def price_delay(rows: DataFrame, n: int = 60) -> DataFrame:
+    """Adds d1, the share of explained variance that only the market's two lags explain, and lag_beta, the sum of their slopes, over ``n`` rows.
+
+    ``rows`` has r and the market's returns m0, m1, m2 of the day and the two market days before.  Both are null in a
+    window that isn't full, whose r doesn't move, or whose 3 by 3 system is singular (a determinant below 1e-9 of the variances' product).
+    """
+    w = last_n(n)
+    names = ["r", "m0", "m1", "m2"]
+    s = {a: F.sum(a).over(w) for a in names}
+    pairs = [(a, b) for k, a in enumerate(names) for b in names[k:]]
+    full = F.count(sum((F.col(a) for a in names), F.lit(0.0))).over(w) == n
+    d = rows.select("*", full.alias("_full"), *(s[a].alias(f"_{a}") for a in names), *(F.sum(F.col(a) * F.col(b)).over(w).alias(f"_{a}{b}") for a, b in pairs))
+    d = d.select(*rows.columns, "_full", *((F.col(f"_{a}{b}") - F.col(f"_{a}") * F.col(f"_{b}") / n).alias(f"c_{a}{b}") for a, b in pairs))
+    c = lambda a, b: F.col(f"c_{a}{b}") if (a, b) in pairs else F.col(f"c_{b}{a}")
+    m = names[1:]
+    matrix = [[c(a, b) for b in m] for a in m]
+    right = [c("r", a) for a in m]
+    det = lambda x: x[0][0] * (x[1][1] * x[2][2] - x[1][2] * x[2][1]) - x[0][1] * (x[1][0] * x[2][2] - x[1][2] * x[2][0]) + x[0][2] * (x[1][0] * x[2][1] - x[1][1] * x[2][0])
+    d = d.withColumn("_det", det(matrix))
+    for k in range(3):
+        d = d.withColumn(f"_b{k}", det([[right[i] if j == k else matrix[i][j] for j in range(3)] for i in range(3)]) / F.nullif(F.col("_det"), F.lit(0.0)))
+    sound = F.col("_full") & (c("r", "r") > 1e-12) & (F.abs("_det") > 1e-9 * c("m0", "m0") * c("m1", "m1") * c("m2", "m2"))
+    whole = sum((F.col(f"_b{k}") * right[k] for k in range(3)), F.lit(0.0)) / F.nullif(c("r", "r"), F.lit(0.0))
+    alone = c("r", "m0") * c("r", "m0") / F.nullif(c("m0", "m0") * c("r", "r"), F.lit(0.0))
+    return d.select(*rows.columns, F.when(sound & (whole > 0), 1 - alone / whole).alias("d1"), F.when(sound, F.col("_b1") + F.col("_b2")).alias("lag_beta"))

@@ -80,3 +80,24 @@ def shrunk_factors(rows: DataFrame, group: str, y: str, weight: float = 50.0, lo
     p = F.sum("k").over(whole) / F.nullif(F.sum("n").over(whole).cast("double"), F.lit(0.0))
     rate = (F.col("k") + weight * p) / (F.col("n") + weight)
     return d.select("month", group, "n", "k", F.coalesce(F.least(F.greatest(rate / F.nullif(p, F.lit(0.0)), F.lit(low)), F.lit(high)), F.lit(1.0)).alias("factor"))
+
+
+def nested_choice(arms: DataFrame, base: str, months_back: int = 12, least: int = 40) -> DataFrame:
+    """Per month: the arm of (arm, date, d) with the largest Newey-West t of its daily lead over ``base`` in the months before, and its result.
+
+    An arm needs ``least`` days with both and a t above 0, ties by name; without one the base is taken.
+    """
+    from barline.operators.series import newey_west
+
+    months = arms.select(F.trunc("date", "month").alias("month")).distinct()
+    own = arms.where(F.col("arm") == base).select("date", F.col("d").alias("_b"))
+    lead = arms.where(F.col("arm") != base).join(own, "date").select("arm", "date", (F.col("d") - F.col("_b")).alias("d"))
+    # A day counts for the months after its own, up to ``months_back`` of them and the one it is still within.
+    months = months.select("month", F.add_months("month", -months_back).alias("_from"))
+    past = lead.join(F.broadcast(months), (F.col("date") < F.col("month")) & (F.col("date") >= F.col("_from")))
+    series = past.select(F.concat_ws("|", F.col("month").cast("string"), "arm").alias("series"), "date", "d")
+    t = newey_west(series, 20).where(F.col("n") >= least).select(F.split("series", r"\|")[0].cast("date").alias("month"), F.split("series", r"\|")[1].alias("arm"), F.round("t", 9).alias("t")).where("t > 0")
+    best = t.groupBy("month").agg(F.min_by(F.struct("arm", "t"), F.struct(-F.col("t"), "arm")).alias("_c"))
+    chosen = months.select("month").join(best, "month", "left").select("month", F.coalesce("_c.arm", F.lit(base)).alias("arm"), F.coalesce("_c.t", F.lit(0.0)).alias("t"))
+    days = own.select("date", "_b", F.trunc("date", "month").alias("month")).join(F.broadcast(chosen), "month").join(arms.select("arm", "date", "d"), ["arm", "date"], "left")
+    return days.groupBy("month", "arm", "t").agg(F.count("d").alias("days"), F.avg("d").alias("hit"), F.avg("_b").alias("base"))

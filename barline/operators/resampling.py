@@ -92,9 +92,7 @@ def normal_cdf(x: Column) -> Column:
 
 
 def normal_cdf_sql(x: str) -> str:
-    out = "CAST(0 AS DOUBLE)"
-    for k in range(TERMS, 0, -1):
-        out = f"(({out} + 1) * {x} * {x} / {2 * k + 1})"
+    out = f"list_reduce(range({TERMS}, 0, -1), lambda a, k: (a + 1) * {x} * {x} / (2 * k + 1), CAST(0 AS DOUBLE))"
     return f"(0.5 + EXP(-{x} * {x} / 2) * {x} * ({out} + 1) * 0.3989422804014327)"
 
 

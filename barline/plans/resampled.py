@@ -74,7 +74,7 @@ _TAIL = f"(1 - {resampling.normal_cdf_sql('mid')})"
 
 @query(
     "l08_family_threshold",
-    MAXT + ", ts AS (SELECT LIST(t) AS ts FROM mx), " + _root_sql(f"(SELECT len(list_filter(ts, lambda t: t >= mid)) / CAST(len(ts) AS DOUBLE) FROM ts) + {UNSEEN} * {_TAIL}", "ra") + ", " + _root_sql(f"{UNSEEN + 5} * {_TAIL}", "rb")
+    MAXT + ", ts AS MATERIALIZED (SELECT LIST(t) AS ts FROM mx), " + _root_sql(f"(SELECT len(list_filter(ts, lambda t: t >= mid)) / CAST(len(ts) AS DOUBLE) FROM ts) + {UNSEEN} * {_TAIL}", "ra") + ", " + _root_sql(f"{UNSEEN + 5} * {_TAIL}", "rb")
     + f" SELECT {r6('a.hi', 'maxt')}, {r6('b.hi', 'bonferroni')}, {r6('GREATEST(2.5, LEAST(a.hi, b.hi))', 'threshold')} FROM ra a, rb b WHERE a.k = {resampling.STEPS} AND b.k = {resampling.STEPS}",
 )
 def l08(s, d):
