@@ -14,7 +14,7 @@ import unicodedata
 from array import array
 
 #: Pieces kept by a worker before it starts afresh.
-CACHE_PIECES = 700_000
+CACHE_PIECES = 250_000
 #: Pieces longer than this aren't kept.
 CACHE_PIECE_CHARS = 64
 #: Letters, then ASCII marks.
