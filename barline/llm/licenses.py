@@ -8,9 +8,10 @@ of the corpus, whose weak labels come from exact template matches.  The probabil
 which a paragraph is unknown is calibrated on the held-out half of the sample.  A predicted
 family is confirmed if one of its templates is contained in the paragraph by its 2-grams.
 
-Paragraphs without any content word of the vocabulary, and so without any of its n-grams, are unknown
-without evaluation.  So are those that the weights prove unknown: the sum of what their words can add
-to a family's lead over unknown stays below the calibrated probability.
+Paragraphs that the weights prove unknown aren't evaluated: the sum of what their words can add to a
+family's lead over unknown stays below the calibrated probability.  Where the weights prove that of a paragraph without
+any content word of the vocabulary, only those with one are cut out of the texts; else every paragraph is.
+Of families of equal probability the later one in ``FAMILIES`` is taken.
 Null text counts as empty; an empty table gives an empty result.  Repeated rows give repeated findings,
 rows without doc_id too.  Texts of any length are read whole; other columns are not read.
 """
@@ -89,11 +90,11 @@ def _held_words() -> str:
 HELD = _held_words()
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """doc_id, paragraph (from 0) and its text for the paragraphs with a content word of the vocabulary."""
+def paragraphs(docs: DataFrame, every: bool = False) -> DataFrame:
+    """doc_id, paragraph (from 0) and its text for the paragraphs with a content word of the vocabulary, or for all."""
     joined = F.regexp_replace(text_or_empty(), r"(?<![.!?:])\n(?=[a-z])", " ")
     rows = docs.select("doc_id", F.posexplode(F.split(joined, "\n")).alias("paragraph", "content"))
-    return rows.where(F.lower("content").rlike(HELD))
+    return rows if every else rows.where(F.lower("content").rlike(HELD))
 
 
 def _words(content: Column) -> Column:
@@ -204,6 +205,8 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, paragraph, family, probability, contained, confirmed for each paragraph that isn't unknown."""
     candidates = paragraphs(docs)  # cut anew from the texts each time, which is less than writing them
     model = model or train(candidates, max(1, docs.count() // (2 * SAMPLE)))
+    if leads(model)[1] <= 0:  # then nothing proves a paragraph without a content word unknown
+        candidates = paragraphs(docs, every=True)
     parts = materialise(with_features(possible(candidates, model)).select("doc_id", "paragraph", "grams", "features"), "licence-paragraphs")
     found = materialise(predict(parts, model), "licence-predictions").where((F.col("best.family") > 0) & (F.col("best.p") >= model.least))
     named = found.withColumn("family", F.element_at(F.array(*map(F.lit, FAMILIES)), F.col("best.family") + 1))

@@ -418,6 +418,14 @@ def test_licences_without_a_usual_word_are_evaluated(spark):
     assert {(r.doc_id, r.family, r.contained, r.confirmed) for r in found} == {(0, "cc-by", 0.75, True), (1, "cc-by-sa", 0.8, True), (2, "cc-by-nc", 0.6, True)}
 
 
+def test_every_paragraph_is_evaluated_where_no_weight_proves_it_unknown(spark):
+    """A model that takes even empty prose for a family finds it in paragraphs without any word of the vocabulary."""
+    weights = [[0.0] * (len(licenses.VOCABULARY) + 1) for _ in licenses.FAMILIES]
+    model = licenses.Model(weights, [0.0, 5.0, *[0.0] * (len(licenses.FAMILIES) - 2)], 0.5)
+    docs = spark.createDataFrame([(1, "Xyzzy plugh.\nZork"), (2, "MIT"), (3, None)], "doc_id long, text string")
+    assert {(r.doc_id, r.paragraph) for r in licenses.scan(docs, model).collect()} == {(1, 0), (1, 1), (2, 0), (3, 0)}
+
+
 def test_paragraphs_left_out_are_unknown_to_the_model(spark):
     odd = ["émit", "1.4license 2.0x", "cc0", "mozilla_bsd", "licensed by", "of the", "4.0", "x4.0 1.4.0", "GNU", "creative commons", "Licence", "forms"]
     rows = [(k, t) for k, t in enumerate([*odd, *(t for ts in licenses.TEMPLATES.values() for t in ts)])]
