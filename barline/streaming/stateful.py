@@ -78,7 +78,7 @@ def carried(bars: DataFrame, cells: int = 360) -> DataFrame:
     return out.select("code", "date", *(F.nanvl(c, F.lit(None)).alias(c) for c in COLUMNS), "run")
 
 
-#: A market day as event time: so many milliseconds since the epoch for each day's number.
+#: A market day as event time: so many milliseconds for each day's number, from 0, and one more, as a clock's first reading is 0.
 DAY_MS = 86_400_000
 STAY = "code long, stay long, first date, last date, days long, best long, streak long, expired boolean"
 
@@ -97,7 +97,7 @@ class _Pool(StatefulProcessor):
         return key[0], s[0], s[1], s[2], s[4], s[5], s[7], expired
 
     def _due(self, day: int) -> int:
-        return (day + self.kept + 2) * DAY_MS
+        return (day + self.kept + 3) * DAY_MS
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
         s = list(self.stay.get()) if self.stay.exists() else None
@@ -143,7 +143,7 @@ def pool(lists: DataFrame, kept: int = 60) -> DataFrame:
     listing on that day still belongs to it.  The clock is the market day's number; rows without a rank only move it, so
     that days without listings can be told.  Listings of days that the clock has passed are dropped.
     """
-    rows = lists.select(F.col("code").cast("long").alias("code"), "date", F.col("day").cast("long").alias("day"), F.col("rank").cast("double").alias("rank"), F.timestamp_millis(F.col("day").cast("long") * DAY_MS).alias("at"))
+    rows = lists.select(F.col("code").cast("long").alias("code"), "date", F.col("day").cast("long").alias("day"), F.col("rank").cast("double").alias("rank"), F.timestamp_millis((F.col("day").cast("long") + 1) * DAY_MS).alias("at"))
     return rows.withWatermark("at", "0 seconds").groupBy("code").transformWithStateInPandas(_Pool(kept), outputStructType=STAY, outputMode="Append", timeMode="EventTime")
 
 
