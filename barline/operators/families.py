@@ -76,22 +76,48 @@ def interactions(df: DataFrame, pairs: list[tuple[str, int, str, int]]) -> DataF
     return df.select("*", *(F.least(F.col(a) * sa, F.col(b) * sb).alias(f"{a}_and_{b}") for a, sa, b, sb in pairs))
 
 
-def label_top(panel: DataFrame, n: int = 60, fall: float = 0.2) -> DataFrame:
-    """Marks rows that are the first highest high of the n rows from some row on, if a later close of these fell by ``fall``."""
-    d = panel.withColumn("_t", F.row_number().over(by_code()))
-    w = by_code().rowsBetween(0, n - 1)
-    rows = d.select("code", "date", "_t", F.min_by("_t", F.struct(-F.col("high"), F.col("_t"))).over(w).alias("_top"), F.count("*").over(w).alias("_n"), F.collect_list(F.struct("_t", "close", "high")).over(w).alias("_w"))
-    peak = F.array_max(F.transform("_w", lambda x: x["high"]))
-    hit = rows.where(F.col("_n") == n).where(F.exists("_w", lambda x: (x["_t"] > F.col("_top")) & (x["close"] < peak * (1 - fall)))).select("code", F.col("_top").alias("_t")).distinct().withColumn("top", F.lit(1))
-    return d.join(hit, ["code", "_t"], "left").select(*panel.columns, F.coalesce("top", F.lit(0)).alias("top"))
-
+def label_top(labelled: DataFrame, n: int = 60, fall: float = 0.2, open_rows: int = 20) -> DataFrame:
+    """Adds ``top``: 1 on the highest high of a wave and the row before it, 0 elsewhere, null in a code's last ``open_rows`` rows.
 
-def rolling_scale(df: DataFrame, x: str, days: int = 60) -> DataFrame:
-    """The median of ``x`` over all codes of the dates before, up to ``days`` calendar days."""
-    limits = df.select("date").distinct()
-    past = df.select(F.col("date").alias("_d"), F.col(x).alias("_x")).where(F.col("_x").isNotNull())
-    spread = past.select("_x", F.explode(F.sequence(F.date_add("_d", 1), F.date_add("_d", days))).alias("date"))
-    return limits.join(spread, "date", "left").groupBy("date").agg(F.percentile("_x", F.lit(0.5)).alias("mid"), F.count("_x").alias("n"))
+    A wave begins on the first row of a run of positive labels y and goes on for ``n`` rows, or to the code's last one, three at
+    least.  It has a top only if a later close of it lies more than ``fall`` below the high; of equal highs the first counts.
+    """
+    w = by_code().rowsBetween(0, n - 1)
+    d = labelled.withColumn("_t", F.row_number().over(by_code())).withColumn("_last", F.count("*").over(Window.partitionBy("code")))
+    begins = (F.col("y") == 1) & (F.coalesce(lag("y"), F.lit(0)) != 1)
+    waves = d.withColumn("_begins", begins).withColumn("_peak", F.min_by(F.struct("_t", "high"), F.struct(-F.col("high"), F.col("_t"))).over(w)).where("_begins")
+    waves = waves.select("code", F.col("_t").alias("_from"), F.least(F.col("_t") + n - 1, "_last").alias("_to"), F.col("_peak._t").alias("_top"), F.col("_peak.high").alias("_high")).where("_to - _from >= 2 AND _to > _top")
+    # A wave's rows behind its top are told by their places, so each is one equal join.
+    after = waves.select("code", "_top", "_high", F.explode(F.sequence(F.col("_top") + 1, F.col("_to"))).alias("_t")).join(d.select("code", "_t", "close"), ["code", "_t"])
+    tops = after.where(F.col("close") < F.col("_high") * (1 - fall)).select("code", F.explode(F.array("_top", F.col("_top") - 1)).alias("_t")).distinct().withColumn("_hit", F.lit(1))
+    out = d.join(tops, ["code", "_t"], "left")
+    return out.select(*labelled.columns, F.when(F.col("_t") <= F.col("_last") - open_rows, F.coalesce("_hit", F.lit(0))).alias("top"))
+
+
+def rolling_scale(df: DataFrame, x: str, days: int = 60, width: float = 1 / 256) -> DataFrame:
+    """The median of ``x`` over all codes of the dates before, up to ``days`` calendar days, and how many values it is of.
+
+    Values are counted by day and bucket of ``width``; running sums of days and then of buckets tell in which bucket each
+    date's middle values lie, and only values of these buckets are looked at, by their rank in the bucket.
+    """
+    values = df.where(F.col(x).isNotNull()).select(F.col("date").alias("_d"), F.col(x).cast("double").alias("_x"), F.floor(F.col(x) / width).alias("_b"))
+    counts = values.groupBy("_d", "_b").agg(F.count("*").alias("_k"))
+    dates = df.select("date").distinct()
+    # Days and buckets are few, whatever the number of codes.
+    buckets = values.select(F.col("_b").alias("_gb")).distinct()
+    grid = dates.crossJoin(F.broadcast(buckets)).join(counts, (F.col("date") == F.col("_d")) & (F.col("_gb") == F.col("_b")), "left").select("date", F.col("_gb").alias("_ab"), F.coalesce("_k", F.lit(0)).alias("_k"))
+    past = Window.partitionBy("_ab").orderBy(F.datediff("date", F.lit("1970-01-01").cast("date"))).rangeBetween(-days, -1)
+    seen = grid.withColumn("_n", F.coalesce(F.sum("_k").over(past), F.lit(0))).where("_n > 0")
+    by_bucket = Window.partitionBy("date").orderBy("_ab")
+    seen = seen.withColumn("_below", F.sum("_n").over(by_bucket) - F.col("_n")).withColumn("n", F.sum("_n").over(Window.partitionBy("date")))
+    # The middle one or two of n values have the places (n - 1) div 2 and n div 2, from 0.
+    low, high = F.expr("(n - 1) DIV 2"), F.expr("n DIV 2")
+    holds = lambda k: (k >= F.col("_below")) & (k < F.col("_below") + F.col("_n"))
+    asked = seen.where(holds(low) | holds(high)).select("date", "_ab", "_n", "_below", "n", F.explode(F.sequence(F.date_sub("date", days), F.date_sub("date", 1))).alias("_ad"))
+    near = asked.join(values, (F.col("_ad") == F.col("_d")) & (F.col("_ab") == F.col("_b")))
+    ranked = near.withColumn("_at", F.col("_below") + F.row_number().over(Window.partitionBy("date", "_ab").orderBy("_x")) - 1)
+    middle = ranked.where((F.col("_at") == low) | (F.col("_at") == high)).groupBy("date").agg(F.avg("_x").alias("mid"), F.first("n").alias("n"))
+    return dates.join(middle, "date", "left").select("date", "mid", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def rank_decay(lists: DataFrame, y: str = "y") -> DataFrame:
@@ -100,15 +126,30 @@ def rank_decay(lists: DataFrame, y: str = "y") -> DataFrame:
     return lists.where(F.col(y).isNotNull()).groupBy(b.alias("bucket")).agg(F.count("*").alias("n"), F.avg(y).alias("rate"))
 
 
-def conformal(scores: DataFrame, score: str, y: str, cut: str) -> DataFrame:
-    """p of each row from ``cut`` on: (1 + past negatives scoring as high) / (past negatives + 1)."""
-    c = F.lit(cut).cast("date")
-    past = scores.where((F.col("date") < c) & (F.col(y) == 0)).select(F.col(score).alias("s"), F.lit(1).alias("neg"), F.lit(None).cast("long").alias("code"), F.lit(None).cast("date").alias("date"))
-    new = scores.where((F.col("date") >= c) & F.col(score).isNotNull()).select(F.col(score).alias("s"), F.lit(0).alias("neg"), "code", "date")
-    # Negatives are summed by score first, so the one running sum is over distinct scores.
-    by_score = past.unionByName(new).groupBy("s").agg(F.sum("neg").alias("k"))
-    above = by_score.select("s", F.sum("k").over(Window.orderBy(F.col("s").desc())).alias("above"), F.sum("k").over(Window.partitionBy()).alias("n0"))
-    return new.join(above, "s").select("code", "date", ((1 + F.col("above")) / (F.col("n0") + 1)).alias("p"))
+def conformal(rows: DataFrame, score: str, y: str, months_back: int = 12, gap: int = 20, rate: float = 0.1, width: float = 1 / 256) -> DataFrame:
+    """Adds p, (1 + negatives that score as high) / (negatives + 1) over the ``months_back`` months before whose label had closed, and
+    ``selected``, the rows that Benjamini and Hochberg's rule keeps at ``rate`` among the codes of the day; null without such negatives.
+
+    Negatives are summed by month and score first; those above a score come from sums of buckets of ``width`` and of the
+    scores inside the bucket, so that no month's scores pass through one task.
+    """
+    d = rows.where(F.col(score).isNotNull() | F.col(y).isNotNull()).withColumn("_closed", F.lead("date", gap).over(by_code())).withColumn("_own", F.trunc("date", "month"))
+    past = d.where((F.col(y) == 0) & F.col(score).isNotNull() & F.col("_closed").isNotNull()).where(F.add_months(F.trunc("_closed", "month"), 1) <= F.add_months("_own", months_back))
+    past = past.select(F.explode(F.expr(f"sequence(add_months(trunc(_closed, 'month'), 1), add_months(_own, {months_back}), interval 1 month)")).alias("month"), F.col(score).alias("_s"), F.lit(1).alias("_k"))
+    new = d.where(F.col(score).isNotNull()).select("code", "date", F.col("_own").alias("month"), F.col(score).alias("_s"))
+    sums = past.unionByName(new.select("month", "_s", F.lit(0).alias("_k"))).groupBy("month", "_s").agg(F.sum("_k").alias("_k")).withColumn("_b", F.floor(F.col("_s") / width))
+    inside = F.sum("_k").over(Window.partitionBy("month", "_b").orderBy(F.col("_s").desc()))
+    buckets = sums.groupBy("month", "_b").agg(F.sum("_k").alias("_n"))
+    of_month = Window.partitionBy("month")
+    buckets = buckets.select("month", "_b", (F.sum("_n").over(of_month.orderBy(F.col("_b").desc())) - F.col("_n")).alias("_above"), F.sum("_n").over(of_month).alias("_all"))
+    p = F.when(F.col("_all") > 0, (1 + F.col("_above") + F.col("_inside")) / (F.col("_all") + 1))
+    found = sums.withColumn("_inside", inside).join(buckets, ["month", "_b"]).select("month", "_s", p.alias("p"))
+    out = new.join(found, ["month", "_s"])
+    day = Window.partitionBy("date")
+    place, n = F.row_number().over(day.orderBy(F.col("p").asc_nulls_last(), "code")), F.count("p").over(day)
+    out = out.withColumn("_r", place).withColumn("_ok", F.col("p") <= rate * place / n)
+    last = F.max(F.when(F.col("_ok"), F.col("_r"))).over(day)
+    return out.select("code", "date", "p", F.when(F.col("p").isNotNull(), F.coalesce(F.col("_r") <= last, F.lit(False))).alias("selected"))
 
 
 def credibility(df: DataFrame, score: str, y: str, n: int = 20, weight: float = 20.0) -> DataFrame:

@@ -17,10 +17,11 @@ def stratified(df: DataFrame, y: str = "y", per_positive: int = 12, seed: int =
 
 
 def weights(df: DataFrame, half_life: float = 250.0, by: str = "month") -> DataFrame:
-    """Equal weight of months, and a decay with the age in days, each with mean 1 over its month or table."""
-    n, months = F.count("*").over(Window.partitionBy(by)), df.select(by).distinct().count()
-    age = F.datediff(F.lit(df.agg(F.max("date")).first()[0]), F.col("date"))
-    return df.withColumn("w_month", F.lit(float(df.count())) / months / n).withColumn("w_age", F.pow(F.lit(0.5), age / half_life))
+    """Equal weight of months, with mean 1 over the table, and a decay with the age in days, from the table's last date."""
+    months = df.groupBy(by).agg(F.count("*").alias("_n"), F.max("date").alias("_m"))
+    whole = Window.partitionBy()  # over a row a month
+    months = months.select(by, (F.sum("_n").over(whole) / F.count("*").over(whole) / F.col("_n")).alias("w_month"), F.max("_m").over(whole).alias("_last"))
+    return df.join(F.broadcast(months), by).withColumn("w_age", F.pow(F.lit(0.5), F.datediff("_last", "date") / half_life)).drop("_last")
 
 
 def purged(df: DataFrame, month: str, gap: int = 20) -> DataFrame:

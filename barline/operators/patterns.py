@@ -15,31 +15,38 @@ def prepared(panel: DataFrame, big: float = 0.03) -> DataFrame:
     return d.withColumn("big", F.coalesce((F.col("gain") >= big) & (F.col("vr") >= 1.5), F.lit(False)))
 
 
-def launches(bars: DataFrame, base: int = 20, amplitude: float = 0.6) -> DataFrame:
-    """Big bars after ``base`` bars within an amplitude, with volume over their mean and maximum of the half before."""
+def launches(bars: DataFrame, base: int = 20, amplitude: float = 0.6, times: float = 1.2, over_largest: bool = False) -> DataFrame:
+    """Big bars after ``base`` bars within an amplitude, with ``times`` their mean volume and, if asked for, more than their largest."""
     w = last_n(base, 1)
     high, low, n = F.max("close").over(w), F.min("close").over(w), F.count("close").over(w)
     calm = (n == base) & (high / low - 1 <= amplitude)
-    return bars.where(F.lit(True)).withColumn("calm", calm).withColumn("base_volume", F.avg("volume").over(w)).where(F.col("calm") & F.col("big") & (F.col("volume") >= 1.2 * F.col("base_volume")))
+    d = bars.withColumn("calm", calm).withColumn("base_volume", F.avg("volume").over(w)).withColumn("_largest", F.max("volume").over(w))
+    fits = F.col("calm") & F.col("big") & (F.col("volume") >= times * F.col("base_volume"))
+    return d.where(fits & (F.col("volume") > F.col("_largest")) if over_largest else fits).drop("_largest")
 
 
-def base_launch_adjust_trigger(panel: DataFrame, most: int = 10, least: int = 2) -> DataFrame:
-    """One row per launch with the status that decided it.
+def base_launch_adjust_trigger(panel: DataFrame, most: int = 10, least: int = 2, shrink: float = 0.8, **base) -> DataFrame:
+    """One row per launch with the status that decided it; ``base`` holds parameters of ``launches``.
 
     Bars after a launch stay below its volume, close at most at its high and hold its low,
-    until the first close above its high triggers: ``hit`` after ``least`` quiet bars if that
-    bar is big, else ``weak``.  The first failure decides; ``open`` if bars run out.
+    until the first close above its high triggers: ``hit`` after ``least`` quiet bars whose mean volume is
+    at most ``shrink`` of the launch's (``thick`` if it is more) if that bar is big, else ``weak``.  The first failure
+    decides; ``open`` if bars run out.
     """
     bars = prepared(panel)
-    start = launches(bars).select("code", F.col("pos").alias("start"), F.col("date").alias("launch_date"), F.col("high").alias("l_high"), F.col("low").alias("l_low"), F.col("volume").alias("l_volume"))
+    start = launches(bars, **base).select("code", F.col("pos").alias("start"), F.col("date").alias("launch_date"), F.col("high").alias("l_high"), F.col("low").alias("l_low"), F.col("volume").alias("l_volume"))
     start = start.select("*", F.explode(F.sequence(F.lit(1), F.lit(most + 1))).alias("step")).withColumn("pos", F.col("start") + F.col("step"))
     steps = start.join(bars.select("code", "pos", "date", "close", "low", "volume", "big"), ["code", "pos"], "left")
+    # A launch and its few steps meet; codes with many launches are dealt by launch.
+    steps = steps.withColumn("_mean", F.avg("volume").over(Window.partitionBy("code", "launch_date").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)))
+    above = F.col("close") > F.col("l_high")
     status = (
         F.when(F.col("date").isNull(), "open")
         .when(F.col("low") < F.col("l_low"), "broken")
-        .when((F.col("close") > F.col("l_high")) & (F.col("step") <= least), "early")
-        .when((F.col("close") > F.col("l_high")) & F.col("big"), "hit")
-        .when(F.col("close") > F.col("l_high"), "weak")
+        .when(above & (F.col("step") <= least), "early")
+        .when(above & ~F.col("big"), "weak")
+        .when(above & (F.col("_mean") > shrink * F.col("l_volume")), "thick")
+        .when(above, "hit")
         .when(F.col("volume") >= F.col("l_volume"), "heavy")
         .when(F.col("step") > most, "late")
     )

@@ -39,7 +39,15 @@ add("e36_industry_block", lambda s, d: rounded(fam.industry_block(panel(s, d)),
 local("e37_event_history", lambda d: fam.event_history(d.withColumn("_g", F.col("close") / F.lag("close").over(cs.Window.partitionBy("code").orderBy("date")) - 1), F.col("_g") >= 0.045), {"events": f"COALESCE(SUM(f) {win(250, 21)}, 0)", "since_event": f"LEAST(600, COALESCE(t - MAX(CASE WHEN f = 1 THEN t END) OVER ({BY} ROWS BETWEEN UNBOUNDED PRECEDING AND 21 PRECEDING), 600))"}, RET + f", q AS (SELECT *, COALESCE(CAST(r >= 0.045 AS INT), 0) AS f, ROW_NUMBER() OVER ({BY}) AS t FROM p)", "q")
 local("j03_interactions", lambda d: fam.interactions(d.select("*", cs.pct_rank("volume", "date").alias("a"), cs.pct_rank("amount", "date").alias("b")), [("a", 1, "b", -1)]), {"a_and_b": f"LEAST({tied('volume')}, -({tied('amount')}))"})
 local("j04_rank_to_unit", lambda d: d.withColumn("u", 2 * cs.pct_rank("amount", "date") - 1), {"u": f"2 * ({tied('amount')}) - 1"})
-add("h03_label_top", lambda s, d: fam.label_top(panel(s, d)).groupBy("code").agg(F.sum("top").alias("tops"), F.count("*").alias("n")), f", t AS (SELECT *, ROW_NUMBER() OVER ({BY}) AS t FROM panel), s AS (SELECT a.code, a.t AS t0, (MIN(ROW(-b.high, b.t)))[2] AS top, MAX(b.high) AS peak, COUNT(*) AS n FROM t a JOIN t b ON a.code = b.code AND b.t BETWEEN a.t AND a.t + 59 GROUP BY 1, 2), m AS (SELECT DISTINCT s.code, s.top FROM s JOIN t c ON c.code = s.code AND c.t > s.top AND c.t <= s.t0 + 59 AND c.close < s.peak * (1 - 0.2) WHERE s.n = 60) SELECT p.code, COUNT(m.top) AS tops, COUNT(*) AS n FROM t p LEFT JOIN m ON m.code = p.code AND m.top = p.t GROUP BY p.code")
+add(
+    "h03_label_top",
+    lambda s, d: fam.label_top(labelled(s, d)).select("code", "date", F.col("top").cast("double").alias("top")),
+    RET + LABELS + f""", t AS (SELECT *, ROW_NUMBER() OVER ({BY}) AS t, COUNT(*) OVER (PARTITION BY code) AS n, COALESCE({lag("y")}, 0) AS y1 FROM u),
+    s AS (SELECT a.code, a.t AS t0, MIN(LEAST(a.t + 59, a.n)) AS t1, (MIN(ROW(-b.high, b.t)))[2] AS top, MAX(b.high) AS peak FROM t a JOIN t b ON a.code = b.code AND b.t BETWEEN a.t AND a.t + 59 WHERE a.y = 1 AND a.y1 <> 1 GROUP BY 1, 2),
+    m AS (SELECT DISTINCT s.code, s.top FROM s JOIN t c ON c.code = s.code AND c.t > s.top AND c.t <= s.t1 AND c.close < s.peak * (1 - 0.2) WHERE t1 - t0 >= 2),
+    k AS (SELECT code, top AS t FROM m UNION SELECT code, top - 1 FROM m)
+    SELECT t.code, t.date, CASE WHEN t.t > t.n - 20 THEN NULL WHEN k.t IS NOT NULL THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS top FROM t LEFT JOIN k ON k.code = t.code AND k.t = t.t""",
+)
 add("h02_first_days", lambda s, d: labels.first_days(labelled(s, d)).where("first = 1").select("code", "date"), RET + LABELS + f", z1 AS (SELECT *, COALESCE({lag('y')}, 0) AS y1 FROM u) SELECT code, date FROM z1 WHERE y = 1 AND y1 <> 1")
 add("f04_rolling_scale", lambda s, d: rounded(fam.rolling_scale(returns(s, d), "r20"), ["mid"], ("date", "n")), RET + ", d AS (SELECT DISTINCT date FROM panel) SELECT d.date, COUNT(r20) AS n, " + r6("QUANTILE_CONT(r20, 0.5)", "mid") + " FROM d LEFT JOIN p ON p.date < d.date AND p.date >= d.date - 60 AND r20 IS NOT NULL GROUP BY d.date")
 add("f07_multi_key_rank", lambda s, d: cs.top(returns(s, d).where("r >= 0.045").withColumn("big", (F.col("volume") > 30).cast("int")), 3, [F.col("big").desc(), F.col("volume").desc(), F.round("r", 9).desc(), F.col("code")], "date").select("date", "code", "rank"), RET + " SELECT date, code, rank FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY date ORDER BY CAST(volume > 30 AS INT) DESC, volume DESC, ROUND(r, 9) DESC, code) AS rank FROM p WHERE r >= 0.045) WHERE rank <= 3")
@@ -47,7 +55,17 @@ add("f08_top_of_groups", lambda s, d: cs.top(panel(s, d), 2, [F.col("amount").de
 add("g01_union_by_name", lambda s, d: panel(s, d).select("code", "date", "volume").unionByName(panels.notices(s, d).select("date", "code", "kind"), allowMissingColumns=True).groupBy("code").agg(F.count("*").alias("n"), F.count("kind").alias("kinds"), F.sum("volume").alias("volume")), " , u AS (SELECT code, date, volume, NULL AS kind FROM panel UNION ALL BY NAME SELECT date, code, kind FROM notices) SELECT code, COUNT(*) AS n, COUNT(kind) AS kinds, SUM(volume) AS volume FROM u GROUP BY code", BARS, NOTICES)
 add("g04_calendar", lambda s, d: panel(s, d).select("date").distinct(), " SELECT DISTINCT date FROM panel")
 add("l13_rank_decay", lambda s, d: rounded(fam.rank_decay(cs.top(labelled(s, d).where("r20 IS NOT NULL"), 200, [F.round("r20", 9).desc(), F.col("code")], "date")), ["rate"], ("bucket", "n")), RET + LABELS + PICKS.replace("FROM p WHERE", "FROM u WHERE") + " SELECT CASE WHEN rank <= 3 THEN '01-03' WHEN rank <= 10 THEN '04-10' WHEN rank <= 20 THEN '11-20' WHEN rank <= 50 THEN '21-50' ELSE '51-' END AS bucket, COUNT(*) AS n, " + r6("AVG(y)", "rate") + " FROM k WHERE y IS NOT NULL AND rank <= 200 GROUP BY 1")
-add("l15_conformal", lambda s, d: rounded(fam.conformal(labelled(s, d).withColumn("s", F.round("r20", 9)), "s", "y", "2000-06-01"), ["p"]), RET + LABELS + ", a AS (SELECT ROUND(r20, 9) AS s FROM u WHERE date < DATE '2000-06-01' AND y = 0 AND r20 IS NOT NULL), n AS (SELECT COUNT(*) AS n0 FROM u WHERE date < DATE '2000-06-01' AND y = 0), k AS (SELECT code, date, ROUND(r20, 9) AS s FROM u WHERE date >= DATE '2000-06-01' AND r20 IS NOT NULL) SELECT k.code, k.date, " + r6("(1 + (SELECT COUNT(*) FROM a WHERE a.s >= k.s)) / CAST((SELECT n0 FROM n) + 1 AS DOUBLE)", "p") + " FROM k")
+add(
+    "l15_conformal",
+    lambda s, d: rounded(fam.conformal(labelled(s, d).withColumn("s", F.round("r20", 9)), "s", "y").withColumn("selected", F.col("selected").cast("double")), ["p", "selected"]),
+    RET + LABELS + f""", a AS (SELECT code, date, y, ROUND(r20, 9) AS s, LEAD(date, 20) OVER ({BY}) AS closed, CAST(date_trunc('month', date) AS DATE) AS own FROM (SELECT * FROM u WHERE r20 IS NOT NULL OR y IS NOT NULL)),
+    ms AS (SELECT DISTINCT own AS month FROM a), ng AS (SELECT month, s, COUNT(*) AS k FROM a JOIN ms ON closed < month AND own >= month - INTERVAL 12 MONTH WHERE y = 0 AND s IS NOT NULL AND closed IS NOT NULL GROUP BY month, s),
+    al AS (SELECT month, SUM(k) AS n0 FROM ng GROUP BY month), aq AS (SELECT own AS month, s, 0 AS k FROM a WHERE s IS NOT NULL GROUP BY 1, 2),
+    cu AS (SELECT month, s, SUM(SUM(k)) OVER (PARTITION BY month ORDER BY s DESC) AS above FROM (SELECT * FROM ng UNION ALL SELECT * FROM aq) GROUP BY month, s),
+    pp AS (SELECT code, date, CASE WHEN n0 > 0 THEN (1 + above) / CAST(n0 + 1 AS DOUBLE) END AS p FROM a JOIN cu ON cu.month = a.own AND cu.s = a.s LEFT JOIN al ON al.month = a.own),
+    rk AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY date ORDER BY p NULLS LAST, code) AS r, COUNT(p) OVER (PARTITION BY date) AS n FROM pp), sl AS (SELECT *, MAX(CASE WHEN p <= CAST(0.1 AS DOUBLE) * r / n THEN r END) OVER (PARTITION BY date) AS last FROM rk)"""
+    + rounded_sql({"p": "p", "selected": "CASE WHEN p IS NOT NULL THEN CAST(COALESCE(r <= last, FALSE) AS INT) END"}, "sl"),
+)
 add("l19_credibility", lambda s, d: rounded(fam.credibility(labelled(s, d), "turnover", "y"), ["cred"]), RET + LABELS + rounded_sql({"cred": "COALESCE(SUM(y - turnover) OVER v, 0) / (COUNT(y - turnover) OVER v + 20)"}, f"u WINDOW v AS ({BY} ROWS BETWEEN UNBOUNDED PRECEDING AND 21 PRECEDING)"))
 add("l24_softmax_excess", lambda s, d: rounded(fam.softmax_excess(labelled(s, d), "r20", "rise"), ["excess"], ("date",)), RET + LABELS + ", e AS (SELECT *, EXP((r20 - MAX(r20) OVER (PARTITION BY date)) / 0.1) AS e FROM u WHERE r20 IS NOT NULL AND rise IS NOT NULL)" + rounded_sql({"excess": "SUM(e * rise) / SUM(e) - AVG(rise)"}, "e GROUP BY date", "date"))
 add("m01_event_shares", lambda s, d: rounded(fam.event_shares(panel(s, d), panels.notices(s, d), "size"), ["n5", "share5", "n20", "share20"], ("code", "date", "today")), ", e AS (SELECT code, date, COUNT(*) AS n, SUM(size) AS v FROM notices GROUP BY 1, 2), q AS (SELECT p.*, COALESCE(e.n, 0) AS n, COALESCE(v, 0) AS v FROM panel p LEFT JOIN e ON e.code = p.code AND e.date = p.date)" + rounded_sql({k: x for n in (5, 20) for k, x in {f"n{n}": f"SUM(n) {win(n)}", f"share{n}": f"SUM(v) {win(n)} / SUM(amount) {win(n)}"}.items()}, "q", "code, date, CAST(n > 0 AS INT) AS today"), BARS, NOTICES)

@@ -25,11 +25,14 @@ def add(name: str, query, sql: str | None = None, *parts: str) -> None:
 PREPARED = f", p0 AS (SELECT *, ROW_NUMBER() OVER ({BY}) AS pos, close / {lag('close')} - 1 AS gain, volume / {lag('volume')} AS vr FROM panel), p AS (SELECT *, COALESCE(gain >= 0.03 AND vr >= 1.5, FALSE) AS big FROM p0)"
 LAUNCHES = f", b AS (SELECT *, COUNT(close) {win(20, 1)} AS n, MAX(close) {win(20, 1)} / MIN(close) {win(20, 1)} - 1 AS amp, AVG(volume) {win(20, 1)} AS bv FROM p), l AS (SELECT * FROM b WHERE n = 20 AND amp <= 0.6 AND big AND volume >= 1.2 * bv)"
 STEPS = """, s AS (SELECT l.code, l.date AS launch_date, l.high AS lh, l.low AS ll, l.volume AS lv, l.pos + k.step AS pos, k.step FROM l, (SELECT UNNEST(range(1, 12)) AS step) k),
-t AS (SELECT s.*, p.date AS date, CASE WHEN p.date IS NULL THEN 'open' WHEN p.low < ll THEN 'broken' WHEN p.close > lh AND step <= 2 THEN 'early' WHEN p.close > lh AND p.big THEN 'hit'
-      WHEN p.close > lh THEN 'weak' WHEN p.volume >= lv THEN 'heavy' WHEN step > 10 THEN 'late' END AS status FROM s LEFT JOIN p ON p.code = s.code AND p.pos = s.pos)
+t0 AS (SELECT s.*, p.date AS date, p.low, p.close, p.volume, p.big, AVG(p.volume) OVER (PARTITION BY s.code, s.launch_date ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS vm FROM s LEFT JOIN p ON p.code = s.code AND p.pos = s.pos),
+t AS (SELECT *, CASE WHEN date IS NULL THEN 'open' WHEN low < ll THEN 'broken' WHEN close > lh AND step <= 2 THEN 'early' WHEN close > lh AND NOT big THEN 'weak' WHEN close > lh AND vm > 0.8 * lv THEN 'thick' WHEN close > lh THEN 'hit'
+      WHEN volume >= lv THEN 'heavy' WHEN step > 10 THEN 'late' END AS status FROM t0)
 SELECT code, launch_date, arg_min(status, step) AS status, CAST(MIN(step) AS INTEGER) AS step, (MIN(ROW(step, date)))[2] AS date FROM t WHERE status IS NOT NULL GROUP BY code, launch_date"""
 add("i02_base_launch_adjust_trigger", lambda s, d: patterns.base_launch_adjust_trigger(panel(s, d)), PREPARED + LAUNCHES + STEPS)
 add("i01_prepared_bars", lambda s, d: rounded(patterns.prepared(panel(s, d)), ["gain", "vr"], ("code", "date", "pos", "big")), PREPARED + rounded_sql({"gain": "gain", "vr": "vr"}, "p", "code, date, pos, big"))
+STRICT = LAUNCHES.replace("volume >= 1.2 * bv", "volume >= 1.5 * bv AND volume > bx").replace("amp <= 0.6", "amp <= 0.3").replace("AVG(volume)", f"MAX(volume) {win(20, 1)} AS bx, AVG(volume)", 1)
+add("i02_strict_bases", lambda s, d: patterns.base_launch_adjust_trigger(panel(s, d), amplitude=0.3, times=1.5, over_largest=True), PREPARED + STRICT + STEPS)
 add("d08_status_counts", lambda s, d: patterns.base_launch_adjust_trigger(panel(s, d)).groupBy("status").agg(F.count("*").alias("n")), PREPARED + LAUNCHES + STEPS.replace("SELECT code, launch_date, arg_min", ", zz AS (SELECT code, launch_date, arg_min") + ") SELECT status, COUNT(*) AS n FROM zz GROUP BY status")
 STAYS = RET + PICKS + ", cal AS (SELECT date, ROW_NUMBER() OVER (ORDER BY date) AS day FROM (SELECT DISTINCT date FROM panel)), q0 AS (SELECT k.code, k.date, rank, cal.day, cal.day - LAG(cal.day) OVER (PARTITION BY k.code ORDER BY k.date) AS gap FROM k JOIN cal ON cal.date = k.date WHERE rank <= 5), q1 AS (SELECT *, SUM(COALESCE(CAST(gap > 61 AS INT), 1)) OVER (PARTITION BY code ORDER BY day) AS stay, SUM(COALESCE(CAST(gap <> 1 AS INT), 1)) OVER (PARTITION BY code ORDER BY day) AS island FROM q0), q2 AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY code, island ORDER BY day) AS run FROM q1), stays AS (SELECT code, CAST(stay AS BIGINT) AS stay, MIN(date) AS first, MAX(date) AS last, COUNT(*) AS days, MIN(rank) AS best, MAX(run) AS streak FROM q2 GROUP BY code, stay)"
 add("i09_pool_stays", lambda s, d: patterns.pool_days(picks(s, d, 5), lists.day_numbers(panel(s, d))), STAYS + " SELECT * FROM stays")
