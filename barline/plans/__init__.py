@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from barline.plans import events, extra, features, judged, learned, more, panels, priced, resampled, rows, stores
+from barline.plans import events, extra, features, judged, judging, learned, more, panels, priced, resampled, rows, stores
 from barline.plans.helpers import plain
 
-MODULES = (features, panels, more, extra, rows, stores, events, judged, learned, resampled, priced)
+MODULES = (features, panels, more, extra, rows, stores, events, judged, learned, resampled, priced, judging)
 QUERIES = {name: q for m in MODULES for name, q in m.QUERIES.items()}
 ORACLE_SQL = {name: q for m in MODULES for name, q in m.ORACLE_SQL.items()}
 
