@@ -40,14 +40,16 @@ class Boosting:
     per_positive: int = 4
     months_back: int = 36
     gap: int = 20
+    #: Another seed lets trees see other rows and features.
+    seed: int = 0
     #: Trees after which the training table is written anew with its margins.
     refresh: int = 25
 
     def sees(self, tree: int, feature: int) -> bool:
-        return (feature * 5 + tree * 3) % 10 < self.columns
+        return (feature * 5 + (tree + self.seed) * 3) % 10 < self.columns
 
     def step(self, tree: int) -> int:
-        return 2 * tree + 3
+        return 2 * (tree + 50 * self.seed) + 3
 
 
 def draw(code: str = "code", date: str = "date") -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -247,3 +249,21 @@ def s09(s, d):
     """Cost basis and run of market days of every bar, from state that moves on with each micro-batch."""
     bars = panel(s, d).select("code", "date", "high", "low", "close", "turnover").join(lists.day_numbers(panel(s, d)), "date")
     return rounded(stateful.replay(bars, stateful.carried, CUTS), ["avg_cost", "winners", "deviation", "width90", "peak_gap"], ("code", "date", "run"), 4)
+
+
+@query("s03_duplicates", " SELECT event_type, COUNT(*) AS n, COUNT(DISTINCT event_id) AS events FROM ticks GROUP BY event_type", DUCK_TICKS)
+def s03(s, d):
+    """All events handed in twice, the second time in later micro-batches; an event's first row alone comes out."""
+    t = panels.ticks(s, d).select("event_id", "event_type", F.to_date("ts").alias("date"))
+    last = t.agg(F.max("date")).first()[0]
+    both = t.unionByName(t.withColumn("date", F.date_add(F.lit(last), 1 + F.pmod("event_id", F.lit(3)).cast("int"))))
+    cuts = [str(last + dt.timedelta(days=k)) for k in (1, 2, 3)]
+    out = stateful.replay(both, lambda stream: stream.dropDuplicates(["event_id"]), cuts)
+    return out.groupBy("event_type").agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("events"))
+
+
+@query("s01_daily_append", " SELECT code, COUNT(*) AS n, CAST(SUM(CAST(ROUND(close * 100) AS BIGINT)) AS BIGINT) AS cents, MAX(date) AS last FROM panel GROUP BY code", BARS)
+def s01(s, d):
+    """Bars appended by micro-batches, each upserted by code and date into a table of versions; the days around a cut come twice."""
+    bars = panel(s, d).select("code", "date", "close")
+    return stateful.upserted(bars.unionByName(bars.where(F.dayofmonth("date") == 1)), ["code", "date"], ["close"], CUTS).groupBy("code").agg(F.count("*").alias("n"), F.sum(F.round(F.col("close") * 100).cast("long")).alias("cents"), F.max("date").alias("last"))

@@ -117,6 +117,42 @@ def k07_leaves(s, d):
     return rounded(boosting.nodes(forest, MONTHS, s).where("feature < 0"), ["g", "h", "value"], ("month", "tree", "node", "n"), 5)
 
 
+def averaged_sql(arms: list[boosting.Boosting]) -> str:
+    """Each arm's whole learner as a query of its own, and the mean of their margins."""
+    own = ", ".join(f"arm{k} AS MATERIALIZED (WITH {boosting_sql(p)[2:]} SELECT code, date, month, y, p FROM scored WHERE y IS NOT NULL)" for k, p in enumerate(arms))
+    every = " UNION ALL ".join(f"SELECT * FROM arm{k}" for k in range(len(arms)))
+    return f""", {own}, av AS (SELECT code, date, month, y, ROUND(AVG(p), 8) AS p FROM ({every}) GROUP BY code, date, month, y), pk AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY date ORDER BY p DESC, code) <= 3 AS pick FROM av)
+SELECT month, COUNT(*) AS rows, CAST(SUM(CAST(pick AS INT)) AS BIGINT) AS picks, {r6("AVG(y)", "base")}, {r6("AVG(CASE WHEN pick THEN y END)", "hit")}, {r6("AVG(p)", "margin")} FROM pk GROUP BY month"""
+
+
+def averaged(s, d, arms: list[boosting.Boosting]):
+    """Months picked by the mean margin of several learners."""
+    rows, every = written(featured(s, d), "featured"), None
+    for p in arms:
+        own = boosting.walk_forward(rows, FEATURES, MONTHS, p)[0].where("y IS NOT NULL").select("code", "date", "month", "y", "margin")
+        every = own if every is None else every.unionByName(own)
+    mean = every.groupBy("code", "date", "month", "y").agg(F.round(F.avg("margin"), 8).alias("margin"))
+    place = F.row_number().over(Window.partitionBy("date").orderBy(F.col("margin").desc(), "code"))
+    g = mean.withColumn("pick", place <= 3).groupBy("month").agg(F.count("*").alias("rows"), F.sum(F.col("pick").cast("int")).alias("picks"), F.avg("y").alias("base"), F.avg(F.when(F.col("pick"), F.col("y"))).alias("hit"), F.avg("margin").alias("margin"))
+    return rounded(g, ["base", "hit", "margin"], ("month", "rows", "picks"))
+
+
+SEEDS = [boosting.Boosting(trees=4, seed=k) for k in range(3)]
+WINDOWS = [boosting.Boosting(trees=4, months_back=k) for k in (12, 24, 48)]
+
+
+@query("k11_seed_bagging", RET + LABELS + FEATURED + averaged_sql(SEEDS))
+def k11(s, d):
+    """The mean of three boosted models that see other rows and features."""
+    return averaged(s, d, SEEDS)
+
+
+@query("k12_window_ensemble", RET + LABELS + FEATURED + averaged_sql(WINDOWS))
+def k12(s, d):
+    """The mean of models of the last 12, 24 and 48 months."""
+    return averaged(s, d, WINDOWS)
+
+
 # --- linear models --------------------------------------------------------------------------------
 
 #: Every month that has both months before it to learn from and labels of its own.

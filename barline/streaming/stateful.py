@@ -168,3 +168,19 @@ def replay(frame: DataFrame, operator, cuts: list[str], folder: str | None = Non
         query = stream.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
         query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{at}/out")
+
+
+def upserted(frame: DataFrame, keys: list[str], order: list[str], cuts: list[str]) -> DataFrame:
+    """The table that ``upsert_into`` leaves after ``frame`` came in by ranges of dates."""
+    from barline.streaming import upsert_into
+
+    spark, at = frame.sparkSession, scratch(frame.sparkSession, "upserted")
+    bounds = [None, *cuts, None]
+    for low, high in zip(bounds, bounds[1:], strict=False):
+        own = frame if low is None else frame.where(F.col("date") >= F.lit(low).cast("date"))
+        (own if high is None else own.where(F.col("date") < F.lit(high).cast("date"))).coalesce(1).write.mode("append").parquet(f"{at}/in")
+    stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/in")
+    query = stream.writeStream.foreachBatch(upsert_into(f"{at}/table", keys, order)).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    newest = spark.read.schema("version string").json(f"{at}/table/_current").agg(F.max("version")).first()[0]
+    return spark.read.schema(frame.schema).parquet(f"{at}/table/{newest}")
