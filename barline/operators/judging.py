@@ -78,3 +78,31 @@ def exit_curve(rows: DataFrame, score: str, exits: dict[str, Column], entry: Col
     out = g.groupBy("exit").agg(F.count("*").alias("days"), F.avg("ic").alias("ic"), F.stddev_samp("ic").alias("_sd"), F.avg("x").alias("excess"))
     return out.select("exit", "days", "ic", F.when(F.col("_sd") > 0, F.col("ic") / F.col("_sd")).alias("icir"), "excess")
 
+
+
+def acceptance(picks: DataFrame, months: DataFrame, hit: float = 0.15, zero_months: int = 1, ratio: float = 3.0, least: int = 20) -> DataFrame:
+    """(test, value, limit, ok) of a model by its picks (month, board, y): share of hits, months with picks and none, best board over worst.
+
+    ``months`` has every month judged: one without picks stood aside and is no month without hits.  Boards count from ``least``
+    picks, and are compared only if there are two of them.
+    """
+    whole = picks.agg(F.avg("y").alias("value")).select(F.lit("hit").alias("test"), "value", F.lit(hit).alias("limit"), (F.col("value") >= hit).alias("ok"))
+    by_month = months.join(picks.groupBy("month").agg(F.sum("y").alias("_h")), "month", "left")
+    zero = by_month.agg(F.count_if(F.col("_h") == 0).cast("double").alias("value")).select(F.lit("months without a hit").alias("test"), "value", F.lit(float(zero_months)).alias("limit"), (F.col("value") <= zero_months).alias("ok"))
+    boards = picks.groupBy("board").agg(F.avg("y").alias("r"), F.count("*").alias("n")).where(F.col("n") >= least)
+    spread = boards.agg(F.count("*").alias("_b"), (F.max("r") / F.greatest(F.min("r"), F.lit(1e-9))).alias("value")).where("_b >= 2")
+    spread = spread.select(F.lit("best board over worst").alias("test"), "value", F.lit(ratio).alias("limit"), (F.col("value") <= ratio).alias("ok"))
+    return whole.unionByName(zero).unionByName(spread)
+
+
+def rescored(rows: DataFrame, factors: DataFrame, top: int = 10) -> DataFrame:
+    """(month, n, before, after): share of hits among each day's first ``top`` codes by p, and by p times the factor of their month and board.
+
+    ``rows`` has code, date, month, board, y and p; a board without a factor keeps its p, rows without p aren't ranked.
+    """
+    d = rows.where("p IS NOT NULL").join(F.broadcast(factors.select("month", "board", "factor")), ["month", "board"], "left")
+    d = d.withColumn("_q", F.round(F.col("p") * F.coalesce("factor", F.lit(1.0)), 9))
+    place = lambda c: F.row_number().over(Window.partitionBy("date").orderBy(F.col(c).desc(), "code"))
+    d = d.withColumn("_p", F.round("p", 9)).select("*", place("_p").alias("_a"), place("_q").alias("_b"))
+    hit = lambda c: F.avg(F.when(F.col(c) <= top, F.col("y")))
+    return d.groupBy("month").agg(F.sum((F.col("_b") <= top).cast("int")).alias("n"), hit("_a").alias("before"), hit("_b").alias("after"))

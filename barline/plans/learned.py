@@ -7,10 +7,11 @@ import datetime
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from barline.operators import boosting, calibration, learning, linear
+from barline.operators import boosting, calibration, judging, learning, linear, lists
 from barline.operators import windows as w
 from barline.plans.helpers import BY, lag, rounded, rounded_sql, win
 from barline.plans.panels import LABELS, RET, labelled, r6
+from barline.sources import panels
 from barline.sources.panels import BARS, duck
 from barline.sources.roundtrips import written
 
@@ -137,6 +138,24 @@ def averaged(s, d, arms: list[boosting.Boosting]):
     return rounded(g, ["base", "hit", "margin"], ("month", "rows", "picks"))
 
 
+@query(
+    "k09_acceptance",
+    RET + LABELS + FEATURED + boosting_sql(P) + f""", pk AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY date ORDER BY p DESC, code) AS k FROM scored WHERE y IS NOT NULL) WHERE k <= 3),
+bd AS (SELECT board, AVG(y) AS r, COUNT(*) AS n FROM pk GROUP BY board HAVING COUNT(*) >= 20),
+ck AS (SELECT 'hit' AS test, AVG(y) AS value, CAST(0.15 AS DOUBLE) AS "limit", AVG(y) >= 0.15 AS ok FROM pk
+UNION ALL SELECT 'months without a hit', COUNT(*), 1, COUNT(*) <= 1 FROM (SELECT month FROM pk GROUP BY month HAVING SUM(y) = 0)
+UNION ALL SELECT 'best board over worst', MAX(r) / GREATEST(MIN(r), 1e-9), 3, MAX(r) / GREATEST(MIN(r), 1e-9) <= 3 FROM bd HAVING COUNT(*) >= 2)
+SELECT test, {r6("value", "value")}, "limit", ok FROM ck""",
+)
+def k09(s, d):
+    """Whether the boosted trees may go live: share of hits, months without any, and how far boards lie apart."""
+    scored = boosting.walk_forward(featured(s, d), FEATURES, MONTHS, P)[0].where("y IS NOT NULL")
+    place = F.row_number().over(Window.partitionBy("date").orderBy(F.col("margin").desc(), "code"))
+    picks = scored.withColumn("_k", place).where("_k <= 3").join(F.broadcast(panels.codes(s, d).select("code", "board")), "code")
+    out = judging.acceptance(picks.select("month", "board", "y"), s.createDataFrame([(m,) for m in MONTHS], "month date"))
+    return rounded(out, ["value"], ("test", "limit", "ok"))
+
+
 SEEDS = [boosting.Boosting(trees=4, seed=k) for k in range(3)]
 WINDOWS = [boosting.Boosting(trees=4, months_back=k) for k in (12, 24, 48)]
 
@@ -306,16 +325,38 @@ ISOTONIC = (
 )
 
 
+ASKED = (
+    ", asked AS (SELECT DISTINCT month AS mon, score AS x FROM sc WHERE score IS NOT NULL), nx AS (SELECT a.mon, a.x, (SELECT MAX(ROW(i.x, i.v)) FROM iso i WHERE i.mon = a.mon AND i.x <= a.x) AS lo, (SELECT MIN(ROW(i.x, i.v)) FROM iso i WHERE i.mon = a.mon AND i.x >= a.x) AS hi FROM asked a)"
+    + ", pv AS (SELECT mon, x, CASE WHEN lo IS NULL THEN hi[2] WHEN hi IS NULL THEN lo[2] WHEN hi[1] > lo[1] THEN lo[2] + (x - lo[1]) / (hi[1] - lo[1]) * (hi[2] - lo[2]) ELSE lo[2] END AS p FROM nx)"
+)
+
+
 @query(
     "k15_isotonic_calibration",
-    RET + LABELS + FEATURED + ISOTONIC + ", asked AS (SELECT DISTINCT month AS mon, score AS x FROM sc WHERE score IS NOT NULL), nx AS (SELECT a.mon, a.x, (SELECT MAX(ROW(i.x, i.v)) FROM iso i WHERE i.mon = a.mon AND i.x <= a.x) AS lo, (SELECT MIN(ROW(i.x, i.v)) FROM iso i WHERE i.mon = a.mon AND i.x >= a.x) AS hi FROM asked a)"
-    + ", pv AS (SELECT mon, x, CASE WHEN lo IS NULL THEN hi[2] WHEN hi IS NULL THEN lo[2] WHEN hi[1] > lo[1] THEN lo[2] + (x - lo[1]) / (hi[1] - lo[1]) * (hi[2] - lo[2]) ELSE lo[2] END AS p FROM nx)"
+    RET + LABELS + FEATURED + ISOTONIC + ASKED
     + rounded_sql({"p": "p"}, "sc LEFT JOIN pv ON pv.mon = sc.month AND pv.x = sc.score GROUP BY month, score, p", "month, score, COUNT(*) AS n"),
 )
 def k15(s, d):
     """Every month's scores turned into probabilities by the twelve months before: one row per month and score."""
+    return rounded(probabilities(s, d).groupBy("month", "score", "p").agg(F.count("*").alias("n")), ["p"], ("month", "score", "n"))
+
+
+def probabilities(s, d):
+    """Rows with the hundredth of the day that the 20-row return falls into, and its calibrated probability."""
     day = Window.partitionBy("date")
     score = F.floor((F.rank().over(day.orderBy(F.col("r20").asc_nulls_last())) - 1) * 100 / F.count("r20").over(day)).cast("double")
-    rows = featured(s, d).select("code", "date", "y", F.when(F.col("r20").isNotNull(), score).alias("score"))
-    out, _ = calibration.monthly(rows, "score", "y")
-    return rounded(out.groupBy("month", "score", "p").agg(F.count("*").alias("n")), ["p"], ("month", "score", "n"))
+    rows = featured(s, d).select("code", "date", "board", "y", F.when(F.col("r20").isNotNull(), score).alias("score"))
+    return calibration.monthly(rows, "score", "y")[0]
+
+
+@query(
+    "k18_rescored_by_factors",
+    RET + LABELS + FEATURED + ISOTONIC + ASKED + ", fg AS (SELECT month, board, COUNT(*) AS n, SUM(y) AS k FROM feat WHERE y IS NOT NULL GROUP BY 1, 2), fc AS (SELECT month, board, COALESCE(SUM(n) OVER v, 0) AS n, COALESCE(SUM(k) OVER v, 0) AS k FROM fg WINDOW v AS (PARTITION BY board ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), fq AS (SELECT *, SUM(k) OVER (PARTITION BY month) / NULLIF(SUM(n) OVER (PARTITION BY month), 0) AS q FROM fc), fa AS (SELECT month, board, COALESCE(LEAST(GREATEST((k + 50 * q) / (n + 50) / NULLIF(q, 0), 0.6), 1.4), 1) AS factor FROM fq)"
+    + ", rw AS (SELECT sc.code, sc.date, sc.month, sc.y, p, ROUND(p * COALESCE(factor, 1), 9) AS q FROM sc JOIN feat ON feat.code = sc.code AND feat.date = sc.date JOIN pv ON pv.mon = sc.month AND pv.x = sc.score LEFT JOIN fa ON fa.month = sc.month AND fa.board = feat.board WHERE p IS NOT NULL AND sc.y IS NOT NULL), rr AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY date ORDER BY ROUND(p, 9) DESC, code) AS a, ROW_NUMBER() OVER (PARTITION BY date ORDER BY q DESC, code) AS b FROM rw)"
+    + rounded_sql({"before": "AVG(CASE WHEN a <= 5 THEN y END)", "after": "AVG(CASE WHEN b <= 5 THEN y END)"}, "rr GROUP BY month", "month, CAST(SUM(CAST(b <= 5 AS INT)) AS BIGINT) AS n"),
+)
+def k18(s, d):
+    """Calibrated probabilities times the shrunk factors of boards: hits of each day's first five, before and after."""
+    rows = probabilities(s, d).where("y IS NOT NULL")
+    factors = lists.shrunk_factors(featured(s, d).withColumn("month", F.trunc("date", "month")), "board", "y")
+    return rounded(judging.rescored(rows, factors, 5), ["before", "after"], ("month", "n"))
