@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from barline.llm import chat_format, embedding_join, html_extraction, licenses, line_dedup, ngram_join, packing, pii, quality, sentence_pieces, signature_search, suffix_dedup, token_alignment
 from barline.llm.shared import documents
 
-#: Folder of the public tokenizer files; a parameter of every query that needs one.
-TOKENIZERS = "/opt/tokenizers"
+def tokenizer_file(name: str, folder: str | None = None) -> str:
+    """A public tokenizer file, from the installed package or from a folder of the same files."""
+    if folder is not None:
+        return f"{folder}/{name}"
+    import public_tokenizers
 
-
-def tokenizer_file(name: str, folder: str = TOKENIZERS) -> str:
-    return f"{folder}/{name}"
+    return public_tokenizers.path(name)
 
 
 def op1_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
