@@ -15,18 +15,23 @@ M, A = 2_147_483_647, 48_271
 
 
 def draw(seed: int, rep: Column, k: Column, n: Column | int) -> Column:
-    """A number from 0 to n - 1."""
+    """A number from 0 to n - 1.
+
+    Squares break the line that draws of neighbouring replicates and numbers would else lie on; products stay below 2^63.
+    """
     x = (F.lit(seed * 40_692 + 12_345).cast("long") + rep.cast("long") * A + k.cast("long") * 69_621) % M
     for _ in range(3):
-        x = x * A % M
+        x = (x * x + x * A + 12_345) % M
     return x % n
 
 
 def draw_sql(seed: int, rep: str, k: str, n: str) -> str:
     x = f"(({seed * 40_692 + 12_345} + CAST({rep} AS BIGINT) * {A} + CAST({k} AS BIGINT) * 69621) % {M})"
+    # Each step is a list of one number and so named once: spelt out, the text would double with every square.
+    out = f"[{x}]"
     for _ in range(3):
-        x = f"({x} * {A} % {M})"
-    return f"({x} % {n})"
+        out = f"list_transform({out}, lambda z: (z * z + z * {A} + 12345) % {M})"
+    return f"({out}[1] % {n})"
 
 
 def starts(size: DataFrame, replicates: int, block: int, seed: int) -> DataFrame:

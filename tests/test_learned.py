@@ -226,8 +226,17 @@ def test_blocks_fill_each_replicate(spark):
     def drawn(rep, b):
         x = (5 * 40_692 + 12_345 + rep * resampling.A + b * 69_621) % resampling.M
         for _ in range(3):
-            x = x * resampling.A % resampling.M
+            x = (x * x + x * resampling.A + 12_345) % resampling.M
         return x % (n - 10 + 1)
 
     want = {rep: sum(sum(values[drawn(rep, b) : drawn(rep, b) + min(10, n - 10 * (b - 1))]) for b in range(1, 6)) for rep in range(1, 31)}
     assert all(r.one == n for r in out) and {r.rep: r.v for r in out} == want
+
+
+def test_draws_are_spread_and_unrelated(spark):
+    """Sums of draws vary as sums of independent ones do."""
+    d = spark.range(1, 401).select(F.col("id").alias("rep"), F.explode(F.sequence(F.lit(1).cast("long"), F.lit(25).cast("long"))).alias("k")).select("rep", "k", resampling.draw(7, F.col("rep"), F.col("k"), 1000).alias("x")).toPandas()
+    assert abs(d.x.mean() - 499.5) < 10 and abs(d.x.std() - 288.7) < 8
+    spread = d.groupby("rep").x.mean().std()
+    assert 0.85 < spread / (288.7 / 5) < 1.15
+    assert abs(np.corrcoef(d[d.k < 25].x, d[d.k > 1].x)[0, 1]) < 0.05
