@@ -6,9 +6,99 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+
+#: Rows of a task that are packed at once.
+PACKED = 100_000
+
+
+def _merged(a: tuple | None, b: tuple) -> tuple:
+    """Count, means and sums of products about the means of two sets of rows together."""
+    if a is None or not a[0]:
+        return b
+    if not b[0]:
+        return a
+    n, step = a[0] + b[0], b[1] - a[1]
+    return n, a[1] + step * (b[0] / n), a[2] + b[2] + np.outer(step, step) * (a[0] * b[0] / n)
+
+
+def _rank_correlation(x: np.ndarray, y: np.ndarray, least: int) -> float | None:
+    n = len(x)
+    if n < least:
+        return None
+    _, place, count = np.unique(x, return_inverse=True, return_counts=True)
+    rank = (np.cumsum(count) - (count - 1) / 2)[place]
+    r, v = rank - rank.mean(), y - y.mean()
+    a, b = np.sqrt(r @ r / n), np.sqrt(v @ v / n)
+    return float(r @ v / n / (a * b)) if a > 0 and b > 0 else None
+
+
+def summaries(rows: DataFrame, features: list[str], y: str = "y", least: int = 30) -> tuple[DataFrame, np.ndarray]:
+    """(feature, month, n, ic) as ``monthly_ic`` has it, and the correlation matrix over rows that have every feature, from one pass.
+
+    A task packs the values of a feature and month, some ten thousand rows at once, so that a shuffled row holds many of them; those
+    of one feature and month meet in one group, as a window over them would need.  Of the matrix, a task sends one small row.
+    """
+    k = len(features)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        moments, held, size = None, [], 0
+
+        def chunks() -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(held)
+            known = table.filter(pc.and_(pc.is_valid(table["y"]), pc.is_valid(table["month"])))
+            month, label = known["month"].to_numpy(), known["y"].to_numpy()
+            order = np.argsort(month, kind="stable")
+            months, start = np.unique(month[order], return_index=True)
+            out = []
+            for j in range(k):
+                column = known.column(j + 2)
+                x, there = column.to_numpy()[order], column.is_valid().to_numpy()[order]
+                for m, lo, hi in zip(months, start, [*start[1:], len(order)], strict=True):
+                    own = there[lo:hi]
+                    out.append((j, m, x[lo:hi][own].tobytes(), label[order[lo:hi]][own].tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int32()), pa.array([r[1] for r in out], pa.int32()), pa.array([r[2] for r in out], pa.binary()), pa.array([r[3] for r in out], pa.binary())], names=["feature", "month", "x", "y"])
+
+        for batch in batches:
+            whole = pa.Table.from_batches([batch]).select(range(2, 2 + k)).drop_null()
+            if len(whole):
+                x = np.stack([c.to_numpy() for c in whole.columns], axis=1)
+                centred = x - x.mean(axis=0)
+                moments = _merged(moments, (float(len(x)), x.mean(axis=0), centred.T @ centred))
+            held.append(batch)
+            size += batch.num_rows
+            if size >= PACKED:
+                yield from chunks()
+                held, size = [], 0
+        if size:
+            yield from chunks()
+        if moments is not None:
+            data = np.concatenate([[moments[0]], moments[1], moments[2].ravel()]).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([None], pa.int32()), pa.array([data], pa.binary()), pa.array([b""], pa.binary())], names=["feature", "month", "x", "y"])
+
+    def judge(key: tuple, table: pa.Table) -> pa.Table:
+        n = ic = data = None
+        if key[0].as_py() < 0:
+            total = None
+            for part in table["x"]:
+                v = np.frombuffer(part.as_buffer())
+                total = _merged(total, (v[0], v[1 : k + 1], v[k + 1 :].reshape(k, k)))
+            data = total[2].tobytes()
+        else:
+            x, label = (np.concatenate([np.frombuffer(part.as_buffer()) for part in table[c]]) for c in "xy")
+            n, ic = len(x), _rank_correlation(x, label, least)
+        return pa.table({"feature": pa.array([key[0].as_py()], pa.int32()), "month": pa.array([key[1].as_py()], pa.int32()), "n": pa.array([n], pa.int64()), "ic": pa.array([ic], pa.float64()), "data": pa.array([data], pa.binary())})
+
+    values = rows.select(F.unix_date(F.trunc("date", "month")).alias("month"), F.col(y).cast("double").alias("y"), *(F.col(f).cast("double").alias(f) for f in features))
+    packed = values.mapInArrow(pack, "feature int, month int, x binary, y binary")
+    got = packed.groupBy("feature", "month").applyInArrow(judge, "feature int, month int, n long, ic double, data binary").collect()
+    out = next((np.frombuffer(bytes(r["data"])).reshape(k, k) for r in got if r["feature"] < 0), np.zeros((k, k)))
+    scale = np.sqrt(np.maximum(np.diag(out), 1e-300))
+    ics = rows.sparkSession.createDataFrame([(features[r["feature"]], r["month"], r["n"], r["ic"]) for r in got if r["feature"] >= 0 and r["n"]], "feature string, month int, n long, ic double")
+    return ics.select("feature", F.date_from_unix_date("month").alias("month"), "n", F.round("ic", 12).alias("ic")), out / np.outer(scale, scale)
 
 
 def monthly_ic(rows: DataFrame, features: list[str], y: str = "y", least: int = 30) -> DataFrame:
@@ -16,12 +106,7 @@ def monthly_ic(rows: DataFrame, features: list[str], y: str = "y", least: int =
 
     Ranks of a label of two values are its values, moved and stretched, so the label itself is correlated.
     """
-    stack = F.explode(F.array(*(F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in features)))
-    d = rows.where(F.col(y).isNotNull()).select(F.trunc("date", "month").alias("month"), F.col(y).cast("double").alias("_y"), stack.alias("s")).select("month", "_y", "s.*").where("x IS NOT NULL")
-    w = Window.partitionBy("feature", "month")
-    d = d.withColumn("_r", F.rank().over(w.orderBy("x")) + (F.count("*").over(Window.partitionBy("feature", "month", "x")) - 1) / 2)
-    g = d.groupBy("feature", "month").agg(F.count("*").alias("n"), F.covar_pop("_r", "_y").alias("c"), F.stddev_pop("_r").alias("a"), F.stddev_pop("_y").alias("b"))
-    return g.select("feature", "month", "n", F.when((F.col("n") >= least) & (F.col("a") > 0) & (F.col("b") > 0), F.round(F.col("c") / (F.col("a") * F.col("b")), 12)).alias("ic"))
+    return summaries(rows, features, y, least)[0]
 
 
 def stability(ics: DataFrame, least_months: int = 3) -> DataFrame:
@@ -34,27 +119,8 @@ def stability(ics: DataFrame, least_months: int = 3) -> DataFrame:
 
 
 def correlations(rows: DataFrame, features: list[str]) -> np.ndarray:
-    """The correlation matrix over rows that have every feature: one pass, whose sums, a number a pair, meet in the driver.
-
-    Features are moved by the mean of the first pass, so that no digits are lost.
-    """
-    k = len(features)
-    whole = rows.select(*(F.col(f).cast("double").alias(f) for f in features)).dropna()
-    centre = np.array(whole.agg(*(F.avg(f) for f in features)).first(), float)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((k, k))
-        for batch in batches:
-            x = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1) - centre
-            total += x.T @ x
-        i, j = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(total[i, j])], names=["i", "j", "x"])
-
-    out = np.zeros((k, k))
-    for i, j, x in whole.mapInArrow(run, "i long, j long, x double").groupBy("i", "j").agg(F.sum("x")).collect():
-        out[i, j] = x
-    scale = np.sqrt(np.maximum(np.diag(out), 1e-300))
-    return out / np.outer(scale, scale)
+    """The correlation matrix over rows that have every feature."""
+    return summaries(rows.withColumn("y", F.lit(None).cast("double")), features)[1]
 
 
 def funnel(rows: DataFrame, features: list[str], y: str = "y", weakest: float = 0.005, flips: float = 0.4, clash: float = 0.85, least: int = 30) -> DataFrame:
@@ -63,8 +129,8 @@ def funnel(rows: DataFrame, features: list[str], y: str = "y", weakest: float =
     Features that are neither weak nor unstable are taken from the strongest down, ties by name; one that correlates
     beyond ``clash`` with one already kept clashes.  The loop is over the small matrix alone.
     """
-    stats = {r["feature"]: r for r in stability(monthly_ic(rows, features, y, least)).collect()}
-    matrix, place = correlations(rows, features), {f: k for k, f in enumerate(features)}
+    ics, matrix = summaries(rows, features, y, least)
+    stats, place = {r["feature"]: r for r in stability(ics).collect()}, {f: k for k, f in enumerate(features)}
     out, kept = [], []
     for f in sorted(features, key=lambda f: (-round(abs(stats[f]["ic"]), 9) if f in stats else 0.0, f)):
         ic, flip = (stats[f]["ic"], stats[f]["flips"]) if f in stats else (0.0, 1.0)

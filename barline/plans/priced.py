@@ -60,11 +60,19 @@ FUNNEL = list(FUNNEL_SQL)
 
 
 def many_features(s, d):
-    """32 features of gains, distances to means, flows, spreads and turnover."""
+    """32 features of gains, distances to means, flows, spreads and turnover.
+
+    Means of closes and volumes, whole cents and whole pieces, are differences of exact running totals, so a row costs the same for every span.
+    """
     c = F.col("close")
-    own = {f"gain{k}": w.gain(k) for k in GAINS} | {f"above{k}": c / F.avg("close").over(w.last_n(k)) - 1 for k in MEANS} | {f"flow{k}": F.avg("volume").over(w.last_n(k)) / F.avg("volume").over(w.last_n(4 * k)) for k in FLOWS}
+    running = lambda x: F.sum(x).over(w.by_code().rowsBetween(Window.unboundedPreceding, 0))
+    rows = labelled(s, d).select("*", running(F.round(c * 100).cast("long")).alias("_s"), running("volume").alias("_v"), F.row_number().over(w.by_code()).alias("_n"))
+    mean = lambda total, k: (F.col(total) - F.coalesce(w.lag(total, k), F.lit(0))) / F.least("_n", F.lit(k))
+    spans = sorted({j for k in FLOWS for j in (k, 4 * k)})
+    rows = rows.select("*", *(mean("_v", k).alias(f"_v{k}") for k in spans))
+    own = {f"gain{k}": w.gain(k) for k in GAINS} | {f"above{k}": c / (mean("_s", k) / 100) - 1 for k in MEANS} | {f"flow{k}": F.col(f"_v{k}") / F.col(f"_v{4 * k}") for k in FLOWS}
     own |= {f"spread{k}": F.avg((F.col("high") - F.col("low")) / c).over(w.last_n(k)) for k in SPREADS} | {f"turn{k}": F.avg("turnover").over(w.last_n(k)) for k in SPREADS}
-    return labelled(s, d).select("code", "date", "y", *(F.round(x.cast("double"), 9).alias(f) for f, x in own.items()))
+    return rows.select("code", "date", "y", *(F.round(x.cast("double"), 9).alias(f) for f, x in own.items()))
 
 
 @query(

@@ -240,3 +240,27 @@ def test_draws_are_spread_and_unrelated(spark):
     spread = d.groupby("rep").x.mean().std()
     assert 0.85 < spread / (288.7 / 5) < 1.15
     assert abs(np.corrcoef(d[d.k < 25].x, d[d.k > 1].x)[0, 1]) < 0.05
+
+
+def test_funnel_reads_its_rows_once(spark):
+    """Features are dear, so that one pass gives both rank correlations and the matrix; unknown labels and values are left out of each."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = [(dt.date(2021, 1 + i % 3, 1), None if i % 11 == 0 else int(i * 7 % 5 < 2), float(i * 13 % 17), None if i % 9 == 0 else float(i * 5 % 23)) for i in range(400)]
+    frame = spark.createDataFrame(rows, "date date, y int, a double, b double").repartition(3)
+    ics, matrix = funnel.summaries(frame.mapInArrow(count, frame.schema), ["a", "b"])
+    got = {(r.feature, r.month.month): (r.n, r.ic) for r in ics.collect()}
+    assert seen.value == 400
+    for j, name in enumerate("ab"):
+        for m in (1, 2, 3):
+            own = [(r[2 + j], r[1]) for r in rows if r[0].month == m and r[1] is not None and r[2 + j] is not None]
+            rank = [sum(v < x for v, _ in own) + (sum(v == x for v, _ in own) + 1) / 2 for x, _ in own]
+            n, ic = got[name, m]
+            assert n == len(own) and ic == pytest.approx(np.corrcoef(rank, [y for _, y in own])[0, 1], abs=1e-9)
+    whole = np.array([r[2:] for r in rows if r[3] is not None])
+    assert np.allclose(matrix, np.corrcoef(whole.T))
