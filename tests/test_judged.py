@@ -111,3 +111,16 @@ def test_top_holders(spark):
     assert (out[1, 1].n_new, out[1, 1].ratio, out[1, 1].change) == (0, 8 / 11, None)
     assert (out[1, 2].n, out[1, 2].n_new, out[1, 2].n_up, out[1, 2].ratio) == (2, 1, 1, 1.0) and out[1, 2].change == pytest.approx(3 / 11)
     assert out[2, 2].n_new == 0
+
+
+def test_huber_locations_of_many_days_are_one_shuffle(spark):
+    """Every day's location from arrays, with dates as keys, nulls and weights of 0 left out; no plan of one expression per step and value."""
+    rng = np.random.default_rng(9)
+    days = [datetime.date(2021, 1, 1) + datetime.timedelta(days=i) for i in range(40)]
+    rows = [(d, float(x), float(w)) for d in days for x, w in zip(rng.standard_t(2, 200), rng.uniform(0, 2, 200))] + [(d, None, 1.0) for d in days]
+    frame = crosssection.huber_location(spark.createDataFrame(rows, "day date, x double, w double"), "x", "w", "day")
+    assert "aggregate(" not in frame._jdf.queryExecution().optimizedPlan().toString()
+    out = {r.day: r for r in frame.collect()}
+    for d in days:
+        x, w = np.array([r[1:] for r in rows if r[0] == d and r[1] is not None]).T
+        assert out[d].n == 200 and out[d].location == pytest.approx(huber(x, w))
