@@ -32,7 +32,7 @@ feature(
     "e04_days_above_average",
     w.above_average,
     {"days_above": "CASE WHEN ma IS NULL THEN NULL WHEN f THEN LEAST(60, SUM(CAST(f AS INT)) OVER (PARTITION BY code, g ORDER BY date)) ELSE 0 END"},
-    f", p0 AS (SELECT *, {mean('close', 60)} AS ma FROM panel), p1 AS (SELECT *, COALESCE(close > ma, FALSE) AS f FROM p0), p AS (SELECT *, SUM(CAST(NOT f AS INT)) OVER ({BY}) AS g FROM p1)",
+    f", c0 AS (SELECT *, CAST(ROUND(close * 100) AS BIGINT) AS cents FROM panel), p0 AS (SELECT *, {mean('cents', 60)} AS ma FROM c0), p1 AS (SELECT *, COALESCE(cents > ma, FALSE) AS f FROM p0), p AS (SELECT *, SUM(CAST(NOT f AS INT)) OVER ({BY}) AS g FROM p1)",
     "p",
 )
 feature(

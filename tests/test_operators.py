@@ -91,3 +91,14 @@ def test_filter_and_columns_reach_the_scan(spark):
     df = tables.scan(spark, f"{SF}/lineitem.parquet", ["l_orderkey", "l_tax"], F.col("l_quantity") > 40, ["l_tax"])
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(l_quantity,40.0)" in plan and "l_comment" not in plan and dict(df.dtypes)["l_tax"] == "float"
+
+
+def test_a_close_at_its_average_is_not_above_it(spark):
+    """Sums of doubles put the average of equal closes above or below them by chance."""
+    import datetime as dt
+
+    from barline.operators import windows
+
+    rows = [(k, dt.date(2020, 1, 1) + dt.timedelta(days=i), (1001 + k) / 100) for k in range(40) for i in range(70)]
+    out = windows.above_average(spark.createDataFrame(rows, "code int, date date, close double"))
+    assert {r.days_above for r in out.where("date >= '2020-03-01'").collect()} == {0}
