@@ -22,10 +22,10 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{at.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, *by: str) -> DataFrame:
     """``df`` as a written table: its lineage is cut, and lost executors cost no more than a reread."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

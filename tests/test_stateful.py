@@ -81,3 +81,13 @@ def test_pool_equals_the_batch_with_late_and_empty_days(spark, tmp_path):
     want = {(r.code, r.stay): (r.first, r.last, r.days, r.best, r.streak, (r.last - D0).days + 62 <= 199) for r in batch.collect()}
     assert got == want
     assert want[1, 1][:3] == (day(0), day(63), 4) and want[2, 2][0] == day(67) and want[2, 1][1] == day(5)
+
+
+def test_micro_batches_are_handed_in_by_many_tasks(spark, tmp_path):
+    """A range of dates is not written, nor read, by one task; empty ranges are batches too."""
+    b = bars(spark).repartition(4)
+    out = stateful.replay(b, stateful.carried, [str(day(30)), str(day(60)), str(day(300))], str(tmp_path))
+    assert out.count() == b.count()
+    sizes = [b.where(f"day >= {low} AND day < {high}").count() for low, high in ((0, 30), (30, 60), (60, 300))]
+    files = list((tmp_path / "in").glob("*.parquet"))
+    assert all(sizes) and len(files) > 6
