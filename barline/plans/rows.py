@@ -137,7 +137,7 @@ def b21(s, d):
 def b22(s, d):
     """A weighted score with one part dropped and the other weights raised to sum to one."""
     parts = {"r20": 0.5, "amount": 0.2, "turnover": 0.3}
-    k = returns(s, d).select("code", "date", *(cs.pct_rank(c, "date").alias(c) for c in parts))
+    k = cs.pct_ranks(returns(s, d).select("code", "date", *parts), list(parts), "date")
     left = {c: x for c, x in parts.items() if c != "turnover"}
     score = lambda p: sum((F.col(c) * x for c, x in p.items()), F.lit(0.0))
     return rounded(k.select("code", "date", (score(left) / sum(left.values())).alias("score"), score(parts).alias("whole")), ["score", "whole"])
@@ -374,7 +374,7 @@ RULES = {"momentum": {"a": 0.7, "b": 0.3}, "quiet": {"a": 0.5, "c": -0.5}}
 
 @query("f12_weighted_rank_rules", RET + f", k AS (SELECT code, date, {tied('r20')} AS a, {tied('r60')} AS b, {tied('turnover')} AS c FROM p), s AS (SELECT 'momentum' AS rule, code, date, ROUND(0.7 * a + 0.3 * b, 9) AS score FROM k UNION ALL SELECT 'quiet', code, date, ROUND(0.5 * a - 0.5 * c, 9) FROM k), t AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY rule, date ORDER BY score DESC, code) AS rank FROM s WHERE score IS NOT NULL) SELECT rule, date, code, rank FROM t WHERE rank <= 3")
 def f12(s, d):
-    k = returns(s, d).select("code", "date", cs.pct_rank("r20", "date").alias("a"), cs.pct_rank("r60", "date").alias("b"), cs.pct_rank("turnover", "date").alias("c"))
+    k = cs.pct_ranks(returns(s, d).select("code", "date", F.col("r20").alias("a"), F.col("r60").alias("b"), F.col("turnover").alias("c")), ["a", "b", "c"], "date")
     return cs.top(lists.rank_sums(k, RULES), 3, [F.round("score", 9).desc(), F.col("code")], "rule", "date").select("rule", "date", "code", "rank")
 
 
