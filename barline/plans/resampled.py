@@ -10,6 +10,7 @@ from barline.operators import resampling, series
 from barline.plans.helpers import rounded, rounded_sql
 from barline.plans.panels import DAYS, LABELS, RET, day_series, labelled, r6, returns
 from barline.sources.panels import BARS, duck
+from barline.sources.roundtrips import written
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -136,11 +137,11 @@ ARM_ROWS = ", ar AS (" + " UNION ALL ".join(f"SELECT '{a}' AS arm, date, AVG(y)
 
 
 def arm_days(s, d):
-    """Share of hits among each arm's five codes of a day."""
+    """Share of hits among each arm's five codes of a day: some rows a day, written once, as their users read them several times."""
     arms = F.array(*(F.struct(F.lit(a).alias("arm"), F.round(F.expr(x).cast("double"), 9).alias("x")) for a, x in ARMS.items()))
     rows = labelled(s, d).where("y IS NOT NULL").select("code", "date", "y", F.explode(arms).alias("a")).select("a.*", "code", "date", "y").where("x IS NOT NULL")
     place = F.row_number().over(Window.partitionBy("arm", "date").orderBy(F.col("x").desc(), "code"))
-    return rows.withColumn("_k", place).where("_k <= 5").groupBy("arm", "date").agg(F.avg("y").alias("d"))
+    return written(rows.withColumn("_k", place).where("_k <= 5").groupBy("arm", "date").agg(F.avg("y").alias("d")), "arms")
 
 
 @query(

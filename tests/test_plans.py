@@ -18,3 +18,9 @@ def test_months_without_difference_are_no_wins(spark):
     """On these tables a month's differences add up to 0, which sums of doubles miss by their order."""
     name, sf = "l07_arm_comparison", "/root/testdata/sf0.1"
     same(spark, plans.QUERIES[name], plans.ORACLE_SQL[name], sf)
+
+
+@pytest.mark.parametrize("name", ["f14_nested_choice", "l10_overfit_splits"])
+def test_arm_days_are_worked_out_once(spark, name):
+    """Their users read the written rows; the panel behind them is not in their plan."""
+    assert "l_shipdate" not in plans.QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
