@@ -58,10 +58,27 @@ def draw(code: str = "code", date: str = "date") -> Column:
 
 
 def binned(df: DataFrame, features: list[str], bins: int) -> DataFrame:
-    """Adds a bin for each feature by its rank within the day; a row without the feature has the bin ``bins``."""
-    day = Window.partitionBy("date")
-    place = lambda f: F.floor((F.rank().over(day.orderBy(F.col(f).asc_nulls_last())) - 1) * bins / F.count(f).over(day))
-    return df.select("*", *(F.when(F.col(f).isNull(), bins).otherwise(place(f)).cast("byte").alias(f"b{k}") for k, f in enumerate(features)))
+    """Adds a bin for each feature by its rank within the day; a row without the feature has the bin ``bins``.
+
+    A day's rows meet once for all features, as a group of as many rows as there are codes.
+    """
+
+    def run(day: pa.Table) -> pa.Table:
+        for k, f in enumerate(features):
+            x = day.column(f).combine_chunks()
+            known, own = x.is_valid().to_numpy(zero_copy_only=False), x.drop_null().to_numpy(zero_copy_only=False)
+            place = np.full(len(day), bins, np.int8)
+            place[known] = np.searchsorted(np.sort(own), own) * bins // max(len(own), 1)
+            day = day.append_column(f"b{k}", pa.array(place))
+        return day
+
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), *(f"b{k} byte" for k in range(len(features)))])
+    return df.groupBy("date").applyInArrow(run, schema)
+
+
+def closing(rows: DataFrame, p: Boosting) -> DataFrame:
+    """Adds ``_closed``, the day on which a row's label is known."""
+    return rows.withColumn("_closed", F.lead("date", p.gap).over(by_code()))
 
 
 def slices(rows: DataFrame, months: list, p: Boosting, y: str = "y", keep: list[str] | None = None) -> DataFrame:
@@ -69,9 +86,9 @@ def slices(rows: DataFrame, months: list, p: Boosting, y: str = "y", keep: list[
 
     The share of a month's negatives is the one that leaves ``per_positive`` for a positive; a row is in it by its
     draw, so no month is sorted.  Weights give every month of a slice the same.  ``keep`` names the columns that
-    stay, the bins if it is left out.
+    stay, the bins if it is left out.  The rows are read three times; written ones of ``closing`` aren't worked out anew.
     """
-    d = rows.withColumn("_closed", F.lead("date", p.gap).over(by_code())).where(F.col(y).isNotNull() & F.col("_closed").isNotNull())
+    d = (rows if "_closed" in rows.columns else closing(rows, p)).where(F.col(y).isNotNull() & F.col("_closed").isNotNull())
     d = d.withColumn("_month", F.trunc("date", "month")).withColumn("u", draw())
     share = d.groupBy("_month").agg(F.sum(y).alias("_pos"), F.sum(1 - F.col(y)).alias("_neg"))
     d = d.join(F.broadcast(share), "_month").where((F.col(y) == 1) | (F.col("u") * F.col("_neg") < p.per_positive * F.col("_pos") * DRAWS))  # a row per month
@@ -233,11 +250,22 @@ def of_months(rows: DataFrame, months: list) -> DataFrame:
     return rows.withColumn("month", F.trunc("date", "month")).withColumn("model", number[F.col("month").cast("string")]).where("model IS NOT NULL")
 
 
+def prepared(rows: DataFrame, features: list[str], p: Boosting) -> DataFrame:
+    """The written table of (code, date, y, _closed, b0, b1, ...) that learners of the same bins and gap share."""
+    bins = [f"b{k}" for k in range(len(features))]
+    own = closing(rows, p).select("code", "date", "y", "_closed", *features)
+    return written(binned(own, features, p.bins).select("code", "date", "y", "_closed", *bins), "binned")
+
+
 def walk_forward(rows: DataFrame, features: list[str], months: list, p: Boosting = Boosting(), y: str = "y") -> tuple[DataFrame, Forest, DataFrame]:
     """Scored rows of ``months`` (with model and margin), the forest, and the training table, from rows of (code, date, y, features)."""
-    ready = binned(rows, features, p.bins)
-    bins = [f"b{k}" for k in range(len(features))]
-    table = written(slices(ready, months, p, y), "training")
+    return walk(prepared(rows.withColumnRenamed(y, "y"), features, p), months, p)
+
+
+def walk(ready: DataFrame, months: list, p: Boosting = Boosting()) -> tuple[DataFrame, Forest, DataFrame]:
+    """``walk_forward`` on a table of ``prepared``."""
+    bins = [c for c in ready.columns if c[0] == "b" and c[1:].isdigit()]
+    table = written(slices(ready, months, p), "training")
     forest = fit(table, len(months), p)
     tested = of_months(ready, months)
-    return score(tested.select("code", "date", "month", y, "model", *bins), forest, p), forest, table
+    return score(tested.select("code", "date", "month", "y", "model", *bins), forest, p), forest, table

@@ -4,6 +4,7 @@ import itertools
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from barline.operators import boosting, calibration, families, funnel, linear, resampling
 
@@ -264,3 +265,17 @@ def test_funnel_reads_its_rows_once(spark):
             assert n == len(own) and ic == pytest.approx(np.corrcoef(rank, [y for _, y in own])[0, 1], abs=1e-9)
     whole = np.array([r[2:] for r in rows if r[3] is not None])
     assert np.allclose(matrix, np.corrcoef(whole.T))
+
+
+def test_bins_of_a_day_come_from_one_sort(spark):
+    """Ranks with ties, nulls, zeros of both signs and NaN, as a window gives them, by one shuffle and no window."""
+    rows = [(i, dt.date(1997, 1, 1 + i % 3), [None, 0.0, -0.0, float("nan"), 1.5, i / 7, -float(i)][i * 5 % 7], None if i % 3 == 1 else float(i * i % 11)) for i in range(90)]
+    d = spark.createDataFrame(rows, "code long, date date, f double, g double")
+    got = boosting.binned(d, ["f", "g"], 4)
+    day = Window.partitionBy("date")
+    place = lambda f: F.when(F.col(f).isNull(), 4).otherwise(F.floor((F.rank().over(day.orderBy(F.col(f).asc_nulls_last())) - 1) * 4 / F.count(f).over(day)))
+    want = d.select("code", place("f").alias("b0"), place("g").alias("b1"))
+    assert sorted(tuple(r) for r in got.select("code", "b0", "b1").collect()) == sorted(tuple(r) for r in want.collect())
+    assert dict(got.dtypes)["b0"] == "tinyint" and got.columns == [*d.columns, "b0", "b1"]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("Exchange") == 1
