@@ -128,9 +128,11 @@ SELECT month, COUNT(*) AS rows, CAST(SUM(CAST(pick AS INT)) AS BIGINT) AS picks,
 
 def averaged(s, d, arms: list[boosting.Boosting]):
     """Months picked by the mean margin of several learners."""
-    rows, every = written(featured(s, d), "featured"), None
+    ready, every = {}, None  # arms of the same bins and gap share a table
     for p in arms:
-        own = boosting.walk_forward(rows, FEATURES, MONTHS, p)[0].where("y IS NOT NULL").select("code", "date", "month", "y", "margin")
+        if (p.bins, p.gap) not in ready:
+            ready[p.bins, p.gap] = boosting.prepared(featured(s, d), FEATURES, p)
+        own = boosting.walk(ready[p.bins, p.gap], MONTHS, p)[0].where("y IS NOT NULL").select("code", "date", "month", "y", "margin")
         every = own if every is None else every.unionByName(own)
     mean = every.groupBy("code", "date", "month", "y").agg(F.round(F.avg("margin"), 8).alias("margin"))
     place = F.row_number().over(Window.partitionBy("date").orderBy(F.col("margin").desc(), "code"))
