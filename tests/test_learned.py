@@ -279,3 +279,17 @@ def test_bins_of_a_day_come_from_one_sort(spark):
     assert dict(got.dtypes)["b0"] == "tinyint" and got.columns == [*d.columns, "b0", "b1"]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and plan.count("Exchange") == 1
+
+
+def test_learners_of_the_same_bins_and_gap_share_a_table(spark, monkeypatch):
+    from barline.plans import learned
+
+    scored = spark.createDataFrame([(c, dt.date(1997, 1, 2), dt.date(1997, 1, 1), c % 2, 0.1 * c) for c in range(5)], "code long, date date, month date, y int, margin double")
+    made = []
+    monkeypatch.setattr(learned, "featured", lambda s, d: None)
+    monkeypatch.setattr(boosting, "prepared", lambda rows, features, p: made.append((p.bins, p.gap)) or len(made))
+    monkeypatch.setattr(boosting, "walk", lambda ready, months, p: (scored.withColumn("margin", F.col("margin") + ready), None, None))
+    arms = [boosting.Boosting(seed=0), boosting.Boosting(seed=1), boosting.Boosting(bins=8)]
+    (row,) = learned.averaged(spark, None, arms).collect()
+    assert made == [(16, 20), (8, 20)] and row["rows"] == 5 and row["picks"] == 3
+    assert row["margin"] == pytest.approx(0.2 + 4 / 3, abs=1e-6)
