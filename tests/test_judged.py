@@ -46,6 +46,34 @@ def test_peers_are_those_that_move_alike(spark):
     assert seen[days[70], 1].peer_r == pytest.approx(series[2][70]) and (days[5], 1) not in seen
 
 
+def test_peers_of_many_parts_are_those_of_one_and_pairs_are_no_rows(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    days = [datetime.date(2019, 11, 1) + datetime.timedelta(days=i) for i in range(150)]
+    rows = [("ab"[code % 2], d, code, float(np.round(rng.normal(), 1))) for code in range(14) for d in days if rng.random() < 0.7]
+    rows += [("a", d, 100 + k, x) for k in (0, 1) for _, d, code, x in rows if code == 2] + [(None, days[0], 50, 1.0), ("a", days[3], 51, None)]  # copies tie
+    df = spark.createDataFrame(rows, "sector string, date date, code long, r double")
+    whole = {tuple(r) for r in peers.peers(df, "sector", k=3).collect()}
+    monkeypatch.setattr(peers, "PART", 2)
+    parts = {tuple(r) for r in peers.peers(df, "sector", k=3).collect()}
+    assert whole == parts and len(whole) > 150
+    months = sorted({m for m, *_ in whole})
+    x = {(c, d): v for _, d, c, v in rows if v is not None}
+    for month, code in {(m, c) for m, c, _, _ in whole if m == months[-1]}:
+        corr = {}
+        for peer in {c for s, _, c, _ in rows if s == {c: s for s, _, c, _ in rows}[code] and c != code}:
+            both = [d for d in days if (code, d) in x and (peer, d) in x]
+            past = [d for d in both if d < month]
+            if len(past) >= 10 and any((d.year, d.month) == (month.year, month.month) for d in both):
+                corr[peer] = round(float(np.corrcoef([x[code, d] for d in past], [x[peer, d] for d in past])[0, 1]), 9)
+        best = sorted(corr, key=lambda p: (-corr[p], p))[:3]
+        assert sorted(p for m, c, p, _ in whole if (m, c) == (month, code)) == sorted(best)
+    beside = peers.beside_peers(df, "sector", k=3)
+    want = {(r.code, r.date): r for r in peers.peer_returns(df, peers.peers(df, "sector", k=3)).collect()}
+    got = {(r.code, r.date): r for r in beside.collect()}
+    assert got.keys() == want.keys() and all(tuple(got[k][n] for n in ("n", "peer_r", "rest", "corr")) == pytest.approx(tuple(want[k][n] for n in ("n", "peer_r", "rest", "corr"))) for k in want)
+    assert "SortMergeJoin" not in beside._jdf.queryExecution().executedPlan().toString()
+
+
 def test_buyer_history(spark):
     rows = [(1, day, y) for day, y in [(0, 1), (0, 0), (30, None), (30, 1), (240, 0), (260, 1), (300, None)]] + [(None, 0, 1)]
     out = families.buyer_history(spark.createDataFrame(rows, "b int, d long, y int"), "b", "d", "y").where("b = 1")
