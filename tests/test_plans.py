@@ -1,7 +1,10 @@
+import re
+
 import pytest
 from conftest import SF, same
 
 from barline import plans
+from barline.sources import panels
 
 
 @pytest.mark.parametrize("name", sorted(plans.ORACLE_SQL))
@@ -24,3 +27,12 @@ def test_months_without_difference_are_no_wins(spark):
 def test_arm_days_are_worked_out_once(spark, name):
     """Their users read the written rows; the panel behind them is not in their plan."""
     assert "l_shipdate" not in plans.QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_panel_has_more_parts_for_more_rows(spark, monkeypatch):
+    monkeypatch.setattr(panels, "ROWS", 500)
+    rows = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    frame = panels.panel(spark, SF)
+    dealt = re.findall(r"Exchange hashpartitioning\((\w+)#\d+L?, (\d+)\)", frame._jdf.queryExecution().executedPlan().toString())
+    assert ("l_suppkey", str(-(-rows // 500))) in dealt
+    same(spark, plans.QUERIES["a17_keyed_upsert"], plans.ORACLE_SQL["a17_keyed_upsert"])
