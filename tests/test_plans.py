@@ -30,9 +30,12 @@ def test_arm_days_are_worked_out_once(spark, name):
 
 
 def test_panel_has_more_parts_for_more_rows(spark, monkeypatch):
+    """However many rows there are, a task of a panel query takes as many."""
     monkeypatch.setattr(panels, "ROWS", 500)
     rows = spark.read.parquet(f"{SF}/lineitem.parquet").count()
     frame = panels.panel(spark, SF)
     dealt = re.findall(r"Exchange hashpartitioning\((\w+)#\d+L?, (\d+)\)", frame._jdf.queryExecution().executedPlan().toString())
     assert ("l_suppkey", str(-(-rows // 500))) in dealt
-    same(spark, plans.QUERIES["a17_keyed_upsert"], plans.ORACLE_SQL["a17_keyed_upsert"])
+    for name in ("a17_keyed_upsert", "a18_first_wins"):
+        assert "hashpartitioning(l_suppkey#" in (plan := plans.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()) and f", {-(-rows // 500)})" in plan
+        same(spark, plans.QUERIES[name], plans.ORACLE_SQL[name])
