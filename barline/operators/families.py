@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from barline.functions.scalars import clip, tent
 from barline.operators.crosssection import pct_rank
-from barline.operators.windows import by_code, full, gain, lag, last_n
+from barline.operators.windows import arrays_of_code, by_code, from_nth, full, gain, lag, last_n, views
 
 
 def limit_flags(panel: DataFrame, limit: float = 0.045) -> DataFrame:
@@ -36,13 +37,23 @@ def contraction(panel: DataFrame) -> DataFrame:
 
 
 def horizons(panel: DataFrame) -> DataFrame:
-    """Distance to highs and lows of two horizons, and rows since the highest high."""
-    d, c = panel.withColumn("_t", F.row_number().over(by_code())), F.col("close")
-    out = []
-    for n in (120, 250):
-        w = last_n(n)
-        out += [(c / full(F.max("high"), c, n, w) - 1).alias(f"to_high{n}"), (c / full(F.min("low"), c, n, w) - 1).alias(f"to_low{n}"), (F.col("_t") - full(F.max_by("_t", F.struct("high", "_t")), c, n, w)).alias(f"since_high{n}")]
-    return d.select(*panel.columns, *out)
+    """Distance to highs and lows of two horizons, and rows since the highest high, the last of equal ones."""
+    sizes = (120, 250)
+
+    def compute(x: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        close, out = x["close"], {}
+        high, low = np.where(np.isnan(x["high"]), -np.inf, x["high"]), np.where(np.isnan(x["low"]), np.inf, x["low"])
+        for n in sizes:
+            whole = ~np.isnan(views(close, n)).any(1)
+            top, bottom = views(high, n).max(1), views(low, n).min(1)
+            column = lambda v, ok, n=n, whole=whole: from_nth(np.where(whole & ok, v, np.nan), n, len(close))
+            out[f"_high{n}"], out[f"_low{n}"] = column(top, top > -np.inf), column(bottom, bottom < np.inf)
+            out[f"since_high{n}"] = column(views(high, n)[:, ::-1].argmax(1), True)
+        return out
+
+    d = arrays_of_code(panel, ["close", "high", "low"], compute, {k: t for n in sizes for k, t in ((f"_high{n}", "double"), (f"_low{n}", "double"), (f"since_high{n}", "int"))})
+    c = F.col("close")
+    return d.select(*panel.columns, *(e for n in sizes for e in ((c / F.col(f"_high{n}") - 1).alias(f"to_high{n}"), (c / F.col(f"_low{n}") - 1).alias(f"to_low{n}"), f"since_high{n}")))
 
 
 def residual_momentum(panel: DataFrame, n: int = 60) -> DataFrame:
@@ -185,28 +196,38 @@ def snapshot_scores(points: DataFrame, prev: DataFrame) -> DataFrame:
 def amplitude(panel: DataFrame) -> DataFrame:
     """Amplitude on high against low closes (20 rows), returns of calm against wild days (120 rows), and pushes up against down.
 
-    A window's values are sorted as pairs, so equal closes or amplitudes are ordered by the value beside them.
+    A window's values are sorted as pairs, so equal closes or amplitudes are ordered by the value beside them.  A
+    code's pairs are sorted once; a window then sorts their places.
     """
-    df = panel.withColumns({"amp": F.col("high") / F.col("low") - 1, "r": gain(), "before": lag("close")})
-
-    def ends(key: str, value: str, n: int, k: int) -> tuple[Column, Column]:
-        pairs = F.sort_array(F.collect_list(F.struct(key, value)).over(last_n(n)))
-        total = lambda part: F.aggregate(part, F.lit(0.0), lambda a, x: a + x[value])
-        return total(F.slice(pairs, 1, k)), total(F.slice(pairs, -k, k))
-
-    low, high = ends("close", "amp", 20, 5)
-    calm, wild = ends("amp", "r", 120, 36)
-    whole = lambda x, name, n: F.when(F.count(name).over(last_n(n)) == n, x)
-    sums = lambda x: F.sum(x).over(last_n(20))
-    up, down = F.greatest(F.col("high") - F.col("before"), F.lit(0.0)), F.greatest(F.col("before") - F.col("low"), F.lit(0.0))
-    return df.select(
-        "code",
-        "date",
-        whole((high - low) / 5, "amp", 20).alias("ideal20"),
-        whole(calm - wild, "r", 120).alias("cut120"),
-        whole(sums(F.col("high") - F.col("open")) / (sums(F.col("open") - F.col("low")) + 1e-9), "amp", 20).alias("push20"),
-        whole(sums(F.when(F.col("before").isNotNull(), up)) / (sums(F.when(F.col("before").isNotNull(), down)) + 1e-9), "before", 20).alias("range20"),
-    )
+    df = panel.select("code", "date", "open", "close", "high", "low", (F.col("high") / F.col("low") - 1).alias("amp"), gain().alias("r"), lag("close").alias("before"))
+
+    def ends(key: np.ndarray, value: np.ndarray, n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        order = np.lexsort((value, np.where(np.isnan(key), -np.inf, key)))
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order))
+        places, value = np.sort(views(place, n), axis=1), value[order]
+        return value[places[:, :k]].sum(1), value[places[:, -k:]].sum(1)
+
+    def compute(x: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        rows = len(x["amp"])
+        low, high = ends(x["close"], x["amp"], 20, 5)
+        calm, wild = ends(x["amp"], x["r"], 120, 36)
+        column = lambda v, name, n: from_nth(np.where(np.isnan(views(x[name], n)).any(1), np.nan, v), n, rows)
+
+        def total(v: np.ndarray) -> np.ndarray:
+            window = views(v, 20)
+            return np.where(np.isnan(window).all(1), np.nan, np.nansum(window, 1))
+
+        up, down = (np.where(np.isnan(x["before"]), np.nan, np.fmax(a - b, 0.0)) for a, b in ((x["high"], x["before"]), (x["before"], x["low"])))
+        return {
+            "ideal20": column((high - low) / 5, "amp", 20),
+            "cut120": column(calm - wild, "r", 120),
+            "push20": column(total(x["high"] - x["open"]) / (total(x["open"] - x["low"]) + 1e-9), "amp", 20),
+            "range20": column(total(up) / (total(down) + 1e-9), "before", 20),
+        }
+
+    names = ["ideal20", "cut120", "push20", "range20"]
+    return arrays_of_code(df, ["open", "close", "high", "low", "amp", "r", "before"], compute, dict.fromkeys(names, "double")).select("code", "date", *names)
 
 
 def buyer_history(rows: DataFrame, buyer: str, day: str, y: str, lag: int = 21, prior: float = 0.08, weight: int = 10) -> DataFrame:
