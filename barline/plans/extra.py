@@ -33,7 +33,7 @@ def local(name: str, operator, sql: dict[str, str], steps: str = "", source: str
 
 
 local("e25_contraction", fam.contraction, {"std5_60": f"({full('STDDEV_POP(r)', 'r', 5)}) / NULLIF(({full('STDDEV_POP(r)', 'r', 60)}), 0)", "box20_120": f"{BOX(20)} / NULLIF({BOX(120)}, 0)", "break20": f"close / ({full('MAX(high)', 'close', 20, 1)}) - 1", "break60": f"close / ({full('MAX(high)', 'close', 60, 1)}) - 1"}, RET, "p")
-local("e26_horizons", fam.horizons, {k: v for n in (120, 250) for k, v in {f"to_high{n}": f"close / ({full('MAX(high)', 'close', n)}) - 1", f"to_low{n}": f"close / ({full('MIN(low)', 'close', n)}) - 1", f"since_high{n}": f"CASE WHEN COUNT(close) {win(n)} = {n} THEN t - (MAX(ROW(high, t)) {win(n)})[2] END"}.items()}, f", p AS (SELECT *, ROW_NUMBER() OVER ({BY}) AS t FROM panel)", "p")
+local("e26_horizons", lambda p: fam.horizons(p.select("code", "date", "close", "high", "low")), {k: v for n in (120, 250) for k, v in {f"to_high{n}": f"close / ({full('MAX(high)', 'close', n)}) - 1", f"to_low{n}": f"close / ({full('MIN(low)', 'close', n)}) - 1", f"since_high{n}": f"CASE WHEN COUNT(close) {win(n)} = {n} THEN t - (MAX(ROW(high, t)) {win(n)})[2] END"}.items()}, f", p AS (SELECT *, ROW_NUMBER() OVER ({BY}) AS t FROM panel)", "p")
 local("e31_residual_momentum", fam.residual_momentum, {"beta": "beta", "res20": f"CASE WHEN beta IS NOT NULL THEN SUM(r) {win(20)} - beta * SUM(m) {win(20)} END"}, RET + f", q AS (SELECT *, AVG(r) OVER (PARTITION BY date) AS m FROM p), b AS (SELECT *, CASE WHEN COUNT(r) {win(60)} = 60 THEN COVAR_POP(r, m) {win(60)} / NULLIF(VAR_POP(m) {win(60)}, 0) END AS beta FROM q)", "b")
 add("e36_industry_block", lambda s, d: rounded(fam.industry_block(panel(s, d)), ["mid", "large5", "place"], ("date", "sector", "n")), RET + ", g AS (SELECT date, sector, COUNT(*) AS n, QUANTILE_CONT(r, 0.5) AS mid, COALESCE(SUM(CAST(r >= 0.045 AS INT)), 0) AS large, COUNT(r) AS k FROM p GROUP BY 1, 2), h AS (SELECT *, SUM(CASE WHEN k > 0 THEN large END) OVER v / SUM(n) OVER v AS large5 FROM g WINDOW v AS (PARTITION BY sector ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))" + rounded_sql({"mid": "mid", "large5": "large5", "place": tied("mid")}, "h", "date, sector, n"))
 local("e37_event_history", lambda d: fam.event_history(d.withColumn("_g", F.col("close") / F.lag("close").over(cs.Window.partitionBy("code").orderBy("date")) - 1), F.col("_g") >= 0.045), {"events": f"COALESCE(SUM(f) {win(250, 21)}, 0)", "since_event": f"LEAST(600, COALESCE(t - MAX(CASE WHEN f = 1 THEN t END) OVER ({BY} ROWS BETWEEN UNBOUNDED PRECEDING AND 21 PRECEDING), 600))"}, RET + f", q AS (SELECT *, COALESCE(CAST(r >= 0.045 AS INT), 0) AS f, ROW_NUMBER() OVER ({BY}) AS t FROM p)", "q")

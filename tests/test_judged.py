@@ -152,3 +152,59 @@ def test_huber_locations_of_many_days_are_one_shuffle(spark):
     for d in days:
         x, w = np.array([r[1:] for r in rows if r[0] == d and r[1] is not None]).T
         assert out[d].n == 200 and out[d].location == pytest.approx(huber(x, w))
+
+
+@pytest.fixture(scope="module")
+def bars(spark):
+    """Two codes with gaps and ties; one has fewer rows than any window."""
+    rng = np.random.default_rng(12)
+    rows = []
+    for code, n in ((1, 300), (2, 15)):
+        for i in range(n):
+            o, c = (float(np.round(10 + rng.normal(), 1)) for _ in range(2))
+            high, low = max(o, c) + 0.1, min(o, c) - 0.1
+            rows.append((code, datetime.date(2020, 1, 1) + datetime.timedelta(days=i), None if i == 7 else o, c, None if i == 30 else high, low))
+    return spark.createDataFrame(rows, "code long, date date, open double, close double, high double, low double").repartition(3), rows
+
+
+def test_amplitude_against_brute_force(bars):
+    frame, rows = bars
+    out = families.amplitude(frame)
+    assert "collect_list" not in out._jdf.queryExecution().executedPlan().toString()  # no window gathers 120 pairs for every row
+    got = {(r.code, r.date): r for r in out.collect()}
+    own = [r for r in rows if r[0] == 1]
+    amp = [None if r[4] is None else r[4] / r[5] - 1 for r in own]
+    gains = [None] + [b[3] / a[3] - 1 for a, b in zip(own, own[1:])]
+    for i, (code, date, *_) in enumerate(own):
+        r, last = got[code, date], range(max(i - 19, 0), i + 1)
+        if i < 19 or any(amp[k] is None for k in last):
+            assert r.ideal20 is None and r.push20 is None
+        else:
+            pairs = [v for _, v in sorted((own[k][3], amp[k]) for k in last)]
+            assert r.ideal20 == pytest.approx((sum(pairs[-5:]) - sum(pairs[:5])) / 5)
+            there = [k for k in last if own[k][2] is not None]
+            assert r.push20 == pytest.approx(sum(own[k][4] - own[k][2] for k in there) / (sum(own[k][2] - own[k][5] for k in there) + 1e-9))
+        if i < 120:
+            assert r.cut120 is None
+        else:
+            pairs = [v for _, v in sorted((-9.0 if amp[k] is None else amp[k], gains[k]) for k in range(i - 119, i + 1))]
+            assert r.cut120 == pytest.approx(sum(pairs[:36]) - sum(pairs[-36:]))
+    assert all(r.ideal20 is r.cut120 is r.push20 is r.range20 is None for (c, _), r in got.items() if c == 2) and len(got) == len(rows)
+
+
+def test_horizons_against_brute_force(bars):
+    frame, rows = bars
+    out = families.horizons(frame)
+    assert "max_by" not in out._jdf.queryExecution().executedPlan().toString()  # no window compares 250 rows anew for every row
+    got = {(r.code, r.date): r for r in out.collect()}
+    own = [r for r in rows if r[0] == 1]
+    for i, (code, date, _, close, *_) in enumerate(own):
+        r = got[code, date]
+        for n in (120, 250):
+            if i < n - 1:
+                assert r[f"to_high{n}"] is r[f"to_low{n}"] is r[f"since_high{n}"] is None
+                continue
+            high = [(-1.0 if own[k][4] is None else own[k][4], k) for k in range(i - n + 1, i + 1)]
+            assert r[f"to_high{n}"] == pytest.approx(close / max(high)[0] - 1) and r[f"since_high{n}"] == i - max(high)[1]
+            assert r[f"to_low{n}"] == pytest.approx(close / min(own[k][5] for k in range(i - n + 1, i + 1)) - 1)
+    assert len(got) == len(rows) and out.columns[: len(frame.columns)] == frame.columns
