@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 from barline.functions.scalars import clip, tent
 from barline.operators.crosssection import pct_rank
 from barline.operators.windows import arrays_of_code, by_code, from_nth, full, gain, lag, last_n, views
+from barline.sources.roundtrips import written
 
 
 def limit_flags(panel: DataFrame, limit: float = 0.045) -> DataFrame:
@@ -141,14 +142,16 @@ def conformal(rows: DataFrame, score: str, y: str, months_back: int = 12, gap: i
     """Adds p, (1 + negatives that score as high) / (negatives + 1) over the ``months_back`` months before whose label had closed, and
     ``selected``, the rows that Benjamini and Hochberg's rule keeps at ``rate`` among the codes of the day; null without such negatives.
 
-    Negatives are summed by month and score first; those above a score come from sums of buckets of ``width`` and of the
+    Rows and sums are written, as each is read twice.  Negatives are summed by month and score first; those above a score come from sums of buckets of ``width`` and of the
     scores inside the bucket, so that no month's scores pass through one task.
     """
     d = rows.where(F.col(score).isNotNull() | F.col(y).isNotNull()).withColumn("_closed", F.lead("date", gap).over(by_code())).withColumn("_own", F.trunc("date", "month"))
+    d = written(d.select("code", "date", score, y, "_closed", "_own"), "scores")
     past = d.where((F.col(y) == 0) & F.col(score).isNotNull() & F.col("_closed").isNotNull()).where(F.add_months(F.trunc("_closed", "month"), 1) <= F.add_months("_own", months_back))
     past = past.select(F.explode(F.expr(f"sequence(add_months(trunc(_closed, 'month'), 1), add_months(_own, {months_back}), interval 1 month)")).alias("month"), F.col(score).alias("_s"), F.lit(1).alias("_k"))
     new = d.where(F.col(score).isNotNull()).select("code", "date", F.col("_own").alias("month"), F.col(score).alias("_s"))
     sums = past.unionByName(new.select("month", "_s", F.lit(0).alias("_k"))).groupBy("month", "_s").agg(F.sum("_k").alias("_k")).withColumn("_b", F.floor(F.col("_s") / width))
+    sums = written(sums, "sums")
     inside = F.sum("_k").over(Window.partitionBy("month", "_b").orderBy(F.col("_s").desc()))
     buckets = sums.groupBy("month", "_b").agg(F.sum("_k").alias("_n"))
     of_month = Window.partitionBy("month")

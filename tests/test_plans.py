@@ -39,3 +39,8 @@ def test_panel_has_more_parts_for_more_rows(spark, monkeypatch):
     for name in ("a17_keyed_upsert", "a18_first_wins"):
         assert "hashpartitioning(l_suppkey#" in (plan := plans.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()) and f", {-(-rows // 500)})" in plan
         same(spark, plans.QUERIES[name], plans.ORACLE_SQL[name])
+
+
+def test_rows_of_conformal_values_are_worked_out_once(spark):
+    plan = plans.QUERIES["l15_conformal"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "l_suppkey" not in plan
