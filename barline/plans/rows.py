@@ -137,7 +137,7 @@ def b21(s, d):
 def b22(s, d):
     """A weighted score with one part dropped and the other weights raised to sum to one."""
     parts = {"r20": 0.5, "amount": 0.2, "turnover": 0.3}
-    k = cs.pct_ranks(returns(s, d).select("code", "date", *parts), list(parts), "date")
+    k = cs.pct_ranks(panels.dealt(returns(s, d).select("code", "date", *parts), "date", table=s.read.parquet(f"{d}/lineitem.parquet")), list(parts), "date")
     left = {c: x for c, x in parts.items() if c != "turnover"}
     score = lambda p: sum((F.col(c) * x for c, x in p.items()), F.lit(0.0))
     return rounded(k.select("code", "date", (score(left) / sum(left.values())).alias("score"), score(parts).alias("whole")), ["score", "whole"])

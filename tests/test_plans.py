@@ -41,7 +41,7 @@ def test_panel_has_more_parts_for_more_rows(spark, monkeypatch):
         same(spark, plans.QUERIES[name], plans.ORACLE_SQL[name])
 
 
-@pytest.mark.parametrize(("name", "keys"), [("m10_buyers_of_a_day", ["l_orderkey", "buyer", "code, day"])])
+@pytest.mark.parametrize(("name", "keys"), [("m10_buyers_of_a_day", ["l_orderkey", "buyer", "code, day"]), ("b22_reweighted_score", ["date"])])
 def test_buyers_and_days_have_more_parts_for_more_rows(spark, monkeypatch, name, keys):
     monkeypatch.setattr(panels, "ROWS", 500)
     parts = -(-spark.read.parquet(f"{SF}/lineitem.parquet").count() // 500)
