@@ -74,7 +74,8 @@ def _violation(g: np.ndarray, beta: np.ndarray, l1: float, l2: float, free: np.n
 def fit(table: DataFrame, names: list[str], models: int, l1: float = 0.0, l2: float = 0.0, at_least_zero: tuple[str, ...] = (), tolerance: float = 1e-9, most: int = 40) -> Models:
     """Models of a table of (model, y, w, features): the sum of w times the loss, l1 times the coefficients and l2 times their squares is least.
 
-    ``table`` is read once a pass and should be a written one; weights are scaled to mean 1 by model.
+    ``table`` is read once a pass and should be a written one, best in runs of a model; weights are scaled to mean 1 by
+    model.  A model that is done costs a pass no more than the reading of its rows.
     """
     k = len(names)
     stats = {r[0]: r for r in table.groupBy("model").agg(F.avg("w"), *(F.avg(F.coalesce(F.col(n), F.lit(0.0))) for n in names), *(F.stddev_pop(F.coalesce(F.col(n), F.lit(0.0))) for n in names), F.avg("y"), F.count("*")).collect()}
@@ -86,19 +87,30 @@ def fit(table: DataFrame, names: list[str], models: int, l1: float = 0.0, l2: fl
     free = np.array([n not in at_least_zero for n in names])
     size = 1 + (k + 1) + (k + 1) ** 2
 
-    def sums() -> np.ndarray:
+    def sums(left: np.ndarray) -> np.ndarray:
+        """Loss, gradient and curvature of the models that are ``left``."""
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros((models, size))
             for batch in batches:
                 model = batch.column("model").to_numpy(zero_copy_only=False).astype(np.int64)
+                own = left[model]
+                if not own.all():
+                    batch, model = batch.filter(pa.array(own)), model[own]
+                if not len(model):
+                    continue
+                if (np.diff(model) < 0).any():
+                    order = np.argsort(model, kind="stable")
+                    batch, model = batch.take(pa.array(order)), model[order]
                 y, w = (batch.column(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in ("y", "w"))
                 z = fitted.design(model, _columns(batch, names))
                 w = w / weight[model]
                 s = (z * fitted.beta[model]).sum(1)
                 p = 1 / (1 + np.exp(-s))
                 loss, slope, bend = w * (np.logaddexp(0, s) - y * s), w * (p - y), w * p * (1 - p)
-                for m in np.unique(model).tolist():
-                    own = model == m
+                cuts = (np.flatnonzero(np.diff(model)) + 1).tolist()
+                for top, end in zip([0, *cuts], [*cuts, len(model)], strict=True):
+                    m, own = int(model[top]), slice(top, end)
                     total[m] += np.concatenate([[loss[own].sum()], z[own].T @ slope[own], ((z[own].T * bend[own]) @ z[own]).ravel()])
             m, at = np.nonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(m), pa.array(at), pa.array(total[m, at])], names=["m", "at", "x"])
@@ -110,24 +122,25 @@ def fit(table: DataFrame, names: list[str], models: int, l1: float = 0.0, l2: fl
 
     penalty = lambda b: l1 * np.abs(b[:-1]).sum() + l2 * (b[:-1] ** 2).sum()
     held, step, reached = fitted.beta.copy(), np.zeros_like(fitted.beta), np.full(models, np.inf)
-    part = np.ones(models)
+    part, left = np.ones(models), np.array([m in stats for m in range(models)])
+    fitted.violation[~left] = 0.0
     for turn in range(most):
-        now, fitted.passes = sums(), turn + 1
-        for m in range(models):
+        now, fitted.passes = sums(left), turn + 1
+        for m in np.flatnonzero(left).tolist():
             worth = now[m, 0] + penalty(fitted.beta[m])
             if worth > reached[m] + 1e-9 * abs(reached[m]) and part[m] > 1e-4:  # too far: half the step
                 part[m] /= 2
                 fitted.beta[m] = held[m] + part[m] * step[m]
                 continue
             g, h = now[m, 1 : k + 2], now[m, k + 2 :].reshape(k + 1, k + 1)
-            fitted.violation[m] = _violation(g, fitted.beta[m], l1, l2, free) / max(rows[m], 1.0) if m in stats else 0.0
+            fitted.violation[m] = _violation(g, fitted.beta[m], l1, l2, free) / max(rows[m], 1.0)
             if fitted.violation[m] <= tolerance:
-                step[m], reached[m] = 0.0, worth
+                left[m] = False
                 continue
             held[m], reached[m], part[m] = fitted.beta[m].copy(), worth, 1.0
             step[m] = _solve(g, h, fitted.beta[m], l1, l2, free)
             fitted.beta[m] = held[m] + step[m]
-        if (fitted.violation <= tolerance).all():
+        if not left.any():
             break
     return fitted
 

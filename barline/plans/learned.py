@@ -189,9 +189,9 @@ fo AS (SELECT mon, COUNT(*) AS trained, SUM(y) AS positives, MIN(date) AS first,
 
 
 def sliced(s, d, features=tuple(FEATURES), source=None):
-    """Rows with features, the written training table of all months, and its folds."""
-    rows = featured(s, d) if source is None else source
-    table = written(boosting.slices(rows, EVERY, P, keep=["date", *features]), "slices")
+    """Rows with features, written once as they are read four times, the written training table of all months, and its folds."""
+    rows = written(boosting.closing(featured(s, d) if source is None else source, P), "features")
+    table = written(boosting.slices(rows, EVERY, P, keep=["date", *features]).sortWithinPartitions("model"), "slices")
     fold = table.groupBy("model").agg(F.count("*").alias("trained"), F.sum("y").alias("positives"), F.sum(1 - F.col("y")).alias("_neg"), F.min("date").alias("first"), F.max("date").alias("last"))
     return rows, table, fold.where((F.col("positives") >= LEAST) & (F.col("_neg") >= LEAST)).drop("_neg")
 

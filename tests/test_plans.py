@@ -53,3 +53,9 @@ def test_buyers_and_days_have_more_parts_for_more_rows(spark, monkeypatch, name,
 def test_rows_of_conformal_values_are_worked_out_once(spark):
     plan = plans.QUERIES["l15_conformal"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "l_suppkey" not in plan
+
+
+def test_rows_of_the_linear_models_are_worked_out_once(spark):
+    """Learning and scoring read the written features; the panel is in neither's plan."""
+    plan = plans.QUERIES["k05_hits"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_shipdate" not in plan
