@@ -250,7 +250,7 @@ def s08(s, d):
 @query("s09_carried_state", CHIPS + f", cal AS (SELECT date, ROW_NUMBER() OVER (ORDER BY date) AS day FROM (SELECT DISTINCT date FROM panel)), rr AS (SELECT barz.code, barz.date, day - i AS g FROM barz JOIN cal ON cal.date = barz.date), r2 AS (SELECT code, date, ROW_NUMBER() OVER (PARTITION BY code, g ORDER BY date) AS run FROM rr), j AS (SELECT basis.*, run FROM basis JOIN r2 ON r2.code = basis.code AND r2.date = basis.date)" + rounded_sql({"avg_cost": "avg_cost", "winners": "winners", "deviation": "close / avg_cost - 1", "width90": "width90", "peak_gap": "peak_gap"}, "j", "code, date, run", 4), BARS)
 def s09(s, d):
     """Cost basis and run of market days of every bar, from state that moves on with each micro-batch."""
-    bars = panel(s, d).select("code", "date", "high", "low", "close", "turnover").join(lists.day_numbers(panel(s, d)), "date")
+    bars = panel(s, d).select("code", "date", "high", "low", "close", "turnover").join(F.broadcast(lists.day_numbers(panel(s, d))), "date")  # a row a day
     return rounded(stateful.replay(bars, stateful.carried, CUTS), ["avg_cost", "winners", "deviation", "width90", "peak_gap"], ("code", "date", "run"), 4)
 
 
