@@ -9,8 +9,8 @@ each end position the best arc is a vectorised maximum, and its start the backpo
 *BPE models*: merging yields exactly one segmentation, the only one in which every piece
 is what merging makes of its own letters and every two neighbours stay apart when their
 letters are merged together.  So an arc is admitted if its piece and the piece that its
-start ends with stay apart, which unwinding both pieces' merges tells, and the maximum picks
-the admitted arc.  A word whose last position no arc reaches, or that begins with several
+start ends with stay apart, which unwinding both pieces' merges tells, and the admitted arc
+is picked; what was told of a pair is kept in a table of fixed size.  A word whose last position no arc reaches, or that begins with several
 spaces (those pieces tie in rank), is merged step by step.
 
 Letters without a piece become byte pieces.  Null text counts as empty; an empty text has no ids.
@@ -31,6 +31,10 @@ from barline.llm.shared import text_or_empty
 
 SPACE = "▁"
 _B = np.uint64(0x100000001B3 * 0x9E3779B1 % (1 << 64) | 1)
+#: Spreads letters over all bits, so that the first bits of short pieces' hashes differ as well.
+_C = np.uint64(0x9E3779B97F4A7C15)
+#: Pairs of pieces of which a worker knows whether they stay apart: a power of 2.
+PAIRS = 1 << 20
 #: Words of a generation of the cache: the younger one holds what was used since it began, the older one what was used before.
 CACHE_WORDS = 400_000
 NEVER = 1 << 40
@@ -75,6 +79,8 @@ class Pieces:
         self.keys, self.key_ids = self.keys[order], np.array([self.id[p] for p in usable], np.int64)[order]
         self.maybe = np.zeros(1 << 20, bool)  # by a hash's first 20 bits: whether any piece begins so
         self.maybe[self.keys >> np.uint64(44)] = True
+        self.first = np.searchsorted(self.keys, np.arange(1 << 20, dtype=np.uint64) << np.uint64(44)).astype(np.int32)  # the first key that begins so
+        self.known_pairs = np.full(PAIRS, -1, np.int64)  # by a pair's hash: the pair, and in the last bit whether it stays apart
         self.value = np.zeros(n + 1)
         for piece, i in self.id.items():
             self.value[i] = self.score[piece]
@@ -87,7 +93,7 @@ class Pieces:
     def _key(piece: str) -> int:
         h = 0
         for c in piece:
-            h = (h * int(_B) + ord(c) + 1) % (1 << 64)
+            h = (h * int(_B) + (ord(c) + 1) * int(_C)) % (1 << 64)
         return h
 
     def _learn_merges(self, n: int) -> None:
@@ -153,55 +159,101 @@ class Pieces:
             u[a], v[b] = self.right[u[a]], self.left[v[b]]
         return out
 
-    def viterbi(self, words: list[str]) -> list[list[int]]:
-        """Ids of words of one length."""
+    def stay_apart(self, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """``apart``, worked out once for a pair as long as no other pair takes its place."""
+        pair = u << 20 | v
+        place = (pair * 0x2545F4914F6CDD1D >> 40) & (PAIRS - 1)
+        known = self.known_pairs[place]
+        miss = np.flatnonzero(known >> 1 != pair)
+        if len(miss):
+            new, back = np.unique(pair[miss], return_inverse=True)
+            told = new << 1 | self.apart(new >> 20, new & ((1 << 20) - 1))
+            known[miss] = told[back]
+            self.known_pairs[place[miss]] = known[miss]
+        return (known & 1).astype(bool)
+
+    def _found(self, hashes: np.ndarray) -> np.ndarray:
+        """The pieces of these hashes, -1 where there is none."""
+        at = np.minimum(self.first[hashes >> np.uint64(44)], len(self.keys) - 1)
+        miss = np.flatnonzero(self.keys[at] != hashes)  # another piece's, or several begin so
+        at[miss] = np.minimum(np.searchsorted(self.keys, hashes[miss]), len(self.keys) - 1)
+        return np.where(self.keys[at] == hashes, self.key_ids[at], -1)
+
+    def lattice(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """For words of one length, by end position and word: the last piece there and its start; -1 at the words' start, -2 where no arc ends."""
         length, count = len(words[0]), len(words)
-        code = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(count, length).astype(np.uint64) + np.uint64(1)
-        prefix = np.zeros((count, length + 1), np.uint64)
+        code = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(count, length).T.astype(np.uint64)
+        code = (code + np.uint64(1)) * _C
+        prefix = np.zeros((length + 1, count), np.uint64)
         for j in range(length):
-            prefix[:, j + 1] = prefix[:, j] * _B + code[:, j]
-        power = np.array([pow(int(_B), k, 1 << 64) for k in range(self.longest + 1)], np.uint64)
-        best = np.full((count, length + 1), -np.inf)
-        best[:, 0] = 0
-        last, back = np.full((count, length + 1), -1, np.int64), np.zeros((count, length + 1), np.int32)
+            prefix[j + 1] = prefix[j] * _B + code[j]
+        power = np.array([pow(int(_B), k, 1 << 64) for k in range(self.longest, 0, -1)], np.uint64)[:, None]
+        best = np.full((length + 1, count), -np.inf)
+        best[0] = 0
+        last, back = np.full((length + 1, count), -2, np.int64), np.zeros((length + 1, count), np.int32)
+        last[0] = -1
         for j in range(1, length + 1):
-            spans = range(min(j, self.longest), 0, -1)
-            starts = np.array([j - k for k in spans])
-            h = prefix[:, [j]] - prefix[:, starts] * power[[j - s for s in starts]]
-            piece = np.full(h.shape, -1, np.int64)
-            row, col = np.nonzero(self.maybe[h >> np.uint64(44)])
-            some = h[row, col]
-            at = np.minimum(np.searchsorted(self.keys, some), len(self.keys) - 1)
-            piece[row, col] = np.where(self.keys[at] == some, self.key_ids[at], -1)
-            piece[:, -1] = np.where(piece[:, -1] < 0, self.n, piece[:, -1])  # a letter without piece
-            open_ = (piece >= 0) & (best[:, starts] > -np.inf)
+            low = max(0, j - self.longest)
+            h = prefix[j] - prefix[low:j] * power[low - j :]
+            at = np.flatnonzero(self.maybe[h >> np.uint64(44)])
+            piece = self._found(h.ravel()[at])
+            at, piece = at[piece >= 0], piece[piece >= 0]
+            bare = np.ones(count, bool)  # words whose letter here has no piece
+            bare[at[np.searchsorted(at, (j - 1 - low) * count) :] - (j - 1 - low) * count] = False
+            bare = np.flatnonzero(bare)
+            at, piece = np.concatenate([at, bare + (j - 1 - low) * count]), np.concatenate([piece, np.full(len(bare), self.n)])
+            before = last[low:j].ravel()[at]
+            there = before > -2
             if self.bpe:
-                row, col = np.nonzero(open_)
-                u, v = last[row, starts[col]], piece[row, col]
-                check = (u >= 0) & (u < self.n) & (v < self.n)
-                open_[row[check], col[check]] = self.apart(u[check], v[check])
-                value = np.where(open_, 0.0, -np.inf)
+                check = (before >= 0) & (before < self.n) & (piece < self.n)
+                there[check] = self.stay_apart(before[check], piece[check])
+                at, piece = at[there][::-1], piece[there][::-1]  # the longest piece is written last
+                word = at % count
             else:
-                value = np.where(open_, best[:, starts] + self.value[piece], -np.inf)
-            k = value.argmax(1)
-            rows = np.arange(count)
-            best[:, j] = value[rows, k]
-            last[:, j] = np.where(best[:, j] > -np.inf, piece[rows, k], -1)
-            back[:, j] = starts[k]
-        out = []
-        for r, word in enumerate(words):
-            ids: list[int] = []
-            if best[r, length] == -np.inf:
-                out.append(self._ids(self.merged(word)))
-                continue
+                at, piece = at[there], piece[there]
+                value = np.full((j - low, count), -np.inf)
+                value.ravel()[at] = best[low:j].ravel()[at] + self.value[piece]
+                taken = value.argmax(0)
+                best[j] = value[taken, np.arange(count)]
+                chosen = taken[at % count] == at // count
+                at, piece = at[chosen], piece[chosen]
+                word = at % count
+            last[j, word], back[j, word] = piece, at // count + low
+        return last, back
+
+    def coded(self, words: list[str]) -> list[bytes]:
+        """Ids of words of one length, as 32-bit integers."""
+        length, count = len(words[0]), len(words)
+        last, back = self.lattice(words)
+        whole = last[length] > -2
+        ids, steps = np.full((count, length), -1, np.int32), np.zeros(count, np.int64)
+        live, at = np.flatnonzero(whole), np.full(whole.sum(), length)
+        for k in range(length - 1, -1, -1):  # from the right, as the last piece is met first
+            if not len(live):
+                break
+            ids[live, k] = last[at, live]
+            steps[live] += 1
+            at = back[at, live]
+            live, at = live[at > 0], at[at > 0]
+        bare = (ids == self.n).any(1)
+        flat, ends = ids.tobytes(), np.arange(1, count + 1) * (4 * length)
+        out = [flat[a:b] for a, b in zip((ends - 4 * steps).tolist(), ends.tolist(), strict=True)]
+        for r in np.flatnonzero(~whole):
+            out[r] = array("i", self._ids(self.merged(words[r]))).tobytes()
+        for r in np.flatnonzero(bare):
+            own: list[int] = []
             j = length
             while j:
-                i = int(last[r, j])
-                ids += [i] if i < self.n else [self.byte_id[b] for b in reversed(word[j - 1].encode())] if self.byte_id else [self.unknown]
-                j = int(back[r, j])
-            out.append(ids[::-1])
+                i, start = int(last[j, r]), int(back[j, r])
+                own += [i] if i < self.n else self._ids([words[r][j - 1]])[::-1]
+                j = start
+            out[r] = array("i", own[::-1]).tobytes()
         return out
 
+    def viterbi(self, words: list[str]) -> list[list[int]]:
+        """Ids of words of one length."""
+        return [array("i", ids).tolist() for ids in self.coded(words)]
+
     def _ids(self, pieces: list[str]) -> list[int]:
         return [i for p in pieces for i in ([self.id[p]] if p in self.id else [self.byte_id[b] for b in p.encode()] if self.byte_id else [self.unknown])]
 
@@ -213,11 +265,10 @@ class Pieces:
             else:
                 by_length.setdefault(len(w), []).append(w)
         for some in by_length.values():
-            step = max(1, 400_000 // (len(some[0]) + 1) // self.longest)
+            step = max(1, 1_600_000 // (len(some[0]) + 1) // self.longest)
             for at in range(0, len(some), step):
                 part = some[at : at + step]
-                for w, ids in zip(part, self.viterbi([SPACE + w for w in part]), strict=True):
-                    self.words[w] = array("i", ids).tobytes()
+                self.words.update(zip(part, self.coded([SPACE + w for w in part]), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as 32-bit integers."""

@@ -94,6 +94,24 @@ def test_pieces_match_the_library():
         assert model.decode(ids) == text
 
 
+def test_pairs_of_pieces_are_told_once(monkeypatch):
+    """Words of the same pieces ask again for pairs that are known; a full table only asks more often."""
+    import sentencepiece
+
+    path, rng = queries.tokenizer_file("piece_bpe_32k.model"), random.Random(5)
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    texts = [" ".join("".join(rng.choice(["ab", "er", "ing", "ou", "tion", "𝔘"]) for _ in range(6)) for _ in range(40)) for _ in range(20)]
+    for places in (1 << 20, 4):
+        monkeypatch.setattr(sentence_pieces, "PAIRS", places)
+        model, asked = sentence_pieces.Pieces(path), []
+        told = model.apart
+        monkeypatch.setattr(model, "apart", lambda u, v, told=told, asked=asked: (asked.extend(zip(u.tolist(), v.tolist(), strict=True)), told(u, v))[1])
+        for text in texts:
+            assert np.frombuffer(model.encode([text])[0], np.int32).tolist() == library.encode(text)
+        if places > 4:
+            assert len(asked) == len(set(asked))
+
+
 def test_unigram_pieces_match_a_plain_viterbi():
     model = sentence_pieces.pieces(queries.tokenizer_file("piece_bpe_32k.model"), bpe=False)
     rng = random.Random(4)
