@@ -4,6 +4,7 @@ import pytest
 from conftest import SF, same
 
 from barline import plans
+from barline.plans import resampled
 from barline.sources import panels
 
 
@@ -41,6 +42,25 @@ def test_panel_has_more_parts_for_more_rows(spark, monkeypatch):
         same(spark, plans.QUERIES[name], plans.ORACLE_SQL[name])
 
 
+def test_arm_days_are_narrowed_in_the_panels_parts(spark, monkeypatch):
+    """Of an arm's rows of a day, a part hands on the first five only; before that the panel is shuffled once, by code."""
+    sf, frames, limit = "/root/testdata/sf0.1", [], "spark.sql.autoBroadcastJoinThreshold"
+    monkeypatch.setattr(panels, "ROWS", 20_000)
+    monkeypatch.setattr(resampled, "written", lambda rows, name: frames.append(rows) or rows)
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "1m")  # as on larger tables, where the bars are too large to be broadcast
+    try:
+        resampled.arm_days(spark, sf)
+        plan = re.sub(r"#\d+L?", "", frames[0]._jdf.queryExecution().executedPlan().toString())
+    finally:
+        spark.conf.set(limit, before)
+    parts = -(-spark.read.parquet(f"{sf}/lineitem.parquet").count() // 20_000)
+    assert re.findall(r"Exchange hashpartitioning\(([\w, ]+), (\d+)\)", plan) == [("arm, date", "4"), ("l_suppkey", str(parts)), ("code", str(parts))]  # the last one deals the table of codes
+    assert re.search(r"Exchange hashpartitioning\(arm, date, \d+\)[^\n]*\n[^\n]*WindowGroupLimit \[arm, date\], [^\n]*, 5, Partial", plan)
+    monkeypatch.undo()
+    same(spark, plans.QUERIES["l10_overfit_splits"], plans.ORACLE_SQL["l10_overfit_splits"])
+
+
 @pytest.mark.parametrize(("name", "keys"), [("m10_buyers_of_a_day", ["l_orderkey", "buyer", "code, day"]), ("b22_reweighted_score", ["date"])])
 def test_buyers_and_days_have_more_parts_for_more_rows(spark, monkeypatch, name, keys):
     monkeypatch.setattr(panels, "ROWS", 500)
