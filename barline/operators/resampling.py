@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from barline.sources.roundtrips import written
+
 #: Modulus and multiplier of the draws.
 M, A = 2_147_483_647, 48_271
 
@@ -34,13 +36,19 @@ def draw_sql(seed: int, rep: str, k: str, n: str) -> str:
     return f"({out}[1] % {n})"
 
 
+def replicated(size: DataFrame, replicates: int) -> DataFrame:
+    """A row for each replicate of each row of ``size``, a row a series: dealt over tasks, as its draws are many from few rows."""
+    reps = size.sparkSession.range(1, replicates + 1).withColumnRenamed("id", "rep")
+    return reps.crossJoin(F.broadcast(size))
+
+
 def starts(size: DataFrame, replicates: int, block: int, seed: int) -> DataFrame:
     """(rep, b, i, part) for each row of ``size`` (n): where the blocks of each replicate begin, and whether the block is the last, shorter one.
 
     A replicate has n days: whole blocks, then what is missing.
     """
     blocks = F.ceil(F.col("n") / block)
-    d = size.where(F.col("n") >= 2 * block).select("*", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("rep"))
+    d = replicated(size.where(F.col("n") >= 2 * block), replicates)
     d = d.select("*", F.explode(F.sequence(F.lit(1).cast("long"), blocks)).alias("b"))
     return d.withColumn("i", draw(seed, F.col("rep"), F.col("b"), F.col("n") - block + 1)).withColumn("part", (F.col("b") == blocks) & (F.col("n") % block != 0))
 
@@ -48,7 +56,8 @@ def starts(size: DataFrame, replicates: int, block: int, seed: int) -> DataFrame
 def resampled(series: DataFrame, values: list[str], replicates: int, block: int, seed: int, by: list[str], shared: bool = False) -> DataFrame:
     """Sums of the values in each replicate of each series of (by, i, n, values).
 
-    With ``shared`` all series, which must have the same days, take the same blocks.
+    With ``shared`` all series, which must have the same days, take the same blocks.  The series, a row a day, are
+    what is broadcast: draws look as small as the sizes they are made from and would else be it.
     """
     w = Window.partitionBy(*by).orderBy("i")
     run = series.select(*by, "i", "n", *(F.sum(v).over(w.rowsBetween(0, block - 1)).alias(f"{v}_s") for v in values), *(F.sum(v).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(f"{v}_r") for v in values), *values)
@@ -58,8 +67,8 @@ def resampled(series: DataFrame, values: list[str], replicates: int, block: int,
     sizes = series.select(*([] if shared else by), "n").distinct()
     at = starts(sizes, replicates, block, seed)
     keys = ["i", "n"] if shared else [*by, "i", "n"]
-    d = at.join(run, keys)
-    d = d.withColumn("_end", F.col("i") + rest - 1).join(ends, [*by, "_end"], "left")
+    d = at.join(F.broadcast(run), keys)
+    d = d.withColumn("_end", F.col("i") + rest - 1).join(F.broadcast(ends), [*by, "_end"], "left")
     own = lambda v: F.when(F.col("part"), F.col(f"{v}_e") - F.col(f"{v}_r") + F.col(v)).otherwise(F.col(f"{v}_s"))
     return d.groupBy(*by, "rep").agg(*(F.sum(own(v)).alias(v) for v in values))
 
@@ -134,11 +143,14 @@ def ratio_bootstrap(days: DataFrame, replicates: int = 1000, block: int = 20, se
 
 
 def day_bootstrap(pairs: DataFrame, replicates: int = 1000, cap: float = 0.05, seed: int = 13, by: str = "series") -> DataFrame:
-    """Share of replicates of days in which the mean difference, each day's capped at ``cap`` either way, is above 0."""
-    d = numbered(pairs.select(by, "date", F.greatest(F.least("d", F.lit(cap)), F.lit(-cap)).alias("d")), [by])
-    sizes = d.select(by, "n").distinct().select("*", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("rep"))
-    drawn = sizes.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("b")).withColumn("i", draw(seed, F.col("rep"), F.col("b"), F.col("n")))
-    sums = drawn.join(d.select(by, "i", "d"), [by, "i"]).groupBy(by, "rep").agg(F.sum("d").alias("s"))
+    """Share of replicates of days in which the mean difference, each day's capped at ``cap`` either way, is above 0.
+
+    The series, a row a day, are written once and broadcast; the draws, as many for each replicate, stay in their tasks.
+    """
+    d = written(numbered(pairs.select(by, "date", F.greatest(F.least("d", F.lit(cap)), F.lit(-cap)).alias("d")), [by]), "days")
+    drawn = replicated(d.select(by, "n").distinct(), replicates).select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("b"))
+    drawn = drawn.withColumn("i", draw(seed, F.col("rep"), F.col("b"), F.col("n")))
+    sums = drawn.join(F.broadcast(d.select(by, "i", "d")), [by, "i"]).groupBy(by, "rep").agg(F.sum("d").alias("s"))
     return sums.groupBy(by).agg(F.avg((F.round("s", 9) > 0).cast("double")).alias("better"))
 
 

@@ -234,6 +234,29 @@ def test_blocks_fill_each_replicate(spark):
     assert all(r.one == n for r in out) and {r.rep: r.v for r in out} == want
 
 
+def test_draws_are_not_broadcast(spark):
+    """Draws come from a row a series, so that Spark takes them for small; a table beyond the limit set here can't be built."""
+    days = spark.createDataFrame([(s, dt.date(2020, 1, 1) + dt.timedelta(days=k), (k * 7919 % 1009 - 504) / 1e4) for s in "ab" for k in range(200)], "series string, date date, d double")
+    name = "spark.sql.maxBroadcastTableSize"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "24m")  # a page of 16 MB is the least
+    try:
+        better = {r.series: r.better for r in resampling.day_bootstrap(days, 2000).collect()}
+        sums = resampling.resampled(resampling.numbered(days, ["series"]), ["d"], 1500, 2, 5, ["series"]).collect()
+    finally:
+        spark.conf.set(name, before)
+    values = np.array([(k * 7919 % 1009 - 504) / 1e4 for k in range(200)]).clip(-0.05, 0.05)
+
+    def drawn(rep, b):
+        x = (13 * 40_692 + 12_345 + rep * resampling.A + b * 69_621) % resampling.M
+        for _ in range(3):
+            x = (x * x + x * resampling.A + 12_345) % resampling.M
+        return x % 200
+
+    share = np.mean([round(sum(values[drawn(rep, b)] for b in range(1, 201)), 9) > 0 for rep in range(1, 2001)])
+    assert better == pytest.approx({"a": share, "b": share}) and 0 < share < 1 and len(sums) == 3000
+
+
 def test_draws_are_spread_and_unrelated(spark):
     """Sums of draws vary as sums of independent ones do."""
     d = spark.range(1, 401).select(F.col("id").alias("rep"), F.explode(F.sequence(F.lit(1).cast("long"), F.lit(25).cast("long"))).alias("k")).select("rep", "k", resampling.draw(7, F.col("rep"), F.col("k"), 1000).alias("x")).toPandas()
