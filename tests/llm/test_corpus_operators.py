@@ -175,6 +175,13 @@ def test_shortening_ends_at_the_target():
     assert ngram_join.stop_depth(0.8, 0.9995, {8: 500, 2: 1}) == 2
 
 
+def test_a_sample_only_adds_candidates():
+    """Whatever pairs a sample holds, prefixes aren't longer than without one."""
+    for threshold in (0.7, 0.8, 0.9):
+        bare = ngram_join.stop_depth(threshold, 0.9995, {})
+        assert all(ngram_join.stop_depth(threshold, 0.9995, {k: n, 8: m}) <= bare for k in range(9) for n in (0, 1, 1000) for m in (0, 1, 1000))
+
+
 def test_a_subtrie_is_climbed_to_the_components_of_its_pairs():
     rng = np.random.default_rng(8)
     far = 0.36
