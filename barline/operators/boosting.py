@@ -57,22 +57,25 @@ def draw(code: str = "code", date: str = "date") -> Column:
     return (F.col(code) * 7919 + F.datediff(F.col(date), F.lit("1970-01-01").cast("date")).cast("long") * 104_729) % DRAWS
 
 
-def binned(df: DataFrame, features: list[str], bins: int) -> DataFrame:
+def binned(df: DataFrame, features: list[str], bins: int, keep: list[str] | None = None) -> DataFrame:
     """Adds a bin for each feature by its rank within the day; a row without the feature has the bin ``bins``.
 
-    A day's rows meet once for all features, as a group of as many rows as there are codes.
+    ``keep`` names the columns that stay besides the bins, all if it is left out.  A day's rows meet once for all features, as a group of as many rows as there are codes.
     """
 
-    def run(day: pa.Table) -> pa.Table:
+    keep = df.columns if keep is None else keep
+
+    def run(whole: pa.Table) -> pa.Table:
+        day = whole.select(keep)
         for k, f in enumerate(features):
-            x = day.column(f).combine_chunks()
+            x = whole.column(f).combine_chunks()
             known, own = x.is_valid().to_numpy(zero_copy_only=False), x.drop_null().to_numpy(zero_copy_only=False)
             place = np.full(len(day), bins, np.int8)
             place[known] = np.searchsorted(np.sort(own), own) * bins // max(len(own), 1)
             day = day.append_column(f"b{k}", pa.array(place))
         return day
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), *(f"b{k} byte" for k in range(len(features)))])
+    schema = ", ".join([*(f"`{f}` {df.schema[f].dataType.simpleString()}" for f in keep), *(f"b{k} byte" for k in range(len(features)))])
     return df.groupBy("date").applyInArrow(run, schema)
 
 
@@ -132,60 +135,104 @@ def _arrays(batch: pa.RecordBatch, bins: list[str]) -> tuple[np.ndarray, np.ndar
     return batch.column("model").to_numpy(zero_copy_only=False).astype(np.int64), np.stack([batch.column(b).to_numpy(zero_copy_only=False) for b in bins], axis=1)
 
 
-def fit(table: DataFrame, models: int, p: Boosting) -> Forest:
-    """The trees of all models from a table of (model, y, w, u, b0, b1, ...); it is read once a level and should be a written one."""
+#: Columns of a packed table and the type of their numbers; x has a row's bins, margin a number for each learner and row.
+PACKED = {"model": "<i4", "y": "<i1", "w": "<f8", "u": "<i4", "x": "<i1", "margin": "<f8"}
+
+
+def packed(table: DataFrame) -> DataFrame:
+    """The written table of blocks of rows, each column's numbers as bytes: handing a row's cells over costs more than summing them."""
     bins = [c for c in table.columns if c[0] == "b" and c[1:].isdigit()]
-    n_f, n_b, width = len(bins), p.bins + 1, 1 << p.depth
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            model, x = _arrays(batch, bins)
+            own = {"model": model, "x": x} | {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "w", "u")}
+            yield pa.RecordBatch.from_pydict({c: pa.array([None if c == "margin" else own[c].astype(of).tobytes()], pa.binary()) for c, of in PACKED.items()})
+
+    return written(table.mapInArrow(run, ", ".join(f"{c} binary" for c in PACKED)), "packed")
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray | None]]:
+    """The blocks of batches of a packed table, a row of x for each row; without margins None stands for them."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            block = {c: None if (v := batch.column(c)[i].as_py()) is None else np.frombuffer(v, of) for c, of in PACKED.items()}
+            block["model"] = block["model"].astype(np.int64)
+            block["x"] = block["x"].reshape(len(block["model"]), -1)
+            if block["margin"] is not None:
+                block["margin"] = block["margin"].reshape(-1, len(block["model"]))
+            yield block
+
+
+def fit(table: DataFrame, models: int, p: Boosting) -> Forest:
+    """The trees of all models from a table of (model, y, w, u, b0, b1, ...)."""
+    return fit_arms(table, models, [p])[0]
+
+
+def fit_arms(table: DataFrame, models: int, arms: list[Boosting]) -> list[Forest]:
+    """The trees of all models of each of several learners, which share bins and ``refresh``, from a table of (model, y, w, u, b0, b1, ...).
+
+    The table is read once and packed; the packed one is read once a level for all learners together.
+    """
+    n_f, n_b = sum(c[0] == "b" and c[1:].isdigit() for c in table.columns), arms[0].bins + 1
     start = {r[0]: r[1] for r in table.groupBy("model").agg(F.sum(F.col("w") * F.col("y")) / F.sum("w")).collect()}
     share = np.clip([start.get(m, 0.5) for m in range(models)], 1e-6, 1 - 1e-6)
-    forest = Forest(np.round(np.log(share / (1 - share)), 9))
-    table, first = table.withColumn("margin", F.lit(None).cast("double")), 0
+    forests = [Forest(np.round(np.log(share / (1 - share)), 9)) for _ in arms]
+    blocks, first = packed(table), 0
 
-    def histogram(tree: int, level: int, first: int) -> np.ndarray:
-        """Sums of gradient, curvature and rows by model, node of the level, feature and bin."""
+    def histogram(tree: int, level: int, first: int, live: list[int]) -> np.ndarray:
+        """Sums of gradient, curvature and rows by live learner, model, node of the level, feature and bin."""
+        size = (models << level) * n_f * n_b
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = None
-            for batch in batches:
-                model, x = _arrays(batch, bins)
-                y, w, u, known = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "w", "u", "margin"))
-                seen = u.astype(np.int64) * p.step(tree) % DRAWS % 10 < p.rows
-                model, x, y, w = model[seen], x[seen], y[seen], w[seen]
-                margin = forest.margin(model, x, p.depth, first) + (known[seen].astype(float) if first else 0)
-                node = forest.nodes(tree, model, x, level) - (1 << level)
-                live = node >= 0
-                q = 1 / (1 + np.exp(-margin[live]))
-                g, h = w[live] * (q - y[live]), w[live] * q * (1 - q)
-                cell = ((model[live] << level | node[live])[:, None] * n_f + np.arange(n_f)) * n_b + x[live]
-                size = (models << level) * n_f * n_b
-                own = np.stack([np.bincount(cell.ravel(), np.repeat(v, n_f), size) for v in (g, h, np.ones(len(g)))], axis=1)
-                total = own if total is None else total + own
-            if total is not None:
-                at = np.flatnonzero(total[:, 2])
+            total = np.zeros((len(live), size, 3))
+            for block in _blocks(batches):
+                for at, k in enumerate(live):
+                    p, forest = arms[k], forests[k]
+                    seen = block["u"].astype(np.int64) * p.step(tree) % DRAWS % 10 < p.rows
+                    model, x, y, w = (block[c][seen] for c in ("model", "x", "y", "w"))
+                    margin = forest.margin(model, x, p.depth, first) + (block["margin"][k, seen] if first else 0)
+                    node = forest.nodes(tree, model, x, level) - (1 << level)
+                    open_ = node >= 0
+                    q = 1 / (1 + np.exp(-margin[open_]))
+                    g, h = w[open_] * (q - y[open_]), w[open_] * q * (1 - q)
+                    cell = (((model[open_] << level | node[open_])[:, None] * n_f + np.arange(n_f)) * n_b + x[open_]).ravel()
+                    total[at] += np.stack([*(np.bincount(cell, np.repeat(v, n_f), size) for v in (g, h)), np.bincount(cell, minlength=size)], axis=1)
+            total = total.reshape(-1, 3)
+            if len(at := np.flatnonzero(total[:, 2])):
                 yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(total[at, k]) for k in range(3))], names=["cell", "g", "h", "n"])
 
-        out = np.zeros(((models << level) * n_f * n_b, 3))
-        for r in table.mapInArrow(run, "cell long, g double, h double, n double").groupBy("cell").agg(F.sum("g"), F.sum("h"), F.sum("n")).collect():
+        out = np.zeros((len(live) * size, 3))
+        for r in blocks.mapInArrow(run, "cell long, g double, h double, n double").groupBy("cell").agg(F.sum("g"), F.sum("h"), F.sum("n")).collect():
             out[r[0]] = r[1], r[2], r[3]
-        return out.reshape(models, 1 << level, n_f, n_b, 3)
-
-    for tree in range(p.trees):
-        forest.feature.append(np.full((models, 2 * width), -1))
-        forest.cut.append(np.zeros((models, 2 * width), np.int64))
-        value, sums = np.zeros((models, 2 * width)), np.zeros((models, 2 * width, 3))
+        return out.reshape(len(live), models, 1 << level, n_f, n_b, 3)
+
+    last = max(p.trees for p in arms)
+    for tree in range(last):
+        growing = [k for k, p in enumerate(arms) if tree < p.trees]
+        sums = {}
+        for k in growing:
+            width = 2 << arms[k].depth
+            forests[k].feature.append(np.full((models, width), -1))
+            forests[k].cut.append(np.zeros((models, width), np.int64))
+            sums[k] = np.zeros((models, width, 3))
         # A tree's values join its forest when it is grown.
-        for level in range(p.depth):
-            cells = histogram(tree, level, first)
-            _split(cells, forest, tree, level, sums, p)
-            if (forest.feature[tree][:, 1 << level : 2 << level] < 0).all():
+        live = growing
+        for level in range(max(arms[k].depth for k in growing)):
+            live = [k for k in live if level < arms[k].depth]
+            if not live:
                 break
-        grown = sums[..., 2] > 0
-        value[grown] = -p.rate * sums[grown][:, 0] / (sums[grown][:, 1] + p.l2)
-        forest.value.append(value)
-        forest.sums.append(sums)
-        if (tree + 1) % p.refresh == 0 and tree + 1 < p.trees:
-            table, first = _with_margins(table, forest, bins, p, first), tree + 1
-    return forest
+            for k, cells in zip(live, histogram(tree, level, first, live), strict=True):
+                _split(cells, forests[k], tree, level, sums[k], arms[k])
+            live = [k for k in live if (forests[k].feature[tree][:, 1 << level : 2 << level] >= 0).any()]
+        for k in growing:
+            grown, value = sums[k][..., 2] > 0, np.zeros(sums[k].shape[:2])
+            value[grown] = -arms[k].rate * sums[k][grown][:, 0] / (sums[k][grown][:, 1] + arms[k].l2)
+            forests[k].value.append(value)
+            forests[k].sums.append(sums[k])
+        if (tree + 1) % arms[0].refresh == 0 and tree + 1 < last:
+            blocks, first = _with_margins(blocks, forests, arms, first), tree + 1
+    return forests
 
 
 def _split(cells: np.ndarray, forest: Forest, tree: int, level: int, sums: np.ndarray, p: Boosting) -> None:
@@ -209,26 +256,32 @@ def _split(cells: np.ndarray, forest: Forest, tree: int, level: int, sums: np.nd
                 sums[m, 2 * node], sums[m, 2 * node + 1] = left[m, k, f, b], right[m, k, f, b]
 
 
-def _with_margins(table: DataFrame, forest: Forest, bins: list[str], p: Boosting, first: int) -> DataFrame:
+def _with_margins(blocks: DataFrame, forests: list[Forest], arms: list[Boosting], first: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            margin = forest.margin(*_arrays(batch, bins), p.depth, first)
-            if first:
-                margin = margin + batch.column("margin").to_numpy(zero_copy_only=False)
-            at = batch.schema.get_field_index("margin")
-            yield batch.set_column(at, "margin", pa.array(margin))
+            margins = []
+            for block in _blocks([batch]):
+                own = np.stack([f.margin(block["model"], block["x"], p.depth, first) for f, p in zip(forests, arms, strict=True)])
+                margins.append((own + block["margin"] if first else own).tobytes())
+            yield batch.set_column(batch.schema.get_field_index("margin"), "margin", pa.array(margins, pa.binary()))
 
-    return written(table.mapInArrow(run, table.schema), "margins")
+    return written(blocks.mapInArrow(run, blocks.schema), "margins")
 
 
 def score(rows: DataFrame, forest: Forest, p: Boosting) -> DataFrame:
     """Adds ``margin`` to rows of (model, b0, b1, ...)."""
+    return score_arms(rows, [forest], [p])
+
+
+def score_arms(rows: DataFrame, forests: list[Forest], arms: list[Boosting]) -> DataFrame:
+    """Adds ``margin``, the mean of those of several learners, to rows of (model, b0, b1, ...)."""
     bins = [c for c in rows.columns if c[0] == "b" and c[1:].isdigit()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            margin = forest.margin(*_arrays(batch, bins), p.depth)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.round(margin, 9))], names=[*batch.schema.names, "margin"])
+            model, x = _arrays(batch, bins)
+            margin = sum(np.round(f.margin(model, x, p.depth), 9) for f, p in zip(forests, arms, strict=True)) / len(arms)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(margin)], names=[*batch.schema.names, "margin"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     return rows.mapInArrow(run, f"{schema}, margin double")
@@ -252,9 +305,8 @@ def of_months(rows: DataFrame, months: list) -> DataFrame:
 
 def prepared(rows: DataFrame, features: list[str], p: Boosting) -> DataFrame:
     """The written table of (code, date, y, _closed, b0, b1, ...) that learners of the same bins and gap share."""
-    bins = [f"b{k}" for k in range(len(features))]
-    own = closing(rows, p).select("code", "date", "y", "_closed", *features)
-    return written(binned(own, features, p.bins).select("code", "date", "y", "_closed", *bins), "binned")
+    keep = ["code", "date", "y", "_closed"]
+    return written(binned(closing(rows, p).select(*keep, *features), features, p.bins, keep), "binned")
 
 
 def walk_forward(rows: DataFrame, features: list[str], months: list, p: Boosting = Boosting(), y: str = "y") -> tuple[DataFrame, Forest, DataFrame]:
@@ -262,10 +314,20 @@ def walk_forward(rows: DataFrame, features: list[str], months: list, p: Boosting
     return walk(prepared(rows.withColumnRenamed(y, "y"), features, p), months, p)
 
 
-def walk(ready: DataFrame, months: list, p: Boosting = Boosting()) -> tuple[DataFrame, Forest, DataFrame]:
-    """``walk_forward`` on a table of ``prepared``."""
+def walk(ready: DataFrame, months: list, p: Boosting | list[Boosting] = Boosting()) -> tuple[DataFrame, Forest | list[Forest], DataFrame | list[DataFrame]]:
+    """``walk_forward`` on a table of ``prepared``; of several learners the mean margin, and lists of forests and of training tables.
+
+    Learners of the same slices share their training table and grow in the same passes, and all score in one.
+    """
     bins = [c for c in ready.columns if c[0] == "b" and c[1:].isdigit()]
-    table = written(slices(ready, months, p), "training")
-    forest = fit(table, len(months), p)
-    tested = of_months(ready, months)
-    return score(tested.select("code", "date", "month", "y", "model", *bins), forest, p), forest, table
+    arms = p if isinstance(p, list) else [p]
+    shared, tables, forests = {}, [None] * len(arms), [None] * len(arms)
+    for k, arm in enumerate(arms):
+        shared.setdefault((arm.per_positive, arm.months_back, arm.refresh), []).append(k)
+    for own in shared.values():
+        table = written(slices(ready, months, arms[own[0]]), "training")
+        for k, forest in zip(own, fit_arms(table, len(months), [arms[k] for k in own]), strict=True):
+            tables[k], forests[k] = table, forest
+    tested = of_months(ready, months).select("code", "date", "month", "y", "model", *bins)
+    scored = score_arms(tested, forests, arms)
+    return (scored, forests, tables) if isinstance(p, list) else (scored, forests[0], tables[0])

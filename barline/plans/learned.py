@@ -128,13 +128,17 @@ SELECT month, COUNT(*) AS rows, CAST(SUM(CAST(pick AS INT)) AS BIGINT) AS picks,
 
 def averaged(s, d, arms: list[boosting.Boosting]):
     """Months picked by the mean margin of several learners."""
-    ready, every = {}, None  # arms of the same bins and gap share a table
+    alike: dict = {}  # arms of the same bins and gap share a table
     for p in arms:
-        if (p.bins, p.gap) not in ready:
-            ready[p.bins, p.gap] = boosting.prepared(featured(s, d), FEATURES, p)
-        own = boosting.walk(ready[p.bins, p.gap], MONTHS, p)[0].where("y IS NOT NULL").select("code", "date", "month", "y", "margin")
-        every = own if every is None else every.unionByName(own)
-    mean = every.groupBy("code", "date", "month", "y").agg(F.round(F.avg("margin"), 8).alias("margin"))
+        alike.setdefault((p.bins, p.gap), []).append(p)
+    every = None
+    for own in alike.values():
+        ready = boosting.prepared(featured(s, d), FEATURES, own[0])
+        scored = boosting.walk(ready, MONTHS, own)[0].where("y IS NOT NULL").select("code", "date", "month", "y", "margin").withColumn("_arms", F.lit(len(own)))
+        every = scored if every is None else every.unionByName(scored)
+    if len(alike) > 1:
+        every = every.groupBy("code", "date", "month", "y").agg((F.sum(F.col("margin") * F.col("_arms")) / F.sum("_arms")).alias("margin"))
+    mean = every.withColumn("margin", F.round("margin", 8))
     place = F.row_number().over(Window.partitionBy("date").orderBy(F.col("margin").desc(), "code"))
     g = mean.withColumn("pick", place <= 3).groupBy("month").agg(F.count("*").alias("rows"), F.sum(F.col("pick").cast("int")).alias("picks"), F.avg("y").alias("base"), F.avg(F.when(F.col("pick"), F.col("y"))).alias("hit"), F.avg("margin").alias("margin"))
     return rounded(g, ["base", "hit", "margin"], ("month", "rows", "picks"))

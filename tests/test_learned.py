@@ -105,6 +105,25 @@ def test_boosting_matches_an_exhaustive_search(spark, refresh):
     assert scored[scored.y == 1].margin.mean() > scored[scored.y == 0].margin.mean() + 0.2
 
 
+def test_learners_of_the_same_slices_grow_in_the_same_passes(spark, monkeypatch):
+    """Each as it would alone, though trees and depths differ; rows are written once and read as blocks, not as rows, by every level."""
+    arms = [boosting.Boosting(trees=n, depth=d, bins=4, seed=k, refresh=2, gap=5, months_back=6) for k, (n, d) in enumerate([(4, 2), (3, 3), (5, 2)])]
+    for got, p in zip(boosting.fit_arms(binned(spark), 2, arms), arms, strict=True):
+        alone = boosting.fit(binned(spark), 2, p)
+        assert len(got.value) == p.trees == len(alone.value)
+        assert all((a == b).all() for a, b in zip(got.feature + got.cut, alone.feature + alone.cut, strict=True)) and all(np.allclose(a, b, atol=1e-9) for a, b in zip(got.value, alone.value, strict=True))
+    rows = [(c, dt.date(2020, 1, 1) + dt.timedelta(days=2 * k), int((k * 7 + c) % 5 == 0), (k + c) % 5) for c in range(5) for k in range(240)]
+    ready = spark.createDataFrame(rows, "code long, date date, y int, b0 byte").withColumn("_closed", F.date_add("date", 10))
+    real, names = boosting.written, []
+    monkeypatch.setattr(boosting, "written", lambda df, name, *by: names.append((name, df.columns)) or real(df, name, *by))
+    months = [dt.date(2020, 12, 1), dt.date(2021, 1, 1)]
+    scored, forests, tables = boosting.walk(ready, months, arms)
+    assert [n for n, _ in names].count("training") == [n for n, _ in names].count("packed") == 1 and tables[0] is tables[2]
+    for r in scored.collect():
+        one = [f.margin(np.array([r.model]), np.array([[r.b0]]), p.depth)[0] for f, p in zip(forests, arms, strict=True)]
+        assert r.margin == pytest.approx(np.mean(one), abs=1e-9)
+
+
 def test_boosting_without_a_split_is_the_base_rate(spark):
     table = spark.createDataFrame([(0, k % 2, 1.0, 0, 3) for k in range(10)], "model int, y byte, w double, u int, b0 byte")
     forest = boosting.fit(table, 1, boosting.Boosting(trees=2, bins=4))
