@@ -46,6 +46,36 @@ def test_peers_are_those_that_move_alike(spark):
     assert seen[days[70], 1].peer_r == pytest.approx(series[2][70]) and (days[5], 1) not in seen
 
 
+def test_peers_read_returns_once_and_keep_the_best_over_blocks(spark, monkeypatch):
+    """However pairs are cut into strips, blocks and parts; returns are dear and written, and equal correlations go to the smaller peer."""
+    rng = np.random.default_rng(3)
+    days = [datetime.date(2019, 11, 1) + datetime.timedelta(days=i) for i in range(120)]
+    moves = {code: rng.normal(size=120).round(2) for code in range(12)}
+    moves |= {20 + code: moves[code] for code in (3, 4, 5)}  # copies, so that correlations tie
+    rows = [("a", d, code, float(x[i])) for code, x in moves.items() for i, d in enumerate(days) if (code + i) % 4]
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame(rows, "sector string, date date, code long, r double")
+    whole = {tuple(r) for r in peers.peers(df, "sector", k=4).collect()}
+    for name, size in (("STRIP", 2), ("BLOCK", 3), ("PART", 6)):
+        monkeypatch.setattr(peers, name, size)
+    assert {tuple(r) for r in peers.peers(df, "sector", k=4).collect()} == whole and len(whole) > 150
+    month = max(m for m, *_ in whole)
+    past = [i for i, d in enumerate(days) if d < month]
+    for code in (0, 3, 23):
+        of = lambda p: [(moves[code][i], moves[p][i]) for i in past if (code + i) % 4 and (p + i) % 4]  # noqa: B023, E731
+        want = sorted((-round(np.corrcoef(*zip(*of(p), strict=True))[0, 1], 9), p) for p in moves if p != code)[:4]
+        got = sorted((-c, p) for m, own, p, c in whole if (m, own) == (month, code))
+        assert [p for _, p in got] == [p for _, p in want] and [c for c, _ in got] == pytest.approx([c for c, _ in want], abs=2e-9)
+    peers.beside_peers(df.mapInArrow(count, df.schema), "sector", k=4).collect()
+    assert seen.value == len(rows)
+
+
 def test_peers_of_many_parts_are_those_of_one_and_pairs_are_no_rows(spark, monkeypatch):
     rng = np.random.default_rng(9)
     days = [datetime.date(2019, 11, 1) + datetime.timedelta(days=i) for i in range(150)]
